@@ -16,9 +16,9 @@ _TRIMMED = "".join(chr(i) for i in range(1, 33))
 
 def split_java(line: Column) -> Column:
     """Split on single spaces: inner empties stay, trailing empties go."""
-    return F.when(line.rlike("^ +$"), F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(line, " +$", ""), " ")
-    )
+    kept = F.rtrim(line)
+    blank = (kept == "") & (F.length(line) > 0)
+    return F.when(blank, F.array().cast("array<string>")).otherwise(F.split(kept, " "))
 
 
 def split_fields(text: Column) -> Column:
@@ -47,6 +47,7 @@ def lenient_float(text: Column) -> Column:
     Leading blanks, a sign, digits, a fraction and an exponent are read up to
     the first character that fits none of them; exponents stop at 38.
     """
+    plain = text.rlike(r"^[+-]?[0-9]{1,15}(\.[0-9]{1,15})?$")
     pattern = r"^[ \t\r\n\f]*([+-]?)([0-9]*)(?:\.([0-9]*))?(?:[eE]([+-]?)([0-9]*))?"
     part = lambda i: F.regexp_extract(text, pattern, i)
     # nine digits are enough to know that an exponent is past the limit
@@ -60,7 +61,9 @@ def lenient_float(text: Column) -> Column:
         F.lit("0"), part(2), F.lit("."), part(3), F.lit("0e"), part(4), power.cast("string")
     )
     size = F.coalesce(literal.try_cast("double"), F.lit(0.0))
-    return F.when(part(1) == "-", -size).otherwise(size).cast("float")
+    parsed = F.when(part(1) == "-", -size).otherwise(size)
+    # most fields are plain numbers, which need one match and not five
+    return F.when(plain, text.try_cast("double")).otherwise(parsed).cast("float")
 
 
 def kv_line(key: Column, value: Column) -> Column:

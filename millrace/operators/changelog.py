@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .ordered import Running, running
+from .ordered import Running, order_span, running
 
 SEGMENT_BITS = 16
 
@@ -24,14 +24,20 @@ def dedupe(log: DataFrame, marks: DataFrame | None = None,
            span: tuple[int, int] | None = None) -> DataFrame:
     """Drop an op whose client was already seen with a request id as high.
 
-    ``marks`` (client, mark) carries the highest ids from an earlier part.
+    ``marks`` (client, mark) carries the highest ids from an earlier part;
+    they take part as rows before the first of the log, not by a join.
     """
-    seen = running(log, ["client"], "log_index",
-                   {"seen": Running("max", "request_id", exclusive=True)}, span)
+    low, high = span or order_span(log, "log_index")
+    rows = log
     if marks is not None:
-        known = marks.select(F.col("client").alias("c_m"), F.col("mark"))
-        seen = seen.join(known, F.col("client") == F.col("c_m"), "left").withColumn(
-            "seen", F.greatest("seen", "mark"))
+        low -= 1
+        rows = log.unionByName(marks.select(
+            "client", F.col("mark").alias("request_id"),
+            F.lit(low).cast("long").alias("log_index")), allowMissingColumns=True)
+    seen = running(rows, ["client"], "log_index",
+                   {"seen": Running("max", "request_id", exclusive=True)}, (low, high))
+    if marks is not None:
+        seen = seen.where(F.col("log_index") > low)
     return seen.where(F.col("seen").isNull() | (F.col("request_id") > F.col("seen"))).select(
         *log.columns)
 
@@ -46,9 +52,10 @@ def _join_after_put(df: DataFrame, order: str, is_put: Column, text: str) -> Dat
 
     The list is bounded by the number of log indexes in a segment.
     """
-    grouped = df.withColumn("put_at", F.when(is_put, F.col(order))).groupBy("key", "segment").agg(
+    rows = df.withColumn("put_at", F.when(is_put, F.col(order))).repartition("key", "segment")
+    grouped = rows.groupBy("key", "segment").agg(
         F.max("put_at").alias("last_put"),
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("i"), F.col(text).alias("t")))
+        F.sort_array(F.collect_list(F.struct(F.col(order).alias("i"), F.col(text).alias("t")))
                      ).alias("items"))
     kept = F.filter("items", lambda e: F.col("last_put").isNull() | (e["i"] >= F.col("last_put")))
     return grouped.select("key", "segment", F.col("last_put").isNotNull().alias("has_put"),
@@ -86,7 +93,10 @@ def get(log: DataFrame, keys: DataFrame, upto: int | None = None,
     """Values of ``keys`` as of a log index; an absent key reads as the empty string."""
     if upto is not None:
         log = log.where(F.col("log_index") <= upto)
-    state = fold(log, bits).withColumnRenamed("key", "k_s")
+    wanted = keys.select(F.col("key").alias("k_w")).distinct()
+    # every op counts for the dedupe, but only wanted keys are folded
+    ops = dedupe(log).join(wanted, F.col("key") == F.col("k_w"), "left_semi")
+    state = live(fold_segments(ops, bits)).withColumnRenamed("key", "k_s")
     return keys.select("key").join(state, F.col("key") == F.col("k_s"), "left").select(
         "key", F.coalesce("segment", F.lit(0)).alias("segment"),
         F.coalesce("value", F.lit("")).alias("value"))
@@ -157,8 +167,9 @@ def append_order(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
         (F.shiftleft(F.col("segment").cast("long"), 32) + F.col("at")).alias("place"))
     seen = found.groupBy("key", "client", "n").agg(
         F.count(F.lit(1)).alias("copies"), F.min("place").alias("place"))
+    marks = log.select(F.regexp_extract("value", r"^x \d+ (\d+) y", 1).try_cast("long").alias("n"))
     before = running(seen, ["key", "client"], "n",
-                     {"previous": Running("max", "place", exclusive=True)})
+                     {"previous": Running("max", "place", exclusive=True)}, order_span(marks, "n"))
     good = (F.col("copies") == 1) & (F.col("previous").isNull()
                                      | (F.col("place") > F.col("previous")))
     return before.groupBy("key", "client").agg(

@@ -128,3 +128,33 @@ def join_containing(left: DataFrame, lname: str, right: DataFrame, rname: str,
         F.col("row_l").alias("row_c"), "p").distinct()
     hits = named.join(candidates, (F.col("row_l") == F.col("row_c")) & text.contains(F.col("p")))
     return hits.join(right, F.col("p") == F.col(rname), "inner").drop("row_l", "row_c", "p")
+
+
+# --- equality joins without adaptive execution ----------------------------
+
+HOT_SHARE = 64
+SALTS = 32
+
+
+def join_hot(left: DataFrame, right: DataFrame, lname: str, rname: str, how: str = "inner") -> DataFrame:
+    """Equality join whose hot left keys are spread, for plans AQE does not reach.
+
+    Streaming micro-batches run without adaptive execution. Keys with more
+    than 1/64 of the left rows, which are at most 64, get ``SALTS`` copies of
+    their right rows, and their left rows choose one each.
+    """
+    _distinct_names(left, right)
+    counts = left.groupBy(F.col(lname).alias("k_h")).agg(F.count(F.lit(1)).alias("n_h"))
+    total = left.count()
+    hot = [r["k_h"] for r in counts.where(
+        (F.col("n_h") * HOT_SHARE > total) & F.col("k_h").isNotNull()).collect()]
+    if not hot:
+        return left.join(right, F.col(lname) == F.col(rname), how)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALTS)).cast("int")
+    spread = left.withColumn("salt_l", F.when(F.col(lname).isin(hot), salt).otherwise(F.lit(0)))
+    copies = F.when(F.col(rname).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0)))
+    copied = right.select("*", F.explode(copies).alias("salt_r"))
+    return spread.join(
+        copied, (F.col(lname) == F.col(rname)) & (F.col("salt_l") == F.col("salt_r")), how
+    ).drop("salt_l", "salt_r")

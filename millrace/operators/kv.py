@@ -46,7 +46,7 @@ def push_vectors(pushes: DataFrame, keys: list[str], vector: str,
 def fold_vectors(sums: DataFrame, keys: list[str]) -> DataFrame:
     """(*keys, idx, val) back to one array per key; a vector is bounded by its length."""
     return sums.groupBy(*keys).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("idx", "val"))), lambda e: e["val"]).alias("vals"))
+        F.sort_array(F.collect_list(F.struct("idx", "val"))), lambda e: e["val"]).alias("vals"))
 
 
 def pull(keys: DataFrame, store: DataFrame, default=0) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import dot_constant
 from ..session import cut_lineage
 from .kv import push_vectors
-from .ordered import Running, running
+from .ordered import Running, order_span, running
 
 # rounds folded per step: the longest list a weight ever has in one row
 FOLD_BITS = 12
@@ -68,23 +68,25 @@ def gradient_rounds(pushes: DataFrame, workers: int, how: str = "mean",
 def round_sums(pushes: DataFrame, init: DataFrame, workers: int,
                length: int | None = None) -> DataFrame:
     """Synchronous sums: the stored vector after every complete round."""
-    return _accumulate(gradient_rounds(pushes, workers, "sum", length), init, "round", 1.0)
+    return _accumulate(gradient_rounds(pushes, workers, "sum", length), init, "round", 1.0,
+                       order_span(pushes, "round"))
 
 
 def async_sums(pushes: DataFrame, init: DataFrame) -> DataFrame:
     """Asynchronous sums: the stored vector after every push, in ``seq`` order."""
-    return _accumulate(unfold(pushes, "seq"), init, "seq", 1.0)
+    return _accumulate(unfold(pushes, "seq"), init, "seq", 1.0, order_span(pushes, "seq"))
 
 
 def sgd_sync(pushes: DataFrame, init: DataFrame, workers: int, eta: float,
              length: int | None = None) -> DataFrame:
     """Weights after every round of ``w -= eta * sum of gradients``."""
-    return _accumulate(gradient_rounds(pushes, workers, "sum", length), init, "round", -eta)
+    return _accumulate(gradient_rounds(pushes, workers, "sum", length), init, "round", -eta,
+                       order_span(pushes, "round"))
 
 
 def sgd_async(pushes: DataFrame, init: DataFrame, eta: float) -> DataFrame:
     """Weights after every push."""
-    return _accumulate(unfold(pushes, "seq"), init, "seq", -eta)
+    return _accumulate(unfold(pushes, "seq"), init, "seq", -eta, order_span(pushes, "seq"))
 
 
 def unfold(pushes: DataFrame, order: str) -> DataFrame:
@@ -93,16 +95,17 @@ def unfold(pushes: DataFrame, order: str) -> DataFrame:
         "key", order, "idx", F.col("v").cast("double").alias("val"))
 
 
-def _accumulate(steps: DataFrame, init: DataFrame, order: str, scale: float) -> DataFrame:
+def _accumulate(steps: DataFrame, init: DataFrame, order: str, scale: float,
+                span: tuple[int, int]) -> DataFrame:
     """init + scale * running sum; a plain sum is associative, so no fold is needed."""
-    total = running(steps, ["key", "idx"], order, {"total": Running("sum", "val")})
+    total = running(steps, ["key", "idx"], order, {"total": Running("sum", "val")}, span)
     start = init.select(F.col("key").alias("k_i"), F.col("idx").alias("i_i"), F.col("w").alias("w_i"))
     joined = total.join(start, (F.col("key") == F.col("k_i")) & (F.col("idx") == F.col("i_i")))
     return joined.select("key", order, "idx", (F.col("w_i") + scale * F.col("total")).alias("w"))
 
 
 def ftrl_fold(steps: DataFrame, init: DataFrame, order: str, settings: Ftrl = Ftrl(),
-              bits: int = FOLD_BITS) -> DataFrame:
+              bits: int = FOLD_BITS, span: tuple[int, int] | None = None) -> DataFrame:
     """Learner state (key, idx, z, n, w) after all gradients in ``order``.
 
     The update is not associative: each weight is a chain. Weights run in
@@ -114,22 +117,24 @@ def ftrl_fold(steps: DataFrame, init: DataFrame, order: str, settings: Ftrl = Ft
                         F.col("w").cast("double").alias("w"))
     staged = steps.select("key", "idx", F.col(order).cast("long").alias("o"), "val").withColumn(
         "stretch", F.shiftright("o", bits))
-    bounds = staged.agg(F.min("stretch"), F.max("stretch")).first()
-    if bounds[0] is None:
-        return state
-    if bounds[1] > bounds[0]:
-        staged = cut_lineage(staged.repartition("stretch"), "gradients")
-    for stretch in range(bounds[0], bounds[1] + 1):
-        part = staged.where(F.col("stretch") == stretch) if bounds[1] > bounds[0] else staged
-        lists = part.groupBy(F.col("key").alias("k_g"), F.col("idx").alias("i_g")).agg(
-            F.array_sort(F.collect_list(F.struct("o", "val"))).alias("gs"))
+    low, high = span or order_span(steps, order)
+    first, last = low >> bits, high >> bits
+    if last > first:
+        # sorted by order, so that a stretch reads its own row groups only
+        staged = cut_lineage(staged.repartitionByRange("o", "key", "idx").sortWithinPartitions("o"),
+                             "gradients")
+    for stretch in range(first, last + 1):
+        part = staged.where(F.col("stretch") == stretch) if last > first else staged
+        moved = part.repartition("key", "idx")
+        lists = moved.groupBy(F.col("key").alias("k_g"), F.col("idx").alias("i_g")).agg(
+            F.sort_array(F.collect_list(F.struct("o", "val"))).alias("gs"))
         joined = state.join(
             lists, (F.col("key") == F.col("k_g")) & (F.col("idx") == F.col("i_g")), "left")
         nothing = F.array().cast(lists.schema["gs"].dataType)
         folded = F.aggregate(F.coalesce("gs", nothing), F.struct("z", "n", "w"),
                              lambda acc, e: settings.step(acc, e["val"]))
         state = joined.select("key", "idx", folded.alias("s")).select("key", "idx", "s.*")
-        if stretch < bounds[1]:
+        if stretch < last:
             state = cut_lineage(state, "weights")
     return state
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,10 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket
 from ..functions.text import kv_line, split_fields
+from ..session import cut_lineage
 
+# documents per index segment (as a power of two) and spreads of a hot key
 INDEX_BITS = 14
 SALTS = 256
 
+Reduce = Callable[[str, list[str]], str]
+
 
 def words(df: DataFrame, text: str, tokens: Callable[[Column], Column] = split_fields,
           *keep: str) -> DataFrame:
@@ -43,7 +46,19 @@ def document_words(df: DataFrame, doc: str, text: str,
 
 def document_name(doc: Column) -> Column:
     """A name whose byte order is the order of the non-negative ids."""
-    return F.format_string("doc-%012d", doc)
+    return F.concat(F.lit("doc-"), F.lpad(doc.cast("string"), 12, "0"))
+
+
+def _segments(pairs: DataFrame, keys: list[str], names: Callable[[Column], Column],
+              bits: int) -> DataFrame:
+    """The sorted document list per (*keys, segment).
+
+    Lists do not shrink by partial aggregation, so rows are moved first and
+    gathered once, where they end up.
+    """
+    cut = pairs.withColumn("segment", F.shiftright("doc", bits)).repartition(*keys, "segment")
+    return cut.groupBy(*keys, "segment").agg(F.array_join(
+        F.transform(F.sort_array(F.collect_list("doc")), names), ",").alias("docs"))
 
 
 def inverted_index(df: DataFrame, doc: str, text: str,
@@ -54,13 +69,36 @@ def inverted_index(df: DataFrame, doc: str, text: str,
     A segment covers ``2**bits`` consecutive document ids, so the list of a
     word found in every document is never in one row or task; the whole list
     is the segments joined in order. A word whose documents fall into one
-    range has one row.
+    range has one row. Documents with names and no ids are numbered by
+    ``number_documents`` first.
+    """
+    pairs = document_words(df, doc, text, tokens)
+    totals = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
+    lists = _segments(pairs, ["word"], document_name, bits)
+    return lists.join(totals, "word").select("word", "n_docs", "segment", "docs")
+
+
+def number_documents(df: DataFrame, name: str) -> DataFrame:
+    """(name, number): increasing numbers in byte order of the names.
+
+    The sort is by range, so no task sees all names; the numbers grow with the
+    partition and are written down, so that a lost task cannot change them.
     """
-    pairs = document_words(df, doc, text, tokens).withColumn(
-        "segment", F.shiftright(F.col("doc"), bits))
+    names = df.select(name).distinct().orderBy(name)
+    return cut_lineage(names.select(name, F.monotonically_increasing_id().alias("number")), "names")
+
+
+def inverted_index_by_name(df: DataFrame, name: str, text: str,
+                           tokens: Callable[[Column], Column] = split_fields,
+                           bits: int = INDEX_BITS) -> DataFrame:
+    """The index of named records, such as files, in byte order of the names."""
+    numbered = df.join(number_documents(df, name), name)
+    pairs = numbered.select(F.struct(F.col("number").alias("n"), F.col(name).alias("name")).alias("doc"),
+                            F.explode(F.array_distinct(tokens(F.col(text)))).alias("word"))
     totals = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
-    lists = pairs.groupBy("word", "segment").agg(F.array_join(
-        F.transform(F.array_sort(F.collect_list("doc")), document_name), ",").alias("docs"))
+    cut = pairs.withColumn("segment", F.shiftright("doc.n", bits)).repartition("word", "segment")
+    lists = cut.groupBy("word", "segment").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list("doc")), lambda d: d["name"]), ",").alias("docs"))
     return lists.join(totals, "word").select("word", "n_docs", "segment", "docs")
 
 
@@ -71,12 +109,13 @@ def top_counts(counts: DataFrame, k: int = 10) -> DataFrame:
 
 
 def top_index(df: DataFrame, doc: str, text: str, without: str = "16", k: int = 10,
-              tokens: Callable[[Column], Column] = split_fields) -> DataFrame:
+              tokens: Callable[[Column], Column] = split_fields,
+              bits: int = INDEX_BITS) -> DataFrame:
     """The ``k`` words in most documents among index lines free of ``without``.
 
     A line holds the word, the number and every document name; separators
     cannot be part of ``without``, so the test is made on the parts and
-    the lists are only built for the words that remain.
+    lists are only built for the words that remain.
     """
     pairs = document_words(df, doc, text, tokens)
     stats = pairs.groupBy("word").agg(
@@ -85,45 +124,47 @@ def top_index(df: DataFrame, doc: str, text: str, without: str = "16", k: int =
     clean = stats.where(~(F.col("doc_hit") | F.col("word").contains(F.lit(without))
                           | F.col("n_docs").cast("string").contains(F.lit(without))))
     best = clean.orderBy(F.desc("n_docs"), F.desc("word")).limit(k).select("word", "n_docs")
-    chosen = F.broadcast(best.select("word"))  # at most k rows
-    lists = inverted_index(df, doc, text, tokens).join(chosen, "word", "left_semi")
+    found = pairs.join(F.broadcast(best), "word")  # at most k rows
+    lists = _segments(found, ["word", "n_docs"], document_name, bits)
     return lists.orderBy("n_docs", "word", "segment")
 
 
 # --- user functions -------------------------------------------------------
 
-Reduce = Callable[[str, list[str]], str]
-
-
 def map_files(df: DataFrame, name: str, contents: str,
-              mapper: Callable[[str, str], Iterable[tuple[str, str]]]) -> DataFrame:
-    """Run ``mapper(name, contents)`` on every record; key/value pairs come out."""
+              mapper: Callable[[str, str], Iterable[tuple[str, str]]],
+              combine: Reduce | None = None) -> DataFrame:
+    """Run ``mapper(name, contents)`` on every record; key/value pairs come out.
+
+    ``combine`` reduces the pairs of a batch before they leave the task.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys: list[str] = []
-            values: list[str] = []
+            groups: dict[str, list[str]] = {}
             for n, c in zip(batch["name"], batch["contents"]):
                 for k, v in mapper(n, c):
-                    keys.append(k)
-                    values.append(v)
-            yield pd.DataFrame({"key": keys, "value": values}, dtype="object")
+                    groups.setdefault(k, []).append(v)
+            if combine:
+                rows = [(k, combine(k, vs)) for k, vs in groups.items()]
+            else:
+                rows = [(k, v) for k, vs in groups.items() for v in vs]
+            yield pd.DataFrame(rows, columns=["key", "value"], dtype="object")
 
     records = df.select(F.col(name).cast("string").alias("name"), F.col(contents).alias("contents"))
     return records.mapInPandas(run, "key string, value string")
 
 
-def _combine(fn: Reduce, columns: list[str]):
-    """Reduce neighbouring rows of equal ``columns``, batch by batch."""
+def _combine(fn: Reduce):
+    """Reduce the values of a batch by key."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = sorted(zip(*[batch[c] for c in columns], batch["value"]),
-                          key=lambda r: r[:-1])
-            out = []
-            for group, members in groupby(rows, key=lambda r: r[:-1]):
-                out.append((*group, fn(group[0], [m[-1] for m in members])))
-            yield pd.DataFrame(out, columns=[*columns, "value"])
+            groups: dict[str, list[str]] = {}
+            for k, v in zip(batch["key"], batch["value"]):
+                groups.setdefault(k, []).append(v)
+            yield pd.DataFrame([(k, fn(k, vs)) for k, vs in groups.items()],
+                               columns=["key", "value"], dtype="object")
 
     return run
 
@@ -159,8 +200,11 @@ def reduce_groups(pairs: DataFrame, partial: Reduce, merge: Reduce) -> DataFrame
     Values are reduced in the task that made them, then per (key, salt), then
     per key, so a key that holds most rows is spread over all tasks.
     """
-    local = pairs.select("key", "value").mapInPandas(
-        _combine(partial, ["key"]), "key string, value string")
+    return _reduce_partials(pairs.select("key", "value").mapInPandas(
+        _combine(partial), "key string, value string"), merge)
+
+
+def _reduce_partials(local: DataFrame, merge: Reduce) -> DataFrame:
     salted = local.withColumn("salt", F.pmod(F.xxhash64(
         F.spark_partition_id(), F.col("value")), F.lit(SALTS)).cast("int"))
     spread = salted.repartition("key", "salt").sortWithinPartitions("key", "salt").mapInPandas(
@@ -177,7 +221,7 @@ def reduce_native(pairs: DataFrame, value: Column) -> DataFrame:
 def run_job(records: DataFrame, name: str, contents: str, mapper, partial: Reduce, merge: Reduce,
             n_reduce: int) -> DataFrame:
     """map, reduce and partition: (bucket, key, value) sorted by key within a bucket."""
-    reduced = reduce_groups(map_files(records, name, contents, mapper), partial, merge)
+    reduced = _reduce_partials(map_files(records, name, contents, mapper, partial), merge)
     bucketed = reduced.withColumn("bucket", hash_bucket(F.col("key"), n_reduce))
     return bucketed.repartitionByRange("bucket", "key").sortWithinPartitions(
         "bucket", "key").select("bucket", "key", "value")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import learn
+from ..operators.ordered import order_span
 from ..session import load
 from .registry import query
 
@@ -106,13 +107,14 @@ WHERE o = (SELECT max(o) FROM steps)"""
 def ftrl_sync(spark, sf):
     pushes = vector_pushes(spark, sf)
     rounds = learn.gradient_rounds(pushes, WORKERS, "mean", LENGTH)
-    return _rounded(learn.ftrl_fold(rounds, initial(pushes), "round"))
+    return _rounded(learn.ftrl_fold(rounds, initial(pushes), "round", span=order_span(pushes, "round")))
 
 
 @query("ftrl_async", _ftrl_sql("SELECT seq AS o, idx, v AS g FROM cells", _LEADING_SQL))
 def ftrl_async(spark, sf):
     pushes = vector_pushes(spark, sf)
-    state = learn.ftrl_fold(learn.unfold(pushes, "seq"), initial(pushes), "seq")
+    state = learn.ftrl_fold(learn.unfold(pushes, "seq"), initial(pushes), "seq",
+                            span=order_span(pushes, "seq"))
     return state.select("idx", F.format_string("%.7e", "z").alias("z"),
                         F.format_string("%.7e", "n").alias("n"), F.round("w", 5).alias("w"))
 

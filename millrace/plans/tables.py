@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import message
+from ..functions.times import epoch_us, instant
 from ..operators import textjobs
 from ..session import load, scratch_path
 from ..sources import delimited, files, hive, kafka, labelled
@@ -175,7 +176,7 @@ def topic_rows(spark, sf):
         kafka.int_key(F.col("event_id")).alias("key"),
         message(F.col("event_id")).cast("binary").alias("value"),
         F.lit("events").alias("topic"), (F.col("user_id") % 8).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("event_id").alias("offset"), instant(F.col("ts")).alias("timestamp"),
         F.lit(0).alias("timestampType"))
 
 
@@ -197,8 +198,8 @@ SELECT CAST(event_id AS INT) AS key, 'Message_' || event_id AS value, CAST(user_
        || '), offset(' || event_id || ') in ' || CAST(round(value * 100) AS BIGINT) || ' ms' AS report
 FROM events""")
 def delivery_report(spark, sf):
-    cents = "cast(round(value * 100) AS bigint)"
-    sent = load(spark, sf, "events").selectExpr(
-        "cast(event_id AS int) AS key", "concat('Message_', event_id) AS value",
-        f"cast(ts AS timestamp) - make_dt_interval(0, 0, 0, {cents} / 1000.0) AS sent_at")
+    micros = epoch_us(F.col("ts")) - F.round(F.col("value") * 100).cast("long") * 1000
+    sent = load(spark, sf, "events").select(
+        F.col("event_id").cast("int").alias("key"), message(F.col("event_id")).alias("value"),
+        F.timestamp_micros(micros).alias("sent_at"))
     return kafka.delivery_report(sent, topic_rows(spark, sf))

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import split_java
 from ..operators import changelog
+from ..operators.joins import join_hot
 from ..session import scratch_path
 
 # Fixed value: a session without data for this long is over.
@@ -43,6 +44,17 @@ def join_static(stream: DataFrame, table: DataFrame) -> DataFrame:
     return stream.join(other, F.col("key") == F.col("s_key"), "inner")
 
 
+def join_static_batches(table: DataFrame, path: str):
+    """The same join as a ``foreachBatch`` sink that spreads the hot keys of each batch."""
+    other = table.toDF(*[f"s_{c}" for c in table.columns])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        join_hot(batch, other, "key", "s_key").write.mode("overwrite").parquet(
+            f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 # --- sessions -------------------------------------------------------------
 
 def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -51,7 +52,7 @@ def latest_batch(spark: SparkSession, out: str, schema) -> DataFrame:
 
 def all_batches(spark: SparkSession, out: str, schema) -> DataFrame:
     """Every row written, with its batch number."""
-    full = schema.add("batch_id", "long") if "batch_id" not in schema.names else schema
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(full).option("basePath", out).parquet(out)
 
 
@@ -66,7 +67,7 @@ class Until:
     """Run a stream that never ends by itself until enough batches brought rows."""
 
     def __init__(self, stream: DataFrame, mode: str, interval: str = "500 milliseconds"):
-        spark = stream.sparkSession
+        spark = self.spark = stream.sparkSession
         self.schema = stream.schema
         self.out = scratch_path(spark, "stream")
         self._changed = threading.Condition()
@@ -97,10 +98,6 @@ class Until:
         return self
 
     def stop(self) -> DataFrame:
+        """End the stream and return what it wrote, with batch numbers."""
         self.query.stop()
-        spark = self.query_session()
-        return all_batches(spark, self.out, self.schema)
-
-    @staticmethod
-    def query_session() -> SparkSession:
-        return SparkSession.active()
+        return all_batches(self.spark, self.out, self.schema)
