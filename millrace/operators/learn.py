@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,21 +169,41 @@ def train(rows: DataFrame, features: str, label: str, worker: Column, workers: i
     if length > DENSE_LIMIT:
         return _train_wide(rows, features, label, worker, epochs, settings)
     z, n, w = [0.0] * length, [0.0] * length, [0.0] * length
+    examples = rows.select(worker.cast("long").alias("worker"), F.col(label).cast("double").alias("y"),
+                           F.col(features).cast("array<double>").alias("x"))
     for _ in range(epochs):
-        margin = dot_constant(w, F.col(features))
-        scored = rows.select(
-            worker.alias("worker"), F.col(features).alias("x"),
-            (1.0 / (1.0 + F.exp(-margin)) - F.col(label).cast("double")).alias("err"))
-        pushes = scored.groupBy("worker").agg(*[
-            F.sum(F.col("err") * F.get("x", F.lit(i))).alias(f"g{i}") for i in range(length)])
-        row = pushes.agg(*[
-            (F.sum(f"g{i}") / F.lit(float(workers))).alias(f"g{i}") for i in range(length)]).first()
-        for i in range(length):
-            z[i], n[i], w[i] = settings.step_local(z[i], n[i], w[i], row[i] or 0.0)
+        pushes = examples.mapInArrow(_batch_gradients(w), "worker long, vec array<double>")
+        total = push_vectors(pushes, ["worker"], "vec", length).groupBy("idx").agg(
+            (F.sum("val") / F.lit(float(workers))).alias("g"))
+        for r in total.collect():  # one number per weight
+            i = r["idx"]
+            z[i], n[i], w[i] = settings.step_local(z[i], n[i], w[i], r["g"])
     spark = rows.sparkSession
     return spark.createDataFrame(list(zip(range(length), z, n, w)), "idx int, z double, n double, w double")
 
 
+def _batch_gradients(w: list[float]):
+    """Gradient of the log loss at ``w``: one vector per worker and Arrow batch."""
+    weights = np.asarray(w)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(
+                batch.num_rows, len(weights))
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            who = batch.column("worker").to_numpy(zero_copy_only=False)
+            error = 1.0 / (1.0 + np.exp(-(x @ weights))) - y
+            ids = np.unique(who)
+            yield pa.RecordBatch.from_pydict({
+                "worker": pa.array(ids, pa.int64()),
+                "vec": pa.array([error[who == i] @ x[who == i] for i in ids],
+                                pa.list_(pa.float64()))})
+
+    return run
+
+
 def _train_wide(rows: DataFrame, features: str, label: str, worker: Column, epochs: int,
                 settings: Ftrl) -> DataFrame:
     """The same rounds with the model in a table, joined by position."""

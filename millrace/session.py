@@ -64,6 +64,16 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan out over all cores when its files hold too few row groups.
+
+    For CPU-heavy work on small or badly cut inputs. A scan that already has
+    a task per core, as any large one does, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load(spark: SparkSession, folder: str, *names: str):
     """One DataFrame per table name in ``folder``."""
     frames = [spark.read.parquet(f"{folder}/{n}.parquet") for n in names]
