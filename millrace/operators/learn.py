@@ -207,10 +207,12 @@ def _batch_gradients(w: list[float]):
 def _train_wide(rows: DataFrame, features: str, label: str, worker: Column, epochs: int,
                 settings: Ftrl) -> DataFrame:
     """The same rounds with the model in a table, joined by position."""
-    cells = cut_lineage(rows.select(
+    # numbered before the vectors are unfolded, and written once so numbers stay
+    numbered = rows.select(
         F.monotonically_increasing_id().alias("row"), worker.alias("worker"),
-        F.col(label).cast("double").alias("y"),
-        F.posexplode(features).alias("idx", "x")), "cells")
+        F.col(label).cast("double").alias("y"), F.col(features).alias("vec"))
+    cells = cut_lineage(numbered.select(
+        "row", "worker", "y", F.posexplode("vec").alias("idx", "x")), "cells")
     workers = cells.agg(F.count_distinct("worker")).first()[0]
     state = cells.select("idx").distinct().select(
         "idx", F.lit(0.0).alias("z"), F.lit(0.0).alias("n"), F.lit(0.0).alias("w"))

@@ -17,7 +17,7 @@ def key_ranges(n: int, top: int = MAX_KEY) -> list[tuple[int, int]]:
 
 def range_slice(key: Column, n: int, top: int = MAX_KEY) -> Column:
     """Number of the range that holds ``key``."""
-    width = F.lit(top // n).cast("decimal(20,0)")
+    width = F.lit(str(top // n)).cast("decimal(20,0)")
     whole = key.cast("decimal(20,0)")
     return F.least(((whole - whole % width) / width).cast("int"), F.lit(n - 1))
 
