@@ -8,6 +8,7 @@ from functools import reduce as fold
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.arrays import assign
 
@@ -57,18 +58,22 @@ def pull_strict(keys: DataFrame, store: DataFrame) -> DataFrame:
         .otherwise(F.col("v_s")).alias("val"))
 
 
-def match_assign(dst: DataFrame, src: DataFrame, op: str = "ASSIGN") -> DataFrame:
+def match_assign(dst: DataFrame, src: DataFrame, op: str = "ASSIGN", k: int = 1) -> DataFrame:
     """``dst op= src`` where keys match; other rows keep their value, or 0 if null.
 
-    ``matched`` tells which rows took part; its count is the number of matches.
+    Values are numbers, or arrays of ``k`` numbers. ``matched`` tells which
+    rows took part; its count times ``k`` is the number of matched values.
     """
+    vectors = isinstance(dst.schema["val"].dataType, T.ArrayType)
+    zero = F.array_repeat(F.lit(0), k) if vectors else F.lit(0)
     new = src.select(F.col("key").alias("k_s"), F.col("val").alias("v_s"), F.lit(True).alias("h"))
     joined = dst.join(new, F.col("key") == F.col("k_s"), "left")
     matched = F.col("h").isNotNull()
-    old = F.coalesce(F.col("val"), F.lit(0))
-    return joined.select(
-        "key", F.when(matched, assign(op, old, F.col("v_s"))).otherwise(old).alias("val"),
-        matched.alias("matched"))
+    old = F.coalesce(F.col("val"), zero.cast(dst.schema["val"].dataType))
+    merged = F.zip_with(old, F.col("v_s"), lambda a, b: assign(op, a, b)) if vectors else assign(
+        op, old, F.col("v_s"))
+    return joined.select("key", F.when(matched, merged).otherwise(old).alias("val"),
+                         matched.alias("matched"))
 
 
 def key_range(df: DataFrame, key: str, low, high) -> DataFrame:

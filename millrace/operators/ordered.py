@@ -7,7 +7,8 @@ buckets that hold a bounded number of rows whatever the key's size:
 1. per (key, bucket), a window over at most ``2**bits`` rows;
 2. bucket totals, aggregated before they are shuffled;
 3. the same scan over the totals, which is ``2**bits`` times smaller;
-4. each row's value combined with its bucket's offset.
+4. each bucket's offset put in front of its rows, where the window of step 1
+   takes it up.
 
 Step 3 repeats until the order fits one bucket, so small inputs get the plain
 window and no input gets an unbounded group.
@@ -51,18 +52,6 @@ def _total(kind: str, column: str, pos: str) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[kind](column)
 
 
-def _combine(kind: str, before: Column, within: Column) -> Column:
-    if kind == "sum":
-        return F.when(before.isNull(), within).otherwise(
-            before + F.coalesce(within, F.lit(0))
-        )
-    if kind == "max":
-        return F.greatest(before, within)
-    if kind == "min":
-        return F.least(before, within)
-    return F.coalesce(within, before)
-
-
 def _scan(df: DataFrame, keys: list[str], pos: str, specs: dict, bits: int, top: int,
           next_bits: int) -> DataFrame:
     """Add ``specs`` (name -> (kind, input column, exclusive)) along ``pos`` in [0, top]."""
@@ -87,23 +76,14 @@ def _scan(df: DataFrame, keys: list[str], pos: str, specs: dict, bits: int, top:
         {f"{name}_o": (kind, f"{name}_t", True) for name, (kind, _, _) in specs.items()},
         next_bits, top >> bits, next_bits,
     )
-    renamed = {k: f"{k}_{i}_k" for i, k in enumerate([*keys, bucket])}
-    offsets = offsets.select(
-        *[F.col(k).alias(r) for k, r in renamed.items()], *[f"{name}_o" for name in specs]
-    )
+    # a bucket's offset is a row before its first; the rows are shuffled once and not joined
+    seeds = offsets.select(*keys, bucket, F.lit(-1).cast("long").alias(pos), *[
+        F.col(f"{name}_o").alias(col) for name, (_, col, _) in specs.items()])
     window = Window.partitionBy(*keys, bucket).orderBy(pos)
-    within = df.select("*", *[
-        _window_value(kind, F.col(col), frame(window, excl)).alias(f"{name}_w")
+    return df.unionByName(seeds, allowMissingColumns=True).select("*", *[
+        _window_value(kind, F.col(col), frame(window, excl)).alias(name)
         for name, (kind, col, excl) in specs.items()
-    ])
-    match = F.lit(True)
-    for k, r in renamed.items():
-        match = match & F.col(k).eqNullSafe(F.col(r))
-    joined = within.join(offsets, match, "inner")
-    return joined.select(*[c for c in df.columns if c != bucket], *[
-        _combine(kind, F.col(f"{name}_o"), F.col(f"{name}_w")).alias(name)
-        for name, (kind, _, _) in specs.items()
-    ])
+    ]).where(F.col(pos) >= 0).drop(bucket)
 
 
 def order_span(df: DataFrame, order: str) -> tuple[int, int]:

@@ -33,6 +33,11 @@ def repartition_balanced(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.repartitionByRange(n, key).sortWithinPartitions(key)
 
 
-def repartition_sliced(df: DataFrame, slicer: Column, n: int) -> DataFrame:
-    """Physical partitions chosen by a user expression."""
-    return df.withColumn("slice", slicer).repartition(n, "slice")
+def sliced(df: DataFrame, slicer: Column) -> DataFrame:
+    """Rows with the slice a user expression picks for them."""
+    return df.withColumn("slice", slicer)
+
+
+def repartition_sliced(df: DataFrame, slicer: Column) -> DataFrame:
+    """Partitions by slice; adaptive execution splits a slice too large for one task."""
+    return sliced(df, slicer).hint("rebalance", "slice")

@@ -97,9 +97,8 @@ SELECT CASE WHEN o_orderpriority < '3' THEN 0 ELSE CAST(o_custkey % 4 AS INT) +
 def custom_slicer(spark, sf):
     slicer = F.when(F.col("o_orderpriority") < "3", F.lit(0)).otherwise(
         (F.col("o_custkey") % 4).cast("int") + 1)
-    sliced = partitioning.repartition_sliced(
-        load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), slicer, 5)
-    return sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n"),
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return partitioning.sliced(orders, slicer).groupBy("slice").agg(F.count(F.lit(1)).alias("n"),
                                        F.min("o_orderkey").alias("first_key"))
 
 
@@ -107,7 +106,7 @@ def custom_slicer(spark, sf):
 SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) AS slice FROM orders""")
 def slicer_fn(spark, sf):
     return partitioning.repartition_sliced(
-        load(spark, sf, "orders").select("o_orderkey"), (F.col("o_orderkey") % 3).cast("int"), 3)
+        load(spark, sf, "orders").select("o_orderkey"), (F.col("o_orderkey") % 3).cast("int"))
 
 
 # --- user functions: the classic word jobs as hooks -----------------------

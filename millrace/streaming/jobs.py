@@ -112,6 +112,7 @@ class ChangelogTable:
     Each batch adds its own fold and its clients' highest request ids, in
     folders named by batch, so a repeated batch replaces itself and the work
     of a batch does not grow with the state. ``compact`` joins the parts.
+    Batches arrive in log order; inside a batch the log index gives the order.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None,

@@ -74,9 +74,11 @@ class Until:
         self._batches: set[int] = set()
 
         def write(df: DataFrame, batch: int) -> None:
-            if df.isEmpty():
+            # one action only: a second would run the stateful batch again
+            place = f"{self.out}/batch_id={batch}"
+            df.write.mode("overwrite").parquet(place)
+            if df.sparkSession.read.schema(self.schema).parquet(place).isEmpty():
                 return
-            df.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch}")
             with self._changed:
                 self._batches.add(batch)
                 self._changed.notify_all()

@@ -109,6 +109,9 @@ def test_match_assign(spark):
     src = spark.createDataFrame([(1, 5), (2, 6), (9, 1)], "key long, val long")
     assert rows(kv.match_assign(dst, src, "MINUS")) == [(1, 5, True), (2, -6, True), (3, 7, False)]
     assert rows(kv.match_assign(dst.where("key = 2"), src.where("key = 9"))) == [(2, 0, False)]
+    dst = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "key long, val array<double>")
+    src = spark.createDataFrame([(1, [3.0, 4.0])], "key long, val array<double>")
+    assert rows(kv.match_assign(dst, src, "TIMES", k=2)) == [(1, [3.0, 8.0], True), (2, [0.0, 0.0], False)]
 
 
 @pytest.mark.parametrize("bits", [1, 3, 14])
