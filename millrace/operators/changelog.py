@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from .ordered import Running, order_span, running
 
 SEGMENT_BITS = 16
@@ -74,10 +74,19 @@ def merge_parts(parts: DataFrame) -> DataFrame:
     return _join_after_put(parts, "part", F.col("has_put"), "text")
 
 
-def live(segments: DataFrame) -> DataFrame:
-    """Segments from the key's last Put on, as (key, segment, value)."""
-    last = segments.groupBy("key").agg(F.max(F.when(F.col("has_put"), F.col("segment"))).alias("p"))
-    last = last.where("p is not null").withColumnRenamed("key", "k_p")
+def put_segments(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
+    """(key, segment) of every Put of a deduplicated log."""
+    return log.where(F.col("op") == "Put").select(
+        "key", F.shiftright("log_index", bits).alias("segment"))
+
+
+def live(segments: DataFrame, puts: DataFrame) -> DataFrame:
+    """Segments from the key's last Put on, as (key, segment, value).
+
+    ``puts`` (key, segment) comes from the source of the segments, so that the
+    texts are put together once.
+    """
+    last = puts.groupBy(F.col("key").alias("k_p")).agg(F.max("segment").alias("p"))
     joined = segments.join(last, F.col("key") == F.col("k_p"), "left")
     return joined.where(F.col("p").isNull() | (F.col("segment") >= F.col("p"))).select(
         "key", "segment", F.col("text").alias("value"))
@@ -85,7 +94,8 @@ def live(segments: DataFrame) -> DataFrame:
 
 def fold(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
     """State after the whole log: (key, segment, value)."""
-    return live(fold_segments(dedupe(log), bits))
+    applied = cut_lineage(dedupe(log), "applied")
+    return live(fold_segments(applied, bits), put_segments(applied, bits))
 
 
 def get(log: DataFrame, keys: DataFrame, upto: int | None = None,
@@ -95,8 +105,8 @@ def get(log: DataFrame, keys: DataFrame, upto: int | None = None,
         log = log.where(F.col("log_index") <= upto)
     wanted = keys.select(F.col("key").alias("k_w")).distinct()
     # every op counts for the dedupe, but only wanted keys are folded
-    ops = dedupe(log).join(wanted, F.col("key") == F.col("k_w"), "left_semi")
-    state = live(fold_segments(ops, bits)).withColumnRenamed("key", "k_s")
+    ops = cut_lineage(dedupe(log).join(wanted, F.col("key") == F.col("k_w"), "left_semi"), "applied")
+    state = live(fold_segments(ops, bits), put_segments(ops, bits)).withColumnRenamed("key", "k_s")
     return keys.select("key").join(state, F.col("key") == F.col("k_s"), "left").select(
         "key", F.coalesce("segment", F.lit(0)).alias("segment"),
         F.coalesce("value", F.lit("")).alias("value"))
@@ -127,8 +137,10 @@ def replay(spark: SparkSession, snap: Snapshot, log: DataFrame,
     tail = log.where(F.col("log_index") > snap.index)
     marks = spark.read.parquet(snap.marks_path)
     old = spark.read.parquet(snap.state_path).withColumn("part", F.lit(0))
-    new = fold_segments(dedupe(tail, marks), bits).withColumn("part", F.lit(1))
-    return live(merge_parts(old.unionByName(new)))
+    applied = cut_lineage(dedupe(tail, marks), "applied")
+    new = fold_segments(applied, bits).withColumn("part", F.lit(1))
+    puts = old.where("has_put").select("key", "segment").unionByName(put_segments(applied, bits))
+    return live(merge_parts(old.unionByName(new)), puts)
 
 
 def committed_changes(log: DataFrame) -> DataFrame:
@@ -158,7 +170,7 @@ def append_order(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
     which is linear in the text; each is then compared with the client's
     previous one.
     """
-    segments = live(fold_segments(dedupe(log), bits))
+    segments = fold(log, bits)
     pieces = segments.select("key", "segment", F.posexplode(
         F.regexp_extract_all("value", F.lit(r"(x \d+ \d+ y)"), F.lit(1))).alias("at", "marker"))
     found = pieces.select(

@@ -143,7 +143,8 @@ class ChangelogTable:
 
     def state(self) -> DataFrame:
         """(key, segment, value) after all batches so far."""
-        return changelog.live(changelog.merge_parts(self._read(self.parts_path, self._parts)))
+        parts = self._read(self.parts_path, self._parts)
+        return changelog.live(changelog.merge_parts(parts), parts.where("has_put"))
 
     def compact(self, path: str) -> "ChangelogTable":
         """The same state as one part below ``path``; later batches go on from there."""
