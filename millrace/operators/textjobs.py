@@ -49,18 +49,33 @@ def document_name(doc: Column) -> Column:
     return F.concat(F.lit("doc-"), F.lpad(doc.cast("string"), 12, "0"))
 
 
-def _segments(pairs: DataFrame, keys: list[str], names: Callable[[Column], Column],
-              bits: int) -> DataFrame:
-    """The sorted document list per (*keys, segment).
+def _cut(pairs: DataFrame, keys: list[str], number: Column, bits: int) -> DataFrame:
+    """Pairs moved to their (*keys, segment).
 
     Lists do not shrink by partial aggregation, so rows are moved first and
     gathered once, where they end up.
     """
-    cut = pairs.withColumn("segment", F.shiftright("doc", bits)).repartition(*keys, "segment")
+    return pairs.withColumn("segment", F.shiftright(number, bits)).repartition(*keys, "segment")
+
+
+def _lists(cut: DataFrame, keys: list[str], names: Callable[[Column], Column]) -> DataFrame:
+    """The sorted document list per (*keys, segment)."""
     return cut.groupBy(*keys, "segment").agg(F.array_join(
         F.transform(F.sort_array(F.collect_list("doc")), names), ",").alias("docs"))
 
 
+def _index(cut: DataFrame, names: Callable[[Column], Column]) -> DataFrame:
+    """Lists with the number of documents of their word.
+
+    Counting ``doc`` itself keeps the columns of both branches equal, so that
+    the texts are split and moved once and the shuffle is read twice.
+    """
+    totals = cut.groupBy("word", "segment").agg(F.count("doc").alias("n")).groupBy("word").agg(
+        F.sum("n").alias("n_docs"))
+    return _lists(cut, ["word"], names).join(totals, "word").select(
+        "word", "n_docs", "segment", "docs")
+
+
 def inverted_index(df: DataFrame, doc: str, text: str,
                    tokens: Callable[[Column], Column] = split_fields,
                    bits: int = INDEX_BITS) -> DataFrame:
@@ -73,9 +88,7 @@ def inverted_index(df: DataFrame, doc: str, text: str,
     ``number_documents`` first.
     """
     pairs = document_words(df, doc, text, tokens)
-    totals = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
-    lists = _segments(pairs, ["word"], document_name, bits)
-    return lists.join(totals, "word").select("word", "n_docs", "segment", "docs")
+    return _index(_cut(pairs, ["word"], F.col("doc"), bits), document_name)
 
 
 def number_documents(df: DataFrame, name: str) -> DataFrame:
@@ -95,11 +108,7 @@ def inverted_index_by_name(df: DataFrame, name: str, text: str,
     numbered = df.join(number_documents(df, name), name)
     pairs = numbered.select(F.struct(F.col("number").alias("n"), F.col(name).alias("name")).alias("doc"),
                             F.explode(F.array_distinct(tokens(F.col(text)))).alias("word"))
-    totals = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
-    cut = pairs.withColumn("segment", F.shiftright("doc.n", bits)).repartition("word", "segment")
-    lists = cut.groupBy("word", "segment").agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list("doc")), lambda d: d["name"]), ",").alias("docs"))
-    return lists.join(totals, "word").select("word", "n_docs", "segment", "docs")
+    return _index(_cut(pairs, ["word"], F.col("doc.n"), bits), lambda d: d["name"])
 
 
 def top_counts(counts: DataFrame, k: int = 10) -> DataFrame:
@@ -125,7 +134,8 @@ def top_index(df: DataFrame, doc: str, text: str, without: str = "16", k: int =
                           | F.col("n_docs").cast("string").contains(F.lit(without))))
     best = clean.orderBy(F.desc("n_docs"), F.desc("word")).limit(k).select("word", "n_docs")
     found = pairs.join(F.broadcast(best), "word")  # at most k rows
-    lists = _segments(found, ["word", "n_docs"], document_name, bits)
+    keys = ["word", "n_docs"]
+    lists = _lists(_cut(found, keys, F.col("doc"), bits), keys, document_name)
     return lists.orderBy("n_docs", "word", "segment")
 
 
