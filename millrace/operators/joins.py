@@ -20,6 +20,7 @@ from .predicates import Op, column_name, compare, field_families
 CELLS = 32
 # patterns tested per row without a join; past this the gram join takes over
 PATTERN_LIMIT = 256
+PATTERN_BYTES = 1 << 16
 GRAM = 4
 
 
@@ -91,6 +92,12 @@ def _join_cells(left: DataFrame, lname: str, op: Op, right: DataFrame, rname: st
     )
 
 
+def _few(patterns: DataFrame, limit: int) -> bool:
+    """At most ``limit`` patterns and ``PATTERN_BYTES`` in all, counted before any is fetched."""
+    row = patterns.agg(F.count("p").alias("n"), F.sum(F.octet_length("p")).alias("size")).first()
+    return row["n"] <= limit and (row["size"] or 0) <= PATTERN_BYTES
+
+
 def join_containing(left: DataFrame, lname: str, right: DataFrame, rname: str,
                     limit: int = PATTERN_LIMIT, gram: int = GRAM) -> DataFrame:
     """All pairs where the left text contains the right text.
@@ -102,8 +109,8 @@ def join_containing(left: DataFrame, lname: str, right: DataFrame, rname: str,
     """
     _distinct_names(left, right)
     patterns = right.select(F.col(rname).alias("p")).where(F.col("p").isNotNull()).distinct()
-    found = [r["p"] for r in patterns.limit(limit + 1).collect()]
-    if len(found) <= limit:
+    if _few(patterns, limit):
+        found = [r["p"] for r in patterns.collect()]
         listed = F.array(*[F.lit(p) for p in found]) if found else F.array().cast("array<string>")
         hits = left.select("*", F.explode(
             F.filter(listed, lambda p: F.col(lname).contains(p))

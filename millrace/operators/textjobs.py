@@ -215,8 +215,9 @@ def reduce_groups(pairs: DataFrame, partial: Reduce, merge: Reduce) -> DataFrame
 
 
 def _reduce_partials(local: DataFrame, merge: Reduce) -> DataFrame:
-    salted = local.withColumn("salt", F.pmod(F.xxhash64(
-        F.spark_partition_id(), F.col("value")), F.lit(SALTS)).cast("int"))
+    # The salt is the task's number alone: a task that runs again may cut its
+    # batches elsewhere, and all its parts of a key must still go to one place.
+    salted = local.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)).cast("int"))
     spread = salted.repartition("key", "salt").sortWithinPartitions("key", "salt").mapInPandas(
         _merge_sorted(merge, ["key", "salt"]), "key string, salt int, value string")
     return spread.select("key", "value").repartition("key").sortWithinPartitions(

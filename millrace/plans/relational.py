@@ -60,10 +60,12 @@ def by_ordinal(spark, sf):
 
 
 @query("key_range_slice", """
-SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey >= 100 AND o_orderkey < 5000""")
+WITH top AS (SELECT max(o_orderkey) AS m FROM orders)
+SELECT o_orderkey, o_totalprice FROM orders, top WHERE o_orderkey >= m // 4 AND o_orderkey < 3 * m // 4""")
 def key_range_slice(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return kv.key_range(orders, "o_orderkey", 100, 5000)
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    return kv.key_range(orders, "o_orderkey", top // 4, 3 * top // 4)
 
 
 @query("sql_filter_order", """

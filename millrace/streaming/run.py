@@ -25,7 +25,7 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def drain(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None,
-          timeout: int = 3600) -> str:
+          timeout: int | None = None) -> str:
     """Process all that is available and return the sink folder.
 
     By default every micro-batch is written to its own ``batch_id=N`` folder;
@@ -37,7 +37,9 @@ def drain(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] |
     query = (stream.writeStream.outputMode(mode).foreachBatch(write)
              .option("checkpointLocation", scratch_path(spark, "checkpoint"))
              .trigger(availableNow=True).start())
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("the stream did not end in time")
     return out
@@ -87,12 +89,13 @@ class Until:
                       .option("checkpointLocation", scratch_path(spark, "checkpoint"))
                       .trigger(processingTime=interval).start())
 
-    def wait(self, batches: int, timeout: int = 600) -> "Until":
+    def wait(self, batches: int, timeout: int | None = None) -> "Until":
         """Block until ``batches`` non-empty results were written."""
         waited = 0
         with self._changed:
             while len(self._batches) < batches:
-                if self.query.exception() is not None or waited >= timeout:
+                late = timeout is not None and waited >= timeout
+                if late or not self.query.isActive:
                     self.query.stop()
                     raise RuntimeError(f"the stream gave no result: {self.query.exception()}")
                 self._changed.wait(1)

@@ -52,16 +52,16 @@ EVENTS = "value string, timestamp timestamp_ntz"
 def test_sessions_and_timeout(spark):
     path = scratch_path(spark, "in")
     put(spark, path, [("u", second(0)), ("u", second(4)), ("v", second(1))], EVENTS)
-    got = sessions(spark, path, 2000).wait(2).stop().drop("batch_id")
+    got = sessions(spark, path, 2000).wait(2, timeout=300).stop().drop("batch_id")
     assert rows(got) == [("u", 4000, 2, False), ("u", 4000, 2, True), ("v", 0, 1, False), ("v", 0, 1, True)]
 
 
 def test_late_events_never_lower_the_start(spark):
     path = scratch_path(spark, "in")
     put(spark, path, [("u", second(10)), ("u", second(12))], EVENTS)
-    feed = sessions(spark, path, 600_000).wait(1)
+    feed = sessions(spark, path, 600_000).wait(1, timeout=300)
     put(spark, path, [("u", second(3)), ("u", second(15))], EVENTS)
-    got = run.latest_update(feed.wait(2).stop(), ["id"])
+    got = run.latest_update(feed.wait(2, timeout=300).stop(), ["id"])
     assert rows(got) == [("u", 5000, 4, False)]
 
 
