@@ -82,8 +82,7 @@ def sgd_async(spark, sf):
     return learn.sgd_async(pushes, initial(pushes), 0.1).select("seq", "idx", F.round("w", 5).alias("w"))
 
 
-_ROUNDED_SQL = "round(z, 5) AS z, round(n, 5) AS n, round(w, 5) AS w"
-# sums of this variant grow without bound; they are compared by leading digits
+# z and n grow without bound in this variant; they are shown by leading digits
 _LEADING_SQL = "printf('%.7e', z) AS z, printf('%.7e', n) AS n, round(w, 5) AS w"
 
 
@@ -103,24 +102,23 @@ SELECT idx, {shown} FROM state
 WHERE o = (SELECT max(o) FROM steps)"""
 
 
-@query("ftrl_sync", _ftrl_sql("SELECT round AS o, idx, mean AS g FROM sums", _ROUNDED_SQL))
+@query("ftrl_sync", _ftrl_sql("SELECT round AS o, idx, mean AS g FROM sums", _LEADING_SQL))
 def ftrl_sync(spark, sf):
     pushes = vector_pushes(spark, sf)
     rounds = learn.gradient_rounds(pushes, WORKERS, "mean", LENGTH)
-    return _rounded(learn.ftrl_fold(rounds, initial(pushes), "round", span=order_span(pushes, "round")))
+    return _shown(learn.ftrl_fold(rounds, initial(pushes), "round", span=order_span(pushes, "round")))
 
 
 @query("ftrl_async", _ftrl_sql("SELECT seq AS o, idx, v AS g FROM cells", _LEADING_SQL))
 def ftrl_async(spark, sf):
     pushes = vector_pushes(spark, sf)
-    state = learn.ftrl_fold(learn.unfold(pushes, "seq"), initial(pushes), "seq",
-                            span=order_span(pushes, "seq"))
-    return state.select("idx", F.format_string("%.7e", "z").alias("z"),
-                        F.format_string("%.7e", "n").alias("n"), F.round("w", 5).alias("w"))
+    return _shown(learn.ftrl_fold(learn.unfold(pushes, "seq"), initial(pushes), "seq",
+                                  span=order_span(pushes, "seq")))
 
 
-def _rounded(state):
-    return state.select("idx", *[F.round(c, 5).alias(c) for c in ("z", "n", "w")])
+def _shown(state):
+    return state.select("idx", F.format_string("%.7e", "z").alias("z"),
+                        F.format_string("%.7e", "n").alias("n"), F.round("w", 5).alias("w"))
 
 
 def train_model(spark, sf, epochs=2):

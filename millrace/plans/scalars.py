@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays, hashing, text
 from ..functions.times import session_duration as duration_ms
 from ..operators import textjobs
-from ..session import load, spread
+from ..session import conversations, documents, load
 from .profiles import CODE_SQL, code_sql
 from .registry import query
 from .tables import fnv_sql, words_sql
@@ -30,7 +30,7 @@ SELECT conv_id, turn, word, count(*) AS n FROM (
   SELECT conv_id, turn, unnest(CASE WHEN regexp_full_match(text, ' +') THEN [] ELSE
     string_split(rtrim(text, ' '), ' ') END) AS word FROM conversations) GROUP BY ALL""")
 def split_java(spark, sf):
-    words = spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")).select(
+    words = conversations(spark, sf).select(
         "conv_id", "turn", F.explode(text.split_java(F.col("text"))).alias("word"))
     return words.groupBy("conv_id", "turn", "word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -39,7 +39,7 @@ def split_java(spark, sf):
 SELECT doc_id, len({words_sql('text')}) AS n_words, {words_sql('text')}[1] AS first_word,
        {words_sql('text')}[-1] AS last_word FROM documents""")
 def split_fields(spark, sf):
-    words = spread(load(spark, sf, "documents").select("doc_id", "text")).select(
+    words = documents(spark, sf).select(
         "doc_id", text.split_fields(F.col("text")).alias("w"))
     return words.select("doc_id", F.size("w").cast("long").alias("n_words"),
                         F.get("w", F.lit(0)).alias("first_word"),
@@ -49,7 +49,7 @@ def split_fields(spark, sf):
 @query("trim_truncate", """
 SELECT doc_id, left(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 128) AS head FROM documents""")
 def trim_truncate(spark, sf):
-    return spread(load(spark, sf, "documents").select("doc_id", "text")).select("doc_id", text.trim_truncate(F.col("text")).alias("head"))
+    return documents(spark, sf).select("doc_id", text.trim_truncate(F.col("text")).alias("head"))
 
 
 @query("dot_product", """
@@ -64,7 +64,7 @@ def dot_product(spark, sf):
 SELECT word, CAST(CASE WHEN word = '' THEN 2166136261 ELSE {fnv_sql('word')} END AS BIGINT) AS hash
 FROM (SELECT DISTINCT unnest({words_sql('text')}) AS word FROM conversations)""")
 def fnv1a32(spark, sf):
-    keys = textjobs.words(spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")), "text").distinct()
+    keys = textjobs.words(conversations(spark, sf), "text").distinct()
     return keys.select("word", hashing.fnv1a32(F.col("word")).alias("hash"))
 
 
@@ -81,7 +81,7 @@ def array_slice(spark, sf):
 SELECT word, CAST({CODE_SQL} AS INT) AS code FROM (SELECT word, {code_sql('word')} AS u
 FROM (SELECT DISTINCT unnest({words_sql('text')}) AS word FROM conversations))""")
 def str_prefix_code(spark, sf):
-    keys = textjobs.words(spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")), "text").distinct()
+    keys = textjobs.words(conversations(spark, sf), "text").distinct()
     return keys.select("word", hashing.str_prefix_code(F.col("word")).alias("code"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ..functions.text import message
 from ..functions.times import epoch_us, instant
 from ..operators import textjobs
-from ..session import load, scratch_path, spread
+from ..session import conversations, load, scratch_path
 from ..sources import delimited, files, hive, kafka, labelled
 from ..sources.catalog import Catalog
 from .registry import query
@@ -117,7 +117,7 @@ SELECT word || ': ' || count(*) AS line
 FROM (SELECT unnest({words_sql('text')}) AS word FROM conversations) GROUP BY word""")
 def merged_text(spark, sf):
     path = scratch_path(spark, "merged")
-    counts = textjobs.word_count(spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")), "text")
+    counts = textjobs.word_count(conversations(spark, sf), "text")
     files.write_lines(textjobs.merged_lines(
         counts.selectExpr("word AS key", "cast(count AS string) AS value")), path)
     return spark.read.text(path).withColumnRenamed("value", "line")

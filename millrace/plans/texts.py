@@ -8,7 +8,7 @@ from pyspark.sql.functions import udtf
 from ..functions.hashing import hash_bucket as bucket_of
 from ..functions.hashing import shard_bucket as shard_of
 from ..operators import partitioning, textjobs
-from ..session import load, spread
+from ..session import conversations, documents, load
 from .registry import query
 from .tables import fnv_sql, words_sql
 
@@ -20,7 +20,7 @@ _DOC_NAME = "'doc-' || lpad(CAST(doc_id AS VARCHAR), 12, '0')"
 
 @query("word_count", f"SELECT word, count(*) AS count FROM ({_DOC_WORDS}) GROUP BY word")
 def word_count(spark, sf):
-    return textjobs.word_count(spread(load(spark, sf, "documents").select("doc_id", "text")), "text")
+    return textjobs.word_count(documents(spark, sf), "text")
 
 
 @query("inverted_index", f"""
@@ -29,19 +29,19 @@ totals AS (SELECT word, count(*) AS n_docs FROM pairs GROUP BY word)
 SELECT word, n_docs, doc_id >> 14 AS segment, string_agg({_DOC_NAME}, ',' ORDER BY doc_id) AS docs
 FROM pairs JOIN totals USING (word) GROUP BY ALL""")
 def inverted_index(spark, sf):
-    return textjobs.inverted_index(spread(load(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text")
+    return textjobs.inverted_index(documents(spark, sf), "doc_id", "text")
 
 
 @query("distinct_keys", f"SELECT DISTINCT word AS key, '' AS value FROM ({_DOC_WORDS}) ORDER BY key")
 def distinct_keys(spark, sf):
-    return textjobs.distinct_keys(spread(load(spark, sf, "documents").select("doc_id", "text")), "text")
+    return textjobs.distinct_keys(documents(spark, sf), "text")
 
 
 @query("top_k_counts", f"""
 SELECT * FROM (SELECT word, count(*) AS count FROM ({_DOC_WORDS}) GROUP BY word
                ORDER BY count DESC, word DESC LIMIT 10) ORDER BY count, word""")
 def top_k_counts(spark, sf):
-    return textjobs.top_counts(textjobs.word_count(spread(load(spark, sf, "documents").select("doc_id", "text")), "text"))
+    return textjobs.top_counts(textjobs.word_count(documents(spark, sf), "text"))
 
 
 @query("top_k_index", f"""
@@ -53,19 +53,19 @@ best AS (SELECT word, count(*) AS n_docs FROM pairs GROUP BY word
 SELECT word, n_docs, doc_id >> 14 AS segment, string_agg({_DOC_NAME}, ',' ORDER BY doc_id) AS docs
 FROM pairs JOIN best USING (word) GROUP BY ALL""")
 def top_k_index(spark, sf):
-    return textjobs.top_index(spread(load(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text")
+    return textjobs.top_index(documents(spark, sf), "doc_id", "text")
 
 
 @query("sort_keys", f"SELECT DISTINCT word FROM ({_TALK_WORDS}) ORDER BY word")
 def sort_keys(spark, sf):
-    return textjobs.words(spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")), "text").distinct().orderBy("word")
+    return textjobs.words(conversations(spark, sf), "text").distinct().orderBy("word")
 
 
 @query("hash_bucket", f"""
 SELECT word, CAST({fnv_sql('word')} % 2147483648 % 7 AS INT) AS bucket
 FROM (SELECT DISTINCT word FROM ({_TALK_WORDS}))""")
 def hash_bucket(spark, sf):
-    keys = textjobs.words(spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")), "text").distinct()
+    keys = textjobs.words(conversations(spark, sf), "text").distinct()
     return keys.select("word", bucket_of(F.col("word"), 7).alias("bucket"))
 
 
@@ -73,7 +73,7 @@ def hash_bucket(spark, sf):
 SELECT word, CAST(CAST(('0x' || substr(hex(encode(word)), 1, 2)) AS INT) % 10 AS INT) AS shard
 FROM (SELECT DISTINCT word FROM ({_TALK_WORDS}))""")
 def shard_bucket(spark, sf):
-    keys = textjobs.words(spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")), "text").distinct()
+    keys = textjobs.words(conversations(spark, sf), "text").distinct()
     return keys.select("word", shard_of(F.col("word")).alias("shard"))
 
 
@@ -138,7 +138,7 @@ def mr_group_reduce(spark, sf):
 SELECT CAST({fnv_sql('word')} % 2147483648 % 3 AS INT) AS bucket, word AS key, CAST(count(*) AS VARCHAR) AS value
 FROM ({_TALK_WORDS}) GROUP BY word""")
 def mr_job(spark, sf):
-    talks = spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")).selectExpr(
+    talks = conversations(spark, sf).selectExpr(
         "concat('talk-', conv_id, '-', turn) AS name", "text")
     return textjobs.run_job(talks, "name", "text", map_words, count_values, add_counts, 3)
 
@@ -155,7 +155,7 @@ class WordPairs:
 SELECT conv_id, turn, key, '1' AS value, count(*) AS n
 FROM (SELECT conv_id, turn, unnest({words_sql('text')}) AS key FROM conversations) GROUP BY ALL""")
 def udtf_map(spark, sf):
-    talks = spread(load(spark, sf, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", "text")
+    talks = conversations(spark, sf)
     pairs = talks.lateralJoin(WordPairs(F.col("conv_id").cast("string").outer(), F.col("text").outer()))
     return pairs.groupBy("conv_id", "turn", "key", "value").agg(F.count(F.lit(1)).alias("n"))
 

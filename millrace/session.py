@@ -78,3 +78,13 @@ def load(spark: SparkSession, folder: str, *names: str):
     """One DataFrame per table name in ``folder``."""
     frames = [spark.read.parquet(f"{folder}/{n}.parquet") for n in names]
     return frames[0] if len(frames) == 1 else frames
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, text), dealt out over the cores."""
+    return spread(load(spark, folder, "documents").select("doc_id", "text"))
+
+
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """(conv_id, turn, text), dealt out over the cores."""
+    return spread(load(spark, folder, "conversations").select("conv_id", "turn", "text"))
