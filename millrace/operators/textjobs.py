@@ -46,7 +46,7 @@ def document_words(df: DataFrame, doc: str, text: str,
 
 def document_name(doc: Column) -> Column:
     """A name whose byte order is the order of the non-negative ids."""
-    return F.concat(F.lit("doc-"), F.lpad(doc.cast("string"), 12, "0"))
+    return F.concat(F.lit("doc-"), F.lpad(doc.cast("string"), 19, "0"))
 
 
 def _cut(pairs: DataFrame, keys: list[str], number: Column, bits: int) -> DataFrame:

@@ -24,11 +24,11 @@ def words_sql(column: str) -> str:
     return WORDS_SQL.format(c=column)
 
 
-_PART = T.StructType().add("key", "integer").add("name", "string").add("size", "integer")
+_PART = T.StructType().add("key", "string").add("name", "string").add("size", "integer")
 
 
 @query("scan_delimited", """
-SELECT CAST(p_partkey AS INT) AS key, left(trim(p_name || ' ' || repeat(p_type || ' ', 20)), 128) AS name,
+SELECT CAST(p_partkey AS VARCHAR) AS key, left(trim(p_name || ' ' || repeat(p_type || ' ', 20)), 128) AS name,
        p_size AS size FROM part""")
 def scan_delimited(spark, sf):
     path = scratch_path(spark, "part")
@@ -38,7 +38,7 @@ def scan_delimited(spark, sf):
     return delimited.scan_delimited(spark, path, _PART, "|")
 
 
-_FLAGS = T.StructType().add("key", "integer").add("level", "integer").add("status", "string")
+_FLAGS = T.StructType().add("key", "string").add("level", "integer").add("status", "string")
 
 
 @query("scan_bad_rows", """
@@ -133,7 +133,7 @@ def dump_rows(spark, sf):
 
 
 @query("load_schema_catalog", """
-SELECT CAST(c_custkey AS INT) AS id, c_name AS name, n_name AS nation
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, n_name AS nation
 FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def load_schema_catalog(spark, sf):
     folder = scratch_path(spark, "catalog")
@@ -142,7 +142,7 @@ def load_schema_catalog(spark, sf):
         f"{folder}/clients.dat")
     nation.selectExpr("concat_ws(',', n_nationkey, n_name)").write.text(f"{folder}/countries.dat")
     spark.createDataFrame(
-        [("clients (id int pk, name string, country int)",), ("countries (id int pk, nation string)",)],
+        [("clients (id string pk, name string, country int)",), ("countries (id int pk, nation string)",)],
         "line string").coalesce(1).write.text(f"{folder}/schema.txt")
     catalog = Catalog(spark, prefix="loaded_")
     catalog.load_schema(f"{folder}/schema.txt")
@@ -173,7 +173,7 @@ def hive_create_load(spark, sf):
 def topic_rows(spark, sf):
     """Events in the connector's row layout, keyed by event id."""
     return load(spark, sf, "events").select(
-        kafka.int_key(F.col("event_id")).alias("key"),
+        kafka.int_key(F.col("event_id"), 8).alias("key"),
         message(F.col("event_id")).cast("binary").alias("value"),
         F.lit("events").alias("topic"), (F.col("user_id") % 8).cast("int").alias("partition"),
         F.col("event_id").alias("offset"), instant(F.col("ts")).alias("timestamp"),
@@ -181,18 +181,18 @@ def topic_rows(spark, sf):
 
 
 @query("kafka_sink", """
-SELECT lower(lpad(printf('%X', event_id), 8, '0')) AS key, 'Message_' || event_id AS value FROM events""")
+SELECT lower(lpad(printf('%X', event_id), 16, '0')) AS key, 'Message_' || event_id AS value FROM events""")
 def kafka_sink(spark, sf):
     path = scratch_path(spark, "topic")
     records = load(spark, sf, "events").select(
-        kafka.int_key(F.col("event_id")).alias("key"), message(F.col("event_id")).alias("value"))
+        kafka.int_key(F.col("event_id"), 8).alias("key"), message(F.col("event_id")).alias("value"))
     kafka.write_topic(records, "messages", files=path)
     return spark.read.parquet(path).select(
         F.lower(F.hex("key")).alias("key"), F.col("value").cast("string").alias("value"))
 
 
 @query("delivery_report", """
-SELECT CAST(event_id AS INT) AS key, 'Message_' || event_id AS value, CAST(user_id % 8 AS INT) AS partition,
+SELECT event_id AS key, 'Message_' || event_id AS value, CAST(user_id % 8 AS INT) AS partition,
        event_id AS "offset", CAST(round(value * 100) AS BIGINT) AS elapsed_ms,
        'message(' || event_id || ', Message_' || event_id || ') sent to partition(' || (user_id % 8)
        || '), offset(' || event_id || ') in ' || CAST(round(value * 100) AS BIGINT) || ' ms' AS report
@@ -200,6 +200,6 @@ FROM events""")
 def delivery_report(spark, sf):
     micros = epoch_us(F.col("ts")) - F.round(F.col("value") * 100).cast("long") * 1000
     sent = load(spark, sf, "events").select(
-        F.col("event_id").cast("int").alias("key"), message(F.col("event_id")).alias("value"),
+        F.col("event_id").alias("key"), message(F.col("event_id")).alias("value"),
         F.timestamp_micros(micros).alias("sent_at"))
-    return kafka.delivery_report(sent, topic_rows(spark, sf))
+    return kafka.delivery_report(sent, topic_rows(spark, sf), key_size=8)

@@ -15,7 +15,7 @@ from .tables import fnv_sql, words_sql
 _DOC_WORDS = f"SELECT unnest({words_sql('text')}) AS word FROM documents"
 _TALK_WORDS = f"SELECT unnest({words_sql('text')}) AS word FROM conversations"
 _PAIRS = f"SELECT DISTINCT doc_id, unnest({words_sql('text')}) AS word FROM documents"
-_DOC_NAME = "'doc-' || lpad(CAST(doc_id AS VARCHAR), 12, '0')"
+_DOC_NAME = "'doc-' || lpad(CAST(doc_id AS VARCHAR), 19, '0')"
 
 
 @query("word_count", f"SELECT word, count(*) AS count FROM ({_DOC_WORDS}) GROUP BY word")
@@ -78,17 +78,17 @@ def shard_bucket(spark, sf):
 
 
 @query("range_slices", """
-WITH k AS (SELECT CAST(o_orderkey AS HUGEINT) * 1000000000000 AS key FROM orders)
+WITH k AS (SELECT CAST(o_orderkey AS HUGEINT) * 11400714819323198485 % 18446744073709551616 AS key FROM orders)
 SELECT CAST(least(key // (18446744073709551615::HUGEINT // 64), 63) AS INT) AS slice, count(*) AS n,
-       CAST(min(key // 1000000000000) AS BIGINT) AS first_key, CAST(max(key // 1000000000000) AS BIGINT) AS last_key
+       CAST(min(key) AS VARCHAR) AS first_key, CAST(max(key) AS VARCHAR) AS last_key
 FROM k GROUP BY 1""")
 def range_slices(spark, sf):
-    spread = F.lit(10**12).cast("decimal(20,0)")
-    keys = load(spark, sf, "orders").select(
-        (F.col("o_orderkey").cast("decimal(10,0)") * F.lit(10**12)).cast("decimal(20,0)").alias("key"))
-    back = lambda c: (F.col(c) / spread).cast("long").alias(c)
+    """Order keys scattered over the unsigned 64-bit range."""
+    keys = load(spark, sf, "orders").selectExpr(
+        "cast(cast(o_orderkey AS decimal(18,0)) * 11400714819323198485BD % 18446744073709551616BD "
+        "AS decimal(20,0)) AS key")
     return partitioning.slice_summary(keys, "key", 64).select(
-        "slice", "n", back("first_key"), back("last_key"))
+        "slice", "n", *[F.col(c).cast("string").alias(c) for c in ("first_key", "last_key")])
 
 
 @query("custom_slicer", """

@@ -36,9 +36,9 @@ def topic_lines(topic: DataFrame, with_time: bool = False) -> DataFrame:
     return topic.selectExpr("CAST(value AS STRING) AS value", *(["timestamp"] if with_time else []))
 
 
-def int_key(number: Column) -> Column:
-    """A 4-byte big-endian integer."""
-    return F.unhex(F.right(F.lpad(F.hex(number.cast("long")), 16, "0"), F.lit(8)))
+def int_key(number: Column, size: int = 4) -> Column:
+    """A big-endian integer of 4 bytes, or of 8 where numbers may pass 2^31."""
+    return F.unhex(F.right(F.lpad(F.hex(number.cast("long")), 16, "0"), F.lit(2 * size)))
 
 
 def write_topic(records: DataFrame, topic: str, servers: str | None = None,
@@ -52,7 +52,7 @@ def write_topic(records: DataFrame, topic: str, servers: str | None = None,
      .option("topic", topic).save())
 
 
-def delivery_report(sent: DataFrame, topic: DataFrame) -> DataFrame:
+def delivery_report(sent: DataFrame, topic: DataFrame, key_size: int = 4) -> DataFrame:
     """Where each sent record landed and how long it took.
 
     ``sent`` is (key, value, sent_at) with an int key; ``topic`` holds topic
@@ -60,7 +60,7 @@ def delivery_report(sent: DataFrame, topic: DataFrame) -> DataFrame:
     """
     landed = topic.select(F.col("key").alias("k_t"), "partition", "offset",
                           F.col("timestamp").alias("stored_at"))
-    joined = sent.withColumn("k_b", int_key(F.col("key"))).join(landed, F.col("k_b") == F.col("k_t"))
+    joined = sent.withColumn("k_b", int_key(F.col("key"), key_size)).join(landed, F.col("k_b") == F.col("k_t"))
     waited = (F.unix_millis(F.col("stored_at").cast("timestamp"))
               - F.unix_millis(F.col("sent_at").cast("timestamp")))
     return joined.select("key", "value", "partition", "offset", waited.alias("elapsed_ms"),

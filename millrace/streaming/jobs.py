@@ -124,17 +124,17 @@ class ChangelogTable:
         self._parts = "key string, segment long, has_put boolean, text string, part long"
         self._marks = "client long, mark long, part long"
 
-    def _read(self, path: str, schema: str) -> DataFrame | None:
+    def _read(self, path: str, schema: str) -> DataFrame:
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = jpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return self.spark.read.schema(schema).parquet(path) if fs.exists(jpath) else None
+        if not fs.exists(jpath):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Fold one batch; for ``foreachBatch``."""
-        marks = self._read(self.marks_path, self._marks)
-        if marks is not None:
-            marks = marks.where(F.col("part") < batch_id).groupBy("client").agg(
-                F.max("mark").alias("mark"))
+        marks = self._read(self.marks_path, self._marks).where(F.col("part") < batch_id).groupBy(
+            "client").agg(F.max("mark").alias("mark"))
         fresh = changelog.dedupe(batch, marks)
         changelog.fold_segments(fresh, self.bits).write.mode("overwrite").parquet(
             f"{self.parts_path}/part={batch_id}")

@@ -39,7 +39,7 @@ def test_index_segments_join_to_the_whole_list(spark, bits):
     for r in index:
         whole.setdefault(r.word, []).extend(r.docs.split(","))
         n_docs[r.word] = r.n_docs
-    name = "doc-{:012d}".format
+    name = "doc-{:019d}".format
     assert whole == {"a": [name(0), name(16)], "b": [name(0), name(1), name(16), name(17)],
                      "c": [name(1)], "z": [name(16)]}
     assert n_docs == {k: len(v) for k, v in whole.items()}

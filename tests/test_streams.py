@@ -83,6 +83,7 @@ def test_changelog_over_batches(spark):
     log = [(i, "Put" if i % 11 == 0 else "Append", f"k{i % 3}", f"<{i}>", i % 2, i - (3 if i % 5 == 0 else 0))
            for i in range(60)]
     table = jobs.ChangelogTable(spark, bits=3)
+    assert rows(table.state()) == []
     for batch, start in enumerate(range(0, 60, 20)):
         part = spark.createDataFrame(log[start:start + 20], schema)
         table.apply(part, batch)
