@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, sharding
+from . import bpe, exact_dedup, packing, sharding, simhash
 from .common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(encoded, spec).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_documents(spark, folder))
