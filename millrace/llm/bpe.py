@@ -24,14 +24,26 @@ from .packing import _byte_symbols
 LEXICON_WORDS = 50_000
 # Fixed value: the pattern that cuts a text into words, of byte-level BPE vocabularies of this kind.
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-# A space that stands by other white space or at an end: there, a text can't be cut at its spaces.
-_LOOSE = re.compile(r"^ | $|\s | \s")
+# Chunks known at a time, and bytes of text encoded at a time.
+KNOWN, ABREAST = 200_000, 2_000_000
+# A chunk of letters and then ASCII signs is two words at most.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def words_of(chunk: str, lead: str = "") -> list[str]:
+    """The words of the pattern in ``lead`` and a chunk."""
+    simple = _SIMPLE.fullmatch(chunk)
+    if not simple:
+        return WORDS.findall(lead + chunk)
+    return [lead + simple[1], simple[2]] if simple[2] else [lead + chunk]
 
 
 class Merger:
     """The vocabulary of a byte-level BPE: exact merges, and the bytes of each id."""
 
     def __init__(self, spec: str):
+        import tiktoken
+
         data = json.loads(spec)
         symbols = _byte_symbols()
         vocab = data["model"]["vocab"]
@@ -40,20 +52,19 @@ class Merger:
         self.token |= {i: t.encode() for t, i in self.special.items()}
         self.number = {b: i for i, b in self.token.items()}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in data["model"]["merges"])
-        code = lambda t: self.number[bytes(symbols[c] for c in t)]
-        self.pairs = {(code(a), code(b)): (rank, code(a + b)) for rank, (a, b) in enumerate(pairs)}
+        # Of the pairs in a word, the one merged first is the one whose merge has the lowest rank, the leftmost of equals.
+        ranks = {bytes([i]): i for i in range(256)}
+        for a, b in pairs:
+            ranks.setdefault(bytes(symbols[c] for c in a + b), len(ranks))
+        self.ids = [self.number[token].to_bytes(4, "little") for token in ranks]
+        self.pieces = tiktoken.Encoding("byte", pat_str=".", mergeable_ranks=ranks,
+                                        special_tokens={})._core_bpe.encode_single_piece
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
-    def merge(self, word: bytes) -> list[int]:
-        """Ids of one word: the pair of the lowest rank is merged, the leftmost first, until none is left."""
-        ids = [self.number[bytes([b])] for b in word]
-        while len(ids) > 1:
-            ranks = [self.pairs.get(p, (1 << 30,))[0] for p in zip(ids, ids[1:])]
-            at = min(range(len(ranks)), key=ranks.__getitem__)
-            if ranks[at] == 1 << 30:
-                break
-            ids[at:at + 2] = [self.pairs[ids[at], ids[at + 1]][1]]
-        return ids
+    def merge(self, word: bytes) -> bytes:
+        """Little-endian 32-bit ids of one word by exact merges."""
+        ids = self.ids
+        return b"".join([ids[r] for r in self.pieces(word)])
 
 
 class Automaton:
@@ -65,30 +76,41 @@ class Automaton:
     """
 
     def __init__(self, arrays: dict[str, np.ndarray]):
-        self.first, self.label, self.target, self.skip, self.final, self.starts, self.ids = (
-            arrays[k] for k in ("first", "label", "target", "skip", "final", "starts", "ids"))
+        self.label, self.target, self.skip, self.final, self.starts, self.ids = (
+            arrays[k] for k in ("label", "target", "skip", "final", "starts", "ids"))
+        first = arrays["first"]
         self.root = int(arrays["root"][0])
-        self.arcs = Memo(self._arcs, 100_000)
-
-    def _arcs(self, state: int) -> dict[int, tuple[int, int]]:
-        span = slice(int(self.first[state]), int(self.first[state + 1]))
-        return {b: (t, s) for b, t, s in zip(
-            self.label[span].tolist(), self.target[span].tolist(), self.skip[span].tolist())}
-
-    def get(self, word: bytes) -> list[int] | None:
+        # Arcs are in order of state and byte, so an arc is found by search.
+        self.keys = np.repeat(np.arange(len(first) - 1), np.diff(first)) * 256 + self.label
+
+    def number(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word in the lexicon, -1 for others. All words walk abreast, a byte a step."""
+        out = np.full(len(words), -1)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        at = np.cumsum(sizes) - sizes
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        state, number, here = np.full(len(words), self.root), np.zeros(len(words), np.int64), np.arange(len(words))
+        for step in range(int(sizes.max(initial=0)) + 1):
+            done = sizes[here] == step
+            ended = done & (self.final[state] == 1)
+            out[here[ended]] = number[ended]
+            here, state, number = here[~done], state[~done], number[~done]
+            if not len(here) or not len(self.keys):
+                break
+            key = state * 256 + raw[at[here] + step]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            known = self.keys[arc] == key
+            here, arc = here[known], arc[known]
+            state, number = self.target[arc].astype(np.int64), number[known] + self.skip[arc]
+        return out
+
+    def get(self, word: bytes) -> bytes | None:
         """The ids of a word of the lexicon, else None."""
-        state, number, arcs = self.root, 0, self.arcs
-        for byte in word:
-            step = arcs[state].get(byte)
-            if step is None:
-                return None
-            state, number = step[0], number + step[1]
-        if not self.final[state]:
-            return None
-        return self.ids[int(self.starts[number]):int(self.starts[number + 1])].tolist()
+        n = int(self.number([word])[0])
+        return self.ids[self.starts[n]:self.starts[n + 1]].tobytes() if n >= 0 else None
 
     @staticmethod
-    def build(words: Iterable[tuple[bytes, list[int]]]) -> dict[str, np.ndarray]:
+    def build(words: Iterable[tuple[bytes, bytes]]) -> dict[str, np.ndarray]:
         ordered = sorted(dict(words).items())
         known: dict[tuple, int] = {}
         states: list[tuple] = []
@@ -123,11 +145,11 @@ class Automaton:
                 count += below[to]
             below.append(count)
             first.append(len(label))
-        starts = np.cumsum([0, *(len(ids) for _, ids in ordered)])
+        starts = np.cumsum([0, *(len(ids) // 4 for _, ids in ordered)])
         return {"first": np.array(first, np.int32), "label": np.array(label, np.uint8),
                 "target": np.array(target, np.int32), "skip": np.array(skip, np.int32),
                 "final": np.array([s[0] for s in states], np.uint8), "starts": starts.astype(np.int32),
-                "ids": np.array([i for _, ids in ordered for i in ids], np.int32), "root": np.array([root], np.int32)}
+                "ids": np.frombuffer(b"".join(ids for _, ids in ordered), "<i4"), "root": np.array([root], np.int32)}
 
     @staticmethod
     def save(arrays: dict[str, np.ndarray], path: str) -> None:
@@ -153,48 +175,25 @@ class Automaton:
         return cls(arrays)
 
 
-def chunks_of(text: str) -> list[str]:
-    """Parts of a text that no word spans; each but the first begins with its space, which is left out.
-
-    One part where a space stands by other white space.
-    """
-    return [text] if _LOOSE.search(text) else text.split(" ")
-
-
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """word binary, n long: how often each word of the pattern occurs, over whole texts."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, texts in slices(batch, "text", 16_000_000):
-                whole: Counter = Counter()
-                later: Counter = Counter()
-                for text in texts:
-                    parts = chunks_of(text or "")
-                    whole[parts[0]] += 1
-                    later.update(parts[1:])
-                words: Counter = Counter()
-                for counts, lead in ((whole, ""), (later, " ")):
-                    for part, n in counts.items():
-                        for word in WORDS.findall(lead + part):
-                            words[word] += n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([w.encode() for w in words], pa.binary()), pa.array(list(words.values()), pa.int64())],
-                    ["word", "n"])
-
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(work, "word binary, n long")
-    return found.groupBy("word").agg(F.sum("n").alias("n"))
+def chunk_counts(docs: DataFrame, text_col: str = "text", longest: int = 64) -> DataFrame:
+    """chunk string, n long: how often each part between spaces occurs, over whole texts; parts over ``longest`` are no words."""
+    chunks = docs.select(F.explode(F.split(F.col(text_col), " ")).alias("chunk"))
+    return chunks.where(F.length("chunk").between(1, longest)).groupBy("chunk").agg(F.count("*").alias("n"))
 
 
 def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
-    """The automaton of the ``words`` most frequent words, sent to all executors; its file's name."""
+    """The automaton of at most ``words`` words, those of the most frequent chunks, sent to all executors; its file's name."""
     merger = Merger(tokenizer)
-    top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(words).collect()
-    arrays = Automaton.build((bytes(r["word"]), merger.merge(bytes(r["word"]))) for r in top)
+    top = chunk_counts(docs, text_col).orderBy(F.desc("n"), "chunk").limit(words).collect()
+    found: Counter = Counter()
+    for r in top:
+        for word in words_of(r["chunk"], " "):
+            found[word.encode()] += r["n"]
+    arrays = Automaton.build((w, merger.merge(w)) for w, _ in found.most_common(words))
     name = f"lexicon-{uuid.uuid4().hex}.fst"
     path = os.path.join(tempfile.mkdtemp(), name)
     Automaton.save(arrays, path)
@@ -203,34 +202,60 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", wor
 
 
 class Encoder:
-    """Ids of texts: known chunks from a bounded memo, words from the automaton, others by exact merges."""
+    """Ids of texts: words of the automaton have theirs there, all others are merged.
+
+    A text is cut at its single spaces, which no word spans. Chunks met before are looked up.
+    """
 
     def __init__(self, merger: Merger, lexicon: Automaton | None):
         self.merger, self.lexicon = merger, lexicon
-        self.first = Memo(lambda part: self._part(part))
-        self.later = Memo(lambda part: self._part(" " + part))
-
-    def _part(self, part: str) -> bytes:
-        ids: list[int] = []
-        for word in WORDS.findall(part):
-            raw = word.encode()
-            ids += (self.lexicon.get(raw) if self.lexicon else None) or self.merger.merge(raw)
-        return np.array(ids, "<i4").tobytes()
-
-    def _plain(self, text: str) -> bytes:
-        if _LOOSE.search(text):
-            return self._part(text)
-        parts, later = text.split(" "), self.later
-        return self.first[parts[0]] + b"".join([later[p] for p in parts[1:]])
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes | None] = {}
+
+    def _learn(self, known: dict, chunks: set[str], lead: str) -> None:
+        """Ids of new chunks. A chunk that white space or nothing stands at an end of has none after a space."""
+        new = [c for c in chunks if not lead or c and not c[0].isspace() and not c[-1].isspace()]
+        known.update(dict.fromkeys(chunks - set(new)) if lead else {})
+        words = [[w.encode() for w in words_of(c, lead)] for c in new]
+        flat = [w for ws in words for w in ws]
+        numbers = iter(self.lexicon.number(flat).tolist() if self.lexicon else [-1] * len(flat))
+        merge = self.merger.merge
+        if self.lexicon:
+            starts, ids = self.lexicon.starts.tolist(), self.lexicon.ids.tobytes()
+        for chunk, ws in zip(new, words):
+            known[chunk] = b"".join([ids[4 * starts[n]:4 * starts[n + 1]] if n >= 0 else merge(w)
+                                     for w, n in zip(ws, numbers)])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text; the text of a special token is that token."""
+        merger = self.merger
+        special = merger.special
+        cut = [[t] if not any(s in t for s in special) else [p for p in merger.cut.split(t) if p] for t in texts]
+        parts = [[p if p in special else p.split(" ") for p in ps] for ps in cut]
+        first, later = self.first, self.later
+        if len(first) + len(later) > KNOWN:
+            first.clear()
+            later.clear()
+        for known, lead, new in (
+                (first, "", {p[0] for ps in parts for p in ps if p.__class__ is list}),
+                (later, " ", set().union(*(p[1:] for ps in parts for p in ps if p.__class__ is list)))):
+            self._learn(known, new - known.keys(), lead)
+        whole = Memo(lambda t: b"".join(map(merger.merge, (w.encode() for w in WORDS.findall(t)))), 1000)
+        out = []
+        for pieces, ps in zip(cut, parts):
+            done = []
+            for text, p in zip(pieces, ps):
+                if p.__class__ is not list:
+                    done.append(special[p].to_bytes(4, "little"))
+                    continue
+                chunks = [later[c] for c in p[1:]]
+                loose = None in chunks or len(p) > 1 and p[0][-1:].isspace()
+                done.append(whole[text] if loose else first[p[0]] + b"".join(chunks))
+            out.append(done[0] if len(done) == 1 else b"".join(done))
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids; the text of a special token is that token."""
-        merger = self.merger
-        if not merger.special or not any(s in text for s in merger.special):
-            return self._plain(text)
-        out = [merger.special[p].to_bytes(4, "little") if p in merger.special else self._plain(p)
-               for p in merger.cut.split(text) if p]
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
 
 def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, id_col: str = "doc_id",
@@ -247,8 +272,8 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, id_col:
         opened = Automaton.open(SparkFiles.get(lexicon)) if lexicon else None
         encoder = Encoder(Merger(spec.value), opened)
         for batch in batches:
-            for first, texts in slices(batch, "text"):
-                coded = [encoder.encode(t or "") for t in texts]
+            for first, texts in slices(batch, "text", ABREAST):
+                coded = encoder.encode_all([t or "" for t in texts])
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
                 yield pa.RecordBatch.from_arrays(

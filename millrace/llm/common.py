@@ -47,7 +47,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_CHARS) -> Itera
 class Memo(dict):
     """A dictionary that fills itself and starts anew when it is full."""
 
-    def __init__(self, make: Callable, most: int = 400_000):
+    def __init__(self, make: Callable, most: int = 200_000):
         super().__init__()
         self.make, self.most = make, most
 
@@ -57,3 +57,13 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def bounded_sample(rows: DataFrame, most: int, *keys: str) -> DataFrame:
+    """At most ``most`` rows, chosen by a hash of ``keys`` and the row's place. No text is moved.
+
+    For fitting a classifier only.
+    """
+    ranked = rows.withColumn("__rank", F.xxhash64(*keys, F.monotonically_increasing_id()))
+    last = ranked.select("__rank").orderBy("__rank").limit(most).agg(F.max("__rank")).first()[0]
+    return ranked.where(F.col("__rank") <= F.lit(last).cast("long")).drop("__rank")

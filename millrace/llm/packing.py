@@ -18,7 +18,7 @@ from .common import Memo, slices
 CAPACITY = 4096
 END_ID = 1
 # Parts that a length is ranked in, so that one frequent length is no single group.
-RANK_PARTS = 64
+RANK_PARTS = 16
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 # The word pattern of the tokenizer, for text below U+0250, where lower-casing and
@@ -55,22 +55,21 @@ class WordTokenizer:
         ranks: dict[bytes, int] = {}
         for token in [*single, *ended, *merged]:
             ranks.setdefault(token, len(ranks))
-        self.merger = tiktoken.Encoding("word", pat_str=".", mergeable_ranks=ranks, special_tokens={})
-        ids = np.zeros(len(ranks), "<u4")
+        self.merge = tiktoken.Encoding("word", pat_str=".", mergeable_ranks=ranks,
+                                       special_tokens={})._core_bpe.encode_single_piece
+        self.ids = [b"\0\0\0\0"] * len(ranks)
         for token, number in vocab.items():
             if (token_bytes := code(token)) in ranks:
-                ids[ranks[token_bytes]] = number
-        self.ids = ids
+                self.ids[ranks[token_bytes]] = number.to_bytes(4, "little")
         self.chunks = Memo(self._chunk)
         self.chunks[""] = b""
 
     def _chunk(self, chunk: str) -> bytes:
         if _ODD.search(chunk):
             return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        ranks: list[int] = []
-        for word in _WORDS.findall(chunk.lower()):
-            ranks += self.merger._encode_single_piece(word.encode() + b"\xff")
-        return self.ids[ranks].tobytes()
+        ids, merge, chunk = self.ids, self.merge, chunk.lower()
+        words = (chunk,) if chunk.isalpha() else _WORDS.findall(chunk)
+        return b"".join([ids[r] for word in words for r in merge(word.encode() + b"\xff")])
 
     def encode(self, text: str) -> bytes:
         chunks = self.chunks

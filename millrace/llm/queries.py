@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, sharding, simhash
+from . import bpe, exact_dedup, language, packing, sharding, simhash, toxicity
 from .common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,15 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, folder))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("toxic").alias("grade"))
+    return toxicity.score(docs, toxicity.fit(toxicity.labelled_rows(docs, labels), 2, severe_from=10))
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(read_documents(spark, folder))

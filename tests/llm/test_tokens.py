@@ -71,8 +71,8 @@ def test_automaton_is_minimal_and_exact(tmp_path, byte):
 
     def endings(state):
         out = {b""} if found.final[state] else set()
-        for b, (to, _) in found._arcs(state).items():
-            out |= {bytes([b]) + e for e in endings(to)}
+        for arc in np.flatnonzero(found.keys // 256 == state):
+            out |= {bytes([found.label[arc]]) + e for e in endings(int(found.target[arc]))}
         return frozenset(out)
 
     for state in range(len(found.final)):
