@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, packing, sharding, simhash, toxicity
+from . import bpe, exact_dedup, language, packing, sharding, simhash, substrings, toxicity
 from .common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,9 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_language")
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read_documents(spark, folder))
+
+
+@query("op7_substrings")
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(read_documents(spark, folder))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
