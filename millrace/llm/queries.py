@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, packing, sharding, simhash, substrings, toxicity
+from . import (bpe, exact_dedup, language, packing, sharding, simhash, sketches, substrings,
+               toxicity)
 from .common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +111,14 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(read_documents(spark, folder))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sketches.edited_texts(read_documents(spark, folder))
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.fingerprint(F.col("sketch")).alias("fingerprint"),
+        sketches.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketches.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketches.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
