@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, exact_dedup, language, packing, sharding, simhash, sketches, substrings,
+from . import (bpe, exact_dedup, language, licenses, packing, sharding, simhash, sketches, substrings,
                toxicity)
 from .common import read_documents
 
@@ -122,3 +122,40 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         sketches.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
         sketches.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         sketches.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
+def _license_sql() -> str:
+    """Every alignment of every template by joining on all its words, with no index."""
+    known = [*licenses.BASE, *licenses.MORE]
+    words = ", ".join(f"({n}, {k}, '{w}')" for n, t in enumerate(known) for k, w in enumerate(t.words))
+    heads = ", ".join(f"({n}, '{t.label}', {str(t.base).lower()}, {t.key_at}, {len(t.key.split())}, "
+                      f"{1 if t.base else licenses.COVER})" for n, t in enumerate(known))
+    return f"""
+WITH heads(t, label, base, key_at, key_size, cover) AS (VALUES {heads}), lexicon(t, k, word) AS (VALUES {words}),
+  d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+  w AS (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i FROM d),
+  df AS (
+    SELECT l.word, ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT w.r) + 1)) + 1 AS weight
+    FROM (SELECT DISTINCT word FROM lexicon) l LEFT JOIN w USING (word) GROUP BY l.word),
+  shares AS (SELECT t, k, word, weight / sum(weight) OVER (PARTITION BY t) AS share FROM lexicon JOIN df USING (word)),
+  places AS (
+    SELECT w.r, s.t, w.i - s.k AS start, sum(share) AS score, count(*) FILTER (k >= key_at AND k < key_at + key_size) AS keys
+    FROM w JOIN shares s USING (word) JOIN heads h ON h.t = s.t GROUP BY ALL),
+  found AS (
+    SELECT p.r, p.start, p.score, h.label, h.base FROM places p JOIN heads h USING (t)
+    WHERE p.keys = h.key_size AND p.score >= h.cover - 1e-9),
+  sums AS (
+    SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+      string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+      string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+    FROM found GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score
+FROM d LEFT JOIN sums USING (r)"""
+
+
+@query("op10_licenses", _license_sql())
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summary(licenses.scan(read_documents(spark, folder), licenses.MORE))
