@@ -19,8 +19,11 @@ from .common import Memo, bounded_sample, slices
 FIT_ROWS = 6_000
 FEATURES = 1 << 20
 PREFIXES = (4, 5, 6, 7)
-# Rows of the sample that a feature must be in.
+# Rows of the sample that a feature must be in, and the strength that chance gives none of so many features.
 LEAST_ROWS = 5
+STRONG = (2 * np.log(FEATURES)) ** 0.5
+# Minimum hashes over runs of three words, by which copies are known.
+HASHES = 6
 RIDGE, STEPS = 0.1, 40
 # Features that the model is fitted on, at most.
 MOST_FEATURES = 500
@@ -58,12 +61,19 @@ def _value(times: int | np.ndarray):
     return 1 + np.log(times)
 
 
+def _marks(text: str) -> list[int]:
+    words = text.split()
+    runs = np.array([zlib.crc32(" ".join(words[i:i + 3]).encode()) for i in range(max(1, len(words) - 2))], np.uint64)
+    return [int((runs * np.uint64(odd) % np.uint64(1 << 32)).min()) for odd in range(0x9E3779B1, 0x9E3779B1 + 2 * HASHES, 2)]
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Feature numbers and values of each row."""
+    """Feature numbers, their counts and the marks of each row."""
     for batch in batches:
         for first, texts in slices(batch, "text"):
-            columns, values = [], []
+            columns, values, marks = [], [], []
             for text in texts:
+                marks.append(_marks(text or ""))
                 counts: Counter = Counter()
                 for word, times in Counter(_parts(text or "")).items():
                     counts[_feature(word)] += times
@@ -71,8 +81,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 values.append(list(counts.values()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row").slice(first, len(texts)), batch.column("grade").slice(first, len(texts)),
-                 pa.array(columns, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.int32()))],
-                ["row", "grade", "features", "counts"])
+                 pa.array(columns, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.int32())),
+                 pa.array(marks, pa.list_(pa.int64()))], ["row", "grade", "features", "counts", "marks"])
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_grades: int,
@@ -109,71 +119,72 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     return weights, cuts
 
 
-def telling(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_grades: int,
+def _residuals(share: np.ndarray) -> np.ndarray:
+    """The slope of a row's log likelihood by its grade, under the ordinal model without features; mean 0."""
+    at_least = np.concatenate([np.cumsum(share[::-1])[::-1], [0.0]])
+    slope = at_least[:-1] + at_least[1:] - 1
+    return (slope * share).sum() - slope
+
+
+def telling(rows: np.ndarray, columns: np.ndarray, residual: np.ndarray, marks: np.ndarray,
             most: int = MOST_FEATURES) -> np.ndarray:
-    """The columns whose presence goes with higher or lower grades beyond what chance gives the best of all columns.
+    """The columns whose presence goes with higher or lower grades beyond what chance gives the best of all features.
 
-    The score test of the ordinal model without features: a row's residual is the slope of its log likelihood.
-    Copies count as one witness: rows that agree in a minimum hash of their rare features are taken as
-    wholly dependent, and of several hashes the one that gives the widest spread holds. At most ``most`` columns, the strongest.
+    The score test of the ordinal model without features. Copies count as one witness: rows that
+    agree in a mark are taken as wholly dependent, and of several marks the one that gives the
+    widest spread holds. At most ``most`` columns, the strongest.
     """
-    n, width = len(grades), int(columns.max()) + 1 if len(columns) else 0
-    if not width:
-        return np.zeros(0, np.int64)
-    share = np.array([1.0, *((grades >= k).mean() for k in range(1, n_grades)), 0.0])
-    residual = share[grades] + share[grades + 1] - 1
-    residual = residual.mean() - residual
-    sums, there = np.bincount(columns, residual[rows], width), np.bincount(columns, minlength=width)
-    rare = there[columns] <= max(0.05 * n, 2)
-    spread = np.sqrt(there.astype(float))
-    for odd in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xFD7046C5):
-        least = np.arange(n) + (1 << 32)
-        np.minimum.at(least, rows[rare], (columns[rare] + 1) * odd % (1 << 32))
-        group = np.unique(least, return_inverse=True)[1]
+    width = int(columns.max()) + 1 if len(columns) else 0
+    sums, spread = np.bincount(columns, residual[rows], width), np.zeros(width)
+    for mark in marks.T:
+        group = np.unique(mark, return_inverse=True)[1]
         cells, size = np.unique(group[rows] * width + columns, return_counts=True)
         spread = np.maximum(spread, np.sqrt(np.bincount(cells % width, size.astype(float) ** 2, width)))
-    spread = spread * residual.std() + 1e-12
-    strength = np.abs(sums) / spread
-    strong = np.flatnonzero(strength > np.sqrt(2 * np.log(width + 1)) + 1)
+    strength = np.abs(sums) / (spread * residual.std() + 1e-12)
+    strong = np.flatnonzero(strength > STRONG)
     return np.sort(strong[np.argsort(-strength[strong], kind="stable")][:most])
 
 
-def fit(rows: DataFrame, n_grades: int, severe_from: int | None = None, most: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text",
-        grade_col: str = "grade") -> OrdinalModel:
+def fit(rows: DataFrame, n_grades: int, severe_from: int | None = None, most: int = FIT_ROWS, id_col: str = "doc_id",
+        text_col: str = "text", grade_col: str = "grade") -> OrdinalModel:
     """Fit on at most ``most`` rows with a grade 0 .. n_grades - 1; rows with another or no grade are left out.
 
-    The features of the sample are found on the executors; those in fewer than LEAST_ROWS rows
-    are dropped there, and the fit is over the :func:`telling` ones. With ``severe_from``, the highest grade given is
+    Features are found and first tested on the executors; only strong ones come to the driver, which tests
+    them again with copies in mind and fits over the :func:`telling` ones. With ``severe_from``, the highest grade given is
     parted in two: rows where telling features occur that often are one grade higher. Without rows every text has grade 0.
     """
     graded = rows.where(F.col(grade_col).between(0, n_grades - 1)).select(
         F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade"), F.col(text_col).alias("text"))
     sample = bounded_sample(graded, most, "id").select(
         F.monotonically_increasing_id().alias("row"), "grade", "text").mapInArrow(
-        _features, "row long, grade int, features array<int>, counts array<int>").persist()
-    pairs = sample.select("row", F.explode(F.arrays_zip("features", "counts")).alias("f")).select(
-        "row", F.col("f.features").alias("feature"), F.col("f.counts").alias("times"))
-    common = pairs.groupBy("feature").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_ROWS).select("feature")
-    used = pairs.join(F.broadcast(common), "feature").toPandas()  # FEATURES bounds the side that is broadcast
-    labels = sample.select("row", "grade").toPandas()
-    sample.unpersist()
-    if not len(labels):
+        _features, "row long, grade int, features array<int>, counts array<int>, marks array<long>").persist()
+    labels = sample.select("row", "grade", "marks").orderBy("row").toPandas()
+    n = len(labels)
+    if not n:
+        sample.unpersist()
         return OrdinalModel({}, [np.inf] * (n_grades - 1 + bool(severe_from)))
-    numbers = {r: i for i, r in enumerate(sorted(labels["row"]))}
-    grades = np.zeros(len(labels), np.int64)
-    grades[[numbers[r] for r in labels["row"]]] = labels["grade"]
+    grades = labels["grade"].to_numpy(np.int64)
+    by_grade = _residuals(np.bincount(grades, minlength=n_grades) / n)
+    residual, marks = by_grade[grades], np.stack(labels["marks"].to_numpy())
+    pairs = sample.select("row", "grade", F.explode(F.arrays_zip("features", "counts")).alias("f")).select(
+        "row", F.get(F.array(*map(F.lit, by_grade.tolist())), F.col("grade")).alias("residual"),
+        F.col("f.features").alias("feature"), F.col("f.counts").alias("times"))
+    spread = F.sqrt(F.col("n") * (1 - F.col("n") / n)) * float(residual.std()) + 1e-12
+    strong = (pairs.groupBy("feature").agg(F.count("*").alias("n"), F.sum("residual").alias("sum"))
+              .where((F.col("n") >= LEAST_ROWS) & (F.abs("sum") / spread > STRONG)).select("feature"))
+    used = pairs.join(F.broadcast(strong), "feature").select("row", "feature", "times").toPandas()  # within FEATURES
+    sample.unpersist()
+    at = np.searchsorted(labels["row"].to_numpy(), used["row"].to_numpy())
     kept, columns = np.unique(used["feature"].to_numpy(np.int64), return_inverse=True)
-    at = np.array([numbers[r] for r in used["row"]], np.int64)
-    strong = telling(at, columns, grades, n_grades)
-    here = np.isin(columns, strong)
+    best = telling(at, columns, residual, marks)
+    here = np.isin(columns, best)
+    times = used["times"].to_numpy(np.float64)[here]
     if severe_from:
-        times = np.bincount(at[here], used["times"].to_numpy()[here], len(grades))
-        grades = grades + ((grades == n_grades - 1) & (times >= severe_from))
+        severe = np.bincount(at[here], times, n) >= severe_from
+        grades = grades + ((grades == n_grades - 1) & severe)
         n_grades += 1
-    weights, cuts = fit_ordinal(at[here], np.searchsorted(strong, columns[here]),
-                                _value(used["times"].to_numpy(np.float64)[here]), grades, n_grades)
-    kept = kept[strong]
-    return OrdinalModel({int(f): float(w) for f, w in zip(kept, weights) if w}, cuts.tolist())
+    weights, cuts = fit_ordinal(at[here], np.searchsorted(best, columns[here]), _value(times), grades, n_grades)
+    return OrdinalModel({int(f): float(w) for f, w in zip(kept[best], weights) if w}, cuts.tolist())
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
