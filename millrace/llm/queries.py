@@ -92,7 +92,7 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.near_duplicates(read_documents(spark, folder))
+    return simhash.near_duplicates(read_documents(spark, folder)).drop("component")
 
 
 @query("op8_toxicity")

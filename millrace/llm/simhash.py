@@ -128,13 +128,17 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple
         for j in range(start, stop, BLOCK[1]):
             columns = rights[j:min(j + BLOCK[1], stop)]
             apart = np.bitwise_count(rows[:, None, 0] ^ columns[None, :, 0])
-            for lane in range(1, rows.shape[1]):
-                apart = apart + np.bitwise_count(rows[:, None, lane] ^ columns[None, :, lane]).astype(np.uint16)
+            lanes = rows.shape[1]
+            for lane in range(1, (lanes + 1) // 2):
+                apart = apart + np.bitwise_count(rows[:, None, lane] ^ columns[None, :, lane])
             hit = np.flatnonzero((apart <= radius).ravel())
-            if hit.size:
-                a = a_order[i + hit // len(columns)]
-                b = b_order[j + hit % len(columns)] + base
-                root = _link(root, a, b)
+            if hit.size:  # the other lanes can only add
+                apart = apart.ravel()[hit].astype(np.int32)
+                x, y = hit // len(columns), hit % len(columns)
+                for lane in range((lanes + 1) // 2, lanes):
+                    apart += np.bitwise_count(rows[x, lane] ^ columns[y, lane])
+                near = apart <= radius
+                root = _link(root, a_order[i + x[near]], b_order[j + y[near]] + base)
     linked = np.flatnonzero(root != np.arange(len(root)))
     return linked, root[linked]
 
@@ -206,7 +210,8 @@ def hexadecimal(bits: str = "bits"):
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, lanes: int = 1,
                     id_col: str = "doc_id", text_col: str = "text", tile: int | None = None, *extra) -> DataFrame:
-    """One row per document: doc_id, the ``extra`` columns, fingerprint, component_id and component_size.
+    """One row per document: doc_id, the ``extra`` columns, fingerprint, component_id, component_size
+    and component, the fingerprint that stands for it.
 
     A-Z are lower-cased, words are cut at ASCII white space, and a fingerprint bit is set where over half of the
     shingle hashes (XXH64, repeats included) have it. Fewer words than a shingle are one shingle; no
@@ -226,9 +231,26 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     rooted = (nodes.select("fingerprint", "least", "n").join(roots, F.col("fingerprint") == F.col("node"), "left")
               .select("fingerprint", "least", "n", F.coalesce("root", "fingerprint").alias("root")))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_size"))
-    named = rooted.join(groups, "root").select("fingerprint", "component_id", "component_size")
+    named = rooted.join(groups, "root").select("fingerprint", "component_id", "component_size", "root")
     kept = [c for c in prints.columns if c not in ("doc_id", "bits", "ones", "fingerprint")]
-    return prints.join(named, "fingerprint").select("doc_id", *kept, "fingerprint", "component_id", "component_size")
+    return prints.join(named, "fingerprint").select(
+        "doc_id", *kept, "fingerprint", "component_id", "component_size", F.col("root").alias("component"))
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int, shingle: int, lanes: int, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, all columns: the one with the smallest id, null ids last.
+
+    Of rows with equal ids the first by place stays. ``docs`` must be stored data, so that a second
+    reading numbers the rows alike. Cases as in :func:`near_duplicates`.
+    """
+    number = F.monotonically_increasing_id().alias("__row")
+    found = near_duplicates(docs, radius, shingle, lanes, id_col, text_col, None, number).where("component_size > 1")
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row"))
+    best = found.groupBy("component").agg(F.min(place)["row"].alias("best"))
+    gone = found.join(best, "component").where(F.col("__row") != F.col("best")).select("__row")
+    return (docs.withColumn("__row", number).join(gone, "__row", "left_anti")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def radius_of(similarity: float, lanes: int, slack: float = 2.0) -> int:

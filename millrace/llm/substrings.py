@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ class Bucket:
         half = (window + 1) // 2
         ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i] or ""))
+        self.order = order
         self.ids = [ids[i] for i in order]
         self.words = [(texts[i] or "").encode().split() for i in order]
         sizes = np.array([len(w) for w in self.words], np.int64)
@@ -193,7 +195,7 @@ def _subtree_rows(table: pa.Table) -> pa.Table:
                      "place": pa.array([_pack(place[later[i]], "<u4") for _, i in rows], pa.binary())})
 
 
-def _removal_rows(window: int, kind: pa.DataType):
+def _removal_rows(window: int, kind: pa.DataType, extra: list[str], untouched: bool):
     codes: list[Memo] = []
 
     def work(docs: pa.Table, repeats: pa.Table) -> pa.Table:
@@ -207,18 +209,20 @@ def _removal_rows(window: int, kind: pa.DataType):
             np.add.at(change, at + window, -1)
         gone = np.cumsum(change)[:-1] > 0
         n_removed, spans, kept = [], [], []
+        texts = docs.column("text").take(pa.array(bucket.order)).to_pylist() if untouched else None
         for words, a, b in zip(bucket.words, bucket.starts.tolist(), bucket.ends.tolist()):
             mine = gone[a:b]
             n = int(mine.sum())
             n_removed.append(n)
             if not n:
                 spans.append([])
-                kept.append(b" ".join(words))
+                kept.append((texts[len(kept)] or "").encode() if untouched else b" ".join(words))
                 continue
             edges = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]])))
             spans.append(edges.reshape(-1, 2).tolist())
             kept.append(b" ".join([w for w, g in zip(words, mine.tolist()) if not g]))
-        return pa.table({"doc_id": pa.array(bucket.ids, kind), "n_words": pa.array(bucket.ends - bucket.starts, pa.int64()),
+        order = pa.array(bucket.order, pa.int64())
+        return pa.table({"doc_id": pa.array(bucket.ids, kind), **{c: docs.column(c).take(order) for c in extra}, "n_words": pa.array(bucket.ends - bucket.starts, pa.int64()),
                          "n_removed": pa.array(n_removed, pa.int64()),
                          "spans": pa.array(spans, pa.list_(pa.list_(pa.int32()))),
                          "kept": pa.array([k.decode() for k in kept], pa.string())})
@@ -236,12 +240,13 @@ def _bucket_number(doc_id: Column, text: Column, cuts: list[int]) -> Column:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                   bucket_bytes: int = BUCKET_BYTES, leaves: int = LEAVES) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, spans array<array<int>> and kept string.
+                   bucket_bytes: int = BUCKET_BYTES, leaves: int = LEAVES, untouched: bool = False,
+                   extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per document: doc_id, the ``extra`` columns, n_words, n_removed, spans array<array<int>> and kept string.
 
     Words are cut at ASCII white space. A word is removed if it is in a run of ``window`` words that also
     starts earlier: in a document with a smaller id, or earlier in the same one. Runs are judged on the input. ``kept`` has
-    the other words, joined by a space; ``spans`` the first and past-the-end number of each removed stretch.
+    the other words, joined by a space (with ``untouched``, a text that loses none as it is); ``spans`` the first and past-the-end number of each removed stretch.
 
     1. Documents go to buckets in order of id, by size. The texts move once.
     2. A suffix can only be repeated in another bucket if its anchor is. Each bucket sends its distinct
@@ -256,7 +261,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     ids come before all others; rows of one id are in order of text. An empty table gives no
     rows. Other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *extra)
+    carried = [f for f in rows.schema if f.name not in ("doc_id", "text")]
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     cuts: list[int] = []
@@ -274,5 +280,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     repeats = suffixes.groupBy("part").applyInArrow(_subtree_rows, "bucket int, place binary")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return by_bucket.cogroup(repeats.groupBy("bucket")).applyInArrow(
-        _removal_rows(window, to_arrow_type(rows.schema["doc_id"].dataType)),
-        f"doc_id {kind}, n_words long, n_removed long, spans array<array<int>>, kept string")
+        _removal_rows(window, to_arrow_type(rows.schema["doc_id"].dataType), [f.name for f in carried], untouched),
+        ", ".join([f"doc_id {kind}", *(f"`{f.name}` {f.dataType.simpleString()}" for f in carried),
+                   "n_words long, n_removed long, spans array<array<int>>, kept string"]))
