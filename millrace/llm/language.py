@@ -13,7 +13,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slices
+from ..session import cut_lineage
+from .common import bounded_sample, most_frequent, slices
 
 # Documents to fit on, and entries of the model: words and n-grams of all languages together.
 FIT_DOCUMENTS = 12_000
@@ -26,23 +27,39 @@ _SMOOTH = 0.5
 
 @dataclass
 class LanguageModel:
-    """Languages, and for each n (0: whole words) the log frequencies of its entries by language."""
+    """Languages, the row of each word (n = 0) and n-gram, and rows of log frequencies by language."""
 
     languages: list[str]
-    entries: list[dict[str, np.ndarray]]
-
-    def word(self, word: str) -> np.ndarray | None:
-        """Log frequency by language: of the word, else the mean of its longest known n-grams."""
-        known = self.entries[0].get(word)
-        if known is not None:
-            return known
+    rows: list[dict[str, int]]
+    table: np.ndarray
+
+    def found(self, word: str) -> list[int]:
+        """The row of a known word, else the rows of its longest known n-grams; none if it has none."""
+        row = self.rows[0].get(word)
+        if row is not None:
+            return [row]
         padded = f"_{word}_"
         for n in range(LONGEST, 0, -1):
-            grams = self.entries[n]
-            found = [grams[g] for g in _grams(padded, n) if g in grams]
-            if found:
-                return np.mean(found, 0)
-        return None
+            get = self.rows[n].get
+            rows = [r for g in _grams(padded, n) if (r := get(g)) is not None]
+            if rows:
+                return rows
+        return []
+
+    def scores(self, chunks: list[list[str]]) -> np.ndarray:
+        """For each list of words the sum over words of the mean of their rows."""
+        rows, owner, weight = [], [], []
+        for i, words in enumerate(chunks):
+            for word in words:
+                found = self.found(word)
+                if found:
+                    rows += found
+                    owner += [i] * len(found)
+                    weight += [1 / len(found)] * len(found)
+        out = np.zeros((len(chunks), len(self.languages)))
+        for k in range(out.shape[1]):
+            out[:, k] = np.bincount(owner, self.table[rows, k] * weight, len(chunks)) if rows else 0
+        return out
 
 
 def _grams(padded: str, n: int) -> list[str]:
@@ -84,20 +101,20 @@ def fit(train: DataFrame, documents: int = FIT_DOCUMENTS, entries: int = ENTRIES
                .groupBy("lang", "n", "entry").agg(F.sum("times").alias("times")))
     totals, found = defaultdict(Counter), defaultdict(dict)
     share = entries // (LONGEST + 1)
-    counted = counted.persist()
+    counted = cut_lineage(counted, "language")
     for r in counted.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect():
         totals[r["n"]][r["lang"]] = r["times"]
     for n in range(LONGEST + 1):
-        for r in counted.where(F.col("n") == n).orderBy(F.desc("times"), "lang", "entry").limit(share).toLocalIterator():
+        for r in most_frequent(counted.where(F.col("n") == n), share, "times").toLocalIterator():
             found[n, r["entry"]][r["lang"]] = r["times"]
-    counted.unpersist()
     languages = sorted(totals[0])
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
+    rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+    table = np.zeros((len(found), len(languages)))
     size = Counter(n for n, _ in found)
-    for (n, entry), times in found.items():
-        tables[n][entry] = np.array([math.log((times.get(x, 0) + _SMOOTH) / (totals[n][x] + _SMOOTH * size[n]))
-                                     for x in languages], np.float32)
-    return LanguageModel(languages, tables)
+    for i, ((n, entry), times) in enumerate(found.items()):
+        rows[n][entry] = i
+        table[i] = [math.log((times.get(x, 0) + _SMOOTH) / (totals[n][x] + _SMOOTH * size[n])) for x in languages]
+    return LanguageModel(languages, rows, table)
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
@@ -115,28 +132,25 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         wide = len(model.languages)
-        nothing = np.zeros(wide, np.float32)
         numbers, table = Numbers(), np.zeros((0, wide), np.float32)
-        letters: list[bool] = []
+        letters = np.zeros(0, bool)
 
-        def chunk(text: str) -> np.ndarray:
-            words = _LETTERS.findall(text.lower())
-            letters.append(bool(words))
-            found = [v for w in words if (v := model.word(w)) is not None]
-            return np.sum(found, 0) if found else nothing
+        def words(chunk: str) -> list[str]:
+            return [chunk.lower()] if chunk.isalpha() else _LETTERS.findall(chunk.lower())
 
         for batch in batches:
             for first, texts in slices(batch, "text"):
                 names, scores = [], []
                 if len(numbers) > 300_000:
-                    numbers, table, letters = Numbers(), np.zeros((0, wide), np.float32), []
+                    numbers, table, letters = Numbers(), np.zeros((0, wide), np.float32), np.zeros(0, bool)
                 places = [np.fromiter(map(numbers.__getitem__, t.split() if t else ()), np.int64) for t in texts]
                 if numbers.new:
-                    table = np.concatenate([table, np.array([chunk(c) for c in numbers.new], np.float32).reshape(len(numbers.new), wide)])
+                    found = [words(c) for c in numbers.new]
+                    letters = np.concatenate([letters, [bool(w) for w in found]])
+                    table = np.concatenate([table, model.scores(found).astype(np.float32)])
                     numbers.new = []
-                lettered = np.array(letters, bool)
                 for place in places:
-                    if not wide or not len(place) or not lettered[place].any():
+                    if not wide or not len(place) or not letters[place].any():
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         continue

@@ -52,10 +52,12 @@ def test_backoff(spark):
     size = len({w for c in words.values() for w in c})
     for i, lang in enumerate(["x", "y"]):
         want = math.log((words[lang]["the"] + 0.5) / (4 + 0.5 * size))
-        assert model.word("the")[i] == pytest.approx(want, abs=1e-5)
-    unseen = model.word("mouse")  # "ouse" is known, shorter ones are not asked
-    assert unseen == pytest.approx(np.mean([model.entries[4][g] for g in ("ouse", "use_")], 0))
-    assert model.word("qqq") is None
+        assert model.scores([["the"]])[0][i] == pytest.approx(want, abs=1e-5)
+    grams = [model.rows[4][g] for g in ("ouse", "use_")]  # these are known, so shorter ones are not asked
+    assert model.found("mouse") == grams
+    assert model.scores([["the", "mouse"], []])[0] == pytest.approx(
+        model.table[model.rows[0]["the"]] + model.table[grams].mean(0))
+    assert model.found("qqq") == []
     got = language.predict(spark.createDataFrame([(1, "mouses"), (2, "hunden"), (3, "123"), (4, None)], "doc_id long, text string"), model)
     assert [r["lang_pred"] for r in got.orderBy("doc_id").collect()] == ["x", "y", "und", "und"]
 
