@@ -17,7 +17,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, slices
+from ..session import cut_lineage
+from .common import Memo, most_frequent, slices
 from .packing import _byte_symbols
 
 # Words in the automaton. It bounds the automaton, not what can be encoded.
@@ -32,6 +33,8 @@ _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
 def words_of(chunk: str, lead: str = "") -> list[str]:
     """The words of the pattern in ``lead`` and a chunk."""
+    if chunk.isascii() and chunk.isalpha():
+        return [lead + chunk]
     simple = _SIMPLE.fullmatch(chunk)
     if not simple:
         return WORDS.findall(lead + chunk)
@@ -188,7 +191,8 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", longest: int = 64) ->
 def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """The automaton of at most ``words`` words, those of the most frequent chunks, sent to all executors; its file's name."""
     merger = Merger(tokenizer)
-    top = chunk_counts(docs, text_col).orderBy(F.desc("n"), "chunk").limit(words).collect()
+    counts = cut_lineage(chunk_counts(docs, text_col).where("n > 1"), "chunks")
+    top = most_frequent(counts, words).collect()
     found: Counter = Counter()
     for r in top:
         for word in words_of(r["chunk"], " "):
@@ -211,11 +215,18 @@ class Encoder:
         self.merger, self.lexicon = merger, lexicon
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes | None] = {}
+        self.signs = {c: merger.merge(c.encode()) for c in ".,;:!?"}
 
     def _learn(self, known: dict, chunks: set[str], lead: str) -> None:
         """Ids of new chunks. A chunk that white space or nothing stands at an end of has none after a space."""
         new = [c for c in chunks if not lead or c and not c[0].isspace() and not c[-1].isspace()]
-        known.update(dict.fromkeys(chunks - set(new)) if lead else {})
+        if lead:
+            known.update(dict.fromkeys(chunks.difference(new)))
+            # A sign after a letter is a word of its own, and the chunk without it may be known.
+            signed = [c for c in new if c[-1] in ".,;:!?" and c[-2:-1].isalpha() and known.get(c[:-1])]
+            for c in signed:
+                known[c] = known[c[:-1]] + self.signs[c[-1]]
+            new = list(set(new).difference(signed))
         words = [[w.encode() for w in words_of(c, lead)] for c in new]
         flat = [w for ws in words for w in ws]
         numbers = iter(self.lexicon.number(flat).tolist() if self.lexicon else [-1] * len(flat))
@@ -236,10 +247,11 @@ class Encoder:
         if len(first) + len(later) > KNOWN:
             first.clear()
             later.clear()
-        for known, lead, new in (
-                (first, "", {p[0] for ps in parts for p in ps if p.__class__ is list}),
-                (later, " ", set().union(*(p[1:] for ps in parts for p in ps if p.__class__ is list)))):
-            self._learn(known, new - known.keys(), lead)
+        self._learn(first, {p[0] for ps in parts for p in ps if p.__class__ is list} - first.keys(), "")
+        new = set().union(*(p[1:] for ps in parts for p in ps if p.__class__ is list)) - later.keys()
+        bare = {c for c in new if c.isalpha()}
+        self._learn(later, bare, " ")
+        self._learn(later, new - bare, " ")
         whole = Memo(lambda t: b"".join(map(merger.merge, (w.encode() for w in WORDS.findall(t)))), 1000)
         out = []
         for pieces, ps in zip(cut, parts):
