@@ -50,17 +50,18 @@ def label_at(row: Column) -> Column:
 ASSIGN_OPS = ("ASSIGN", "PLUS", "MINUS", "TIMES", "DIVIDE", "AND", "OR", "XOR")
 
 
-def assign(op: str, current: Column, incoming: Column) -> Column:
+def assign(op: str, current: Column, incoming: Column, integers: bool = False) -> Column:
     """``current op= incoming``; the bit operators need integers.
 
-    Integer operands divide with truncation, as an integer ``/=`` does.
+    Integer operands divide with truncation, as an integer ``/=`` does, and a zero divisor is an
+    error. ``integers`` says which they are, as an expression doesn't know its type.
     """
     forms = {
         "ASSIGN": lambda: incoming,
         "PLUS": lambda: current + incoming,
         "MINUS": lambda: current - incoming,
         "TIMES": lambda: current * incoming,
-        "DIVIDE": lambda: current / incoming,
+        "DIVIDE": lambda: F.call_function("div", current, incoming) if integers else current / incoming,
         "AND": lambda: current.bitwiseAND(incoming),
         "OR": lambda: current.bitwiseOR(incoming),
         "XOR": lambda: current.bitwiseXOR(incoming),

@@ -11,7 +11,7 @@ STRING_WIDTH = 128
 MAX_EXPONENT = 38
 
 # Characters at or below the space, which a field trim removes.
-_TRIMMED = "".join(chr(i) for i in range(1, 33))
+_TRIMMED = "".join(chr(i) for i in range(33))
 
 
 def split_java(line: Column) -> Column:

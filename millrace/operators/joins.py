@@ -104,8 +104,8 @@ def join_containing(left: DataFrame, lname: str, right: DataFrame, rname: str,
 
     Up to ``limit`` different patterns are tested inside the row and the hits
     joined back by equality. Past that, texts and patterns meet on a common
-    gram: a pattern's first ``gram`` characters (all of it if shorter) must
-    be among the text's distinct substrings of that length.
+    gram: of a pattern's substrings of ``gram`` characters (all of it if shorter), the one that is in the
+    fewest texts must be among the text's distinct substrings of that length.
     """
     _distinct_names(left, right)
     patterns = right.select(F.col(rname).alias("p")).where(F.col("p").isNotNull()).distinct()
@@ -117,26 +117,45 @@ def join_containing(left: DataFrame, lname: str, right: DataFrame, rname: str,
         ).alias("pattern_hit"))
         return hits.join(right, F.col("pattern_hit") == F.col(rname), "inner").drop("pattern_hit")
 
-    keyed = patterns.select("p", F.left("p", F.lit(gram)).alias("gram_r"))
-    sizes = sorted(r[0] for r in keyed.select(F.length("gram_r")).distinct().collect())
+    size = F.least(F.length("p"), F.lit(gram))
+    sizes = sorted(r[0] for r in patterns.select(size).distinct().collect())  # at most ``gram`` different ones
     text = F.col(lname)
 
-    def substrings(n: int) -> Column:
+    def substrings(text: Column, n) -> Column:
+        n = F.lit(n) if isinstance(n, int) else n
         starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-        return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(n))))
+        return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, n)))
 
     # The text itself is shuffled once, by its row hash; only grams multiply.
     # Equal rows share a hash and each keeps its own copy below; rows whose
     # hashes collide are told apart by the final test.
     named = left.withColumn("row_l", F.xxhash64(*[F.col(c) for c in left.columns]))
     grams = named.select("row_l", F.explode(
-        F.array_distinct(F.concat(*[substrings(n) for n in sizes]))).alias("gram_l"))
+        F.array_distinct(F.concat(*[substrings(text, n) for n in sizes]))).alias("gram_l"))
+    own = patterns.select("p", F.explode(substrings(F.col("p"), size)).alias("gram_r"))
+    seen = grams.groupBy(F.col("gram_l").alias("gram_s")).agg(F.count(F.lit(1)).alias("n_s"))
+    counted = own.join(seen, F.col("gram_r") == F.col("gram_s"), "left").select(
+        "p", "gram_r", F.coalesce("n_s", F.lit(0)).alias("n"))
+    keyed = counted.groupBy("p").agg(F.min(F.struct("n", "gram_r"))["gram_r"].alias("gram_r"))
     candidates = grams.join(keyed, F.col("gram_l") == F.col("gram_r")).select(
         F.col("row_l").alias("row_c"), "p").distinct()
     hits = named.join(candidates, (F.col("row_l") == F.col("row_c")) & text.contains(F.col("p")))
     return hits.join(right, F.col("p") == F.col(rname), "inner").drop("row_l", "row_c", "p")
 
 
+def count_unequal(left: DataFrame, lname: str, right: DataFrame, rname: str) -> DataFrame:
+    """``left`` with ``partners``, the number of right rows that differ: all but the equal ones.
+
+    Nulls differ from nothing. The pairs are not made, and each side is aggregated before it is joined.
+    """
+    known = right.where(F.col(rname).isNotNull()).select(F.col(rname).alias("k_u"))
+    equal = known.groupBy("k_u").agg(F.count(F.lit(1)).alias("n_u"))
+    total = known.count()
+    joined = left.join(equal, F.col(lname) == F.col("k_u"), "left")
+    partners = F.when(F.col(lname).isNull(), F.lit(0)).otherwise(F.lit(total) - F.coalesce("n_u", F.lit(0)))
+    return joined.select(*left.columns, partners.cast("long").alias("partners"))
+
+
 # --- equality joins without adaptive execution ----------------------------
 
 HOT_SHARE = 64
@@ -151,6 +170,8 @@ def join_hot(left: DataFrame, right: DataFrame, lname: str, rname: str, how: str
     their right rows, and their left rows choose one each.
     """
     _distinct_names(left, right)
+    if how not in ("inner", "left"):
+        raise ValueError("a spread join is inner or left: a copied right row may have no partner in one of its copies")
     counts = left.groupBy(F.col(lname).alias("k_h")).agg(F.count(F.lit(1)).alias("n_h"))
     total = left.count()
     hot = [r["k_h"] for r in counts.where(

@@ -51,7 +51,7 @@ def pull(keys: DataFrame, store: DataFrame, default=0) -> DataFrame:
 def pull_strict(keys: DataFrame, store: DataFrame) -> DataFrame:
     """As ``pull``, but a key that was never initialised fails the query."""
     have = store.select(F.col("key").alias("k_s"), F.col("val").alias("v_s"), F.lit(True).alias("h"))
-    missing = F.raise_error(F.concat(F.lit("Init "), F.col("key").cast("string"), F.lit(" first")))
+    missing = F.raise_error(F.concat(F.lit("no value was pushed for key "), F.col("key").cast("string")))
     return keys.join(have, F.col("key") == F.col("k_s"), "left").select(
         *keys.columns,
         F.when(F.col("h").isNull(), missing.cast(store.schema["val"].dataType))
@@ -67,11 +67,13 @@ def match_assign(dst: DataFrame, src: DataFrame, op: str = "ASSIGN", k: int = 1)
     vectors = isinstance(dst.schema["val"].dataType, T.ArrayType)
     zero = F.array_repeat(F.lit(0), k) if vectors else F.lit(0)
     new = src.select(F.col("key").alias("k_s"), F.col("val").alias("v_s"), F.lit(True).alias("h"))
+    kinds = [df.schema["val"].dataType for df in (dst, src)]
+    whole = all(isinstance(k.elementType if vectors else k, T.IntegralType) for k in kinds)
     joined = dst.join(new, F.col("key") == F.col("k_s"), "left")
     matched = F.col("h").isNotNull()
     old = F.coalesce(F.col("val"), zero.cast(dst.schema["val"].dataType))
-    merged = F.zip_with(old, F.col("v_s"), lambda a, b: assign(op, a, b)) if vectors else assign(
-        op, old, F.col("v_s"))
+    merged = F.zip_with(old, F.col("v_s"), lambda a, b: assign(op, a, b, whole)) if vectors else assign(
+        op, old, F.col("v_s"), whole)
     return joined.select("key", F.when(matched, merged).otherwise(old).alias("val"),
                          matched.alias("matched"))
 
@@ -122,6 +124,6 @@ def push_handled(pushes: DataFrame, update: Callable[[list[float]], float],
 
 def assign_all(df: DataFrame, current: str, incoming: str, ops) -> DataFrame:
     """One column per assignment operator."""
-    out: Column
+    whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in (current, incoming))
     return fold(lambda d, op: d.withColumn(
-        op.lower(), assign(op, F.col(current), F.col(incoming))), ops, df)
+        op.lower(), assign(op, F.col(current), F.col(incoming), whole)), ops, df)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,14 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import dot_constant
-from ..session import cut_lineage
 from .kv import push_vectors
 from .ordered import Running, order_span, running
 
-# rounds folded per step: the longest list a weight ever has in one row
-FOLD_BITS = 12
-# widest model kept as constants in the plan; wider ones stay in a table
-DENSE_LIMIT = 512
+# positions of a key that are folded together, as a power of two
+BLOCK_BITS = 6
 
 
 @dataclass(frozen=True)
@@ -36,29 +32,14 @@ class Ftrl:
     lambda2: float = 0.0005
     variant: str = "reference"
 
-    def weight(self, z: Column, n: Column) -> Column:
-        sign = F.when(z > 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-        rate = (F.lit(self.beta) + F.sqrt(n)) / F.lit(self.alpha) + F.lit(self.lambda2)
-        return F.when(F.abs(z) < self.lambda1, F.lit(0.0)).otherwise(
-            (sign * F.lit(self.lambda1) - z) / rate)
-
-    def step(self, state: Column, g: Column) -> Column:
-        z, n, w = state["z"], state["n"], state["w"]
-        base = z if self.variant == "reference" else g
-        shift = (F.sqrt(n + base * base) - F.sqrt(n)) / F.lit(self.alpha)
-        z1 = z + g - w * shift
-        n1 = n + (z1 * z1 if self.variant == "reference" else g * g)
-        return F.struct(z1.alias("z"), n1.alias("n"), self.weight(z1, n1).alias("w"))
-
-    def step_local(self, z: float, n: float, w: float, g: float) -> tuple[float, float, float]:
-        """One update of one weight, for the epoch loop over a bounded model."""
+    def step(self, z: np.ndarray, n: np.ndarray, w: np.ndarray, g: np.ndarray):
+        """One update of weights with their gradients, all of one length."""
         base = z if self.variant == "reference" else g
-        z1 = z + g - w * (math.sqrt(n + base * base) - math.sqrt(n)) / self.alpha
+        z1 = z + g - w * (np.sqrt(n + base * base) - np.sqrt(n)) / self.alpha
         n1 = n + (z1 * z1 if self.variant == "reference" else g * g)
-        if abs(z1) < self.lambda1:
-            return z1, n1, 0.0
-        rate = (self.beta + math.sqrt(n1)) / self.alpha + self.lambda2
-        return z1, n1, (math.copysign(self.lambda1, z1) - z1) / rate
+        rate = (self.beta + np.sqrt(n1)) / self.alpha + self.lambda2
+        w1 = (np.where(z1 > 0, self.lambda1, -self.lambda1) - z1) / rate
+        return z1, n1, np.where(np.abs(z1) < self.lambda1, 0.0, w1)
 
 
 def gradient_rounds(pushes: DataFrame, workers: int, how: str = "mean",
@@ -103,43 +84,83 @@ def _accumulate(steps: DataFrame, init: DataFrame, order: str, scale: float,
     """init + scale * running sum; a plain sum is associative, so no fold is needed."""
     total = running(steps, ["key", "idx"], order, {"total": Running("sum", "val")}, span)
     start = init.select(F.col("key").alias("k_i"), F.col("idx").alias("i_i"), F.col("w").alias("w_i"))
-    joined = total.join(start, (F.col("key") == F.col("k_i")) & (F.col("idx") == F.col("i_i")))
-    return joined.select("key", order, "idx", (F.col("w_i") + scale * F.col("total")).alias("w"))
+    joined = total.join(start, (F.col("key") == F.col("k_i")) & (F.col("idx") == F.col("i_i")), "left")
+    absent = F.raise_error(F.concat(F.lit("no starting weight for key "), F.col("key").cast("string")))
+    w = F.when(F.col("w_i").isNull(), absent.cast("double")).otherwise(F.col("w_i"))
+    return joined.select("key", order, "idx", (w + scale * F.col("total")).alias("w"))
 
 
 def ftrl_fold(steps: DataFrame, init: DataFrame, order: str, settings: Ftrl = Ftrl(),
-              bits: int = FOLD_BITS, span: tuple[int, int] | None = None) -> DataFrame:
+              block_bits: int = BLOCK_BITS) -> DataFrame:
     """Learner state (key, idx, z, n, w) after all gradients in ``order``.
 
-    The update is not associative: each weight is a chain. Weights run in
-    parallel, and the chain is cut into stretches of ``2**bits`` order values
-    with the state written between them, so no row or task holds a weight's
-    whole history.
+    The update is not associative, so a weight is a chain. Blocks of ``2**block_bits`` positions
+    of a key run in parallel; a block's gradients are sorted by order and read as a
+    stream that carries the state, so memory is a block whatever the length of the chain. ``init``
+    (key, idx, w) starts the weights; a gradient without a start fails the query.
     """
-    state = init.select("key", "idx", F.lit(0.0).alias("z"), F.lit(0.0).alias("n"),
-                        F.col("w").cast("double").alias("w"))
-    staged = steps.select("key", "idx", F.col(order).cast("long").alias("o"), "val").withColumn(
-        "stretch", F.shiftright("o", bits))
-    low, high = span or order_span(steps, order)
-    first, last = low >> bits, high >> bits
-    if last > first:
-        # sorted by order, so that a stretch reads its own row groups only
-        staged = cut_lineage(staged.repartitionByRange("o", "key", "idx").sortWithinPartitions("o"),
-                             "gradients")
-    for stretch in range(first, last + 1):
-        part = staged.where(F.col("stretch") == stretch) if last > first else staged
-        moved = part.repartition("key", "idx")
-        lists = moved.groupBy(F.col("key").alias("k_g"), F.col("idx").alias("i_g")).agg(
-            F.sort_array(F.collect_list(F.struct("o", "val"))).alias("gs"))
-        joined = state.join(
-            lists, (F.col("key") == F.col("k_g")) & (F.col("idx") == F.col("i_g")), "left")
-        nothing = F.array().cast(lists.schema["gs"].dataType)
-        folded = F.aggregate(F.coalesce("gs", nothing), F.struct("z", "n", "w"),
-                             lambda acc, e: settings.step(acc, e["val"]))
-        state = joined.select("key", "idx", folded.alias("s")).select("key", "idx", "s.*")
-        if stretch < last:
-            state = cut_lineage(state, "weights")
-    return state
+    start = init.select("key", "idx", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("o"),
+                        F.col("w").cast("double").alias("val"))
+    moves = steps.select("key", "idx", F.lit(1).alias("kind"), F.col(order).cast("long").alias("o"),
+                         F.col("val").cast("double").alias("val"))
+    both = start.unionByName(moves).withColumn("block", F.shiftright("idx", block_bits))
+    chains = both.repartition("key", "block").sortWithinPartitions("key", "block", "kind", "o", "idx")
+    key = init.schema["key"].dataType.simpleString()
+    return chains.mapInArrow(_fold_chains(settings), f"key {key}, idx int, z double, n double, w double")
+
+
+def _fold_chains(settings: Ftrl):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain, state, held = None, {}, ([], [], None)
+
+        def update() -> None:
+            """Apply the gradients of one order value, which are held until it is complete."""
+            nonlocal held
+            idx, val, _ = held
+            held = ([], [], None)
+            if not idx:
+                return
+            if not state or max(idx) not in state["at"] or any(i not in state["at"] for i in idx):
+                raise ValueError(f"no starting weight for key {chain[0]}")
+            at = np.array([state["at"][i] for i in idx])
+            new = settings.step(*(state[c][at] for c in "znw"), np.array(val))
+            for c, v in zip("znw", new):
+                state[c][at] = v
+
+        def result() -> pa.RecordBatch:
+            update()
+            n = len(state["at"]) if state else 0
+            return pa.RecordBatch.from_arrays(
+                [pa.array([chain[0]] * n, key_type), pa.array(list(state["at"]) if n else [], pa.int32()),
+                 *(pa.array(state[c] if n else [], pa.float64()) for c in "znw")], ["key", "idx", "z", "n", "w"])
+
+        for batch in batches:
+            key_type = batch.schema.field("key").type
+            columns = [batch.column(c).to_pylist() for c in ("key", "block", "kind", "o", "idx", "val")]
+            for key, block, kind, o, idx, val in zip(*columns):
+                if (key, block) != chain:
+                    if chain is not None and (state or held[0]):
+                        yield result()
+                    chain, state = (key, block), {}
+                if kind == 0:
+                    if not state:
+                        state = {"at": {}, "z": np.zeros(0), "n": np.zeros(0), "w": np.zeros(0)}
+                    state["at"][idx] = len(state["at"])
+                    state["z"], state["n"] = np.append(state["z"], 0.0), np.append(state["n"], 0.0)
+                    state["w"] = np.append(state["w"], val)
+                    continue
+                if o != held[2]:
+                    update()
+                    held = ([], [], o)
+                if held[0] and held[0][-1] == idx:  # several gradients of one weight at one order value
+                    update()
+                    held = ([], [], o)
+                held[0].append(idx)
+                held[1].append(val)
+        if chain is not None and (state or held[0]):
+            yield result()
+
+    return run
 
 
 # --- logistic training ----------------------------------------------------
@@ -162,31 +183,33 @@ def train(rows: DataFrame, features: str, label: str, worker: Column, workers: i
           length: int, epochs: int, settings: Ftrl = Ftrl()) -> DataFrame:
     """Synchronous logistic regression: (idx, z, n, w) after ``epochs`` rounds.
 
-    In a round every worker pulls the weights, sums the gradient over its
-    share and pushes; the mean of the pushes is one learner update. Only the
-    model, ``length`` numbers, passes between rounds.
+    In a round every worker pulls the weights, sums the gradient over its share and pushes; the
+    update takes the sum of all pushes over ``workers``. Rows stay where they are; the weights, ``length``
+    numbers, go out as a broadcast in each round, and each task sends one sum per worker back.
+    A vector of another length fails the query.
     """
-    if length > DENSE_LIMIT:
-        return _train_wide(rows, features, label, worker, epochs, settings)
-    z, n, w = [0.0] * length, [0.0] * length, [0.0] * length
+    spark = rows.sparkSession
+    z = n = w = np.zeros(length)
     examples = rows.select(worker.cast("long").alias("worker"), F.col(label).cast("double").alias("y"),
                            F.col(features).cast("array<double>").alias("x"))
     for _ in range(epochs):
-        pushes = examples.mapInArrow(_batch_gradients(w), "worker long, vec array<double>")
-        total = push_vectors(pushes, ["worker"], "vec", length).groupBy("idx").agg(
-            (F.sum("val") / F.lit(float(workers))).alias("g"))
+        sent = spark.sparkContext.broadcast(w)
+        pushes = examples.mapInArrow(_task_gradients(sent), "worker long, vec array<double>")
+        total = push_vectors(pushes, ["worker"], "vec", length).groupBy("idx").agg(F.sum("val").alias("g"))
+        g = np.zeros(length)
         for r in total.collect():  # one number per weight
-            i = r["idx"]
-            z[i], n[i], w[i] = settings.step_local(z[i], n[i], w[i], r["g"])
-    spark = rows.sparkSession
-    return spark.createDataFrame(list(zip(range(length), z, n, w)), "idx int, z double, n double, w double")
+            g[r["idx"]] = r["g"] / workers
+        z, n, w = settings.step(z, n, w, g)
+    return spark.createDataFrame([(i, float(z[i]), float(n[i]), float(w[i])) for i in range(length)],
+                                 "idx int, z double, n double, w double")
 
 
-def _batch_gradients(w: list[float]):
-    """Gradient of the log loss at ``w``: one vector per worker and Arrow batch."""
-    weights = np.asarray(w)
+def _task_gradients(sent):
+    """Gradient of the log loss at the weights that were sent: one vector per worker and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = sent.value
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -195,34 +218,9 @@ def _batch_gradients(w: list[float]):
             y = batch.column("y").to_numpy(zero_copy_only=False)
             who = batch.column("worker").to_numpy(zero_copy_only=False)
             error = 1.0 / (1.0 + np.exp(-(x @ weights))) - y
-            ids = np.unique(who)
-            yield pa.RecordBatch.from_pydict({
-                "worker": pa.array(ids, pa.int64()),
-                "vec": pa.array([error[who == i] @ x[who == i] for i in ids],
-                                pa.list_(pa.float64()))})
+            for i in np.unique(who).tolist():
+                sums[i] = sums.get(i, 0.0) + error[who == i] @ x[who == i]
+        yield pa.RecordBatch.from_pydict({"worker": pa.array(list(sums), pa.int64()),
+                                          "vec": pa.array(list(sums.values()), pa.list_(pa.float64()))})
 
     return run
-
-
-def _train_wide(rows: DataFrame, features: str, label: str, worker: Column, epochs: int,
-                settings: Ftrl) -> DataFrame:
-    """The same rounds with the model in a table, joined by position."""
-    # numbered before the vectors are unfolded, and written once so numbers stay
-    numbered = rows.select(
-        F.monotonically_increasing_id().alias("row"), worker.alias("worker"),
-        F.col(label).cast("double").alias("y"), F.col(features).alias("vec"))
-    cells = cut_lineage(numbered.select(
-        "row", "worker", "y", F.posexplode("vec").alias("idx", "x")), "cells")
-    workers = cells.agg(F.count_distinct("worker")).first()[0]
-    state = cells.select("idx").distinct().select(
-        "idx", F.lit(0.0).alias("z"), F.lit(0.0).alias("n"), F.lit(0.0).alias("w"))
-    for _ in range(epochs):
-        margins = cells.join(state.select("idx", "w"), "idx").groupBy("row").agg(
-            F.sum(F.col("x") * F.col("w")).alias("m"))
-        errors = margins.select("row", (1.0 / (1.0 + F.exp(-F.col("m")))).alias("p"))
-        grads = cells.join(errors, "row").groupBy("idx").agg(
-            (F.sum((F.col("p") - F.col("y")) * F.col("x")) / F.lit(float(workers))).alias("g"))
-        stepped = state.join(grads, "idx").select(
-            "idx", settings.step(F.struct("z", "n", "w"), F.col("g")).alias("s"))
-        state = cut_lineage(stepped.select("idx", "s.*"), "weights")
-    return state

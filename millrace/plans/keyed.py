@@ -61,14 +61,13 @@ def kv_match_assign(spark, sf):
 @query("assign_ops", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey + 1 AS incoming, l_suppkey + 1 AS assign,
        l_partkey + l_suppkey + 1 AS plus, l_partkey - l_suppkey - 1 AS minus,
-       l_partkey * (l_suppkey + 1) AS times, round(l_partkey / (l_suppkey + 1), 6) AS divide,
+       l_partkey * (l_suppkey + 1) AS times, l_partkey // (l_suppkey + 1) AS divide,
        l_partkey & (l_suppkey + 1) AS "and", l_partkey | (l_suppkey + 1) AS "or",
        xor(l_partkey, l_suppkey + 1) AS xor FROM lineitem""")
 def assign_ops(spark, sf):
     pairs = load(spark, sf, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey + 1 AS incoming")
-    return kv.assign_all(pairs, "l_partkey", "incoming", ASSIGN_OPS).withColumn(
-        "divide", F.round("divide", 6))
+    return kv.assign_all(pairs, "l_partkey", "incoming", ASSIGN_OPS)
 
 
 @query("push_handler", f"""

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import learn
-from ..operators.ordered import order_span
 from ..session import load
 from .registry import query
 
@@ -106,14 +105,24 @@ WHERE o = (SELECT max(o) FROM steps)"""
 def ftrl_sync(spark, sf):
     pushes = vector_pushes(spark, sf)
     rounds = learn.gradient_rounds(pushes, WORKERS, "mean", LENGTH)
-    return _shown(learn.ftrl_fold(rounds, initial(pushes), "round", span=order_span(pushes, "round")))
+    return _shown(learn.ftrl_fold(rounds, initial(pushes), "round"))
 
 
 @query("ftrl_async", _ftrl_sql("SELECT seq AS o, idx, v AS g FROM cells", _LEADING_SQL))
 def ftrl_async(spark, sf):
     pushes = vector_pushes(spark, sf)
-    return _shown(learn.ftrl_fold(learn.unfold(pushes, "seq"), initial(pushes), "seq",
-                                  span=order_span(pushes, "seq")))
+    return _shown(learn.ftrl_fold(learn.unfold(pushes, "seq"), initial(pushes), "seq"))
+
+
+@query("ftrl_published", _ftrl_sql("SELECT round AS o, idx, mean AS g FROM sums", _LEADING_SQL)
+       .replace("n + z1 * z1 AS n1", "n + g * g AS n1").replace("SELECT steps.o, idx, n, z + g", "SELECT steps.o, idx, n, g, z + g")
+       .replace("sqrt(n + z * z)", "sqrt(n + g * g)"))
+def ftrl_published(spark, sf):
+    """The published form of the update, with few positions in a block."""
+    pushes = vector_pushes(spark, sf)
+    rounds = learn.gradient_rounds(pushes, WORKERS, "mean", LENGTH)
+    settings = learn.Ftrl(variant="published")
+    return _shown(learn.ftrl_fold(rounds, initial(pushes), "round", settings, block_bits=3))
 
 
 def _shown(state):

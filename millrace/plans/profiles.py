@@ -5,31 +5,36 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import profile
-from ..session import load
+from ..session import cut_lineage, load
 from .registry import query
 
 _HIST = """
-hist AS (SELECT CAST((CAST(l_quantity AS BIGINT) - 1) * 20 // 50 AS INT) AS bucket, count(*) AS count
-         FROM lineitem WHERE l_quantity BETWEEN 1 AND 50 GROUP BY 1)"""
+ends AS (SELECT CAST(min(l_quantity) AS BIGINT) AS low, CAST(max(l_quantity) AS BIGINT) - CAST(min(l_quantity) AS BIGINT) + 1
+         AS width FROM lineitem),
+hist AS (SELECT CAST((CAST(l_quantity AS BIGINT) - low) * 20 // width AS INT) AS bucket, count(*) AS count
+         FROM lineitem, ends GROUP BY 1)"""
 
 
 def quantity_histogram(spark, sf):
+    """Twenty buckets between the bounds of the data, and those bounds."""
     lines = load(spark, sf, "lineitem").select(F.col("l_quantity").cast("int").alias("quantity"))
-    return profile.histogram(lines, "quantity", 20, 1, 50)
+    low, high = profile.bounds_of(lines, "quantity")
+    return profile.histogram(lines, "quantity", 20, low, high), low, high
 
 
 @query("column_histogram", f"WITH {_HIST} SELECT * FROM hist")
 def column_histogram(spark, sf):
-    return quantity_histogram(spark, sf)
+    return quantity_histogram(spark, sf)[0]
 
 
 @query("selectivity_int", f"""
 WITH {_HIST},
-b AS (SELECT count, ceil(bucket * 50 / 20) + 1 AS lo, ceil((bucket + 1) * 50 / 20) + 1 AS hi FROM hist)
+b AS (SELECT count, ceil(bucket * width / 20) + low AS lo, ceil((bucket + 1) * width / 20) + low AS hi FROM hist, ends)
 SELECT round(sum(count * (1 - (least(greatest(17 - lo, 0), hi - lo)
        + CASE WHEN 17 >= lo AND 17 < hi THEN 1 ELSE 0 END) / (hi - lo))) / sum(count), 9) AS selectivity FROM b""")
 def selectivity_int(spark, sf):
-    estimate = profile.selectivity(quantity_histogram(spark, sf), ">", 17, 20, 1, 50)
+    hist, low, high = quantity_histogram(spark, sf)
+    estimate = profile.selectivity(hist, ">", 17, 20, low, high)
     return estimate.select(F.round("selectivity", 9).alias("selectivity"))
 
 
@@ -57,13 +62,41 @@ def selectivity_str(spark, sf):
     return estimate.select(F.round("selectivity", 9).alias("selectivity"))
 
 
-def _stats_sql(table: str, columns: list[str]) -> str:
-    return " UNION ALL ".join(f"""
+def _stats_sql(table: str, ints: list[str], texts: list[str]) -> str:
+    return " UNION ALL ".join([f"""
 SELECT '{c}' AS "column", CAST(lo AS BIGINT) AS low, CAST(hi AS BIGINT) AS high,
-       CAST(({c} - lo) * 100 // (hi - lo + 1) AS INT) AS bucket, count(*) AS count
-FROM {table}, (SELECT min({c}) AS lo, max({c}) AS hi FROM {table}) GROUP BY ALL""" for c in columns)
+       CAST((CAST({c} AS HUGEINT) - lo) * 100 // (hi - lo + 1) AS INT) AS bucket, count(*) AS count
+FROM {table}, (SELECT min({c}) AS lo, max({c}) AS hi FROM {table}) GROUP BY ALL""" for c in ints] + [f"""
+SELECT '{c}' AS "column", 0::BIGINT AS low, 2054847098::BIGINT AS high,
+       CAST(CAST({CODE_SQL} AS BIGINT) * 100 // 2054847099 AS INT) AS bucket, count(*) AS count
+FROM (SELECT {code_sql(c)} AS u FROM {table}) GROUP BY ALL""" for c in texts])
 
 
-@query("table_stats", _stats_sql("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]))
+_PART_STATS = _stats_sql("part", ["p_partkey", "p_size"], ["p_name", "p_brand", "p_type"])
+
+
+@query("table_stats", _PART_STATS)
 def table_stats(spark, sf):
-    return profile.table_stats(load(spark, sf, "lineitem"))
+    """Int and string columns; prices are no column of this kind."""
+    return profile.table_stats(load(spark, sf, "part"))
+
+
+@query("table_cardinality", f"""
+WITH stats AS ({_PART_STATS}),
+b AS (SELECT "column", count, ceil(bucket * CAST(high - low + 1 AS HUGEINT) / 100) + low AS lo,
+  ceil((bucket + 1) * CAST(high - low + 1 AS HUGEINT) / 100) + low AS hi FROM stats),
+k AS (SELECT CAST({CODE_SQL} AS BIGINT) AS code FROM (SELECT {code_sql("'red widget'")} AS u)),
+s AS (
+  SELECT 'p_size > 17' AS predicate, sum(count) AS n, sum(count * (1 - (least(greatest(17 - lo, 0), hi - lo)
+    + CASE WHEN 17 >= lo AND 17 < hi THEN 1 ELSE 0 END) / (hi - lo))) / sum(count) AS share FROM b WHERE "column" = 'p_size'
+  UNION ALL
+  SELECT 'p_name < red widget', sum(count), sum(count * least(greatest(code - lo, 0), hi - lo) / (hi - lo)) / sum(count)
+  FROM b, k WHERE "column" = 'p_name')
+SELECT predicate, CAST(n AS BIGINT) AS rows, round(share, 9) AS selectivity, CAST(floor(n * share + 1e-9) AS BIGINT) AS cardinality
+FROM s""")
+def table_cardinality(spark, sf):
+    """Estimates from the stored statistics alone."""
+    stats = cut_lineage(profile.table_stats(load(spark, sf, "part")), "stats")
+    size = profile.stats_cardinality(stats, "p_size", ">", 17).withColumn("predicate", F.lit("p_size > 17"))
+    name = profile.stats_cardinality(stats, "p_name", "<", "red widget").withColumn("predicate", F.lit("p_name < red widget"))
+    return size.unionByName(name).select("predicate", "rows", F.round("selectivity", 9).alias("selectivity"), "cardinality")

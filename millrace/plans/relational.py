@@ -130,6 +130,26 @@ _theta("join_le", "supplier", "s_suppkey", "s_nationkey", "<=", "nation", "n_nat
 _theta("join_ne", "part", "p_partkey", "p_size", "<>", "region", "r_regionkey")
 
 
+@query("join_ne_counts", """
+SELECT p_partkey, p_size, (SELECT count(*) FROM region) - (SELECT count(*) FROM region WHERE r_regionkey = p_size) AS partners
+FROM part""")
+def join_ne_counts(spark, sf):
+    """How many partners ``<>`` gives each row, without the pairs."""
+    part, region = load(spark, sf, "part", "region")
+    return joins.count_unequal(part.select("p_partkey", "p_size"), "p_size", region, "r_regionkey")
+
+
+@query("join_like_grams", """
+WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark)
+SELECT conv_id, turn, word FROM conversations JOIN w ON length(word) >= 6 AND contains(text, word)""")
+def join_like_grams(spark, sf):
+    """Hundreds of patterns, which meet the texts on their rarest gram."""
+    talks, items = load(spark, sf, "conversations", "benchmark")
+    words = items.select(F.explode(F.split("text", " ")).alias("word")).where("length(word) >= 6").distinct()
+    hits = joins.join_containing(talks.select("conv_id", "turn", "text"), "text", words, "word")
+    return hits.select("conv_id", "turn", "word")
+
+
 @query("join_like", """
 WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part)
 SELECT conv_id, turn, word FROM conversations JOIN w ON contains(text, word)""")
@@ -193,12 +213,13 @@ def bag_equal(spark, sf):
 
 
 @query("contains_all", """
-SELECT DISTINCT c_custkey AS custkey FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+SELECT DISTINCT p_partkey AS partkey FROM part
+WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-03-01')""")
 def contains_all(spark, sf):
-    orders, customer = load(spark, sf, "orders", "customer")
-    return bags.contains_all(orders.select(F.col("o_custkey").alias("custkey")),
-                             customer.select("c_custkey"))
+    """Parts that were not shipped before a date."""
+    lines, part = load(spark, sf, "lineitem", "part")
+    early = lines.where("l_shipdate < TIMESTAMP_NTZ '1995-03-01 00:00:00'")
+    return bags.contains_all(early.select(F.col("l_partkey").alias("partkey")), part.select("p_partkey"))
 
 
 @query("count_star", "SELECT count(*) AS n FROM lineitem")

@@ -128,28 +128,61 @@ def stream_flatmap(spark, sf):
     return run.all_batches(spark, run.drain(words, "append"), words.schema).drop("batch_id")
 
 
-def _first_update(spark, sf):
-    """Session updates of the first batch."""
-    words = _timed(jobs.word_events(_lines(spark, f"{sf}/events.parquet")))
-    rows = run.Until(jobs.sessionize(words), "update").wait(1).stop()
-    return rows.where(~F.col("expired")).drop("batch_id")
+def _drained(spark, pieces, job):
+    """Feed ``pieces`` one after the other; each time the stream goes on from its checkpoint until it has read all."""
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("pieces", "stream", "checkpoint"))
+    for piece in pieces:
+        piece.write.mode("append").parquet(path)
+        stream = job(spark.readStream.schema(piece.schema).parquet(path))
+        run.drain(stream, "update", checkpoint=checkpoint, out=out)
+    return run.all_batches(spark, out, stream.schema)
+
+
+def _session_job(stream):
+    words = jobs.word_events(stream.selectExpr(f"{_LINES} AS value", "ts AS timestamp"))
+    return jobs.sessionize(_timed(words), timeout_ms=3_600_000)
 
 
 @query("stream_sessionize", _SESSIONS.format(expired="false"))
 def stream_sessionize(spark, sf):
-    return _first_update(spark, sf)
+    """The last update of every session; the events come in three parts, by time."""
+    events = load(spark, sf, "events")
+    at = epoch_ms(F.col("ts"))
+    cuts = events.select(at.alias("at")).approxQuantile("at", [1 / 3, 2 / 3], 0.01) or [0, 0]
+    pieces = [events.where(at < cuts[0]), events.where((at >= cuts[0]) & (at < cuts[1])), events.where(at >= cuts[1])]
+    return run.latest_update(_drained(spark, pieces, _session_job), ["id"])
+
 
+def _add_spending(key, parts, old):
+    """Events of a user and the cents spent."""
+    n, cents = old or (0, 0)
+    for part in parts:
+        n, cents = n + len(part), cents + int(part["cents"].sum())
+    return n, cents
 
-@query("state_fn", _SESSIONS.format(expired="false"))
+
+@query("state_fn", """
+SELECT user_id AS id, count(*) AS num_events, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents,
+  false AS expired FROM events GROUP BY user_id""")
 def state_fn(spark, sf):
-    return _first_update(spark, sf)
+    """A user's own state function, over two parts of the events."""
+    events = load(spark, sf, "events").selectExpr("event_id", "user_id", "cast(round(value * 100) AS bigint) AS cents")
+    middle = events.agg(F.floor(F.avg("event_id"))).first()[0] or 0
+    job = lambda stream: jobs.stateful(
+        stream.select("user_id", "cents"), "user_id", _add_spending, lambda key, state, expired: (key, *state, expired),
+        "id long, num_events long, cents long, expired boolean", "num_events long, cents long", 3_600_000)
+    pieces = [events.where(F.col("event_id") < middle), events.where(F.col("event_id") >= middle)]
+    return run.latest_update(_drained(spark, pieces, job), ["id"])
 
 
 @query("session_timeout", _SESSIONS.format(expired="true"))
 def session_timeout(spark, sf):
-    """The final row of every session, some seconds after its last event."""
+    """The final row of every session, some seconds after its last event; ends when all sessions have ended."""
     words = _timed(jobs.word_events(_lines(spark, f"{sf}/events.parquet")))
-    rows = run.Until(jobs.sessionize(words, timeout_ms=2000), "update").wait(2).stop()
+    stored = load(spark, sf, "events").selectExpr(f"{_LINES} AS value", "ts AS timestamp")
+    sessions = jobs.word_events(stored).select("session_id").distinct().count()
+    done = lambda rows: rows.where("expired").count() >= sessions
+    rows = run.Until(jobs.sessionize(words, timeout_ms=2000), "update").wait(done).stop()
     return rows.where("expired").drop("batch_id")
 
 
@@ -161,20 +194,29 @@ SELECT id, max(t_ms) - coalesce(min(t_ms) FILTER (early_batch), min(t_ms)) AS du
 def session_merge_rule(spark, sf):
     """The later half arrives first; earlier events then leave the start alone."""
     events = load(spark, sf, "events")
-    middle = events.agg(F.floor(F.avg("event_id"))).first()[0]
-    path = scratch_path(spark, "halves")
-    schema = events.schema
-    events.where(F.col("event_id") >= middle).write.parquet(path)
-    lines = spark.readStream.schema(schema).parquet(path).selectExpr(f"{_LINES} AS value", "ts AS timestamp")
-    feed = run.Until(jobs.sessionize(_timed(jobs.word_events(lines)), timeout_ms=3_600_000), "update")
-    feed.wait(1)
-    events.where(F.col("event_id") < middle).write.mode("append").parquet(path)
-    rows = feed.wait(2).stop()
-    return run.latest_update(rows, ["id"])
+    middle = events.agg(F.floor(F.avg("event_id"))).first()[0] or 0
+    pieces = [events.where(F.col("event_id") >= middle), events.where(F.col("event_id") < middle)]
+    return run.latest_update(_drained(spark, pieces, _session_job), ["id"])
 
 
 @query("stream_changelog", f"WITH {LOG_SQL} SELECT * FROM state")
 def stream_changelog(spark, sf):
+    """Three batches in log order, the second one twice, and a compaction after it that covers the repeat."""
+    log = log_of(load(spark, sf, "events"))
+    low, high = log.agg(F.min("log_index"), F.max("log_index")).first()
+    third = ((high or 0) - (low or 0)) // 3 + 1
+    batches = [log.where(F.col("log_index").between((low or 0) + i * third, (low or 0) + (i + 1) * third - 1)) for i in range(3)]
+    table = jobs.ChangelogTable(spark)
+    table.apply(batches[0], 0)
+    table.apply(batches[1], 1)
+    table = table.compact(scratch_path(spark, "compacted"))
+    table.apply(batches[1], 1)
+    table.apply(batches[2], 2)
+    return table.state()
+
+
+@query("stream_changelog_drained", f"WITH {LOG_SQL} SELECT * FROM state")
+def stream_changelog_drained(spark, sf):
     log = log_of(run.stream_table(spark, f"{sf}/events.parquet"))
     table = jobs.ChangelogTable(spark)
     run.drain(log, "append", table.apply)

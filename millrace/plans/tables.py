@@ -124,11 +124,11 @@ def merged_text(spark, sf):
 
 
 @query("dump_rows", r"""
-SELECT c_custkey || chr(9) || c_name || chr(9) || c_nationkey || chr(9) || c_mktsegment || chr(9) AS line
+SELECT c_custkey || chr(9) || c_name || chr(9) || c_nationkey || chr(9) || c_acctbal || chr(9) || c_mktsegment || chr(9) AS line
 FROM customer""")
 def dump_rows(spark, sf):
     path = scratch_path(spark, "dump")
-    files.dump_rows(load(spark, sf, "customer").drop("c_acctbal"), path)
+    files.dump_rows(load(spark, sf, "customer"), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -192,14 +192,20 @@ def kafka_sink(spark, sf):
 
 
 @query("delivery_report", """
-SELECT event_id AS key, 'Message_' || event_id AS value, CAST(user_id % 8 AS INT) AS partition,
-       event_id AS "offset", CAST(round(value * 100) AS BIGINT) AS elapsed_ms,
-       'message(' || event_id || ', Message_' || event_id || ') sent to partition(' || (user_id % 8)
-       || '), offset(' || event_id || ') in ' || CAST(round(value * 100) AS BIGINT) || ' ms' AS report
-FROM events""")
+SELECT event_id AS key, 'Message_' || event_id AS value, true AS in_partition, true AS later,
+       count(*) OVER () AS sent FROM events""")
 def delivery_report(spark, sf):
-    micros = epoch_us(F.col("ts")) - F.round(F.col("value") * 100).cast("long") * 1000
+    """Records are written, read back and matched; offsets must be dense in each partition."""
+    path = scratch_path(spark, "topic")
     sent = load(spark, sf, "events").select(
-        F.col("event_id").alias("key"), message(F.col("event_id")).alias("value"),
-        F.timestamp_micros(micros).alias("sent_at"))
-    return kafka.delivery_report(sent, topic_rows(spark, sf), key_size=8)
+        F.col("event_id").alias("key"), message(F.col("event_id")).alias("value"), F.current_timestamp().alias("sent_at"))
+    kafka.write_topic(sent.select(kafka.int_key(F.col("key"), 8).alias("key"), "value"), "messages", files=path)
+    topic = spark.read.parquet(path)
+    report = kafka.delivery_report(sent.withColumn("sent_at", F.lit(0).cast("timestamp")), topic, key_size=8)
+    dense = topic.groupBy("partition").agg(F.count("*").alias("n"), F.count_distinct("offset").alias("places"),
+                                           F.max("offset").alias("last"))
+    whole = dense.where("n = places AND last = n - 1").select("partition", "n")
+    total = dense.agg(F.sum("n").alias("sent"))
+    return report.join(F.broadcast(whole), "partition").join(F.broadcast(total)).select(
+        "key", "value", F.col("offset").between(0, F.col("n") - 1).alias("in_partition"),
+        (F.col("elapsed_ms") > 0).alias("later"), "sent")

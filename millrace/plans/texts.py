@@ -32,6 +32,16 @@ def inverted_index(spark, sf):
     return textjobs.inverted_index(documents(spark, sf), "doc_id", "text")
 
 
+@query("inverted_index_segments", f"""
+WITH pairs AS ({_PAIRS}),
+totals AS (SELECT word, count(*) AS n_docs FROM pairs GROUP BY word)
+SELECT word, n_docs, doc_id >> 6 AS segment, string_agg({_DOC_NAME}, ',' ORDER BY doc_id) AS docs
+FROM pairs JOIN totals USING (word) GROUP BY ALL""")
+def inverted_index_segments(spark, sf):
+    """The same with segments of 64 documents, so that frequent words have many."""
+    return textjobs.inverted_index(documents(spark, sf), "doc_id", "text", bits=6)
+
+
 @query("distinct_keys", f"SELECT DISTINCT word AS key, '' AS value FROM ({_DOC_WORDS}) ORDER BY key")
 def distinct_keys(spark, sf):
     return textjobs.distinct_keys(documents(spark, sf), "text")
@@ -130,8 +140,9 @@ def latest(key: str, values: list[str]) -> str:
 @query("mr_group_reduce", """
 SELECT CAST(user_id AS VARCHAR) AS key, CAST(count(*) AS VARCHAR) AS value FROM events GROUP BY user_id""")
 def mr_group_reduce(spark, sf):
+    """Counts by user functions, in order of key."""
     pairs = load(spark, sf, "events").selectExpr("cast(user_id AS string) AS key", "event_type AS value")
-    return textjobs.reduce_native(pairs, F.count(F.lit(1)))
+    return textjobs.reduce_groups(pairs, count_values, add_counts).orderBy("key")
 
 
 @query("mr_job", f"""
@@ -143,7 +154,7 @@ def mr_job(spark, sf):
     return textjobs.run_job(talks, "name", "text", map_words, count_values, add_counts, 3)
 
 
-@udtf(returnType="key string, value string")
+@udtf(returnType="key string, value string", useArrow=True)
 class WordPairs:
     """The map hook as a table function: one call per record."""
 

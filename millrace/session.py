@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -36,14 +39,18 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local mode) one temporary
-    folder is made for the application.
+    Only in local mode, where it may be unset, one temporary folder is made for
+    the application and removed when Python ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         app = spark.sparkContext.applicationId
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="millrace-")
+            atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
         base = _local_dirs[app]
     return base.rstrip("/")
 

@@ -6,9 +6,13 @@ are replayed from, or written to, files in the connector's row layout.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Fixed value: the connector's row layout.
 ROW_SCHEMA = ("key binary, value binary, topic string, partition int, offset bigint, "
               "timestamp timestamp, timestampType int")
@@ -26,7 +30,9 @@ def stream_topic(spark: SparkSession, subscription: str, topics: str, servers: s
             return rows.where(F.col("topic").rlike(f"^(?:{topics})$"))
         if subscription == "subscribe":
             return rows.where(F.col("topic").isin(*[t.strip() for t in topics.split(",")]))
-        return rows
+        wanted = [(t, p) for t, ps in json.loads(topics).items() for p in ps]
+        named = F.array(*[F.struct(F.lit(t).alias("topic"), F.lit(p).alias("partition")) for t, p in wanted])
+        return rows.where(F.array_contains(named, F.struct("topic", "partition")) if wanted else F.lit(False))
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option(subscription, topics).load())
 
@@ -37,32 +43,52 @@ def topic_lines(topic: DataFrame, with_time: bool = False) -> DataFrame:
 
 
 def int_key(number: Column, size: int = 4) -> Column:
-    """A big-endian integer of 4 bytes, or of 8 where numbers may pass 2^31."""
+    """A big-endian integer of 4 bytes, or of 8 where numbers may pass 2^31; a number that doesn't fit is an error."""
+    if size == 4:
+        wide = F.raise_error(F.concat(F.lit("no 4-byte key: "), number.cast("string"))).cast("long")
+        number = F.when(number.between(-2**31, 2**31 - 1) | number.isNull(), number.cast("long")).otherwise(wide)
     return F.unhex(F.right(F.lpad(F.hex(number.cast("long")), 16, "0"), F.lit(2 * size)))
 
 
 def write_topic(records: DataFrame, topic: str, servers: str | None = None,
-                files: str | None = None) -> None:
-    """Send (key, value) records; a Spark write returns when all are acknowledged."""
+                files: str | None = None, partitions: int = 8) -> None:
+    """Send (key, value) records; a Spark write returns when all are acknowledged.
+
+    Written to files, a record gets a partition by its key, the next offset of that partition in order of key,
+    and the time of the write, as brokers would give it.
+    """
     rows = records.select("key", F.col("value").cast("binary").alias("value"))
-    if files is not None:
-        rows.withColumn("topic", F.lit(topic)).write.mode("append").parquet(files)
+    if files is None:
+        (rows.write.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("topic", topic).save())
         return
-    (rows.write.format("kafka").option("kafka.bootstrap.servers", servers)
-     .option("topic", topic).save())
+    # Offsets are ranks; they are counted in ranges of the key's hash, so that no partition is one group.
+    part = F.pmod(F.crc32(F.coalesce("key", F.lit("").cast("binary"))), F.lit(partitions)).cast("int")
+    rows = cut_lineage(rows.select("key", "value", part.alias("partition"), F.pmod(
+        F.xxhash64("key", "value"), F.lit(1024)).cast("int").alias("cell")), "records")
+    sizes = rows.groupBy("partition", "cell").agg(F.count("*").alias("n"))  # partitions * 1024 rows at most
+    before = F.sum("n").over(Window.partitionBy("partition").orderBy("cell")) - F.col("n")
+    starts = sizes.select("partition", "cell", before.alias("before"))
+    place = F.row_number().over(Window.partitionBy("partition", "cell").orderBy("key", "value"))
+    (rows.join(F.broadcast(starts), ["partition", "cell"]).select(
+        "key", "value", F.lit(topic).alias("topic"), "partition",
+        (F.col("before") + place - 1).alias("offset"), F.current_timestamp().alias("timestamp"),
+        F.lit(0).alias("timestampType")).write.mode("append").parquet(files))
 
 
 def delivery_report(sent: DataFrame, topic: DataFrame, key_size: int = 4) -> DataFrame:
     """Where each sent record landed and how long it took.
 
     ``sent`` is (key, value, sent_at) with an int key; ``topic`` holds topic
-    rows read back. Times are differences of timestamps of the same kind.
+    rows read back. A record is known by key and value; the n-th of equal ones is the n-th of
+    its partition. Times are differences of timestamps of the same kind.
     """
-    landed = topic.select(F.col("key").alias("k_t"), "partition", "offset",
-                          F.col("timestamp").alias("stored_at"))
-    joined = sent.withColumn("k_b", int_key(F.col("key"), key_size)).join(landed, F.col("k_b") == F.col("k_t"))
+    nth = lambda *order: F.row_number().over(Window.partitionBy("k_b", "value").orderBy(*order)).alias("nth")
+    landed = topic.select(F.col("key").alias("k_b"), F.col("value").cast("string").alias("value"), "partition",
+                          "offset", F.col("timestamp").alias("stored_at"))
+    landed = landed.select("*", nth("partition", "offset"))
+    given = sent.withColumn("k_b", int_key(F.col("key"), key_size))
+    joined = given.select("*", nth("sent_at")).join(landed, ["k_b", "value", "nth"])
     waited = (F.unix_millis(F.col("stored_at").cast("timestamp"))
               - F.unix_millis(F.col("sent_at").cast("timestamp")))
-    return joined.select("key", "value", "partition", "offset", waited.alias("elapsed_ms"),
-                         F.format_string("message(%d, %s) sent to partition(%d), offset(%d) in %d ms",
-                                         "key", "value", "partition", "offset", waited).alias("report"))
+    return joined.select("key", "value", "partition", "offset", waited.alias("elapsed_ms"))

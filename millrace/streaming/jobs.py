@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -63,31 +64,47 @@ def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             n="count", first="min", last="max")
 
 
-def update_session(timeout_ms: int):
-    """State function: count adds, the end only rises, the start is never lowered."""
+def stateful(stream: DataFrame, key: str, update: Callable, show: Callable, output: str, state: str,
+             timeout_ms: int = SESSION_TIMEOUT_MS) -> DataFrame:
+    """State per key of a stream, kept by user functions.
 
-    def run(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            count, start, end = state.get
-            state.remove()
-            expired = True
+    ``update(key, frames, old)`` takes the key's rows of a batch as pandas frames and the old state (None at first)
+    and returns the new state, a tuple of the ``state`` schema. ``show(key, state, expired)`` gives the row
+    of the ``output`` schema that each batch reports for the key. A key without rows for ``timeout_ms`` is
+    shown once more as expired, and its state is removed.
+    """
+    columns = [f.split(" ")[0] for f in output.split(", ")]
+
+    def run(keys, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        expired = held.hasTimedOut
+        if expired:
+            now = held.get
+            held.remove()
         else:
-            count, start, end = 0, None, None
-            for part in parts:
-                low, high = int(part["first"].min()), int(part["last"].max())
-                count += int(part["n"].sum())
-                start = low if start is None else min(start, low)
-                end = high if end is None else max(end, high)
-            if state.exists:
-                old_count, old_start, old_end = state.get
-                count, start, end = old_count + count, old_start, max(old_end, end)
-            state.update((count, start, end))
-            state.setTimeoutDuration(timeout_ms)
-            expired = False
-        yield pd.DataFrame({"id": [key[0]], "duration_ms": [end - start], "num_events": [count],
-                            "expired": [expired]})
-
-    return run
+            now = update(keys[0], parts, held.get if held.exists else None)
+            held.update(now)
+            held.setTimeoutDuration(timeout_ms)
+        yield pd.DataFrame([show(keys[0], now, expired)], columns=columns)
+
+    return stream.groupBy(key).applyInPandasWithState(
+        run, output, state, "update", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def _add_to_session(key, parts: Iterator[pd.DataFrame], old: tuple | None) -> tuple:
+    """Count adds, the end only rises, the start is never lowered once it is stored."""
+    n, first, last = 0, [], []
+    for part in parts:
+        n += int(part["n"].sum())
+        first.append(int(part["first"].min()))
+        last.append(int(part["last"].max()))
+    if old is None:
+        return n, min(first), max(last)
+    return old[0] + n, old[1], max(old[2], *last)
+
+
+def _session_row(key, state: tuple, expired: bool) -> tuple:
+    count, start, end = state
+    return key, end - start, count, expired
 
 
 def sessionize(events: DataFrame, timeout_ms: int = SESSION_TIMEOUT_MS) -> DataFrame:
@@ -98,10 +115,9 @@ def sessionize(events: DataFrame, timeout_ms: int = SESSION_TIMEOUT_MS) -> DataF
     """
     parts = events.select("session_id", "at_ms").mapInPandas(
         _partials, "session_id string, n long, first long, last long")
-    return parts.groupBy("session_id").applyInPandasWithState(
-        update_session(timeout_ms),
-        "id string, duration_ms long, num_events long, expired boolean",
-        "count long, start long, end long", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return stateful(parts, "session_id", _add_to_session, _session_row,
+                    "id string, duration_ms long, num_events long, expired boolean",
+                    "count long, start long, end long", timeout_ms)
 
 
 # --- changelog ------------------------------------------------------------
@@ -110,48 +126,76 @@ class ChangelogTable:
     """Key/value state kept from a stream of log batches.
 
     Each batch adds its own fold and its clients' highest request ids, in
-    folders named by batch, so a repeated batch replaces itself and the work
-    of a batch does not grow with the state. ``compact`` joins the parts.
+    folders named by batch, so a repeated batch replaces itself. Every ``MARKS``
+    batches the ids are folded, so a batch reads one fold and fewer than that many
+    batches of ids, however long the stream has run. ``compact`` starts a new table from the joined parts;
+    batches it covers are passed over there, so a repeated one changes nothing.
     Batches arrive in log order; inside a batch the log index gives the order.
     """
 
+    MARKS = 16
+    _PARTS = "key string, segment long, has_put boolean, text string"
+    _MARK_ROWS = "client long, mark long"
+
     def __init__(self, spark: SparkSession, path: str | None = None,
                  bits: int = changelog.SEGMENT_BITS):
-        self.spark = spark
-        self.bits = bits
-        base = path or scratch_path(spark, "changelog")
-        self.parts_path, self.marks_path = f"{base}/parts", f"{base}/marks"
-        self._parts = "key string, segment long, has_put boolean, text string, part long"
-        self._marks = "client long, mark long, part long"
-
-    def _read(self, path: str, schema: str) -> DataFrame:
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(jpath):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        self.spark, self.bits = spark, bits
+        self.path = path or scratch_path(spark, "changelog")
+
+    def _written(self, name: str) -> dict[int, str]:
+        """Complete folders ``name/N`` by N."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return {}
+        done = lambda p: fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+        found = [s.getPath() for s in fs.listStatus(root)]
+        return {int(p.getName()): p.toString() for p in found if done(p)}
+
+    def _read(self, paths: list[str], schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def covered(self) -> int:
+        """The last batch that the table was compacted from; -1 if it wasn't."""
+        return max(self._written("base_marks"), default=-1)
+
+    def _marks_before(self, batch_id: int) -> DataFrame:
+        folds = {n: p for n, p in (self._written("base_marks") | self._written("mark_folds")).items() if n < batch_id}
+        start = max(folds, default=-1)
+        paths = [p for n, p in self._written("marks").items() if start < n < batch_id]
+        return self._read(paths + ([folds[start]] if folds else []), self._MARK_ROWS).groupBy("client").agg(
+            F.max("mark").alias("mark"))
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Fold one batch; for ``foreachBatch``."""
-        marks = self._read(self.marks_path, self._marks).where(F.col("part") < batch_id).groupBy(
-            "client").agg(F.max("mark").alias("mark"))
-        fresh = changelog.dedupe(batch, marks)
-        changelog.fold_segments(fresh, self.bits).write.mode("overwrite").parquet(
-            f"{self.parts_path}/part={batch_id}")
-        changelog.client_marks(batch).write.mode("overwrite").parquet(
-            f"{self.marks_path}/part={batch_id}")
+        if batch_id <= self.covered():
+            return
+        batch = batch.persist()
+        fresh = changelog.dedupe(batch, self._marks_before(batch_id))
+        changelog.fold_segments(fresh, self.bits).write.mode("overwrite").parquet(f"{self.path}/parts/{batch_id}")
+        changelog.client_marks(batch).write.mode("overwrite").parquet(f"{self.path}/marks/{batch_id}")
+        batch.unpersist()
+        if batch_id % self.MARKS == self.MARKS - 1:
+            self._marks_before(batch_id + 1).write.mode("overwrite").parquet(f"{self.path}/mark_folds/{batch_id}")
+
+    def _parts(self) -> DataFrame:
+        base, covered = self._written("base_parts"), self.covered()
+        parts = [(-1, base[covered])] if covered in base else []
+        parts += [(n, p) for n, p in self._written("parts").items() if n > covered]
+        named = [self._read([p], self._PARTS).withColumn("part", F.lit(n).cast("long")) for n, p in parts]
+        none = self.spark.createDataFrame([], self._PARTS + ", part long")
+        return reduce(DataFrame.unionByName, named) if named else none
 
     def state(self) -> DataFrame:
         """(key, segment, value) after all batches so far."""
-        parts = self._read(self.parts_path, self._parts)
+        parts = self._parts()
         return changelog.live(changelog.merge_parts(parts), parts.where("has_put"))
 
     def compact(self, path: str) -> "ChangelogTable":
-        """The same state as one part below ``path``; later batches go on from there."""
+        """The same state as the base of a table at ``path``; later batches go on from there."""
         other = ChangelogTable(self.spark, path, self.bits)
-        parts = self._read(self.parts_path, self._parts)
-        last = parts.agg(F.max("part")).first()[0]
-        changelog.merge_parts(parts).write.parquet(f"{other.parts_path}/part={last}")
-        self._read(self.marks_path, self._marks).groupBy("client").agg(
-            F.max("mark").alias("mark")).write.parquet(f"{other.marks_path}/part={last}")
+        last = max([self.covered(), *self._written("parts")])
+        if last >= 0:
+            changelog.merge_parts(self._parts()).write.mode("overwrite").parquet(f"{path}/base_parts/{last}")
+            self._marks_before(last + 1).write.mode("overwrite").parquet(f"{path}/base_marks/{last}")
         return other

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,18 +26,22 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def drain(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None,
-          timeout: int | None = None) -> str:
+          timeout: int | None = None, checkpoint: str | None = None, out: str | None = None) -> str:
     """Process all that is available and return the sink folder.
 
     By default every micro-batch is written to its own ``batch_id=N`` folder;
-    a batch that is run again after a failure replaces its own folder.
+    a batch that is run again after a failure replaces its own folder. With the ``checkpoint`` and ``out``
+    of an earlier run the stream goes on where that ended.
     """
     spark = stream.sparkSession
-    out = scratch_path(spark, "stream")
+    out = out or scratch_path(spark, "stream")
+    # A timeout on the clock would ask for one more batch for ever; Until is for those.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     write = sink or (lambda df, batch: df.write.mode("overwrite").parquet(f"{out}/batch_id={batch}"))
     query = (stream.writeStream.outputMode(mode).foreachBatch(write)
-             .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+             .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
              .trigger(availableNow=True).start())
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")  # the query has its own copy
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
@@ -66,12 +71,16 @@ def latest_update(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 class Until:
-    """Run a stream that never ends by itself until enough batches brought rows."""
+    """Run a stream that never ends by itself until its results are complete.
 
-    def __init__(self, stream: DataFrame, mode: str, interval: str = "500 milliseconds"):
+    With the ``checkpoint`` and ``out`` of an earlier run it goes on where that ended.
+    """
+
+    def __init__(self, stream: DataFrame, mode: str, interval: str = "500 milliseconds",
+                 checkpoint: str | None = None, out: str | None = None):
         spark = self.spark = stream.sparkSession
         self.schema = stream.schema
-        self.out = scratch_path(spark, "stream")
+        self.out = out or scratch_path(spark, "stream")
         self._changed = threading.Condition()
         self._batches: set[int] = set()
 
@@ -79,30 +88,37 @@ class Until:
             # one action only: a second would run the stateful batch again
             place = f"{self.out}/batch_id={batch}"
             df.write.mode("overwrite").parquet(place)
-            if df.sparkSession.read.schema(self.schema).parquet(place).isEmpty():
-                return
             with self._changed:
                 self._batches.add(batch)
                 self._changed.notify_all()
 
         self.query = (stream.writeStream.outputMode(mode).foreachBatch(write)
-                      .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+                      .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
                       .trigger(processingTime=interval).start())
 
-    def wait(self, batches: int, timeout: int | None = None) -> "Until":
-        """Block until ``batches`` non-empty results were written."""
-        waited = 0
-        with self._changed:
-            while len(self._batches) < batches:
-                late = timeout is not None and waited >= timeout
-                if late or not self.query.isActive:
-                    self.query.stop()
-                    raise RuntimeError(f"the stream gave no result: {self.query.exception()}")
-                self._changed.wait(1)
-                waited += 1
-        return self
+    def rows(self) -> DataFrame:
+        """What was written so far, with batch numbers."""
+        if not self._batches:
+            return self.spark.createDataFrame([], T.StructType(
+                [*self.schema.fields, T.StructField("batch_id", T.LongType())]))
+        return all_batches(self.spark, self.out, self.schema)
+
+    def wait(self, done: Callable[[DataFrame], bool], timeout: int = 300) -> "Until":
+        """Block until ``done`` holds for the rows written; it is asked first before any batch."""
+        end, seen = time.monotonic() + timeout, -1
+        while True:
+            with self._changed:
+                if len(self._batches) == seen:
+                    self._changed.wait(1)
+                fresh, seen = len(self._batches) != seen, len(self._batches)
+            if fresh and done(self.rows()):
+                return self
+            if time.monotonic() > end or not self.query.isActive:
+                self.query.stop()
+                raise RuntimeError(f"the stream's results are not complete: {self.query.exception()}")
 
     def stop(self) -> DataFrame:
         """End the stream and return what it wrote, with batch numbers."""
+        rows = self.rows()
         self.query.stop()
-        return all_batches(self.spark, self.out, self.schema)
+        return rows

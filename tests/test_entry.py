@@ -15,7 +15,7 @@ from millrace.streaming import jobs
 def test_every_query_has_sql():
     assert set(plans.QUERIES) == set(plans.ORACLES)
     assert set(plans.QUERIES) <= set(entry.queries())
-    assert len(plans.QUERIES) == 118
+    assert len(plans.QUERIES) == 126
 
 
 def test_flagship(spark):
@@ -27,7 +27,7 @@ def test_flagship(spark):
 def test_workers_need_no_copy_of_the_package(tmp_path):
     blob = tmp_path / "fn.pkl"
     blob.write_bytes(cloudpickle.dumps((texts.map_words, texts.WordPairs.func, jobs._partials,
-                                        jobs.update_session(1))))
+                                        jobs._add_to_session)))
     code = "import pickle; f = pickle.load(open('fn.pkl', 'rb')); print(f[0]('n', 'a b'))"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,

@@ -97,6 +97,15 @@ def test_assign(spark, op, out):
     assert df.select(arrays.assign(op, F.col("a"), F.col("b"))).first()[0] == out
 
 
+def test_integers_divide_with_truncation(spark):
+    df = spark.createDataFrame([(7, 2), (-7, 2), (3, 0)], "a int, b int")
+    pick = lambda where: [r[0] for r in df.where(where).select(
+        arrays.assign("DIVIDE", F.col("a"), F.col("b"), True)).collect()]
+    assert pick("b = 2") == [3, -3]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|zero"):
+        pick("b = 0")
+
+
 def test_epoch_ms_ignores_the_session_zone(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:07.179575' AS t")
     before = spark.conf.get("spark.sql.session.timeZone")

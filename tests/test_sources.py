@@ -5,9 +5,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import scratch_path
+from millrace.session import scratch_path, shared_dir
 from millrace.sources import delimited, envelope, files, hive, kafka, labelled
 from millrace.sources.catalog import Catalog
+from millrace.streaming import run
 
 
 def write(tmp_path, name, text):
@@ -108,11 +109,47 @@ def test_producer_records_and_report(spark):
     kafka.write_topic(sent.select(kafka.int_key(F.col("key")).alias("key"), "value"), "t", files=path)
     stored = spark.read.parquet(path)
     assert stored.select(F.col("value").cast("string")).orderBy("value").first()[0] == "Message_1"
-    topic = stored.select("key", F.lit(2).alias("partition"), F.lit(5).cast("long").alias("offset"),
-                          F.timestamp_millis(F.lit(1500)).alias("timestamp"))
+    places = stored.groupBy("partition").agg(F.sort_array(F.collect_list("offset")).alias("o")).collect()
+    assert all(r.o == list(range(len(r.o))) for r in places) and sum(len(r.o) for r in places) == 10
+    topic = stored.withColumn("timestamp", F.timestamp_millis(F.lit(1500)))
     report = kafka.delivery_report(sent.withColumn("sent_at", F.timestamp_millis(F.lit(1000))), topic)
-    assert report.count() == 10
-    assert report.where("key = 3").first().report == "message(3, Message_3) sent to partition(2), offset(5) in 500 ms"
+    assert report.count() == 10 and report.where("elapsed_ms = 500").count() == 10
+    twice = sent.union(sent).withColumn("sent_at", F.timestamp_millis(F.lit(1000)))
+    again = scratch_path(spark, "topic")
+    kafka.write_topic(twice.select(kafka.int_key(F.col("key")).alias("key"), "value"), "t", files=again)
+    report = kafka.delivery_report(twice, spark.read.parquet(again))
+    assert report.count() == 20 == report.select("partition", "offset").distinct().count()
+
+
+def test_wide_keys_are_an_error(spark):
+    df = spark.createDataFrame([(2 ** 32 + 5,)], "k long")
+    with pytest.raises(Exception, match="no 4-byte key"):
+        df.select(kafka.int_key(F.col("k"))).collect()
+    assert bytes(df.select(kafka.int_key(F.col("k"), 8)).first()[0]) == (2 ** 32 + 5).to_bytes(8, "big")
+
+
+def test_assigned_partitions(spark):
+    path = scratch_path(spark, "topic")
+    spark.createDataFrame([("a", 0), ("a", 1), ("b", 0)], "topic string, partition int").select(
+        F.lit(None).cast("binary").alias("key"), F.col("topic").cast("binary").alias("value"), "topic", "partition",
+        F.lit(0).cast("long").alias("offset"), F.timestamp_millis(F.lit(0)).alias("timestamp"),
+        F.lit(0).alias("timestampType")).write.parquet(path)
+    rows_ = kafka.stream_topic(spark, "assign", '{"a": [1], "b": [0, 3]}', files=path)
+    out = run.drain(rows_.select("topic", "partition"), "append")
+    got = run.all_batches(spark, out, rows_.select("topic", "partition").schema)
+    assert sorted((r.topic, r.partition) for r in got.collect()) == [("a", 1), ("b", 0)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    class Context:
+        master, applicationId = "spark://host:7077", "app-1"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
 
 
 def test_subscriptions(spark):

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -52,19 +53,55 @@ EVENTS = "value string, timestamp timestamp_ntz"
 def test_sessions_and_timeout(spark):
     path = scratch_path(spark, "in")
     put(spark, path, [("u", second(0)), ("u", second(4)), ("v", second(1))], EVENTS)
-    got = sessions(spark, path, 2000).wait(2, timeout=300).stop().drop("batch_id")
+    done = lambda r: r.where("expired").count() == 2
+    got = sessions(spark, path, 2000).wait(done).stop().drop("batch_id")
     assert rows(got) == [("u", 4000, 2, False), ("u", 4000, 2, True), ("v", 0, 1, False), ("v", 0, 1, True)]
 
 
 def test_late_events_never_lower_the_start(spark):
     path = scratch_path(spark, "in")
     put(spark, path, [("u", second(10)), ("u", second(12))], EVENTS)
-    feed = sessions(spark, path, 600_000).wait(1, timeout=300)
+    feed = sessions(spark, path, 600_000).wait(lambda r: r.count() == 1)
     put(spark, path, [("u", second(3)), ("u", second(15))], EVENTS)
-    got = run.latest_update(feed.wait(2, timeout=300).stop(), ["id"])
+    got = run.latest_update(feed.wait(lambda r: r.count() == 2).stop(), ["id"])
     assert rows(got) == [("u", 5000, 4, False)]
 
 
+def test_nothing_to_wait_for(spark):
+    path = scratch_path(spark, "in")
+    put(spark, path, [], EVENTS)
+    feed = sessions(spark, path, 2000)
+    assert rows(feed.wait(lambda r: r.count() >= 0).stop()) == []
+    with pytest.raises(RuntimeError, match="not complete"):
+        sessions(spark, path, 2000).wait(lambda r: r.count() > 0, timeout=3)
+
+
+def test_a_stream_goes_on_from_its_checkpoint(spark):
+    path, checkpoint, out = (scratch_path(spark, n) for n in ("in", "checkpoint", "out"))
+    lines = spark.readStream.schema(EVENTS).parquet
+    for piece in ([("u", second(1)), ("u", second(3))], [("u", second(2)), ("u", second(9))]):
+        put(spark, path, piece, EVENTS)
+        words = jobs.word_events(lines(path)).select("session_id", epoch_ms(F.col("timestamp")).alias("at_ms"))
+        job = jobs.sessionize(words, 3_600_000)
+        run.drain(job, "update", checkpoint=checkpoint, out=out)
+    got = run.all_batches(spark, out, job.schema)
+    assert rows(got.drop("batch_id")) == [("u", 2000, 2, False), ("u", 8000, 4, False)]
+
+
+def test_own_state_function(spark):
+    path = scratch_path(spark, "in")
+    put(spark, path, [(1, 5), (2, 7), (1, 9)], "k long, v long")
+    put(spark, path, [(1, 1)], "k long, v long")
+    stream = spark.readStream.schema("k long, v long").option("maxFilesPerTrigger", 1).parquet(path)
+
+    def largest(key, parts, old):
+        return (max([int(p["v"].max()) for p in parts] + list(old or ())),)
+
+    job = jobs.stateful(stream, "k", largest, lambda k, s, expired: (k, s[0]), "k long, top long", "top long", 3_600_000)
+    got = run.latest_update(run.all_batches(spark, run.drain(job, "update"), job.schema), ["k"])
+    assert rows(got) == [(1, 9), (2, 7)]
+
+
 def test_join_with_a_table(spark):
     path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "key long, value string").write.json(path)
@@ -92,6 +129,10 @@ def test_changelog_over_batches(spark):
     assert rows(table.state()) == rows(whole)
     short = table.compact(scratch_path(spark, "short"))
     assert rows(short.state()) == rows(whole)
+    short.apply(spark.createDataFrame(log[40:], schema), 2)  # a batch that is run again after the compaction
+    assert rows(short.state()) == rows(whole)
+    assert rows(short.compact(scratch_path(spark, "shorter")).state()) == rows(whole)
+    assert rows(jobs.ChangelogTable(spark).compact(scratch_path(spark, "none")).state()) == []
     more = [(60, "Append", "k0", "<60>", 0, 100), (61, "Append", "k0", "<no>", 1, 5)]
     short.apply(spark.createDataFrame(more, schema), 3)
     assert rows(short.state()) == rows(changelog.fold(spark.createDataFrame(log + more, schema), bits=3))
@@ -101,6 +142,17 @@ def test_changelog_over_batches(spark):
     assert rows(streamed.state()) == rows(whole)
 
 
+def test_marks_are_folded(spark):
+    schema = "log_index long, op string, key string, value string, client long, request_id long"
+    log = [(i, "Append", "k", f"<{i}>", i % 3, i // 3 - (2 if i % 7 == 0 else 0)) for i in range(24)]
+    table = jobs.ChangelogTable(spark)
+    table.MARKS = 3
+    for batch in range(8):
+        table.apply(spark.createDataFrame(log[3 * batch:3 * batch + 3], schema), batch)
+    assert sorted(table._written("mark_folds")) == [2, 5]
+    assert rows(table.state()) == rows(changelog.fold(spark.createDataFrame(log, schema)))
+
+
 def test_topic_replay(spark):
     path = scratch_path(spark, "topic")
     spark.createDataFrame([(b"a", "t1"), (b"b", "t2"), (b"c", "u")], "value binary, topic string").select(
