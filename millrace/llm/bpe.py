@@ -5,8 +5,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -17,7 +15,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .common import Memo, most_frequent, slices
 from .packing import _byte_symbols
 
@@ -155,14 +153,11 @@ class Automaton:
                 "ids": np.frombuffer(b"".join(ids for _, ids in ordered), "<i4"), "root": np.array([root], np.int32)}
 
     @staticmethod
-    def save(arrays: dict[str, np.ndarray], path: str) -> None:
-        """One file: a line of names, types and lengths, then the arrays."""
+    def image(arrays: dict[str, np.ndarray]) -> bytes:
+        """The content of a file to map: a line of names, types and lengths, then the arrays."""
         head = json.dumps([(k, v.dtype.str, len(v)) for k, v in arrays.items()]).encode()
         head += b" " * (-(len(head) + 1) % 8) + b"\n"
-        with open(path, "wb") as file:
-            file.write(head)
-            for v in arrays.values():
-                file.write(v.tobytes() + b"\0" * (-v.nbytes % 8))
+        return head + b"".join(v.tobytes() + b"\0" * (-v.nbytes % 8) for v in arrays.values())
 
     @classmethod
     def open(cls, path: str) -> Automaton:
@@ -198,11 +193,14 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", wor
         for word in words_of(r["chunk"], " "):
             found[word.encode()] += r["n"]
     arrays = Automaton.build((w, merger.merge(w)) for w, _ in found.most_common(words))
-    name = f"lexicon-{uuid.uuid4().hex}.fst"
-    path = os.path.join(tempfile.mkdtemp(), name)
-    Automaton.save(arrays, path)
-    docs.sparkSession.sparkContext.addFile(path)
-    return name
+    spark = docs.sparkSession
+    path = scratch_path(spark, "lexicon")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    file.write(bytearray(Automaton.image(arrays)))
+    file.close()
+    spark.sparkContext.addFile(path)  # each executor fetches its copy, a new one too
+    return os.path.basename(path)
 
 
 class Encoder:

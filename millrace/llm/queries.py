@@ -15,8 +15,6 @@ from .common import read_documents
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Where the vocabulary files are.
-TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
 
 
@@ -31,7 +29,13 @@ def query(name: str, sql: str | None = None):
 
 
 def vocabulary(name: str) -> str:
-    return packing.read_spec(os.path.join(TOKENIZERS, name))
+    """The text of a vocabulary file, from the folder in MILLRACE_TOKENIZERS or else the installed files."""
+    folder = os.environ.get("MILLRACE_TOKENIZERS")
+    if folder:
+        return packing.read_spec(os.path.join(folder, name))
+    import public_tokenizers
+
+    return packing.read_spec(public_tokenizers.path(name))
 
 
 # Each step, the shard whose turn it is claims the first free slot of its own order.

@@ -1,8 +1,6 @@
-import os
-
 import pytest
 
-from millrace.llm import packing
+from millrace.llm import queries
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, text_2 string, id long, row long"
@@ -31,5 +29,4 @@ def empty(spark):
 
 @pytest.fixture(scope="session")
 def vocabulary():
-    folder = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
-    return lambda name: packing.read_spec(os.path.join(folder, name))
+    return queries.vocabulary
