@@ -12,7 +12,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The white space that separates words, as a Java and as a Python pattern.
 BLANKS = r"[\x20\x09-\x0D]+"
 # Texts are worked on in Python in slices of at most so many characters.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,7 +18,7 @@ from .common import bounded_sample, most_frequent, slices
 
 # Documents to fit on, and entries of the model: words and n-grams of all languages together.
 FIT_DOCUMENTS = 12_000
-ENTRIES = 300_000
+ENTRIES = 200_000
 LONGEST = 4
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
@@ -141,7 +141,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
         for batch in batches:
             for first, texts in slices(batch, "text"):
                 names, scores = [], []
-                if len(numbers) > 300_000:
+                if len(numbers) > 150_000:
                     numbers, table, letters = Numbers(), np.zeros((0, wide), np.float32), np.zeros(0, bool)
                 places = [np.fromiter(map(numbers.__getitem__, t.split() if t else ()), np.int64) for t in texts]
                 if numbers.new:
