@@ -125,12 +125,12 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     without letters, and any text under a model without languages are ``und`` with score 0. Ties go to the first language
     by name. Null and repeated ids are rows like others; an empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.rows, model.table))  # plain data
     rows = docs.select(F.col(id_col).alias("doc_id"), *extra, F.col(text_col).alias("text"))
     kept = [f for f in rows.schema if f.name != "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = LanguageModel(*sent.value)
         wide = len(model.languages)
         numbers, table = Numbers(), np.zeros((0, wide), np.float32)
         letters = np.zeros(0, bool)

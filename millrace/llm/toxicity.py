@@ -194,11 +194,11 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     grade 1 or more and ``toxic`` whether that is a half or more. Null text counts as empty. Null and
     repeated ids are rows like others. An empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))  # plain data
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = OrdinalModel(*sent.value)
 
         def weighty(chunk: str) -> tuple[int, ...]:
             return tuple(f for w in _parts(chunk) if (f := _feature(w)) in model.weights)
