@@ -159,6 +159,16 @@ def lr_train(spark, sf):
     return train_model(spark, sf).select("idx", *[F.round(c, 4).alias(c) for c in ("z", "n", "w")])
 
 
+@query("lr_predict_table", """
+SELECT vec_id, CAST(list_sum(list_transform(range(1, 65), lambda i:
+  CAST(embedding[i] AS DOUBLE) * (i - 32.5) / 64)) >= 0 AS INT) AS predicted FROM embeddings""")
+def lr_predict_table(spark, sf):
+    """The model as a table, joined by position."""
+    weights = spark.range(LENGTH).select(F.col("id").cast("int").alias("idx"), ((F.col("id") - 31.5) / LENGTH).alias("w"))
+    rows = load(spark, sf, "embeddings").select("vec_id", "embedding")
+    return learn.predict_table(rows, "vec_id", "embedding", weights).select("vec_id", "predicted")
+
+
 @query("lr_predict", """
 SELECT vec_id, CAST(list_sum(list_transform(range(1, 65), lambda i:
   CAST(embedding[i] AS DOUBLE) * (i - 32.5) / 64)) >= 0 AS INT) AS predicted FROM embeddings""")

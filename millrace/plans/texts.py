@@ -42,6 +42,16 @@ def inverted_index_segments(spark, sf):
     return textjobs.inverted_index(documents(spark, sf), "doc_id", "text", bits=6)
 
 
+@query("inverted_index_names", f"""
+WITH pairs AS (SELECT DISTINCT 'talk-' || conv_id || '-' || turn AS name, unnest({words_sql('text')}) AS word FROM conversations)
+SELECT word, count(*) OVER (PARTITION BY word) AS n_docs, name FROM pairs""")
+def inverted_index_names(spark, sf):
+    """The index of named records, one row per word and name."""
+    talks = conversations(spark, sf).select(F.concat_ws("-", F.lit("talk"), "conv_id", "turn").alias("name"), "text")
+    index = textjobs.inverted_index_by_name(talks, "name", "text", bits=33)
+    return index.select("word", "n_docs", F.explode(F.split("docs", ",")).alias("name"))
+
+
 @query("distinct_keys", f"SELECT DISTINCT word AS key, '' AS value FROM ({_DOC_WORDS}) ORDER BY key")
 def distinct_keys(spark, sf):
     return textjobs.distinct_keys(documents(spark, sf), "text")
@@ -101,6 +111,21 @@ def range_slices(spark, sf):
         "slice", "n", *[F.col(c).cast("string").alias(c) for c in ("first_key", "last_key")])
 
 
+@query("key_ranges", """
+WITH k AS (SELECT CAST(o_orderkey AS HUGEINT) * 11400714819323198485 % 18446744073709551616 AS key FROM orders),
+r AS (SELECT i::INT AS slice, i::HUGEINT * (18446744073709551615::HUGEINT // 64) AS first,
+  CASE WHEN i = 63 THEN 18446744073709551616::HUGEINT ELSE (i + 1)::HUGEINT * (18446744073709551615::HUGEINT // 64) END AS after
+  FROM range(64) t(i))
+SELECT slice, first::VARCHAR AS first, after::VARCHAR AS after, count(key) AS n
+FROM r LEFT JOIN k ON key >= first AND key < after GROUP BY ALL""")
+def key_ranges(spark, sf):
+    """Every range with its bounds and the number of keys in it."""
+    ranges = [(i, str(a), str(b)) for i, (a, b) in enumerate(partitioning.key_ranges(64))]
+    bounds = spark.createDataFrame(ranges, "slice int, first string, after string")
+    counts = range_slices(spark, sf).select("slice", "n")
+    return bounds.join(counts, "slice", "left").select("slice", "first", "after", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 @query("custom_slicer", """
 SELECT CASE WHEN o_orderpriority < '3' THEN 0 ELSE CAST(o_custkey % 4 AS INT) + 1 END AS slice,
        count(*) AS n, min(o_orderkey) AS first_key FROM orders GROUP BY 1""")
