@@ -60,11 +60,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("row"),
                        F.spark_partition_id().alias("part"))
-    parts = max(1, rows.rdd.getNumPartitions())
-    bits = min(MOST_BITS, max(1, math.ceil(math.log2(parts))))
     digests = cut_lineage(rows.select(
-        "id", "row", F.pmod("part", F.lit(1 << bits)).cast("long").alias("run"), F.xxhash64("text").alias("digest"),
+        "id", "row", "part", F.xxhash64("text").alias("digest"),
         F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "digests")
+    parts = (digests.agg(F.max("part")).first()[0] or 0) + 1
+    bits = min(MOST_BITS, max(1, math.ceil(math.log2(parts))))
+    digests = digests.withColumn("run", F.pmod("part", F.lit(1 << bits)).cast("long"))
     merged = merge_runs(digests, bits, F.max if keep == "max" else F.min, fan_bits)
     groups = merged.select(*VERIFY, "best", "copies")
     return digests.join(groups, VERIFY).select(
