@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path
+from ..session import scratch_path
 from .ordered import Running, order_span, running
 
 SEGMENT_BITS = 16
@@ -74,18 +74,17 @@ def merge_parts(parts: DataFrame) -> DataFrame:
     return _join_after_put(parts, "part", F.col("has_put"), "text")
 
 
-def put_segments(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
-    """(key, segment) of every Put of a deduplicated log."""
-    return log.where(F.col("op") == "Put").select(
-        "key", F.shiftright("log_index", bits).alias("segment"))
+def puts_of(segments: DataFrame) -> DataFrame:
+    """(key, segment) of the segments that hold a Put.
 
+    The condition on the text is always true. It keeps the column, so that this plan and that of the
+    segments have one exchange, which is written once and read twice.
+    """
+    return segments.where(F.col("has_put") & (F.length("text") >= 0)).select("key", "segment")
 
-def live(segments: DataFrame, puts: DataFrame) -> DataFrame:
-    """Segments from the key's last Put on, as (key, segment, value).
 
-    ``puts`` (key, segment) comes from the source of the segments, so that the
-    texts are put together once.
-    """
+def live(segments: DataFrame, puts: DataFrame) -> DataFrame:
+    """Segments from the key's last Put on, as (key, segment, value)."""
     last = puts.groupBy(F.col("key").alias("k_p")).agg(F.max("segment").alias("p"))
     joined = segments.join(last, F.col("key") == F.col("k_p"), "left")
     return joined.where(F.col("p").isNull() | (F.col("segment") >= F.col("p"))).select(
@@ -94,8 +93,8 @@ def live(segments: DataFrame, puts: DataFrame) -> DataFrame:
 
 def fold(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
     """State after the whole log: (key, segment, value)."""
-    applied = cut_lineage(dedupe(log), "applied")
-    return live(fold_segments(applied, bits), put_segments(applied, bits))
+    segments = fold_segments(dedupe(log), bits)
+    return live(segments, puts_of(segments))
 
 
 def get(log: DataFrame, keys: DataFrame, upto: int | None = None,
@@ -105,8 +104,9 @@ def get(log: DataFrame, keys: DataFrame, upto: int | None = None,
         log = log.where(F.col("log_index") <= upto)
     wanted = keys.select(F.col("key").alias("k_w")).distinct()
     # every op counts for the dedupe, but only wanted keys are folded
-    ops = cut_lineage(dedupe(log).join(wanted, F.col("key") == F.col("k_w"), "left_semi"), "applied")
-    state = live(fold_segments(ops, bits), put_segments(ops, bits)).withColumnRenamed("key", "k_s")
+    ops = dedupe(log).join(wanted, F.col("key") == F.col("k_w"), "left_semi")
+    segments = fold_segments(ops, bits)
+    state = live(segments, puts_of(segments)).withColumnRenamed("key", "k_s")
     return keys.select("key").join(state, F.col("key") == F.col("k_s"), "left").select(
         "key", F.coalesce("segment", F.lit(0)).alias("segment"),
         F.coalesce("value", F.lit("")).alias("value"))
@@ -137,10 +137,9 @@ def replay(spark: SparkSession, snap: Snapshot, log: DataFrame,
     tail = log.where(F.col("log_index") > snap.index)
     marks = spark.read.parquet(snap.marks_path)
     old = spark.read.parquet(snap.state_path).withColumn("part", F.lit(0))
-    applied = cut_lineage(dedupe(tail, marks), "applied")
-    new = fold_segments(applied, bits).withColumn("part", F.lit(1))
-    puts = old.where("has_put").select("key", "segment").unionByName(put_segments(applied, bits))
-    return live(merge_parts(old.unionByName(new)), puts)
+    new = fold_segments(dedupe(tail, marks), bits).withColumn("part", F.lit(1))
+    merged = merge_parts(old.unionByName(new))
+    return live(merged, puts_of(merged))
 
 
 def committed_changes(log: DataFrame) -> DataFrame:
