@@ -60,7 +60,8 @@ class Bucket:
             least = np.minimum(least[:-done], least[done:])
             done *= 2
         rest = width - done
-        self.anchor = np.minimum(least[:n], least[rest:rest + n]) if n else run[:0]
+        # The least of several values is a low one; mixed again, anchors are even over all prefixes.
+        self.anchor = _mix(np.minimum(least[:n], least[rest:rest + n])) if n else run[:0]
         valid = np.zeros(n, bool)
         for a, b in zip(self.starts.tolist(), self.ends.tolist()):
             if b - a >= window:
