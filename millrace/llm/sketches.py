@@ -80,47 +80,35 @@ def sketches(docs: DataFrame, k: int = K, shingle: int = SHINGLE, id_col: str =
                        distinct_shingles(F.col("sketch"), k).alias("shingles"))
 
 
-def with_next(docs: DataFrame, key: str, *carried: str, range_bytes: int = RANGE_BYTES, size: Column) -> DataFrame:
-    """``docs`` with ``next``, a struct of the ``carried`` columns of the row before it by ``key``, descending.
+def in_ranges(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``rows`` (doc_id, text) in ranges of ids, by size, with range int, tie long and lent int.
 
-    The row after the least key is that of the greatest. Keys are cut into ranges by size, and each range is also
-    given the greatest row of the range below, so no row needs another task. A key that spans several cuts is dealt over their
-    ranges by a hash of the row. Null keys come last.
+    Each range is also given the greatest row of the range below (lent 1), the lowest range that of the highest (lent 2),
+    so that the row before each of its own is there. An id that spans several cuts is dealt over their ranges by the
+    hash of its text, in which the rows of an id are ordered. Null ids are below all others. Everything is told from the
+    rows' content, so a repeated reading gives the same.
     """
-    total = docs.agg(F.sum(size.cast("long")).alias("n")).first()["n"] or 0
+    total = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     ranges = max(1, math.ceil(total / range_bytes))
     cuts: list[float] = []
     if ranges > 1:
-        cuts = docs.where(F.col(key).isNotNull()).approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.2 / ranges)
-    tie = F.xxhash64(*[F.col(c) for c in carried]).alias("__tie")
+        known = rows.select("doc_id").where(F.col("doc_id").isNotNull())
+        cuts = known.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
     bounds = F.array(*[F.lit(int(c)).cast("long") for c in cuts])
-    below, upto = (F.size(F.filter(bounds, test)) for test in (lambda c: c < F.col(key), lambda c: c <= F.col(key)))
-    rows = docs.select("*", tie, F.monotonically_increasing_id().alias("__row"))
-    # Within a key, ranges go by the leading bits of the tie, in which the key's rows are ordered.
-    step = F.floor((F.col("__tie").cast("double") / 2.0 ** 64 + 0.5) * (upto - below)).cast("int")
+    below, upto = (F.size(F.filter(bounds, test)) for test in (lambda c: c < F.col("doc_id"), lambda c: c <= F.col("doc_id")))
+    step = F.floor((F.col("tie").cast("double") / 2.0 ** 64 + 0.5) * (upto - below)).cast("int")
     inside = F.when(upto - below > 1, below + 1 + F.least(F.greatest(step, F.lit(0)), upto - below - 1)).otherwise(upto)
-    rows = rows.withColumn("__range", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(inside))
-    order = F.struct(F.col(key), F.col("__tie"), F.col("__row"))
-    # One row per range, and there are as many ranges as the size asks for.
-    tops = rows.groupBy("__range").agg(F.max(order).alias("__top"))
-    places = {r["__range"]: r["__top"] for r in tops.collect()}
-    filled = sorted(places)
+    dealt = rows.select("doc_id", "text", F.xxhash64("text").alias("tie")).withColumn(
+        "range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(inside).cast("int"))
+    top = F.max_by(F.struct("doc_id", "text", "tie"), F.struct("doc_id", "tie")).alias("top")
+    filled = sorted(r["range"] for r in dealt.select("range").distinct().collect())  # as many as the size asks for
     if not filled:
-        return docs.withColumn("next", F.struct(*[F.col(c) for c in carried]))
-    above = [(places[low]["__row"], high) for low, high in zip(filled, filled[1:] + filled[:1])]
-    lent = docs.sparkSession.createDataFrame(above, "__row long, __lent int")
-    here = rows.join(F.broadcast(lent), "__row", "left")
-    wrap = F.col("__lent") <= F.col("__range")  # the greatest row of all, lent to the lowest range
-    copies = F.explode(F.when(F.col("__lent").isNull(), F.array(F.struct(F.col("__range").alias("at"), F.lit(0).alias("lent"))))
-                       .otherwise(F.array(F.struct(F.col("__range").alias("at"), F.lit(0).alias("lent")),
-                                          F.struct(F.col("__lent").alias("at"), F.when(wrap, 2).otherwise(1).alias("lent")))))
-    dealt = here.select("*", copies.alias("__copy"))
-    # A lent row is below all rows of its range.
-    window = Window.partitionBy(F.col("__copy.at")).orderBy(
-        F.col("__copy.lent"), F.col(key).desc_nulls_last(), F.desc("__tie"), F.desc("__row"))
-    nxt = F.lead(F.struct(*[F.col(c) for c in carried])).over(window)
-    return (dealt.withColumn("next", nxt).where(F.col("__copy.lent") == 0)
-            .select(*[F.col(f"`{c}`") for c in docs.columns], "next"))
+        return dealt.withColumn("lent", F.lit(0))
+    above = [(low, high, 2 if high <= low else 1) for low, high in zip(filled, filled[1:] + filled[:1])]
+    to = rows.sparkSession.createDataFrame(above, "range int, to int, lent int")
+    lent = dealt.groupBy("range").agg(top).join(F.broadcast(to), "range").select(
+        "top.doc_id", "top.text", "top.tie", F.col("to").alias("range"), "lent")
+    return dealt.withColumn("lent", F.lit(0)).unionByName(lent)
 
 
 def edited_texts(docs: DataFrame, k: int = K, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
@@ -131,10 +119,10 @@ def edited_texts(docs: DataFrame, k: int = K, shingle: int = SHINGLE, id_col: st
     its end; the document after the last is the first. Null text counts as empty. Rows of one id follow each other in order of
     a hash of the text; null ids come last. A sole document is its own next. An empty table gives no rows.
     """
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    rows = docs.select(F.col(id_col).alias("doc_id"), text)
-    rows = rows.select("doc_id", "text", sketch(shingle_hashes(F.col("text"), shingle), k).alias("sketch"))
-    rows = with_next(rows, "doc_id", "text", "sketch", range_bytes=range_bytes, size=F.octet_length("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = in_ranges(rows, range_bytes).withColumn("sketch", sketch(shingle_hashes(F.col("text"), shingle), k))
+    window = Window.partitionBy("range").orderBy("lent", F.col("doc_id").desc_nulls_last(), F.desc("tie"))
+    rows = rows.withColumn("next", F.lead(F.struct("text", "sketch")).over(window)).where("lent = 0")
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - third),
                       F.substring(F.col("next.text"), F.lit(1), third))
