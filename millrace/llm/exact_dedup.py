@@ -42,7 +42,7 @@ def merge_runs(digests: DataFrame, bits: int, keep=F.max, fan_bits: int = FAN_BI
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
-                     fan_bits: int = FAN_BITS) -> DataFrame:
+                     fan_bits: int = FAN_BITS, row_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256 and row.
 
     Texts are equal when identical after lower-casing A-Z. Digests are sorted and
@@ -53,12 +53,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     last, by place in the input). A null id loses against any other with "max", and wins
     with "min". An empty table gives no rows. Other columns are not read.
 
-    ``row`` numbers the input rows in the order of this reading only.
+    ``row`` numbers the input rows in the order of this reading only, unless ``row_col`` has numbers.
     """
     if keep not in ("max", "min"):
         raise ValueError("keep is max or min")
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("row"),
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
                        F.spark_partition_id().alias("part"))
     digests = cut_lineage(rows.select(
         "id", "row", "part", F.xxhash64("text").alias("digest"),
@@ -75,8 +75,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, all columns. Cases as in :func:`exact_duplicates`."""
-    # The same plan over the same files numbers the rows alike, also when a task runs again.
-    found = exact_duplicates(docs, id_col, text_col, keep)
+    # The numbers are written down: another reading may cut the files in other places.
+    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = exact_duplicates(numbered, id_col, text_col, keep, row_col="__row")
     gone = found.where(~F.col("kept")).select(F.col("row").alias("__row"))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     return numbered.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -241,15 +241,15 @@ def drop_near_duplicates(docs: DataFrame, radius: int, shingle: int, lanes: int,
                          text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, all columns: the one with the smallest id, null ids last.
 
-    Of rows with equal ids the first by place stays. ``docs`` must be stored data, so that a second
-    reading numbers the rows alike. Cases as in :func:`near_duplicates`.
+    Of rows with equal ids the first by place stays. Cases as in :func:`near_duplicates`.
     """
-    number = F.monotonically_increasing_id().alias("__row")
-    found = near_duplicates(docs, radius, shingle, lanes, id_col, text_col, None, number).where("component_size > 1")
+    # The numbers are written down: another reading may cut the files in other places.
+    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered, radius, shingle, lanes, id_col, text_col, None, F.col("__row")).where("component_size > 1")
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row"))
     best = found.groupBy("component").agg(F.min(place)["row"].alias("best"))
     gone = found.join(best, "component").where(F.col("__row") != F.col("best")).select("__row")
-    return (docs.withColumn("__row", number).join(gone, "__row", "left_anti")
+    return (numbered.join(gone, "__row", "left_anti")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
