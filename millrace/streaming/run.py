@@ -36,12 +36,14 @@ def drain(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] |
     spark = stream.sparkSession
     out = out or scratch_path(spark, "stream")
     # A timeout on the clock would ask for one more batch for ever; Until is for those.
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    idle = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(idle)
+    spark.conf.set(idle, "false")
     write = sink or (lambda df, batch: df.write.mode("overwrite").parquet(f"{out}/batch_id={batch}"))
     query = (stream.writeStream.outputMode(mode).foreachBatch(write)
              .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
              .trigger(availableNow=True).start())
-    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")  # the query has its own copy
+    spark.conf.set(idle, before)  # the query has its own copy
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
