@@ -39,10 +39,17 @@ def key_sums(pushes: DataFrame) -> DataFrame:
     return pushes.groupBy("key").agg(F.sum("val").alias("val"))
 
 
-def join_static(stream: DataFrame, table: DataFrame) -> DataFrame:
-    """Records joined to a stored table on ``key``; both copies stay, no state is kept."""
-    other = table.toDF(*[f"s_{c}" for c in table.columns])
-    return stream.join(other, F.col("key") == F.col("s_key"), "inner")
+def join_static(stream: DataFrame, table: DataFrame, salts: int = 8) -> DataFrame:
+    """Records joined to a stored table on ``key``; both copies stay, no state is kept.
+
+    Micro-batches run without adaptive execution, so the records of each key are dealt over ``salts`` parts by their
+    content, and the table, the smaller side, has a copy for each.
+    """
+    other = table.toDF(*[f"s_{c}" for c in table.columns]).withColumn(
+        "s_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(salts)).cast("int")
+    dealt = stream.withColumn("salt", salt)
+    return dealt.join(other, (F.col("key") == F.col("s_key")) & (F.col("salt") == F.col("s_salt"))).drop("salt", "s_salt")
 
 
 def join_static_batches(table: DataFrame, path: str):
