@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The white space that separates words, as a Java and as a Python pattern.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -84,3 +86,16 @@ def most_frequent(counted: DataFrame, most: int, by: str = "n") -> DataFrame:
             break
         least = r["step"]
     return counted.where(step >= least) if least is not None else counted.limit(0)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, ``__row``, written to the shared folder.
+
+    Numbers that are made while reading depend on how the files are cut, which another reading may do
+    otherwise. The copy is compressed well, as it stays until the shared folder is cleared.
+    """
+    spark = docs.sparkSession
+    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    path = scratch_path(spark, "numbered")
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

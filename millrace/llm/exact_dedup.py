@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ascii_lower
+from .common import ascii_lower, numbered
 
 # Runs that meet in one merge, as a power of two.
 FAN_BITS = 3
@@ -75,8 +75,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, all columns. Cases as in :func:`exact_duplicates`."""
-    # The numbers are written down: another reading may cut the files in other places.
-    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = exact_duplicates(numbered, id_col, text_col, keep, row_col="__row")
+    rows = numbered(docs)
+    found = exact_duplicates(rows, id_col, text_col, keep, row_col="__row")
     gone = found.where(~F.col("kept")).select(F.col("row").alias("__row"))
-    return numbered.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

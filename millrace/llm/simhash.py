@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import slices
+from .common import numbered, slices
 from .components import components
 
 SHINGLE = 4
@@ -243,13 +243,12 @@ def drop_near_duplicates(docs: DataFrame, radius: int, shingle: int, lanes: int,
 
     Of rows with equal ids the first by place stays. Cases as in :func:`near_duplicates`.
     """
-    # The numbers are written down: another reading may cut the files in other places.
-    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(numbered, radius, shingle, lanes, id_col, text_col, None, F.col("__row")).where("component_size > 1")
+    rows = numbered(docs)
+    found = near_duplicates(rows, radius, shingle, lanes, id_col, text_col, None, F.col("__row")).where("component_size > 1")
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row"))
     best = found.groupBy("component").agg(F.min(place)["row"].alias("best"))
     gone = found.join(best, "component").where(F.col("__row") != F.col("best")).select("__row")
-    return (numbered.join(gone, "__row", "left_anti")
+    return (rows.join(gone, "__row", "left_anti")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
