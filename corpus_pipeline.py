@@ -39,7 +39,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id stays."""
     radius = simhash.radius_of(SIMILARITY, LANES, SLACK)
-    return simhash.drop_near_duplicates(docs, radius, SHINGLE, LANES)
+    return simhash.drop_near_duplicates(docs, radius, SHINGLE, LANES, distinct=True)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

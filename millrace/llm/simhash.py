@@ -20,6 +20,8 @@ RADIUS = 4
 SEED = 42
 # Fingerprints in a tile at most, and the number of tiles up to which tiles are smaller.
 TILE, TILES = 1 << 17, 24
+# Shingles that are hashed at once.
+CHUNK = 1 << 15
 # Rows and columns of a block of one comparison.
 BLOCK = (512, 2048)
 
@@ -32,22 +34,38 @@ def _mixed(h: np.ndarray, lane: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def simhash(text: str | None, shingle: int = SHINGLE, lanes: int = 1) -> np.ndarray:
-    """``lanes`` times 64 bits: one where over half of the shingle hashes have a one."""
+def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """The hash of each shingle in order, repeats included, ``CHUNK`` at a time."""
     words = (text or "").encode().lower().split()
-    out = np.zeros(lanes, np.uint64)
     if not words:
-        return out
+        return
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     ends = np.cumsum([len(w) + 1 for w in words])
     n = max(1, len(words) - shingle + 1)
     width = min(shingle, len(words))
     starts = [0, *ends[:n - 1].tolist()]
     stops = (ends[width - 1:] - 1).tolist()
-    ones = np.zeros((lanes, 64), np.int64)
-    for at in range(0, n, 1 << 15):
-        h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:at + (1 << 15)], stops[at:at + (1 << 15)])],
-                     np.uint64)
+    for at in range(0, n, CHUNK):
+        yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:at + CHUNK], stops[at:at + CHUNK])], np.uint64)
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The different shingle hashes of a text in order of value; none if it has no word."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, shingle)]))
+
+
+def simhash(text: str | None, shingle: int = SHINGLE, lanes: int = 1, distinct: bool = False) -> np.ndarray:
+    """``lanes`` times 64 bits: one where over half of the shingle hashes have a one.
+
+    A shingle that is repeated counts each time; with ``distinct``, once in the whole text.
+    """
+    chunks = _hashes(text, shingle)
+    if distinct:
+        whole = shingle_set(text, shingle)
+        chunks = (whole[at:at + CHUNK] for at in range(0, len(whole), CHUNK))
+    out, ones, n = np.zeros(lanes, np.uint64), np.zeros((lanes, 64), np.int64), 0
+    for h in chunks:
+        n += len(h)
         for lane in range(lanes):
             bits = np.unpackbits((_mixed(h, lane) if lane else h).view(np.uint8), bitorder="little")
             ones[lane] += bits.reshape(-1, 64).sum(0, dtype=np.int32)
@@ -57,7 +75,7 @@ def simhash(text: str | None, shingle: int = SHINGLE, lanes: int = 1) -> np.ndar
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, lanes: int = 1, id_col: str = "doc_id",
-                 text_col: str = "text", *extra) -> DataFrame:
+                 text_col: str = "text", *extra, distinct: bool = False) -> DataFrame:
     """doc_id, bits array<long> (one per lane), ones int (bits set), and the ``extra`` columns."""
     rows = docs.select(F.col(id_col).alias("doc_id"), *extra, F.col(text_col).alias("text"))
     kept = [f for f in rows.schema if f.name != "text"]
@@ -65,7 +83,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, lanes: int = 1, id_col
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in slices(batch, "text"):
-                bits = np.array([simhash(t, shingle, lanes) for t in texts], np.uint64).reshape(-1, lanes)
+                bits = np.array([simhash(t, shingle, lanes, distinct) for t in texts], np.uint64).reshape(-1, lanes)
                 ends = pa.array(np.arange(0, len(texts) * lanes + 1, lanes, dtype=np.int32))
                 ones = np.bitwise_count(bits).sum(1, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -209,12 +227,13 @@ def hexadecimal(bits: str = "bits"):
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, lanes: int = 1,
-                    id_col: str = "doc_id", text_col: str = "text", tile: int | None = None, *extra) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", tile: int | None = None, *extra,
+                    distinct: bool = False) -> DataFrame:
     """One row per document: doc_id, the ``extra`` columns, fingerprint, component_id, component_size
     and component, the fingerprint that stands for it.
 
     A-Z are lower-cased, words are cut at ASCII white space, and a fingerprint bit is set where over half of the
-    shingle hashes (XXH64, repeats included) have it. Fewer words than a shingle are one shingle; no
+    shingle hashes (XXH64, repeats included, or without them if ``distinct``) have it. Fewer words than a shingle are one shingle; no
     word gives fingerprint zero, linked like any other. Fingerprints within ``radius`` bits are linked;
     ``component_id`` is the smallest id that can be reached. Equal fingerprints are compared once, whatever
     the number of their documents.
@@ -222,7 +241,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     Null text counts as empty. Null ids are no candidates for component_id; it is null if there is no other. Rows
     with equal ids are rows of their own. An empty table gives no rows. Other columns are not read.
     """
-    prints = cut_lineage(fingerprints(docs, shingle, lanes, id_col, text_col, *extra)
+    prints = cut_lineage(fingerprints(docs, shingle, lanes, id_col, text_col, *extra, distinct=distinct)
                          .withColumn("fingerprint", hexadecimal()), "prints")
     nodes = cut_lineage(prints.groupBy("fingerprint").agg(
         F.first("bits").alias("bits"), F.first("ones").alias("ones"), F.min("doc_id").alias("least"),
@@ -238,13 +257,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int, shingle: int, lanes: int, id_col: str = "doc_id",
-                         text_col: str = "text") -> DataFrame:
+                         text_col: str = "text", distinct: bool = False) -> DataFrame:
     """``docs`` with one row of each component, all columns: the one with the smallest id, null ids last.
 
     Of rows with equal ids the first by place stays. Cases as in :func:`near_duplicates`.
     """
     rows = numbered(docs)
-    found = near_duplicates(rows, radius, shingle, lanes, id_col, text_col, None, F.col("__row")).where("component_size > 1")
+    found = near_duplicates(rows, radius, shingle, lanes, id_col, text_col, None, F.col("__row"),
+                            distinct=distinct).where("component_size > 1")
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row"))
     best = found.groupBy("component").agg(F.min(place)["row"].alias("best"))
     gone = found.join(best, "component").where(F.col("__row") != F.col("best")).select("__row")
