@@ -171,7 +171,7 @@ def _suffix_rows(window: int):
         return pa.table({"part": pa.array([g for g, _ in rows], pa.int64()),
                          "bucket": pa.array([docs.column("bucket")[0].as_py()] * len(rows), pa.int32()),
                          "first": pa.array([_pack(first[i], "<u8") for _, i in rows], pa.binary()),
-                         "second": pa.array([_pack(second[i], "<u4") for _, i in rows], pa.binary()),
+                         "second": pa.array([_pack(second[i], "<u8") for _, i in rows], pa.binary()),
                          "place": pa.array([_pack(at[i], "<u4") for _, i in rows], pa.binary())})
 
     return work
@@ -186,7 +186,7 @@ def _subtree_rows(table: pa.Table) -> pa.Table:
     order = np.argsort(table.column("bucket").to_numpy(), kind="stable")
     table = table.take(pa.array(order))
     first, row = _unpack(table.column("first"), "<u8")
-    second, place = _unpack(table.column("second"), "<u4")[0], _unpack(table.column("place"), "<u4")[0]
+    second, place = _unpack(table.column("second"), "<u8")[0], _unpack(table.column("place"), "<u4")[0]
     leaf = np.lexsort((row, second, first))
     same = np.zeros(len(leaf), bool)
     same[1:] = (first[leaf[1:]] == first[leaf[:-1]]) & (second[leaf[1:]] == second[leaf[:-1]])
@@ -258,7 +258,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
        repeats, and every leaf but that of the first bucket goes back to its bucket.
     5. Buckets add what they repeat in themselves and remove.
 
-    Edges are compared by 64 and 32 bits of fingerprint. Ids are numbers. Null text has no words. Null
+    Both edges are compared by 64 bits of fingerprint. Ids are numbers. Null text has no words. Null
     ids come before all others; rows of one id are in order of text. An empty table gives no
     rows. Other columns are not read.
     """

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 import __spark_entry__ as entry
 from millrace.llm import substrings
@@ -75,3 +76,22 @@ def test_odd_rows(odd, empty):
     docs = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert found(substrings.remove_repeats(odd)) == brute(docs, 20)
     assert substrings.remove_repeats(empty).collect() == []
+
+
+def test_windows_that_agree_in_half_of_a_fingerprint(spark):
+    head = [f"h{i}" for i in range(19)]
+    memo = substrings.Memo(lambda w: xxhash.xxh64_intdigest(w))
+    lasts = [f"v{i}" for i in range(300_000)]
+    run = np.zeros(1, np.uint64)
+    for w in head[10:]:
+        run = run * substrings._ODD + np.uint64(memo[w.encode()])
+    code = np.array([xxhash.xxh64_intdigest(w.encode()) for w in lasts], np.uint64)
+    low = substrings._mix(run * substrings._ODD + code).astype("<u4")
+    order = np.argsort(low, kind="stable")
+    same = np.flatnonzero(low[order[1:]] == low[order[:-1]])
+    assert len(same)
+    docs = []
+    for k in same.tolist():
+        docs += [(len(docs) + j, " ".join([*head, lasts[order[k + j]]])) for j in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(substrings.remove_repeats(df, bucket_bytes=60)) == brute(docs, 20)
