@@ -1,4 +1,4 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees."""
+"""Removal of repeated passages by a sort of fixed-length word paths, dealt by minimizers; no suffix tree is built."""
 
 from __future__ import annotations
 
