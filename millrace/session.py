@@ -71,6 +71,30 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared scratch space once its rows are written elsewhere."""
+    if not path.startswith(f"{shared_dir(spark)}/millrace/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def bucketed(df: DataFrame, name: str, columns: list[str], buckets: int | None = None, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder in sorted hash buckets and read it back.
+
+    Joins and groups on ``columns`` need no exchange of the result. The number of buckets is the session's number of
+    shuffle partitions unless it is given. The table's name lives only until it is read; its files stay at ``path``.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(count, *columns).sortBy(*columns).option("path", path or scratch_path(spark, name))
+    writer.saveAsTable(table)
+    rows = spark.table(table).select("*")
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a scan out over all cores when its files hold too few row groups.
 
