@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, exact_dedup, language, licenses, packing, sharding, simhash, sketches, substrings,
+from . import (bpe, exact_dedup, language, licenses, line_dedup, packing, sharding, simhash, sketches, substrings,
                toxicity)
 from .common import read_documents
 
@@ -163,3 +163,20 @@ FROM d LEFT JOIN sums USING (r)"""
 @query("op10_licenses", _license_sql())
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(read_documents(spark, folder), licenses.MORE))
+
+
+@query("op11_line_dedup", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+  l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+  k AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+  repeated AS (
+    SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+  marked AS (SELECT k.*, s.key IS NOT NULL AND doc_id < owner AS gone FROM k LEFT JOIN repeated s USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r""")
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.remove_lines(read_documents(spark, folder))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
