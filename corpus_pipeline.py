@@ -19,9 +19,6 @@ from millrace.session import cut_lineage
 
 # The least likelihood share of its language that a document stays with.
 LEAST_SCORE = 0.5
-# Near duplicates: shingles of five words and a similarity of 0.8. Pairs are found by 256 bits, with a slack of three
-# standard deviations, and verified.
-SHINGLE, SIMILARITY, LANES, SLACK = 5, 0.8, 4, 3.0
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -38,9 +35,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id stays."""
-    radius = simhash.radius_of(SIMILARITY, LANES, SLACK)
-    return simhash.drop_near_duplicates(docs, radius, SHINGLE, LANES, distinct=True, similarity=SIMILARITY)
+    """Of each component of SimHash fingerprints in reach, the document with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs, simhash.RADIUS, simhash.SHINGLE)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
