@@ -88,14 +88,23 @@ def most_frequent(counted: DataFrame, most: int, by: str = "n") -> DataFrame:
     return counted.where(step >= least) if least is not None else counted.limit(0)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number for each row, ``__row``, written to the shared folder.
+def free_name(name: str, *taken: str) -> str:
+    """``name``, with as many underscores in front as make it differ from the ``taken`` ones in any case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a further column that numbers the rows, written to the shared folder, and that column's name.
 
     Numbers that are made while reading depend on how the files are cut, which another reading may do
     otherwise. The copy is compressed well, as it stays until the shared folder is cleared.
     """
     spark = docs.sparkSession
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    name = free_name("__row", *docs.columns)
+    rows = docs.withColumn(name, F.monotonically_increasing_id())
     path = scratch_path(spark, "numbered")
     rows.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), name

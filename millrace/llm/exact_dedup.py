@@ -75,7 +75,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, all columns. Cases as in :func:`exact_duplicates`."""
-    rows = numbered(docs)
-    found = exact_duplicates(rows, id_col, text_col, keep, row_col="__row")
-    gone = found.where(~F.col("kept")).select(F.col("row").alias("__row"))
-    return rows.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, number = numbered(docs)
+    found = exact_duplicates(rows, id_col, text_col, keep, row_col=number)
+    gone = found.where(~F.col("kept")).select(F.col("row").alias(number))
+    return rows.join(gone, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, exact_dedup, language, licenses, line_dedup, packing, sharding, simhash, sketches, substrings,
-               toxicity)
+from . import (bpe, centroids, exact_dedup, language, licenses, line_dedup, packing, sharding, simhash,
+               sketches, spelling, substrings, toxicity)
 from .common import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,77 @@ FROM marked GROUP BY r""")
 def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.remove_lines(read_documents(spark, folder))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Each step takes all vectors to their nearest centroid and the centroids to the floor of their means. The numbers are
+# integers below 2**53, so sums of doubles are exact.
+_DISTANCES = """list_transform({cs}, lambda m: list_inner_product({q}, {q}) - 2 * list_inner_product({q}, m) + list_inner_product(m, m))"""
+
+
+@query("op12_centroids", f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  heads AS (SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h, q FROM v ORDER BY h, q LIMIT 8),
+  lloyd AS (
+    SELECT 0 AS round, list(q ORDER BY h, q) AS cs FROM heads HAVING count(*) > 0
+    UNION ALL
+    SELECT round + 1, list(mean ORDER BY c) FROM (
+      SELECT round, c, list(coalesce(floor(total / n), old) ORDER BY i) AS mean FROM (
+        SELECT round, c, i, any_value(cs[c][i]) AS old, sum(q[i]) FILTER (near = c) AS total, count(*) FILTER (near = c) AS n
+        FROM (
+          SELECT round, cs, q, list_position(ds, list_min(ds)) AS near
+          FROM (SELECT round, cs, q, {_DISTANCES.format(cs="cs", q="q")} AS ds FROM lloyd, v WHERE round < 10)),
+          range(1, 9) a(c), range(1, 65) b(i)
+        WHERE c <= len(cs) GROUP BY round, c, i)
+      GROUP BY round, c)
+    GROUP BY round),
+  ends AS (SELECT vec_id, cs, {_DISTANCES.format(cs="cs", q="q")} AS ds FROM v, (SELECT cs FROM lloyd WHERE round = 10)),
+  told AS (
+    SELECT vec_id, cs, (list_position(ds, list_min(ds)) - 1)::INTEGER AS cluster, list_min(ds)::BIGINT AS distance FROM ends)
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(cs[cluster + 1], lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM told""")
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+# crc32 by its table, near words by equal texts with one place left out, roots by steps.
+@query("op13_spelling", """
+WITH RECURSIVE crc AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+      SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+      FROM range(256) r(i))),
+  runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-zÀ-ÿ]+')) AS run FROM documents),
+  held AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+  bytes AS (SELECT run, n, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS x FROM held),
+  hashed AS (
+    SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+      lambda i: ('0x' || substr(x, (2 * i + 1)::BIGINT, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+    FROM bytes, crc),
+  words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+      SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+      FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+  less AS (
+    SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+  changed AS (SELECT a.word AS a, b.word AS b FROM less a JOIN less b USING (head, tail) WHERE a.word <> b.word),
+  inserted AS (SELECT DISTINCT l.word AS a, w.word AS b FROM less l JOIN words w ON w.word = l.head || l.tail),
+  near AS (SELECT a, b FROM changed UNION SELECT a, b FROM inserted UNION SELECT b, a FROM inserted),
+  best AS (
+    SELECT a AS word, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS form, max(w.n) AS form_n
+    FROM near JOIN words w ON w.word = b GROUP BY a),
+  told AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form,
+    CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+  chain AS (
+    SELECT word, word AS root FROM told
+    UNION ALL
+    SELECT c.word, t.form FROM chain c JOIN told t ON t.word = c.root WHERE t.form IS NOT NULL)
+SELECT t.word, t.form, c.root, t.n, t.n_near, t.form_n
+FROM told t JOIN chain c USING (word) JOIN told r ON r.word = c.root WHERE r.form IS NULL""")
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(read_documents(spark, folder))

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 # Slots of the table, a prime over a hundred times the usual number of shards. It bounds what is broadcast.
 SLOTS = 4099
 # Hexadecimal digits of a digest that make a number.
@@ -68,8 +70,9 @@ def shard_rows(df: DataFrame, key: str, shards: Sequence[str], slots: int = SLOT
     after = fill_table(left, slots) if without else None
     rows = [(i, names[s], left[after[i]] if after else None) for i, s in enumerate(before)]
     added = ["shard", "shard_after"] if without else ["shard"]
-    table = df.sparkSession.createDataFrame(rows, "__slot long, shard string, shard_after string")
+    at = free_name("__slot", *df.columns)
+    table = df.sparkSession.createDataFrame(rows, f"{at} long, shard string, shard_after string")
     kept = [c for c in df.columns if c not in ("slot", *added)]
     placed = df.select(*[F.col(f"`{c}`") for c in kept], slot_of(F.col(f"`{key}`"), slots).alias("slot"))
-    return (placed.join(F.broadcast(table.select("__slot", *added)), F.col("slot") == F.col("__slot"))
+    return (placed.join(F.broadcast(table.select(at, *added)), F.col("slot") == F.col(at))
             .select(*[F.col(f"`{c}`") for c in kept], "slot", *added))

@@ -11,8 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path
-from .common import Memo, numbered, slices
+from ..session import cut_lineage
+from .common import numbered, slices
 from .components import components
 
 SHINGLE = 4
@@ -20,8 +20,6 @@ RADIUS = 4
 SEED = 42
 # Fingerprints in a tile at most, and the number of tiles up to which tiles are smaller.
 TILE, TILES = 1 << 17, 24
-# Bytes of text and rows of one side of a group whose links are verified.
-PART_BYTES, PART_ROWS = 4_000_000, 1 << 13
 # Shingles that are hashed at once.
 CHUNK = 1 << 15
 # Rows and columns of a block of one comparison.
@@ -260,154 +258,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
         "doc_id", *kept, "fingerprint", "component_id", "component_size", F.col("root").alias("component"))
 
 
-def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether the Jaccard similarity of two shingle sets is ``similarity`` or more. Two empty ones are equal."""
-    low, high = sorted((len(a), len(b)))
-    if low < similarity * high:
-        return False
-    both = low + high - len(np.union1d(a, b))
-    return not high or both / (low + high - both) >= similarity
-
-
-def verified_links(prints: np.ndarray, texts: list, settled: np.ndarray, side: np.ndarray | None, radius: int,
-                   shingle: int, similarity: float) -> list[tuple[int, int]]:
-    """Links (row numbers) that connect all rows within ``radius`` bits whose shingle sets are ``similar``.
-
-    ``settled`` rows are known to be connected. With ``side``, only rows of different sides are compared. Rows
-    that are connected already are not compared, so a group of copies costs one comparison each.
-    """
-    sets: dict[int, np.ndarray] = {}
-
-    def of(i: int) -> np.ndarray:
-        if i not in sets:
-            sets[i] = shingle_set(texts[i], shingle)
-        return sets[i]
-
-    root = np.arange(len(prints))
-    if settled.any():
-        root[settled] = np.flatnonzero(settled)[0]
-    links = []
-    for i in range(len(prints) - 1):
-        others = i + 1 + np.flatnonzero(root[i + 1:] != root[i])
-        if side is not None:
-            others = others[side[others] != side[i]]
-        near = np.bitwise_count(prints[others] ^ prints[i]).sum(1, dtype=np.int32) <= radius
-        for j in others[near].tolist():
-            if root[i] != root[j] and similar(of(i), of(j), similarity):
-                root[root == root[j]] = root[i]
-                links.append((i, j))
-    return links
-
-
-def _bits(fingerprints: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """The lanes of hexadecimal fingerprints."""
-    values = fingerprints.to_pylist()
-    return np.frombuffer(bytes.fromhex("".join(values)), ">u8").astype(np.uint64).reshape(len(values), -1)
-
-
-def _hub_rows(radius: int, shingle: int, similarity: float):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hubs = Memo(lambda text: shingle_set(text, shingle), 1000)
-        for batch in batches:
-            for first, texts in slices(batch, "text"):
-                part = batch.slice(first, len(texts))
-                apart = np.bitwise_count(_bits(part.column("fingerprint")) ^ _bits(part.column("hub_print"))).sum(1)
-                rows, ends = part.column("__row").to_pylist(), part.column("hub").to_pylist()
-                near = [r == h or (d <= radius and similar(shingle_set(t, shingle), hubs[x], similarity)) for r, h, d, t, x in
-                        zip(rows, ends, apart.tolist(), texts, (x.as_py() for x in part.column("hub_text")))]
-                yield pa.RecordBatch.from_arrays([part.column("component"), part.column("__row"), part.column("hub"),
-                                                  pa.array(near, pa.bool_())], ["component", "__row", "hub", "near"])
-
-    return work
-
-
-def _part_rows(radius: int, shingle: int, similarity: float):
-    def work(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("component", "ascending"), ("__row", "ascending")])
-        names = np.array(table.column("component").to_pylist(), object)
-        cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
-        found: list[tuple[int, int]] = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            part = table.slice(a, b - a)
-            side = part.column("block").to_numpy()
-            rows = part.column("__row").to_pylist()
-            two = side if part.column("x")[0].as_py() != part.column("y")[0].as_py() else None
-            near = part.column("near").to_numpy(zero_copy_only=False)
-            links = verified_links(_bits(part.column("fingerprint")), part.column("text").to_pylist(), near, two, radius,
-                                   shingle, similarity)
-            found += [(rows[i], rows[j]) for i, j in links]
-        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
-
-    return work
-
-
-def _verified(found: DataFrame, rows: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
-    """``found`` (doc_id, __row, fingerprint, component) with the components of verified links only.
-
-    1. Each row is compared with one row of its component, the hub. Those similar to it are settled.
-    2. Where others are left, these are compared with each other and with the settled ones, in groups of bounded
-       size: a small component is in one group; the rows of a large one are dealt into blocks, and each pair of
-       blocks is a group, unless both are settled.
-    """
-    spark = found.sparkSession
-    joined = found.join(rows.select("__row", "text"), "__row")
-    path = scratch_path(spark, "candidates")
-    joined.write.option("compression", "zstd").parquet(path)
-    rows = spark.read.schema(joined.schema).parquet(path)
-    # The first row is the hub.
-    first = rows.groupBy("component").agg(F.min("__row").alias("hub"))
-    hubs = (first.join(rows, (F.col("hub") == F.col("__row")) & (first["component"] == rows["component"]))
-            .select(first["component"], "hub", F.col("fingerprint").alias("hub_print"), F.col("text").alias("hub_text")))
-    told = cut_lineage(rows.join(hubs, "component").select("component", "__row", "hub", "fingerprint", "hub_print", "text", "hub_text")
-                       .mapInArrow(_hub_rows(radius, shingle, similarity), "component string, __row long, hub long, near boolean"), "hubs")
-
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    rest = rows.join(told.select("__row", "near"), "__row").withColumn("size", size)
-    # A single row beside the hub has no other to be compared with.
-    count = lambda near: F.count(F.when(near, 1))
-    blocks = lambda near: F.greatest(F.ceil(F.sum(F.when(near, F.col("size"))) / PART_BYTES),
-                                     F.ceil(count(near) / PART_ROWS), F.lit(1)).cast("int")
-    opened = cut_lineage(rest.groupBy("component").agg(
-        blocks(~F.col("near")).alias("others"), blocks(F.col("near")).alias("settled"), F.sum("size").alias("bytes"),
-        F.count("*").alias("n"), count(~F.col("near")).alias("left"))
-        .where("left > 0 AND n > 2").withColumn("small", (F.col("bytes") <= PART_BYTES) & (F.col("n") <= PART_ROWS)), "open")
-    total = opened.where("small").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
-    parts = max(1, math.ceil((total["bytes"] or 0) / PART_BYTES), math.ceil((total["n"] or 0) / PART_ROWS))
-    dealt = rest.join(opened.select("component", "others", "settled", "small"), "component")
-    block = (F.when(F.col("small"), 0).when(F.col("near"), F.col("others") + F.pmod(F.xxhash64("__row"), F.col("settled")))
-             .otherwise(F.pmod(F.xxhash64("__row"), F.col("others"))).cast("int"))
-    last = F.when(F.col("small"), 0).when(F.col("near"), F.col("others") - 1).otherwise(F.col("others") + F.col("settled") - 1)
-    part = F.when(F.col("small"), F.pmod(F.xxhash64("component"), F.lit(parts)).cast("string")).otherwise(F.col("component"))
-    links = (dealt.withColumn("block", block).withColumn("part", part)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
-             .select("part", "component", "__row", "fingerprint", "text", "near", "block", F.least("block", "other").alias("x"),
-                     F.greatest("block", "other").alias("y"))
-             .groupBy("part", "x", "y").applyInArrow(_part_rows(radius, shingle, similarity), "a long, b long"))
-    near = told.where("near AND __row <> hub").select(F.col("hub").alias("a"), F.col("__row").alias("b"))
-    roots = components(near.union(links))
-    return (found.drop("component").join(roots, F.col("__row") == F.col("node"), "left")
-            .withColumn("component", F.coalesce("root", "__row")).drop("node", "root"))
-
-
-def drop_near_duplicates(docs: DataFrame, radius: int, shingle: int, lanes: int, id_col: str = "doc_id",
-                         text_col: str = "text", distinct: bool = False, similarity: float | None = None) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, lanes: int = 1,
+                         id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
     """``docs`` with one row of each component, all columns: the one with the smallest id, null ids last.
 
-    With ``similarity``, only rows within ``radius`` whose shingle sets have at least that Jaccard similarity are
-    linked. Of rows with equal ids the first by place stays. Cases as in :func:`near_duplicates`.
+    Of rows with equal ids the first by place stays. Cases as in :func:`near_duplicates`.
     """
-    rows = numbered(docs)
-    found = near_duplicates(rows, radius, shingle, lanes, id_col, text_col, None, F.col("__row"),
+    rows, number = numbered(docs)
+    found = near_duplicates(rows, radius, shingle, lanes, id_col, text_col, None, F.col(number),
                             distinct=distinct).where("component_size > 1")
-    if similarity is not None:
-        found = cut_lineage(found.select("doc_id", "__row", "fingerprint", "component"), "found")
-        texts = rows.select("__row", F.col(text_col).alias("text"))
-        found = _verified(found, texts, radius, shingle, similarity)
-    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row"))
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(number).alias("row"))
     best = found.groupBy("component").agg(F.min(place)["row"].alias("best"))
-    gone = found.join(best, "component").where(F.col("__row") != F.col("best")).select("__row")
-    return (rows.join(gone, "__row", "left_anti")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    gone = found.join(best, "component").where(F.col(number) != F.col("best")).select(number)
+    return rows.join(gone, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def radius_of(similarity: float, lanes: int, slack: float = 2.0) -> int:
