@@ -120,13 +120,16 @@ def labels_of(cells: DataFrame, centroids: np.ndarray, columns: int = COLUMNS) -
     return parts.groupBy("grp").applyInArrow(_nearest(len(centroids)), "grp long, labels binary, distances binary")
 
 
+def labelled(cells: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
+    """(block, grp, data, labels): each cell with the labels of its rows. Only the labels move."""
+    told = labels.select("grp", "labels", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    return cells.select("block", "grp", "data").hint("merge").join(told, ["block", "grp"])
+
+
 def updated(cells: DataFrame, labels: DataFrame, centroids: np.ndarray, columns: int = COLUMNS) -> np.ndarray:
     """The floor of each cluster's mean per component; an empty cluster's centroid stays."""
     k, dims = centroids.shape
-    blocks = -(-dims // columns)
-    told = labels.select("grp", "labels", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    joined = cells.select("block", "grp", "data").hint("merge").join(told, ["block", "grp"])
-    sums = joined.mapInArrow(_slice_sums(k, columns, dims), "cluster int, dim int, total long, n long")
+    sums = labelled(cells, labels, -(-dims // columns)).mapInArrow(_slice_sums(k, columns, dims), "cluster int, dim int, total long, n long")
     exact = sums.groupBy("cluster", "dim").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"),
                                                F.sum("n").cast("decimal(38,0)").alias("n"))
     out = centroids.copy()
