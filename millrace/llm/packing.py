@@ -17,8 +17,8 @@ from .common import Memo, slices
 
 CAPACITY = 4096
 END_ID = 1
-# Parts that a length is ranked in, so that one frequent length is no single group.
-RANK_PARTS = 16
+# Pieces of one length that are ranked in one group; a more frequent length has several.
+RANK_ROWS = 250_000
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 # The word pattern of the tokenizer, for text below U+0250, where lower-casing and
@@ -195,30 +195,28 @@ def _places(bins: list[tuple[list[int], int]]) -> dict[int, list[tuple[int, int,
     return place
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rank_parts: int = RANK_PARTS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, rank_rows: int = RANK_ROWS) -> DataFrame:
     """``pieces`` (doc_id, piece, length, ...) with sequence_id long and offset long.
 
     Only the histogram of lengths, at most ``capacity`` rows, goes to the driver, which plans the bins;
     the plan is as bounded. Each piece finds its place by its rank among pieces of its length. Ranks
-    are counted in ``rank_parts`` parts of a length, so that a length that a third of all pieces have is
-    no single group. Which of two pieces of one length goes where is settled by id and piece.
+    are counted in parts of about ``rank_rows`` pieces of a length, so that a length that a third of all pieces have is
+    no single group, whatever their number. Which of two pieces of one length goes where is settled by id and piece.
     Sequences have no gap and no piece is left out. No rows give no rows.
     """
     spark = pieces.sparkSession
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(rank_parts)).cast("int")
-    pieces = pieces.withColumn("part", part)
-    counts = [(r["length"], r["part"], r["n"])
-              for r in pieces.groupBy("length", "part").agg(F.count("*").alias("n")).collect()]
-    before: list[tuple[int, int, int]] = []
-    totals: dict[int, int] = {}
-    for length, p, n in sorted(counts):
-        before.append((length, p, totals.get(length, 0)))
-        totals[length] = totals.get(length, 0) + n
+    totals = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    if not totals:
+        return pieces.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
     place = spark.sparkContext.broadcast(_places(plan_bins(totals, capacity)))
-    starts = spark.createDataFrame(before, "length long, part int, before long")
+    # A row per length, at most ``capacity``.
+    parts = spark.createDataFrame([(n, -(-m // rank_rows)) for n, m in totals.items()], "length long, parts long")
+    dealt = pieces.join(F.broadcast(parts), "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts"))).drop("parts")
+    counts = dealt.groupBy("length", "part").agg(F.count("*").alias("n"))
+    below = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
+    starts = counts.select("length", "part", below.alias("before"))
     order = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = (pieces.withColumn("rank", F.row_number().over(order))
-              .join(F.broadcast(starts), ["length", "part"])
+    ranked = (dealt.withColumn("rank", F.row_number().over(order)).join(starts, ["length", "part"])
               .withColumn("rank", F.col("rank") - 1 + F.col("before")).drop("part", "before"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
