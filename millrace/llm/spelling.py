@@ -107,7 +107,9 @@ def near_pairs(words: DataFrame, parts: int = PARTS, crowd: int = CROWD) -> Data
     ``words`` has word (distinct) and n. Signatures that more than ``crowd`` words share are compared within equal halves only,
     which near words have by nature, so no pair is lost.
     """
-    sigs = cut_lineage(words.select("word", "n").mapInArrow(
+    # Few bytes of words make much work.
+    spread = words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sigs = cut_lineage(spread.select("word", "n").mapInArrow(
         _signature_rows(parts), "word string, n long, kind int, length int, sig long"), "signatures")
     counts = sigs.groupBy("sig").agg(F.count("*").alias("members"))
     crowded = counts.where(F.col("members") > crowd).select("sig", F.lit(True).alias("crowded"))
