@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,9 +15,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import bounded_sample, most_frequent, slices
 
-# Documents to fit on, and entries of the model: words and n-grams of all languages together.
+# Documents to fit on.
 FIT_DOCUMENTS = 12_000
-ENTRIES = 200_000
 LONGEST = 4
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
@@ -87,34 +85,40 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ["lang", "n", "entry", "times"])
 
 
-def fit(train: DataFrame, documents: int = FIT_DOCUMENTS, entries: int = ENTRIES, id_col: str = "doc_id",
+def fit(train: DataFrame, documents: int = FIT_DOCUMENTS, entries: int | None = None, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fit on at most ``documents`` rows of ``train`` with a language; rows without one are left out.
 
-    The ``entries`` most frequent words and n-grams are kept, in equal shares of words and of each n, so the
-    model that is broadcast has a bound. Without rows the model knows no language.
+    All words and n-grams of those rows are kept, unless ``entries`` bounds them to the most frequent ones. Log frequencies are made
+    on the executors, a row for each entry with a column for each language. Without rows the model knows no language.
     """
     rows = train.where(F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counted = (bounded_sample(rows, documents, "id").select("lang", "text")
-               .mapInArrow(_counts, "lang string, n int, entry string, times long")
-               .groupBy("lang", "n", "entry").agg(F.sum("times").alias("times")))
-    totals, found = defaultdict(Counter), defaultdict(dict)
-    share = entries // (LONGEST + 1)
-    counted = cut_lineage(counted, "language")
-    for r in counted.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect():
+    counted = cut_lineage(
+        bounded_sample(rows, documents, "id").select("lang", "text")
+        .mapInArrow(_counts, "lang string, n int, entry string, times long")
+        .groupBy("lang", "n", "entry").agg(F.sum("times").alias("times")), "language")
+    if entries is not None:
+        counted = most_frequent(counted, entries, "times")
+    totals: dict = defaultdict(Counter)
+    for r in counted.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect():  # a row per language and n
         totals[r["n"]][r["lang"]] = r["times"]
-    for n in range(LONGEST + 1):
-        for r in most_frequent(counted.where(F.col("n") == n), share, "times").toLocalIterator():
-            found[n, r["entry"]][r["lang"]] = r["times"]
     languages = sorted(totals[0])
-    rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-    table = np.zeros((len(found), len(languages)))
-    size = Counter(n for n, _ in found)
-    for i, ((n, entry), times) in enumerate(found.items()):
-        rows[n][entry] = i
-        table[i] = [math.log((times.get(x, 0) + _SMOOTH) / (totals[n][x] + _SMOOTH * size[n])) for x in languages]
-    return LanguageModel(languages, rows, table)
+    if not languages:
+        return LanguageModel([], [{} for _ in range(LONGEST + 1)], np.zeros((0, 0)))
+    size = {r["n"]: r["entries"] for r in counted.groupBy("n").agg(F.count_distinct("entry").alias("entries")).collect()}
+    pick = lambda by_n: F.element_at(F.array(*[F.lit(float(by_n(n))) for n in range(LONGEST + 1)]), F.col("n") + 1)
+    table = counted.groupBy("n", "entry").agg(*[
+        F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("times"))), F.lit(0)).alias(f"l{i}") for i, x in enumerate(languages)])
+    logs = [F.log((F.col(f"l{i}") + _SMOOTH) / pick(lambda n, x=x: totals[n][x] + _SMOOTH * size.get(n, 0))).alias(f"l{i}")
+            for i, x in enumerate(languages)]
+    # The words and n-grams of the sample, which ``documents`` bounds.
+    found = table.select("n", "entry", *logs).toArrow()
+    known: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+    for row, (n, entry) in enumerate(zip(found.column("n").to_pylist(), found.column("entry").to_pylist())):
+        known[n][entry] = row
+    columns = [found.column(f"l{i}").to_numpy() for i in range(len(languages))]
+    return LanguageModel(languages, known, np.stack(columns, 1).astype(np.float32))
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
