@@ -10,23 +10,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import Memo, bounded_sample, slices
 
-# Labelled rows to fit on, and hashed features.
+# Labelled rows to fit on.
 FIT_ROWS = 6_000
-FEATURES = 1 << 20
 PREFIXES = (4, 5, 6, 7)
-# Rows of the sample that a feature must be in, and the strength that chance gives none of so many features.
+# Rows of the sample that a feature must be in to be a witness of anything.
 LEAST_ROWS = 5
-STRONG = (2 * np.log(FEATURES)) ** 0.5
 # Minimum hashes over runs of three words, by which copies are known.
 HASHES = 6
 RIDGE, STEPS = 0.1, 40
-# Features that the model is fitted on, at most.
-MOST_FEATURES = 500
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -48,7 +46,12 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def _feature(word: str) -> int:
-    return zlib.crc32(word.encode()) % FEATURES
+    return xxhash.xxh64_intdigest(word) - 2**63
+
+
+def strength_of_chance(features: int) -> float:
+    """The strength that chance gives none of so many features."""
+    return (2 * np.log(max(features, 2))) ** 0.5
 
 
 def _parts(text: str) -> list[str]:
@@ -81,7 +84,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 values.append(list(counts.values()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row").slice(first, len(texts)), batch.column("grade").slice(first, len(texts)),
-                 pa.array(columns, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.int32())),
+                 pa.array(columns, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.int32())),
                  pa.array(marks, pa.list_(pa.int64()))], ["row", "grade", "features", "counts", "marks"])
 
 
@@ -89,25 +92,46 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
                 ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) of the least negative log likelihood plus ``ridge`` / 2 times the weights' squares.
 
-    All thresholds share the weights. Newton steps, by turns over the weights and over each threshold.
+    All thresholds share the weights. Newton steps, by turns over the weights, solved by conjugate gradients on the sparse
+    features, and over each threshold.
     """
     n, width = len(grades), int(columns.max()) + 1 if len(columns) else 0
     share = np.array([(grades >= k).mean() for k in range(1, n_grades)]).clip(1e-4, 1 - 1e-4)
     cuts = np.maximum.accumulate(np.log((1 - share) / share) + 1e-3 * np.arange(n_grades - 1))
-    weights, x = np.zeros(width), np.zeros((n, width))
-    x[rows, columns] = values
+    weights = np.zeros(width)
+
+    def times(v: np.ndarray) -> np.ndarray:
+        return np.bincount(rows, values * v[columns], n)
+
+    def back(u: np.ndarray) -> np.ndarray:
+        return np.bincount(columns, values * u[rows], width)
+
+    def solved(curve: np.ndarray, pull: np.ndarray) -> np.ndarray:
+        """The step for which (X' curve X + ridge) step = pull."""
+        step, rest = np.zeros(width), pull.copy()
+        way, size = rest.copy(), rest @ rest
+        least = 1e-18 * size
+        for _ in range(10 * width):
+            if size <= least:
+                break
+            bent = back(curve * times(way)) + ridge * way
+            by = size / (way @ bent)
+            step, rest = step + by * way, rest - by * bent
+            size, old = rest @ rest, size
+            way = rest + size / old * way
+        return step
 
     def sides(cuts: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         edge = np.concatenate([[-np.inf], cuts, [np.inf]])
         return _logistic(edge[grades + 1] - score), _logistic(edge[grades] - score)
 
     for _ in range(steps):
-        above, below = sides(cuts, x @ weights)  # a row's likelihood is above - below
+        above, below = sides(cuts, times(weights))  # a row's likelihood is above - below
         curve = above * (1 - above) + below * (1 - below)
-        pull = x.T @ (above + below - 1) - ridge * weights
-        step = np.linalg.solve((x * curve[:, None]).T @ x + ridge * np.eye(width), pull) if width else pull
-        weights = weights + step * min(1, 2 / max(np.abs(step).max(), 1e-12)) if width else weights
-        score = x @ weights
+        if width:
+            step = solved(curve, back(above + below - 1) - ridge * weights)
+            weights = weights + step * min(1, 2 / max(np.abs(step).max(), 1e-12))
+        score = times(weights)
         for k in range(1, n_grades):
             above, below = sides(cuts, score)
             chance = np.maximum(above - below, 1e-12)
@@ -126,13 +150,12 @@ def _residuals(share: np.ndarray) -> np.ndarray:
     return (slope * share).sum() - slope
 
 
-def telling(rows: np.ndarray, columns: np.ndarray, residual: np.ndarray, marks: np.ndarray,
-            most: int = MOST_FEATURES) -> np.ndarray:
-    """The columns whose presence goes with higher or lower grades beyond what chance gives the best of all features.
+def telling(rows: np.ndarray, columns: np.ndarray, residual: np.ndarray, marks: np.ndarray, least: float) -> np.ndarray:
+    """The columns whose presence goes with higher or lower grades by a strength above ``least``.
 
     The score test of the ordinal model without features. Copies count as one witness: rows that
     agree in a mark are taken as wholly dependent, and of several marks the one that gives the
-    widest spread holds. At most ``most`` columns, the strongest.
+    widest spread holds.
     """
     width = int(columns.max()) + 1 if len(columns) else 0
     sums, spread = np.bincount(columns, residual[rows], width), np.zeros(width)
@@ -141,8 +164,7 @@ def telling(rows: np.ndarray, columns: np.ndarray, residual: np.ndarray, marks:
         cells, size = np.unique(group[rows] * width + columns, return_counts=True)
         spread = np.maximum(spread, np.sqrt(np.bincount(cells % width, size.astype(float) ** 2, width)))
     strength = np.abs(sums) / (spread * residual.std() + 1e-12)
-    strong = np.flatnonzero(strength > STRONG)
-    return np.sort(strong[np.argsort(-strength[strong], kind="stable")][:most])
+    return np.flatnonzero(strength > least)
 
 
 def fit(rows: DataFrame, n_grades: int, severe_from: int | None = None, most: int = FIT_ROWS, id_col: str = "doc_id",
@@ -150,18 +172,18 @@ def fit(rows: DataFrame, n_grades: int, severe_from: int | None = None, most: in
     """Fit on at most ``most`` rows with a grade 0 .. n_grades - 1; rows with another or no grade are left out.
 
     Features are found and first tested on the executors; only strong ones come to the driver, which tests
-    them again with copies in mind and fits over the :func:`telling` ones. With ``severe_from``, the highest grade given is
+    them again with copies in mind and fits over all :func:`telling` ones, beyond what chance gives the best of all that were found. With ``severe_from``, the highest grade given is
     parted in two: rows where telling features occur that often are one grade higher. Without rows every text has grade 0.
     """
     graded = rows.where(F.col(grade_col).between(0, n_grades - 1)).select(
         F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade"), F.col(text_col).alias("text"))
     sample = bounded_sample(graded, most, "id").select(
         F.monotonically_increasing_id().alias("row"), "grade", "text").mapInArrow(
-        _features, "row long, grade int, features array<int>, counts array<int>, marks array<long>").persist()
+        _features, "row long, grade int, features array<long>, counts array<int>, marks array<long>")
+    sample = cut_lineage(sample, "labelled")  # its row numbers are those of one reading
     labels = sample.select("row", "grade", "marks").orderBy("row").toPandas()
     n = len(labels)
     if not n:
-        sample.unpersist()
         return OrdinalModel({}, [np.inf] * (n_grades - 1 + bool(severe_from)))
     grades = labels["grade"].to_numpy(np.int64)
     by_grade = _residuals(np.bincount(grades, minlength=n_grades) / n)
@@ -170,13 +192,13 @@ def fit(rows: DataFrame, n_grades: int, severe_from: int | None = None, most: in
         "row", F.get(F.array(*map(F.lit, by_grade.tolist())), F.col("grade")).alias("residual"),
         F.col("f.features").alias("feature"), F.col("f.counts").alias("times"))
     spread = F.sqrt(F.col("n") * (1 - F.col("n") / n)) * float(residual.std()) + 1e-12
-    strong = (pairs.groupBy("feature").agg(F.count("*").alias("n"), F.sum("residual").alias("sum"))
-              .where((F.col("n") >= LEAST_ROWS) & (F.abs("sum") / spread > STRONG)).select("feature"))
-    used = pairs.join(F.broadcast(strong), "feature").select("row", "feature", "times").toPandas()  # within FEATURES
-    sample.unpersist()
+    found = cut_lineage(pairs.groupBy("feature").agg(F.count("*").alias("n"), F.sum("residual").alias("sum")), "features")
+    least = strength_of_chance(found.count())
+    strong = found.where((F.col("n") >= LEAST_ROWS) & (F.abs("sum") / spread > least)).select("feature")
+    used = pairs.join(strong, "feature").select("row", "feature", "times").toPandas()  # features of the sample, which ``most`` bounds
     at = np.searchsorted(labels["row"].to_numpy(), used["row"].to_numpy())
     kept, columns = np.unique(used["feature"].to_numpy(np.int64), return_inverse=True)
-    best = telling(at, columns, residual, marks)
+    best = telling(at, columns, residual, marks, least)
     here = np.isin(columns, best)
     times = used["times"].to_numpy(np.float64)[here]
     if severe_from:
