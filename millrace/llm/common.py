@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The white space that separates words, as a Java and as a Python pattern.
@@ -108,3 +108,41 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     path = scratch_path(spark, "numbered")
     rows.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path), name
+
+
+# Cuts that a row is compared with at one step of the way to its range.
+FAN = 64
+
+
+def in_order_ranges(rows: DataFrame, id_col: str, tie_col: str, ranges: int, to: str, fan: int = FAN) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with the number ``to`` of their range in order of (id, tie), null ids lowest; and the ranges' numbers, column ``range``.
+
+    The cuts come from Spark's range partitioning of the two key columns alone and are kept as a table. A row finds its range along a
+    tree of ``fan`` cuts a node, one join with a table of nodes a level, so neither the plan nor the work on a row grows with
+    the number of ranges, but for the depth of the tree. Rows with one id are dealt over its ranges by their tie.
+    """
+    if ranges <= 1:
+        return rows.withColumn(to, F.lit(0)), None
+    key = F.struct(F.col(id_col).isNotNull().alias("known"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
+                   F.col(tie_col).alias("tie"))
+    keys = rows.select(key.alias("key")).select("key.*")
+    nodes = cut_lineage(keys.repartitionByRange(ranges, "known", "id", "tie").groupBy(F.spark_partition_id().alias("range")).agg(
+        F.min(F.struct("known", "id", "tie")).alias("key")), "cuts")
+    leaves, levels, width = nodes.select("range"), [], ranges
+    while width > fan:
+        child = nodes.select(F.floor(F.col("range") / fan).cast("int").alias("node"), F.struct("key", "range").alias("cut"))
+        table = child.groupBy("node").agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
+        levels.append(table.select(F.col("node").alias("__node"), F.col("cuts").alias("__cuts")))
+        nodes, width = table.select(F.col("node").alias("range"), F.col("cuts")[0]["key"].alias("key")), -(-width // fan)
+    # At most ``fan`` cuts, the root of the tree.
+    top = sorted((tuple(r["key"]), r["range"]) for r in nodes.collect())
+    at = rows.withColumn("__key", key)
+    spot = lambda cuts: F.element_at(F.filter(cuts, lambda c: c["key"] <= F.col("__key")), -1)["range"]
+    cut = lambda k, r: F.struct(F.struct(F.lit(k[0]).alias("known"), F.lit(k[1]).cast("long").alias("id"), F.lit(k[2]).cast("long").alias("tie"))
+                                .alias("key"), F.lit(r).alias("range"))
+    if not top:
+        return rows.withColumn(to, F.lit(0)), leaves
+    at = at.withColumn("__node", spot(F.array(*[cut(k, r) for k, r in top])))
+    for table in reversed(levels):
+        at = at.join(table, "__node").withColumn("__node", spot(F.col("__cuts"))).drop("__cuts")
+    return at.select(*[F.col(f"`{c}`") for c in rows.columns], F.col("__node").alias(to)), leaves

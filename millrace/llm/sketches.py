@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, split_words
+from .common import ascii_lower, in_order_ranges, split_words
 
 K = 128
 SHINGLE = 5
@@ -84,30 +84,24 @@ def in_ranges(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``rows`` (doc_id, text) in ranges of ids, by size, with range int, tie long and lent int.
 
     Each range is also given the greatest row of the range below (lent 1), the lowest range that of the highest (lent 2),
-    so that the row before each of its own is there. An id that spans several cuts is dealt over their ranges by the
-    hash of its text, in which the rows of an id are ordered. Null ids are below all others. Everything is told from the
-    rows' content, so a repeated reading gives the same.
+    so that the row before each of its own is there. Ranges are cut in order of id and the hash of the text, in which the rows
+    of an id are ordered; null ids are below all others. Everything is told from the rows' content and the written cuts, so
+    a repeated reading gives the same.
     """
     total = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     ranges = max(1, math.ceil(total / range_bytes))
-    cuts: list[float] = []
-    if ranges > 1:
-        known = rows.select("doc_id").where(F.col("doc_id").isNotNull())
-        cuts = known.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
-    bounds = F.array(*[F.lit(int(c)).cast("long") for c in cuts])
-    below, upto = (F.size(F.filter(bounds, test)) for test in (lambda c: c < F.col("doc_id"), lambda c: c <= F.col("doc_id")))
-    step = F.floor((F.col("tie").cast("double") / 2.0 ** 64 + 0.5) * (upto - below)).cast("int")
-    inside = F.when(upto - below > 1, below + 1 + F.least(F.greatest(step, F.lit(0)), upto - below - 1)).otherwise(upto)
-    dealt = rows.select("doc_id", "text", F.xxhash64("text").alias("tie")).withColumn(
-        "range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(inside).cast("int"))
+    keyed = rows.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    dealt, filled = in_order_ranges(keyed, "doc_id", "tie", ranges, "range")
     top = F.max_by(F.struct("doc_id", "text", "tie"), F.struct("doc_id", "tie")).alias("top")
-    filled = sorted(r["range"] for r in dealt.select("range").distinct().collect())  # as many as the size asks for
-    if not filled:
-        return dealt.withColumn("lent", F.lit(0))
-    above = [(low, high, 2 if high <= low else 1) for low, high in zip(filled, filled[1:] + filled[:1])]
-    to = rows.sparkSession.createDataFrame(above, "range int, to int, lent int")
-    lent = dealt.groupBy("range").agg(top).join(F.broadcast(to), "range").select(
-        "top.doc_id", "top.text", "top.tie", F.col("to").alias("range"), "lent")
+    lent = dealt.groupBy("range").agg(top)
+    if filled is None:
+        lent = lent.select("top.*", "range", F.lit(2).alias("lent"))
+    else:
+        # One small row for each range.
+        order = Window.orderBy("range")
+        to = filled.select("range", F.coalesce(F.lead("range").over(order), F.first("range").over(
+            order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("to"), F.lead("range").over(order).isNull().alias("last"))
+        lent = lent.join(to, "range").select("top.*", F.col("to").alias("range"), F.when(F.col("last"), 2).otherwise(1).alias("lent"))
     return dealt.withColumn("lent", F.lit(0)).unionByName(lent)
 
 

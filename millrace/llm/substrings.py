@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import Memo
+from .common import Memo, free_name, in_order_ranges
 
 WINDOW = 20
 # Bytes of text in a bucket, bytes of text whose anchors are one group, leaves in a subtree.
@@ -231,15 +231,6 @@ def _removal_rows(window: int, kind: pa.DataType, extra: list[str], untouched: b
     return work
 
 
-def _bucket_number(doc_id: Column, text: Column, cuts: list[int]) -> Column:
-    """Buckets in order of id. An id that spans several cuts is dealt over their buckets by its text."""
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-    below = F.size(F.filter(bounds, lambda c: c < doc_id))
-    upto = F.size(F.filter(bounds, lambda c: c <= doc_id))
-    inside = F.when(upto - below > 1, below + 1 + F.pmod(F.xxhash64(text), upto - below)).otherwise(upto)
-    return F.when(doc_id.isNull(), F.lit(-1) - F.pmod(F.xxhash64(text), F.lit(16))).otherwise(inside).cast("int")
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                    bucket_bytes: int = BUCKET_BYTES, leaves: int = LEAVES, untouched: bool = False,
                    extra: Sequence[Column] = ()) -> DataFrame:
@@ -249,7 +240,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     starts earlier: in a document with a smaller id, or earlier in the same one. Runs are judged on the input. ``kept`` has
     the other words, joined by a space (with ``untouched``, a text that loses none as it is); ``spans`` the first and past-the-end number of each removed stretch.
 
-    1. Documents go to buckets in order of id, by size. The texts move once.
+    1. Documents go to buckets in order of id and the text's hash, by size. The texts move once.
     2. A suffix can only be repeated in another bucket if its anchor is. Each bucket sends its distinct
        anchors; those in several buckets are parted into prefix groups of at most about ``leaves`` suffixes.
     3. Each bucket sends the first suffix of each path under such an anchor to its prefix group: a passage
@@ -266,11 +257,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     carried = [f for f in rows.schema if f.name not in ("doc_id", "text")]
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
-    cuts: list[int] = []
-    if buckets > 1:
-        shares = [i / buckets for i in range(1, buckets)]
-        cuts = [int(c) for c in rows.where("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.2 / buckets)]
-    dealt = rows.withColumn("bucket", _bucket_number(F.col("doc_id"), F.col("text"), cuts))
+    tie = free_name("__tie", *rows.columns)
+    dealt, _ = in_order_ranges(rows.withColumn(tie, F.xxhash64("text")), "doc_id", tie, buckets, "bucket")
+    dealt = dealt.drop(tie)
     groups = max(8, math.ceil(size / ANCHOR_BYTES))
     by_bucket = dealt.groupBy("bucket")
     anchors = by_bucket.applyInArrow(_anchor_rows(groups, window), "part long, bucket int, anchors binary")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from millrace.llm import sketches
-from millrace.llm.common import LOWER, UPPER
+from millrace.llm.common import LOWER, UPPER, in_order_ranges
 
 from .conftest import SF
 
@@ -110,3 +110,25 @@ def test_sketches_of_odd_rows(odd):
     for r in rows:
         if repr(r["doc_id"]) in text and len(shingles(text[repr(r["doc_id"])])) < 128:
             assert r["shingles"] == len(shingles(text[repr(r["doc_id"])]))
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_ranges_follow_the_order_of_ids(spark, fan):
+    """Null ids and one id with many rows are dealt over several ranges; no row is lost, whatever the depth of the tree."""
+    random.seed(fan)
+    ids = [random.choice([None, 7, random.randrange(-50, 50)]) for _ in range(3000)]
+    rows = spark.createDataFrame([(i, random.randrange(-10 ** 18, 10 ** 18)) for i in ids], "id long, tie long").repartition(4)
+    dealt, filled = in_order_ranges(rows, "id", "tie", 40, "range", fan)
+    got = [tuple(r) for r in dealt.collect()]
+    assert sorted(repr(r[:2]) for r in got) == sorted(repr(tuple(r)) for r in rows.collect())
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    ordered = sorted(got, key=key)
+    assert [r[2] for r in ordered] == sorted(r[2] for r in ordered)
+    assert {r[2] for r in got} == {r["range"] for r in filled.collect()}
+    assert len({r[2] for r in got if r[0] is None}) > 5 and len({r[2] for r in got if r[0] == 7}) > 5
+
+
+def test_the_plan_does_not_grow_with_the_ranges(spark):
+    rows = spark.range(20_000).selectExpr("id", "hash(id) AS tie")
+    plans = [len(in_order_ranges(rows, "id", "tie", n, "range")[0]._jdf.queryExecution().optimizedPlan().toString()) for n in (3000, 4000)]
+    assert max(plans) < 60_000 and abs(plans[0] - plans[1]) < 5000
