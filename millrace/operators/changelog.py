@@ -3,21 +3,24 @@
 A log row is (log_index, op, key, value, client, request_id) with op Put,
 Append or Get. Put and Append compose associatively, so the fold runs per
 (key, segment) where a segment is ``2**bits`` consecutive log indexes; no task
-and no row ever holds a whole hot key. A value is its live segments in order,
-and a key whose live entries lie in one segment has exactly one row.
+and no row ever holds a whole hot key. The text of a segment is cut into pieces of
+a bounded number of bytes. A value is its live pieces in order of segment and piece,
+and a key whose live entries lie in one segment and are not large has exactly one row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .ordered import Running, order_span, running
 
 SEGMENT_BITS = 16
+# Bytes after which a piece of a segment's text is closed.
+PIECE_BYTES = 16 << 20
 
 
 def dedupe(log: DataFrame, marks: DataFrame | None = None,
@@ -47,52 +50,55 @@ def client_marks(log: DataFrame) -> DataFrame:
     return log.groupBy("client").agg(F.max("request_id").alias("mark"))
 
 
-def _join_after_put(df: DataFrame, order: str, is_put: Column, text: str) -> DataFrame:
-    """Per (key, segment): does it hold a Put, and the text from the last Put on.
+def _join_after_put(df: DataFrame, order: Column, is_put: Column, text: str, piece_bytes: int) -> DataFrame:
+    """Per (key, segment, piece): does it hold a Put, and the text from the last Put on.
 
-    The list is bounded by the number of log indexes in a segment.
+    A piece is closed once the texts before an entry have ``piece_bytes``, so a row holds that and one entry more
+    at most, whatever the size of the values. The entries of a segment are moved once; running sizes and lists are made where they end up.
     """
-    rows = df.withColumn("put_at", F.when(is_put, F.col(order))).repartition("key", "segment")
-    grouped = rows.groupBy("key", "segment").agg(
-        F.max("put_at").alias("last_put"),
-        F.sort_array(F.collect_list(F.struct(F.col(order).alias("i"), F.col(text).alias("t")))
-                     ).alias("items"))
-    kept = F.filter("items", lambda e: F.col("last_put").isNull() | (e["i"] >= F.col("last_put")))
-    return grouped.select("key", "segment", F.col("last_put").isNotNull().alias("has_put"),
+    rows = df.select("key", "segment", order.alias("at"), F.when(is_put, order).alias("put_at"), F.col(text).alias("t"))
+    place = Window.partitionBy("key", "segment").orderBy("at")
+    before = F.sum(F.octet_length("t")).over(place.rowsBetween(Window.unboundedPreceding, -1))
+    pieces = rows.withColumn("piece", F.floor(F.coalesce(before, F.lit(0)) / piece_bytes).cast("int"))
+    grouped = pieces.groupBy("key", "segment", "piece").agg(
+        F.max("put_at").alias("last_put"), F.sort_array(F.collect_list(F.struct("at", "t"))).alias("items"))
+    kept = F.filter("items", lambda e: F.col("last_put").isNull() | (e["at"] >= F.col("last_put")))
+    return grouped.select("key", "segment", "piece", F.col("last_put").isNotNull().alias("has_put"),
                           F.array_join(F.transform(kept, lambda e: e["t"]), "").alias("text"))
 
 
-def fold_segments(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
-    """(key, segment, has_put, text) of a deduplicated log."""
+def fold_segments(log: DataFrame, bits: int = SEGMENT_BITS, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """(key, segment, piece, has_put, text) of a deduplicated log."""
     ops = log.where(F.col("op").isin("Put", "Append")).withColumn(
         "segment", F.shiftright("log_index", bits))
-    return _join_after_put(ops, "log_index", F.col("op") == "Put", "value")
+    return _join_after_put(ops, F.col("log_index"), F.col("op") == "Put", "value", piece_bytes)
 
 
-def merge_parts(parts: DataFrame) -> DataFrame:
-    """Join folds of successive log parts: adds up (key, segment, part, has_put, text)."""
-    return _join_after_put(parts, "part", F.col("has_put"), "text")
+def merge_parts(parts: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Join folds of successive log parts: adds up (key, segment, piece, part, has_put, text)."""
+    return _join_after_put(parts, F.struct("part", "piece"), F.col("has_put"), "text", piece_bytes)
 
 
 def puts_of(segments: DataFrame) -> DataFrame:
-    """(key, segment) of the segments that hold a Put.
+    """(key, segment, piece) of the pieces that hold a Put.
 
     The condition on the text is always true. It keeps the column, so that this plan and that of the
     segments have one exchange, which is written once and read twice.
     """
-    return segments.where(F.col("has_put") & (F.length("text") >= 0)).select("key", "segment")
+    return segments.where(F.col("has_put") & (F.length("text") >= 0)).select("key", "segment", "piece")
 
 
 def live(segments: DataFrame, puts: DataFrame) -> DataFrame:
-    """Segments from the key's last Put on, as (key, segment, value)."""
-    last = puts.groupBy(F.col("key").alias("k_p")).agg(F.max("segment").alias("p"))
+    """Pieces from the key's last Put on, as (key, segment, piece, value)."""
+    place = F.struct("segment", "piece")
+    last = puts.groupBy(F.col("key").alias("k_p")).agg(F.max(place).alias("p"))
     joined = segments.join(last, F.col("key") == F.col("k_p"), "left")
-    return joined.where(F.col("p").isNull() | (F.col("segment") >= F.col("p"))).select(
-        "key", "segment", F.col("text").alias("value"))
+    return joined.where(F.col("p").isNull() | (place >= F.col("p"))).select(
+        "key", "segment", "piece", F.col("text").alias("value"))
 
 
 def fold(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
-    """State after the whole log: (key, segment, value)."""
+    """State after the whole log: (key, segment, piece, value)."""
     segments = fold_segments(dedupe(log), bits)
     return live(segments, puts_of(segments))
 
@@ -108,7 +114,7 @@ def get(log: DataFrame, keys: DataFrame, upto: int | None = None,
     segments = fold_segments(ops, bits)
     state = live(segments, puts_of(segments)).withColumnRenamed("key", "k_s")
     return keys.select("key").join(state, F.col("key") == F.col("k_s"), "left").select(
-        "key", F.coalesce("segment", F.lit(0)).alias("segment"),
+        "key", F.coalesce("segment", F.lit(0)).alias("segment"), F.coalesce("piece", F.lit(0)).alias("piece"),
         F.coalesce("value", F.lit("")).alias("value"))
 
 
@@ -170,12 +176,13 @@ def append_order(log: DataFrame, bits: int = SEGMENT_BITS) -> DataFrame:
     previous one.
     """
     segments = fold(log, bits)
-    pieces = segments.select("key", "segment", F.posexplode(
+    pieces = segments.select("key", "segment", "piece", F.posexplode(
         F.regexp_extract_all("value", F.lit(r"(x \d+ \d+ y)"), F.lit(1))).alias("at", "marker"))
     found = pieces.select(
         F.col("key"), F.split("marker", " ")[1].cast("long").alias("client"),
         F.split("marker", " ")[2].cast("long").alias("n"),
-        (F.shiftleft(F.col("segment").cast("long"), 32) + F.col("at")).alias("place"))
+        # a piece has fewer than 2^20 markers, and a segment fewer than 2^17 pieces
+        (F.shiftleft(F.col("segment").cast("long"), 37) + F.shiftleft(F.col("piece").cast("long"), 20) + F.col("at")).alias("place"))
     seen = found.groupBy("key", "client", "n").agg(
         F.count(F.lit(1)).alias("copies"), F.min("place").alias("place"))
     marks = log.select(F.regexp_extract("value", r"^x \d+ (\d+) y", 1).try_cast("long").alias("n"))

@@ -2,26 +2,30 @@
 
 Equality is left to Spark: hash or sort-merge by size, hot keys split by AQE.
 Inequalities have no equality key, for which Spark would run a nested loop
-over a broadcast side. They get one here: the left side is cut into cells of
-about equal size by quantiles, a right row is sent only to the cells that can
-hold a partner, and the pair test runs inside a cell. A value that fills
-several quantiles owns several cells and its rows are spread over them, so
-a hot value is split as well.
+over a broadcast side. They get one in ``regions``: a number of the region of the matrix
+of both sides in which a pair lies. Containment has one pass of an automaton over the texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import ahocorasick
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.hashing import ordered_code
 from .predicates import Op, column_name, compare, field_families
+from .regions import join_regions
 
-CELLS = 32
-# patterns tested per row without a join; past this the gram join takes over
-PATTERN_LIMIT = 256
-PATTERN_BYTES = 1 << 16
-GRAM = 4
+# Bytes of the patterns of one automaton, and of the texts that meet one where there are several.
+PACK_BYTES, TEXT_BYTES = 4 << 20, 32 << 20
+# Hits that are sent on at once.
+HITS = 20_000
 
 
 def _distinct_names(left: DataFrame, right: DataFrame) -> None:
@@ -31,8 +35,11 @@ def _distinct_names(left: DataFrame, right: DataFrame) -> None:
 
 
 def join(left: DataFrame, lfield: str | int, op: Op | str | int, right: DataFrame,
-         rfield: str | int, cells: int = CELLS) -> DataFrame:
-    """All pairs with ``left.lfield op right.rfield``; both copies of the key stay."""
+         rfield: str | int, **sizes: int) -> DataFrame:
+    """All pairs with ``left.lfield op right.rfield``; both copies of the key stay.
+
+    ``sizes`` are those of :func:`~millrace.operators.regions.join_regions`.
+    """
     _distinct_names(left, right)
     lname, rname = column_name(left, lfield), column_name(right, rfield)
     kind = field_families(left, lname, right, rname)
@@ -41,106 +48,106 @@ def join(left: DataFrame, lfield: str | int, op: Op | str | int, right: DataFram
         return left.join(right, F.col(lname) == F.col(rname), "inner")
     if op is Op.LIKE:
         return join_containing(left, lname, right, rname)
-    return _join_cells(left, lname, op, right, rname, kind, cells)
+    return join_regions(left, _order_value(left, lname, kind, right, rname), op, right, _order_value(right, rname, kind, left, lname),
+                        compare(F.col(lname), op, F.col(rname), kind), **sizes)
 
 
-def _rank_value(name: str, kind: str) -> Column:
-    """A number that never decreases along the field's order."""
-    if kind == "string":
-        return ordered_code(F.col(name))
+def _order_value(df: DataFrame, name: str, kind: str, other: DataFrame, oname: str) -> Column:
+    """The value by which a side is put in order: of the type in which Spark compares the two fields."""
+    types = df.schema[name].dataType, other.schema[oname].dataType
     if kind == "time":
         return F.col(name).cast("timestamp_ntz")
+    if types[0] != types[1] and any(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in types):
+        return F.col(name).cast("double")
     return F.col(name)
 
 
-def _cuts(df: DataFrame, value: Column, cells: int) -> list:
-    """At most ``cells - 1`` quantiles of the left side, repeats kept."""
-    shares = [i / cells for i in range(1, cells)]
-    row = df.agg(F.percentile_approx(value, shares, 10000)).first()
-    return list(row[0] or [])
-
-
-def _below(value: Column, cuts: list, inclusive: bool) -> Column:
-    """How many cuts lie below ``value``."""
-    total = F.lit(0)
-    for cut in cuts:
-        test = F.lit(cut) <= value if inclusive else F.lit(cut) < value
-        total = total + test.cast("int")
-    return F.when(value.isNotNull(), total)
-
-
-def _join_cells(left: DataFrame, lname: str, op: Op, right: DataFrame, rname: str, kind: str,
-                cells: int) -> DataFrame:
-    lvalue, rvalue = _rank_value(lname, kind), _rank_value(rname, kind)
-    cuts = _cuts(left, lvalue, cells)
-    last = F.lit(len(cuts))
-    first_cell = _below(lvalue, cuts, inclusive=False)
-    spread = _below(lvalue, cuts, inclusive=True) - first_cell + 1
-    hashed = F.xxhash64(*[F.col(c) for c in left.columns])
-    lcell = (first_cell + F.pmod(hashed, spread.cast("long"))).cast("int")
-    if op in (Op.LESS_THAN, Op.LESS_THAN_OR_EQ):
-        targets = F.sequence(F.lit(0), _below(rvalue, cuts, inclusive=True))
-    elif op in (Op.GREATER_THAN, Op.GREATER_THAN_OR_EQ):
-        targets = F.sequence(_below(rvalue, cuts, inclusive=False), last)
-    else:
-        targets = F.when(rvalue.isNotNull(), F.sequence(F.lit(0), last))
-    lside = left.withColumn("cell_l", lcell)
-    rside = right.select("*", F.explode(targets).alias("cell_r"))
-    test = compare(F.col(lname), op, F.col(rname), kind)
-    return lside.join(rside, (F.col("cell_l") == F.col("cell_r")) & test, "inner").drop(
-        "cell_l", "cell_r"
-    )
-
-
-def _few(patterns: DataFrame, limit: int) -> bool:
-    """At most ``limit`` patterns and ``PATTERN_BYTES`` in all, counted before any is fetched."""
-    row = patterns.agg(F.count("p").alias("n"), F.sum(F.octet_length("p")).alias("size")).first()
-    return row["n"] <= limit and (row["size"] or 0) <= PATTERN_BYTES
-
-
-def join_containing(left: DataFrame, lname: str, right: DataFrame, rname: str,
-                    limit: int = PATTERN_LIMIT, gram: int = GRAM) -> DataFrame:
-    """All pairs where the left text contains the right text.
-
-    Up to ``limit`` different patterns are tested inside the row and the hits
-    joined back by equality. Past that, texts and patterns meet on a common
-    gram: of a pattern's substrings of ``gram`` characters (all of it if shorter), the one that is in the
-    fewest texts must be among the text's distinct substrings of that length.
+def _automaton(patterns: list[str]) -> ahocorasick.Automaton:
+    table = ahocorasick.Automaton()
+    for i, p in enumerate(patterns):
+        if p:
+            table.add_word(p, i)
+    table.make_automaton()
+    return table
+
+
+def _hit_rows(rows: pa.RecordBatch | pa.Table, text: str, patterns: list[str], table, name: str) -> Iterator[pa.RecordBatch]:
+    """A row per row and pattern in its text, the row's columns and the pattern, ``HITS`` at a time."""
+    everywhere = [i for i, p in enumerate(patterns) if not p]
+    at, which = [], []
+
+    def made() -> Iterator[pa.RecordBatch]:
+        found = rows.take(pa.array(at, pa.int64()))
+        named = pa.array([patterns[i] for i in which], pa.string())
+        whole = pa.Table.from_arrays([*found.columns, named], [*found.schema.names, name])
+        yield from whole.combine_chunks().to_batches()
+
+    for i, value in enumerate(rows.column(text).to_pylist()):
+        if value is None:
+            continue
+        hits = {k for _, k in table.iter(value)} if len(table) else set()
+        hits.update(everywhere)
+        at.extend([i] * len(hits))
+        which.extend(hits)
+        if len(at) >= HITS:
+            yield from made()
+            at, which = [], []
+    if at:
+        yield from made()
+
+
+def _one_pack(patterns: Broadcast, text: str, name: str):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _automaton(patterns.value)
+        for batch in batches:
+            yield from _hit_rows(batch, text, patterns.value, table, name)
+
+    return work
+
+
+def _own_pack(text: str, pattern: str, name: str, kept: list[str], schema: pa.Schema):
+    def work(texts: pa.Table, patterns: pa.Table) -> pa.Table:
+        own = patterns.column(pattern).to_pylist()
+        found = list(_hit_rows(texts.select(kept), text, own, _automaton(own), name)) if own and len(texts) else []
+        return pa.Table.from_batches(found) if found else schema.empty_table()
+
+    return work
+
+
+def containing_hits(left: DataFrame, lname: str, patterns: DataFrame, pattern: str, hit: str = "pattern_hit",
+                    pack_bytes: int = PACK_BYTES, text_bytes: int = TEXT_BYTES) -> DataFrame:
+    """``left`` with the column ``hit``, a row per row and different pattern that its text contains.
+
+    The patterns are one Aho-Corasick automaton if they have at most ``pack_bytes``: it is sent to the tasks and no text
+    moves. Else they are dealt into packs of about that size, the texts into parts of about ``text_bytes``, and each
+    part of the texts meets each pack in a group of its own.
+    """
+    spark = left.sparkSession
+    known = patterns.select(F.col(pattern).alias("p")).where(F.col("p").isNotNull()).distinct()
+    size = known.agg(F.sum(F.octet_length("p")).alias("size")).first()["size"] or 0
+    schema = T.StructType([*left.schema.fields, T.StructField(hit, T.StringType())])
+    if size <= pack_bytes:
+        found = spark.sparkContext.broadcast([r["p"] for r in known.collect()])
+        return left.mapInArrow(_one_pack(found, lname, hit), schema)
+    packs = -(-size // pack_bytes)
+    parts = -(-(left.agg(F.sum(F.octet_length(lname)).alias("size")).first()["size"] or 0) // text_bytes) or 1
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.spark_partition_id()), F.lit(parts)).cast("int")
+    dealt = left.select("*", salt.alias("part_a"), F.explode(F.sequence(F.lit(0), F.lit(packs - 1))).alias("pack_a"))
+    own = known.select("p", F.pmod(F.xxhash64("p"), F.lit(packs)).cast("int").alias("pack_b"),
+                       F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part_b"))
+    work = _own_pack(lname, "p", hit, left.columns, to_arrow_schema(schema))
+    return dealt.groupBy("pack_a", "part_a").cogroup(own.groupBy("pack_b", "part_b")).applyInArrow(work, schema)
+
+
+def join_containing(left: DataFrame, lname: str, right: DataFrame, rname: str, pack_bytes: int = PACK_BYTES,
+                    text_bytes: int = TEXT_BYTES) -> DataFrame:
+    """All pairs where the left text contains the right text; null texts contain nothing and the empty one is in all.
+
+    The different right texts are looked for in one pass (:func:`containing_hits`), and the hits joined back by equality.
     """
     _distinct_names(left, right)
-    patterns = right.select(F.col(rname).alias("p")).where(F.col("p").isNotNull()).distinct()
-    if _few(patterns, limit):
-        found = [r["p"] for r in patterns.collect()]
-        listed = F.array(*[F.lit(p) for p in found]) if found else F.array().cast("array<string>")
-        hits = left.select("*", F.explode(
-            F.filter(listed, lambda p: F.col(lname).contains(p))
-        ).alias("pattern_hit"))
-        return hits.join(right, F.col("pattern_hit") == F.col(rname), "inner").drop("pattern_hit")
-
-    size = F.least(F.length("p"), F.lit(gram))
-    sizes = sorted(r[0] for r in patterns.select(size).distinct().collect())  # at most ``gram`` different ones
-    text = F.col(lname)
-
-    def substrings(text: Column, n) -> Column:
-        n = F.lit(n) if isinstance(n, int) else n
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-        return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, n)))
-
-    # The text itself is shuffled once, by its row hash; only grams multiply.
-    # Equal rows share a hash and each keeps its own copy below; rows whose
-    # hashes collide are told apart by the final test.
-    named = left.withColumn("row_l", F.xxhash64(*[F.col(c) for c in left.columns]))
-    grams = named.select("row_l", F.explode(
-        F.array_distinct(F.concat(*[substrings(text, n) for n in sizes]))).alias("gram_l"))
-    own = patterns.select("p", F.explode(substrings(F.col("p"), size)).alias("gram_r"))
-    seen = grams.groupBy(F.col("gram_l").alias("gram_s")).agg(F.count(F.lit(1)).alias("n_s"))
-    counted = own.join(seen, F.col("gram_r") == F.col("gram_s"), "left").select(
-        "p", "gram_r", F.coalesce("n_s", F.lit(0)).alias("n"))
-    keyed = counted.groupBy("p").agg(F.min(F.struct("n", "gram_r"))["gram_r"].alias("gram_r"))
-    candidates = grams.join(keyed, F.col("gram_l") == F.col("gram_r")).select(
-        F.col("row_l").alias("row_c"), "p").distinct()
-    hits = named.join(candidates, (F.col("row_l") == F.col("row_c")) & text.contains(F.col("p")))
-    return hits.join(right, F.col("p") == F.col(rname), "inner").drop("row_l", "row_c", "p")
+    hits = containing_hits(left, lname, right, rname, "pattern_hit", pack_bytes, text_bytes)
+    return hits.join(right, F.col("pattern_hit") == F.col(rname), "inner").drop("pattern_hit")
 
 
 def count_unequal(left: DataFrame, lname: str, right: DataFrame, rname: str) -> DataFrame:
@@ -159,30 +166,39 @@ def count_unequal(left: DataFrame, lname: str, right: DataFrame, rname: str) ->
 # --- equality joins without adaptive execution ----------------------------
 
 HOT_SHARE = 64
-SALTS = 32
 
 
-def join_hot(left: DataFrame, right: DataFrame, lname: str, rname: str, how: str = "inner") -> DataFrame:
-    """Equality join whose hot left keys are spread, for plans AQE does not reach.
+def hot_keys(df: DataFrame, key: str, parts: int) -> list[tuple[object, int]]:
+    """(key, salts) of the keys with more than 1/64 of the rows, which are at most 64: a salt for each ``parts``-th of all rows, two at least."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k_h")).agg(F.count(F.lit(1)).alias("n_h"))
+    total = df.count()
+    hot = counts.where(F.col("n_h") * HOT_SHARE > total).collect()
+    return [(r["k_h"], max(2, -(-r["n_h"] * parts // total))) for r in hot]
 
-    Streaming micro-batches run without adaptive execution. Keys with more
-    than 1/64 of the left rows, which are at most 64, get ``SALTS`` copies of
-    their right rows, and their left rows choose one each.
-    """
+
+def join_salted(left: DataFrame, right: DataFrame, lname: str, rname: str, hot: list[tuple[object, int]], how: str = "inner") -> DataFrame:
+    """Equality join in which the ``hot`` keys are dealt over their salts: a left row goes to one, a right row to all."""
     _distinct_names(left, right)
     if how not in ("inner", "left"):
         raise ValueError("a spread join is inner or left: a copied right row may have no partner in one of its copies")
-    counts = left.groupBy(F.col(lname).alias("k_h")).agg(F.count(F.lit(1)).alias("n_h"))
-    total = left.count()
-    hot = [r["k_h"] for r in counts.where(
-        (F.col("n_h") * HOT_SHARE > total) & F.col("k_h").isNotNull()).collect()]
     if not hot:
         return left.join(right, F.col(lname) == F.col(rname), how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALTS)).cast("int")
-    spread = left.withColumn("salt_l", F.when(F.col(lname).isin(hot), salt).otherwise(F.lit(0)))
-    copies = F.when(F.col(rname).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0)))
-    copied = right.select("*", F.explode(copies).alias("salt_r"))
-    return spread.join(
-        copied, (F.col(lname) == F.col(rname)) & (F.col("salt_l") == F.col("salt_r")), how
-    ).drop("salt_l", "salt_r")
+
+    def number(key: str) -> Column:
+        # Compared as the join compares, whatever the types of the two keys.
+        return reduce(lambda rest, pair: F.when(F.col(key) == F.lit(pair[0]), pair[1]).otherwise(rest), hot, F.lit(1))
+
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    spread = left.withColumn("salt_l", F.pmod(hashed, number(lname).cast("long")).cast("int"))
+    copied = right.select("*", F.explode(F.sequence(F.lit(0), number(rname) - 1)).alias("salt_r"))
+    return spread.join(copied, (F.col(lname) == F.col(rname)) & (F.col("salt_l") == F.col("salt_r")), how).drop("salt_l", "salt_r")
+
+
+def join_hot(left: DataFrame, right: DataFrame, lname: str, rname: str, how: str = "inner") -> DataFrame:
+    """Equality join whose hot left keys are spread, for plans AQE does not reach.
+
+    Streaming micro-batches run without adaptive execution. A hot key gets as many salts as its share of the left
+    rows fills partitions.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return join_salted(left, right, lname, rname, hot_keys(left, lname, parts), how)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import dot_constant
+from ..session import bucketed, cut_lineage, remove_scratch, scratch_path
 from .kv import push_vectors
 from .ordered import Running, order_span, running
 
@@ -110,54 +111,59 @@ def ftrl_fold(steps: DataFrame, init: DataFrame, order: str, settings: Ftrl = Ft
 
 
 def _fold_chains(settings: Ftrl):
+    """Chains of sorted rows, handled in runs of one chain, kind and order value, over the ends of batches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain, state, held = None, {}, ([], [], None)
+        chain, at, state, held, key_type = None, None, {}, None, None
 
         def update() -> None:
             """Apply the gradients of one order value, which are held until it is complete."""
             nonlocal held
-            idx, val, _ = held
-            held = ([], [], None)
-            if not idx:
+            if held is None:
                 return
-            if not state or max(idx) not in state["at"] or any(i not in state["at"] for i in idx):
-                raise ValueError(f"no starting weight for key {chain[0]}")
-            at = np.array([state["at"][i] for i in idx])
-            new = settings.step(*(state[c][at] for c in "znw"), np.array(val))
-            for c, v in zip("znw", new):
-                state[c][at] = v
+            _, idx, val = held
+            held = None
+            # Several gradients of one weight at one order value follow each other.
+            turn = np.arange(len(idx)) - np.searchsorted(idx, idx)
+            for k in range(int(turn.max()) + 1):
+                who, g = idx[turn == k], val[turn == k]
+                place = np.searchsorted(at, who) if at is not None else who
+                if at is None or (place >= len(at)).any() or (at[place] != who).any():
+                    raise ValueError(f"no starting weight for key {chain[0]}")
+                for c, v in zip("znw", settings.step(*(state[c][place] for c in "znw"), g)):
+                    state[c][place] = v
 
         def result() -> pa.RecordBatch:
             update()
-            n = len(state["at"]) if state else 0
+            n = 0 if at is None else len(at)
             return pa.RecordBatch.from_arrays(
-                [pa.array([chain[0]] * n, key_type), pa.array(list(state["at"]) if n else [], pa.int32()),
+                [pa.array([chain[0]] * n, key_type), pa.array(at if n else [], pa.int32()),
                  *(pa.array(state[c] if n else [], pa.float64()) for c in "znw")], ["key", "idx", "z", "n", "w"])
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             key_type = batch.schema.field("key").type
-            columns = [batch.column(c).to_pylist() for c in ("key", "block", "kind", "o", "idx", "val")]
-            for key, block, kind, o, idx, val in zip(*columns):
-                if (key, block) != chain:
-                    if chain is not None and (state or held[0]):
+            keys = batch.column("key")
+            code = keys.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            block, kind, order, idx, val = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "kind", "o", "idx", "val"))
+            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(block) != 0) | (np.diff(kind) != 0) | (np.diff(order) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(code)]):
+                if (keys[a].as_py(), block[a]) != chain:
+                    if chain is not None:
                         yield result()
-                    chain, state = (key, block), {}
-                if kind == 0:
-                    if not state:
-                        state = {"at": {}, "z": np.zeros(0), "n": np.zeros(0), "w": np.zeros(0)}
-                    state["at"][idx] = len(state["at"])
-                    state["z"], state["n"] = np.append(state["z"], 0.0), np.append(state["n"], 0.0)
-                    state["w"] = np.append(state["w"], val)
+                    chain, at, state = (keys[a].as_py(), block[a]), None, {}
+                if kind[a] == 0:
+                    at = idx[a:b].copy() if at is None else np.append(at, idx[a:b])
+                    zero = np.zeros(b - a)
+                    state = {c: np.append(state.get(c, []), v) for c, v in (("z", zero), ("n", zero), ("w", val[a:b]))}
                     continue
-                if o != held[2]:
-                    update()
-                    held = ([], [], o)
-                if held[0] and held[0][-1] == idx:  # several gradients of one weight at one order value
+                if held is not None and held[0] == order[a]:  # the run went on in this batch
+                    held = (order[a], np.append(held[1], idx[a:b]), np.append(held[2], val[a:b]))
+                else:
                     update()
-                    held = ([], [], o)
-                held[0].append(idx)
-                held[1].append(val)
-        if chain is not None and (state or held[0]):
+                    held = (order[a], idx[a:b], val[a:b])
+        if chain is not None:
             yield result()
 
     return run
@@ -204,6 +210,68 @@ def train(rows: DataFrame, features: str, label: str, worker: Column, workers: i
                                  "idx int, z double, n double, w double")
 
 
+# --- the model dealt by key ------------------------------------------------
+
+def _stepped(settings: Ftrl, g: Column) -> list[Column]:
+    """The update of :meth:`Ftrl.step` as columns, from z, n, w and the gradient."""
+    z, n, w = F.col("z"), F.col("n"), F.col("w")
+    base = z if settings.variant == "reference" else g
+    z1 = z + g - w * (F.sqrt(n + base * base) - F.sqrt(n)) / F.lit(settings.alpha)
+    n1 = n + (z1 * z1 if settings.variant == "reference" else g * g)
+    rate = (F.lit(settings.beta) + F.sqrt(n1)) / F.lit(settings.alpha) + F.lit(settings.lambda2)
+    w1 = (F.when(z1 > 0, settings.lambda1).otherwise(-settings.lambda1) - z1) / rate
+    return [z1.alias("z"), n1.alias("n"), F.when(F.abs(z1) < settings.lambda1, 0.0).otherwise(w1).alias("w")]
+
+
+# A key in more than one of so many rows is hot.
+HOT_SHARE = 256
+
+
+def pulled_margins(by_key: DataFrame, hot_by_row: DataFrame, weights: DataFrame, hot: DataFrame) -> DataFrame:
+    """(row, margin): each cell pulls its weight where it lies; a row's products are added up, and only they move.
+
+    The weights of the ``hot`` keys, at most ``HOT_SHARE`` times as many as a row has cells, go to the rows instead.
+    """
+    product = (F.col("x") * F.col("w")).alias("p")
+    cold = by_key.join(weights.select("idx", "w").hint("merge"), "idx").select("row", product)
+    few = weights.select("idx", "w").join(F.broadcast(hot), "idx")
+    return cold.union(hot_by_row.join(F.broadcast(few), "idx").select("row", product)).groupBy("row").agg(F.sum("p").alias("margin"))
+
+
+def pushed_update(gradients: DataFrame, weights: DataFrame, settings: Ftrl) -> DataFrame:
+    """The weights after a push of (idx, g): keys that nobody touched stay as they are."""
+    joined = weights.hint("merge").join(gradients, "idx", "left")
+    new = joined.select("idx", "z", "n", "w", "g", F.struct(*_stepped(settings, F.col("g"))).alias("new"))
+    return new.select("idx", *[F.when(F.col("g").isNull(), F.col(c)).otherwise(F.col(f"new.{c}")).alias(c) for c in ("z", "n", "w")])
+
+
+def train_sparse(cells: DataFrame, labels: DataFrame, workers: int, epochs: int, settings: Ftrl = Ftrl()) -> DataFrame:
+    """Logistic regression over sparse rows, of a model no single machine has to hold: (idx, z, n, w) after ``epochs`` rounds.
+
+    ``cells`` is (row, idx, x), a row's different features; ``labels`` is (row, y). The weights lie in sorted buckets by key, and the cells do
+    so twice, by key and, for hot keys alone to pull, by row. In a round the cells pull the weights of their bucket, margins move to their rows, and
+    the sums of the gradient of the keys that were touched move to the weights; the weights never move, and the driver sees none of them.
+    Keys are those that occur. The sum of gradients is divided by ``workers``.
+    """
+    counts = cut_lineage(cells.groupBy("idx").agg(F.count(F.lit(1)).alias("n")), "keys")
+    rows = labels.count()
+    hot = counts.where(F.col("n") * HOT_SHARE > rows).select("idx")
+    by_key = bucketed(cells.select("idx", "row", "x").join(F.broadcast(hot), "idx", "left_anti").repartition("idx"), "cells_by_key", ["idx"])
+    by_row = bucketed(cells.join(labels, "row").select("row", "idx", "x", F.col("y").cast("double").alias("y")), "cells_by_row", ["row"])
+    hot_by_row = by_row.select("row", "idx", "x").join(F.broadcast(hot), "idx", "left_semi")
+    zero = F.lit(0.0)
+    path = scratch_path(cells.sparkSession, "weights")
+    weights = bucketed(counts.select("idx", zero.alias("z"), zero.alias("n"), zero.alias("w")), "weights", ["idx"], path=path)
+    for _ in range(epochs):
+        margins = pulled_margins(by_key, hot_by_row, weights, hot)
+        error = 1 / (1 + F.exp(-F.col("margin"))) - F.col("y")
+        pushes = by_row.hint("merge").join(margins, "row").groupBy("idx").agg((F.sum(error * F.col("x")) / workers).alias("g"))
+        old, path = path, scratch_path(cells.sparkSession, "weights")
+        weights = bucketed(pushed_update(pushes, weights, settings), "weights", ["idx"], path=path)
+        remove_scratch(cells.sparkSession, old)
+    return weights
+
+
 def _task_gradients(sent):
     """Gradient of the log loss at the weights that were sent: one vector per worker and task."""
 

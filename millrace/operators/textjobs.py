@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import udtf
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.hashing import hash_bucket
 from ..functions.text import kv_line, split_fields
@@ -165,16 +170,29 @@ def map_files(df: DataFrame, name: str, contents: str,
     return records.mapInPandas(run, "key string, value string")
 
 
+def _runs(*columns: pa.Array) -> list[int]:
+    """Where runs of equal values in all of some columns start, and the end."""
+    n, new = len(columns[0]), np.zeros(max(len(columns[0]) - 1, 0), bool)
+    for c in columns:
+        code = c.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new |= code[1:] != code[:-1]
+    return [0, *(np.flatnonzero(new) + 1).tolist(), n] if n else [0]
+
+
 def _combine(fn: Reduce):
     """Reduce the values of a batch by key."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            groups: dict[str, list[str]] = {}
-            for k, v in zip(batch["key"], batch["value"]):
-                groups.setdefault(k, []).append(v)
-            yield pd.DataFrame([(k, fn(k, vs)) for k, vs in groups.items()],
-                               columns=["key", "value"], dtype="object")
+            key = batch.column("key").dictionary_encode()
+            code = key.indices.fill_null(len(key.dictionary)).to_numpy(zero_copy_only=False)
+            order = np.argsort(code, kind="stable")
+            values = batch.column("value").take(pa.array(order)).to_pylist()
+            names = [*key.dictionary.to_pylist(), None]
+            cuts = [0, *(np.flatnonzero(np.diff(code[order])) + 1).tolist(), len(order)] if len(order) else [0]
+            groups = [names[code[order[a]]] for a in cuts[:-1]]
+            done = [fn(k, values[a:b]) for k, a, b in zip(groups, cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(done, pa.string())], ["key", "value"])
 
     return run
 
@@ -182,22 +200,30 @@ def _combine(fn: Reduce):
 def _merge_sorted(fn: Reduce, columns: list[str], hold: int = 4096):
     """Reduce sorted rows of a partition, holding at most ``hold`` values at a time."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, held = None, []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, schema = None, [], None
+
+        def made(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(schema), schema)], schema=schema)
+
         for batch in batches:
-            out = []
-            for row in zip(*[batch[c] for c in columns], batch["value"]):
-                group = row[:-1]
+            names = [*columns, "value"]
+            schema = pa.schema([batch.schema.field(n) for n in names])
+            groups = [batch.column(c) for c in columns]
+            values, cuts, out = batch.column("value").to_pylist(), _runs(*groups), []
+            for a, b in zip(cuts, cuts[1:]):
+                group = tuple(g[a].as_py() for g in groups)
                 if group != current:
                     if current is not None:
                         out.append((*current, fn(current[0], held)))
                     current, held = group, []
-                held.append(row[-1])
-                if len(held) >= hold:
-                    held = [fn(current[0], held)]
-            yield pd.DataFrame(out, columns=[*columns, "value"])
+                for at in range(a, b, hold):
+                    held += values[at:min(at + hold, b)]
+                    if len(held) >= hold:
+                        held = [fn(current[0], held)]
+            yield made(out)
         if current is not None:
-            yield pd.DataFrame([(*current, fn(current[0], held))], columns=[*columns, "value"])
+            yield made([(*current, fn(current[0], held))])
 
     return run
 
@@ -210,7 +236,7 @@ def reduce_groups(pairs: DataFrame, partial: Reduce, merge: Reduce) -> DataFrame
     Values are reduced in the task that made them, then per (key, salt), then
     per key, so a key that holds most rows is spread over all tasks.
     """
-    return _reduce_partials(pairs.select("key", "value").mapInPandas(
+    return _reduce_partials(pairs.select("key", "value").mapInArrow(
         _combine(partial), "key string, value string"), merge)
 
 
@@ -218,10 +244,10 @@ def _reduce_partials(local: DataFrame, merge: Reduce) -> DataFrame:
     # The salt is the task's number alone: a task that runs again may cut its
     # batches elsewhere, and all its parts of a key must still go to one place.
     salted = local.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)).cast("int"))
-    spread = salted.repartition("key", "salt").sortWithinPartitions("key", "salt").mapInPandas(
+    spread = salted.repartition("key", "salt").sortWithinPartitions("key", "salt").mapInArrow(
         _merge_sorted(merge, ["key", "salt"]), "key string, salt int, value string")
     return spread.select("key", "value").repartition("key").sortWithinPartitions(
-        "key").mapInPandas(_merge_sorted(merge, ["key"]), "key string, value string")
+        "key").mapInArrow(_merge_sorted(merge, ["key"]), "key string, value string")
 
 
 def reduce_native(pairs: DataFrame, value: Column) -> DataFrame:
@@ -241,3 +267,30 @@ def run_job(records: DataFrame, name: str, contents: str, mapper, partial: Reduc
 def merged_lines(pairs: DataFrame) -> DataFrame:
     """``key: value`` lines over all buckets, in byte order of the key."""
     return pairs.orderBy("key").select(kv_line(F.col("key"), F.col("value")).alias("line"))
+
+
+def ordered_reduce(df: DataFrame, key: str, order: str, start: Callable[[], object], step: Callable[[object, Row], object],
+                   finish: Callable[[object], tuple], result: str) -> DataFrame:
+    """A fold over the rows of each key in ``order``, as a table function over partitions: the key and the ``result`` columns.
+
+    ``step(state, row)`` is called for each row after ``start()``; ``finish(state)`` gives the result, and a bounded state is all
+    that a task holds. Rows of a key are read in turn, as their order asks for. The type of the key is found from the table.
+    """
+    shown = T.StructType.fromDDL(result).fields
+
+    class Fold:
+        @staticmethod
+        def analyze(table: AnalyzeArgument) -> AnalyzeResult:
+            return AnalyzeResult(schema=T.StructType([table.dataType[key], *shown]))
+
+        def __init__(self):
+            self.state, self.key = start(), None
+
+        def eval(self, row: Row):
+            self.key = row[key]
+            self.state = step(self.state, row)
+
+        def terminate(self):
+            yield (self.key, *finish(self.state))
+
+    return udtf(Fold)(df.asTable().partitionBy(key).orderBy(order))

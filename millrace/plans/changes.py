@@ -20,7 +20,7 @@ log AS (SELECT event_id AS log_index,
 applied AS (SELECT * FROM log QUALIFY coalesce(request_id > max(request_id) OVER (
   PARTITION BY client ORDER BY log_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)),
 puts AS (SELECT key, max(log_index) AS p FROM applied WHERE op = 'Put' GROUP BY key),
-state AS (SELECT key, a.log_index >> 16 AS segment, string_agg(value, '' ORDER BY log_index) AS value
+state AS (SELECT key, a.log_index >> 16 AS segment, 0 AS piece, string_agg(value, '' ORDER BY log_index) AS value
   FROM applied a LEFT JOIN puts USING (key)
   WHERE op <> 'Get' AND (p IS NULL OR log_index >= p) GROUP BY ALL)"""
 
@@ -56,7 +56,7 @@ def changelog_fold_segments(spark, sf):
 
 @query("kv_get", f"""
 WITH {LOG_SQL}
-SELECT DISTINCT w.key, coalesce(segment, 0) AS segment, coalesce(value, '') AS value
+SELECT DISTINCT w.key, coalesce(segment, 0) AS segment, 0 AS piece, coalesce(value, '') AS value
 FROM (SELECT 'k' || p_size * 3 AS key FROM part) w LEFT JOIN state USING (key)""")
 def kv_get(spark, sf):
     events, part = load(spark, sf, "events", "part")
@@ -112,13 +112,12 @@ WITH {LOG_SQL}
 SELECT key, client, count(*) AS markers, bool_and(coalesce(log_index > before, true)) AS in_order FROM (
   SELECT *, max(log_index) OVER (PARTITION BY key, client ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
   FROM (
-    SELECT *, log_index - CASE WHEN log_index % 5 = 0 THEN 4000 ELSE 0 END AS n
-    FROM applied LEFT JOIN puts USING (key) WHERE op <> 'Get' AND log_index >= 4000 AND (p IS NULL OR log_index >= p)))
+    SELECT *, log_index + CASE WHEN log_index % 5 <> 0 THEN 4000 ELSE 0 END AS n
+    FROM applied LEFT JOIN puts USING (key) WHERE op <> 'Get' AND (p IS NULL OR log_index >= p)))
 GROUP BY key, client""")
 def append_order_check(spark, sf):
     """Every fifth client number is far too low, so some clients are out of order."""
     log = log_of(load(spark, sf, "events"))
-    number = F.col("log_index") - F.when(F.col("log_index") % 5 == 0, 4000).otherwise(0)
-    marked = log.withColumn("value", F.when(F.col("log_index") < 4000, "").otherwise(
-        F.format_string("x %d %d y", "client", number)))
+    number = F.col("log_index") + F.when(F.col("log_index") % 5 != 0, 4000).otherwise(0)
+    marked = log.withColumn("value", F.format_string("x %d %d y", "client", number))
     return changelog.append_order(marked)

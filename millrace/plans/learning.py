@@ -175,3 +175,19 @@ SELECT vec_id, CAST(list_sum(list_transform(range(1, 65), lambda i:
 def lr_predict(spark, sf):
     weights = [(i - 32.5) / LENGTH for i in range(1, LENGTH + 1)]
     return learn.predict(load(spark, sf, "embeddings"), "embedding", weights).select("vec_id", "predicted")
+
+
+@query("lr_train_sparse", """
+WITH dense AS (SELECT vec_id, CAST(label = 0 AS INT) AS y, CAST(unnest(embedding) AS DOUBLE) AS x,
+  CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS i FROM embeddings),
+cells AS (SELECT vec_id, y, x, vec_id % 7 * 64 + i AS idx FROM dense WHERE abs(x) >= 0.125),
+s0 AS (SELECT DISTINCT idx, CAST(0 AS DOUBLE) AS z, CAST(0 AS DOUBLE) AS n, CAST(0 AS DOUBLE) AS w FROM cells)"""
+       + _train_sql(2).split("FROM cells)", 1)[1] + """
+SELECT idx, round(z, 4) AS z, round(n, 4) AS n, round(w, 4) AS w FROM s2""")
+def lr_train_sparse(spark, sf):
+    """Sparse rows of crossed features: the large components, apart by the remainder of the row's number."""
+    rows = load(spark, sf, "embeddings").select(F.col("vec_id").alias("row"), (F.col("label") == 0).cast("int").alias("y"), "embedding")
+    cells = rows.select("row", F.posexplode("embedding").alias("i", "v")).select(
+        "row", (F.col("row") % 7 * 64 + F.col("i")).alias("idx"), F.col("v").cast("double").alias("x")).where("abs(x) >= 0.125")
+    model = learn.train_sparse(cells, rows.select("row", "y"), WORKERS, 2)
+    return model.select("idx", *[F.round(c, 4).alias(c) for c in ("z", "n", "w")])

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import profile
-from ..session import cut_lineage, load
+from ..operators import profile, statistics
+from ..session import cut_lineage, load, scratch_path
 from .registry import query
 
 _HIST = """
@@ -100,3 +100,54 @@ def table_cardinality(spark, sf):
     size = profile.stats_cardinality(stats, "p_size", ">", 17).withColumn("predicate", F.lit("p_size > 17"))
     name = profile.stats_cardinality(stats, "p_name", "<", "red widget").withColumn("predicate", F.lit("p_name < red widget"))
     return size.unionByName(name).select("predicate", "rows", F.round("selectivity", 9).alias("selectivity"), "cardinality")
+
+
+@query("merged_statistics", """
+WITH o AS (SELECT o_orderkey::BIGINT AS o_orderkey, o_custkey::BIGINT AS o_custkey FROM orders),
+  v AS (SELECT 'o_custkey' AS "column", o_custkey AS value FROM o UNION ALL SELECT 'o_orderkey', o_orderkey FROM o)
+SELECT "column", count(*) AS rows, min(value) AS low, max(value) AS high, count(DISTINCT value) AS distinct_values,
+  true AS ranks_within, true AS distinct_within, true AS counts_within, true AS depths_within, 5 AS files
+FROM v GROUP BY "column" """)
+def merged_statistics(spark, sf):
+    """Statistics of four files, and those of a fifth added to them; each estimate is compared with the exact number."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    columns = ["o_custkey", "o_orderkey"]
+    path = scratch_path(spark, "orders")
+    stored = None
+    for files in ((0, 1, 2, 3), (4,)):
+        part = F.col("o_orderkey") % 5
+        orders.where(part.isin(*files)).repartitionById(5, part.cast("int")).write.mode("append").parquet(path)
+        known = [r["part"] for r in stored[0].select("part").distinct().collect()] if stored else []
+        rows = spark.read.parquet(path)
+        fresh = rows.where(~F.col("_metadata.file_path").isin(known)) if known else rows
+        new = [cut_lineage(t, "statistics") for t in statistics.file_statistics(fresh, columns, F.col("_metadata.file_path"))]
+        stored = [a.union(b) for a, b in zip(stored, new)] if stored else new
+    whole, counts = (cut_lineage(t, "merged") for t in statistics.merged(*stored))
+    files = stored[0].select("part").distinct().count()
+    out = None
+
+    def at_most(column, values, n):
+        """The exact shares of rows with at most each value."""
+        counts = [F.sum((F.col(column) <= v).cast("long")).alias(f"n{i}") for i, v in enumerate(values)]
+        return [k / n for k in orders.agg(*counts).first()] if values else []
+
+    for c in columns:
+        exact = orders.agg(F.count(c).alias("rows"), F.min(c).alias("low"), F.max(c).alias("high"), F.count_distinct(c).alias("distinct_values")).first()
+        bound = statistics.errors(exact["rows"])
+        asked = [int(exact["low"] + s * (exact["high"] - exact["low"])) for s in (0.1, 0.25, 0.5, 0.75, 0.9)] if exact["rows"] else []
+        shares = at_most(c, asked, exact["rows"])
+        ranks = [statistics.share_at_most(whole, c, v).first()["share"] for v in asked]
+        often = orders.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        off = statistics.occurrences(counts, c, often, "value").agg(
+            F.min(F.col("estimate") - F.col("n")).alias("under"), F.avg((F.col("estimate") - F.col("n") <= bound["count"]).cast("double")).alias("within")).first()
+        guess = statistics.distinct_values(whole).where(F.col("column") == c).first()
+        depths = [r["upper"] for r in statistics.equi_depth(whole, 10).where(F.col("column") == c).orderBy("bucket").collect()]
+        filled = at_most(c, depths, exact["rows"])
+        row = (c, *exact, all(abs(a - b) <= bound["rank"] for a, b in zip(shares, ranks)),
+               abs((guess["n"] if guess else 0) - exact["distinct_values"]) <= bound["distinct"] * exact["distinct_values"],
+               (off["under"] or 0) >= 0 and (off["within"] or 1) >= 0.99,
+               all(f >= (i + 1) / 10 - bound["rank"] for i, f in enumerate(filled)), files)
+        one = spark.createDataFrame([row], 'column string, rows long, low long, high long, distinct_values long, ranks_within boolean, '
+                                           'distinct_within boolean, counts_within boolean, depths_within boolean, files long')
+        out = one if out is None else out.union(one)
+    return out

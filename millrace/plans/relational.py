@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import bags, joins, kv
+from ..operators.positions import PositionedTable
 from ..operators.predicates import Op, predicate
 from ..operators.relational import (
     delete_where, filter_rows, insert_into, merge_schemas, scan, scan_rows)
@@ -141,11 +142,11 @@ def join_ne_counts(spark, sf):
 
 @query("join_like_grams", """
 WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark)
-SELECT conv_id, turn, word FROM conversations JOIN w ON length(word) >= 6 AND contains(text, word)""")
+SELECT conv_id, turn, word FROM conversations JOIN w ON contains(text, word)""")
 def join_like_grams(spark, sf):
-    """Hundreds of patterns, which meet the texts on their rarest gram."""
+    """Thousands of patterns of any length, looked for by one automaton."""
     talks, items = load(spark, sf, "conversations", "benchmark")
-    words = items.select(F.explode(F.split("text", " ")).alias("word")).where("length(word) >= 6").distinct()
+    words = items.select(F.explode(F.split("text", " ")).alias("word")).distinct()
     hits = joins.join_containing(talks.select("conv_id", "turn", "text"), "text", words, "word")
     return hits.select("conv_id", "turn", "word")
 
@@ -234,3 +235,25 @@ ORDER BY o_orderpriority DESC, o_totalprice, o_orderkey""")
 def sort_custom(spark, sf):
     return load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(
         F.desc("o_orderpriority"), F.asc("o_totalprice"), F.asc("o_orderkey"))
+
+
+@query("delete_by_position", """
+WITH o AS (SELECT o_orderkey, o_orderkey % 4 AS part, o_orderpriority, o_totalprice FROM orders)
+SELECT count(*) FILTER (part = 1 AND o_orderpriority < '3') AS deleted, 0 AS deleted_again,
+  count(*) FILTER (NOT (part = 1 AND o_orderpriority < '3')) AS left_over,
+  count(DISTINCT part) FILTER (part = 1 AND o_orderpriority < '3') AS files_rewritten, 0 AS rewritten_again,
+  count(*) FILTER (NOT (part = 1 AND o_orderpriority < '3')) AS left_after_rewrite,
+  CAST(sum(o_orderkey) FILTER (NOT (part = 1 AND o_orderpriority < '3')) AS BIGINT) AS keys
+FROM o""")
+def delete_by_position(spark, sf):
+    """A table of four files: a delete by places, the same again, and a rewrite of the file it touched."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    table = PositionedTable(spark, orders.schema)
+    table.append(orders.repartitionById(4, (F.col("o_orderkey") % 4).cast("int")))
+    doomed = (F.col("o_orderkey") % 4 == 1) & (F.col("o_orderpriority") < "3")
+    deleted, again, left = table.delete(doomed), table.delete(doomed), table.scan().count()
+    files, more = table.rewrite(), table.rewrite()
+    counted = table.scan().agg(F.count(F.lit(1)).alias("left_after_rewrite"), F.sum("o_orderkey").alias("keys"))
+    told = [F.lit(n).cast("long").alias(c) for c, n in (("deleted", deleted), ("deleted_again", again), ("left_over", left),
+                                                        ("files_rewritten", files), ("rewritten_again", more))]
+    return counted.select(*told, "left_after_rewrite", "keys")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import epoch_ms
-from ..session import load, scratch_path
-from ..sources import envelope, kafka
-from ..streaming import jobs, run
+from ..operators import joins
+from ..session import cut_lineage, load, scratch_path
+from ..sources import envelope, kafka, topics
+from ..streaming import jobs, processors, run
 from .changes import LOG_SQL, log_of
 from .registry import query
 from .tables import topic_rows
@@ -45,6 +46,28 @@ def stream_kafka(spark, sf):
     return out.select("value", F.unix_millis("timestamp").alias("at_ms"))
 
 
+@query("topic_source", """
+SELECT 'events' AS topic, (user_id % 8)::INTEGER AS partition,
+  row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) - 1 AS "offset", 'Message_' || event_id AS value,
+  lower(lpad(printf('%X', event_id), 16, '0')) AS key
+FROM events WHERE user_id % 8 <> 3""")
+def topic_source(spark, sf):
+    """A topic written in two commits and read by one stream, which stops in mid-topic and goes on from its checkpoint."""
+    topics.register(spark)
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("topic", "stream", "checkpoint"))
+    middle = load(spark, sf, "events").agg(F.floor(F.avg("event_id"))).first()[0] or 0
+    rows = topic_rows(spark, sf).select("key", "value", "partition", "offset")
+    for half in (rows.where(F.col("offset") < middle), rows.where(F.col("offset") >= middle)):
+        parts = spark.sparkContext.defaultParallelism
+        ordered = half.repartitionByRange(parts, "partition", "offset").sortWithinPartitions("partition", "offset")
+        ordered.drop("offset").write.format("topic").option("topic", "events").mode("append").save(path)
+        stream = (spark.readStream.format("topic").option("assign", '{"events": [0, 1, 2, 4, 5, 6, 7]}')
+                  .option("startingOffsets", "earliest").load(path))
+        run.drain(stream, "append", checkpoint=checkpoint, out=out)
+    return run.all_batches(spark, out, stream.schema).select(
+        "topic", "partition", "offset", F.col("value").cast("string").alias("value"), F.lower(F.hex("key")).alias("key"))
+
+
 @query("stream_text_to_envelope", """
 SELECT '{"schema":{"type":"string","optional":false},"payload":"' || c_name || '"}' AS value FROM customer""")
 def stream_text_to_envelope(spark, sf):
@@ -79,7 +102,9 @@ def console_sink(spark, sf):
 @query("join_stream_static", _JOIN_SQL)
 def join_stream_static(spark, sf):
     table = load(spark, sf, "customer").selectExpr("c_custkey AS key", "c_name AS value")
-    joined = jobs.join_static(jobs.read_json(spark, _RECORD, _records(spark, sf)), table)
+    path = _records(spark, sf)
+    hot = joins.hot_keys(spark.read.schema(_RECORD).json(path), "key", spark.sparkContext.defaultParallelism)
+    joined = jobs.join_static(jobs.read_json(spark, _RECORD, path), table, hot)
     return run.all_batches(spark, run.drain(joined, "update"), joined.schema).drop("batch_id")
 
 
@@ -128,13 +153,14 @@ def stream_flatmap(spark, sf):
     return run.all_batches(spark, run.drain(words, "append"), words.schema).drop("batch_id")
 
 
-def _drained(spark, pieces, job):
+def _drained(spark, pieces, job, checkpoint=None, settings=None):
     """Feed ``pieces`` one after the other; each time the stream goes on from its checkpoint until it has read all."""
-    path, out, checkpoint = (scratch_path(spark, n) for n in ("pieces", "stream", "checkpoint"))
+    path, out = (scratch_path(spark, n) for n in ("pieces", "stream"))
+    checkpoint = checkpoint or scratch_path(spark, "checkpoint")
     for piece in pieces:
         piece.write.mode("append").parquet(path)
         stream = job(spark.readStream.schema(piece.schema).parquet(path))
-        run.drain(stream, "update", checkpoint=checkpoint, out=out)
+        run.drain(stream, "update", checkpoint=checkpoint, out=out, settings=settings)
     return run.all_batches(spark, out, stream.schema)
 
 
@@ -153,6 +179,42 @@ def stream_sessionize(spark, sf):
     return run.latest_update(_drained(spark, pieces, _session_job), ["id"])
 
 
+_GAP_MS = 7_200_000
+
+
+@query("session_processor", f"""
+WITH e AS (SELECT unnest([event_type, 'u' || user_id]) AS id, epoch_us(ts) // 1000 AS t FROM events),
+  cuts AS (SELECT min(t) AS low, (max(t) - min(t)) // 4 + 1 AS width FROM e),
+  marks AS (SELECT coalesce(max(t) FILTER ((t - low) // width = 0), 0) AS first_mark,
+    coalesce(max(t) FILTER ((t - low) // width = 2), 0) AS last_mark
+    FROM e, cuts),
+  runs AS (SELECT id, t, sum(fresh) OVER (PARTITION BY id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM (
+    SELECT id, t, CASE WHEN t - lag(t) OVER (PARTITION BY id ORDER BY t) <= {_GAP_MS} THEN 0 ELSE 1 END AS fresh FROM e)),
+  sessions AS (SELECT id, min(t) AS start_ms, max(t) AS end_ms, count(*) AS num_events FROM runs GROUP BY id, run)
+SELECT s.*, s.end_ms + {_GAP_MS} <= last_mark AS expired,
+  s.end_ms + {_GAP_MS} <= first_mark AS expired_in_first_run
+FROM sessions s, marks""")
+def session_processor(spark, sf):
+    """Sessions by event time over four parts of the events: two in a first run, two in a run that takes its state over."""
+    events = load(spark, sf, "events")
+    at = epoch_ms(F.col("ts"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    width = ((high or 0) - (low or 0)) // 4 + 1
+    part = F.floor((at - F.lit(low or 0)) / width)
+    job = lambda initial: lambda stream: processors.session_machine(
+        _timed(jobs.word_events(stream.selectExpr(f"{_LINES} AS value", "ts AS timestamp"))), _GAP_MS, initial)
+    state, over = None, None
+    for i in (0, 2):
+        checkpoint = scratch_path(spark, "checkpoint")
+        rows = _drained(spark, [events.where(part == i), events.where(part == i + 1)], job(state), checkpoint, processors.ROCKSDB)
+        ended = rows.where("expired").select("id", "start_ms", "end_ms", "num_events", "expired", F.lit(i == 0).alias("expired_in_first_run"))
+        over = ended if over is None else over.union(ended)
+        state = cut_lineage(processors.session_state(spark, checkpoint), "sessions")
+    held = state.where("start_ms IS NOT NULL").select("id", "start_ms", "end_ms", F.col("n").alias("num_events"),
+                                                      F.lit(False).alias("expired"), F.lit(False).alias("expired_in_first_run"))
+    return over.union(held)
+
+
 def _add_spending(key, parts, old):
     """Events of a user and the cents spent."""
     n, cents = old or (0, 0)

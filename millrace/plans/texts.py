@@ -7,8 +7,8 @@ from pyspark.sql.functions import udtf
 
 from ..functions.hashing import hash_bucket as bucket_of
 from ..functions.hashing import shard_bucket as shard_of
-from ..operators import partitioning, textjobs
-from ..session import conversations, documents, load
+from ..operators import comparator, partitioning, postings, textjobs
+from ..session import conversations, cut_lineage, documents, load
 from .registry import query
 from .tables import fnv_sql, words_sql
 
@@ -138,10 +138,33 @@ def custom_slicer(spark, sf):
 
 
 @query("slicer_fn", """
-SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) AS slice FROM orders""")
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 < 6 THEN 0 ELSE (o_custkey % 3 + 1)::INTEGER END AS slice FROM orders),
+  counts AS (SELECT slice, count(*) AS n FROM o GROUP BY slice),
+  numbers AS (SELECT slice, greatest(1, (n * 16 + sum(n) OVER () - 1) // sum(n) OVER ())::INTEGER AS number FROM counts),
+  layout AS (SELECT slice, number, (sum(number) OVER (ORDER BY slice) - number)::INTEGER AS first FROM numbers)
+SELECT o_orderkey, slice, (first + o_orderkey % number)::INTEGER AS part, (first + o_orderkey % number)::INTEGER AS partition
+FROM o JOIN layout USING (slice)""")
 def slicer_fn(spark, sf):
-    return partitioning.repartition_sliced(
-        load(spark, sf, "orders").select("o_orderkey"), (F.col("o_orderkey") % 3).cast("int"))
+    """A user's slicer decides the partition; the slice with most rows is dealt over several."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    slicer = F.when(F.col("o_orderkey") % 10 < 6, 0).otherwise(F.col("o_custkey") % 3 + 1)
+    dealt = partitioning.repartition_sliced(orders, slicer, 16, spread=F.col("o_orderkey"))
+    return dealt.select("o_orderkey", "slice", "part", F.spark_partition_id().alias("partition"))
+
+
+def larger_together(a: tuple, b: tuple) -> int:
+    """Which of two digit texts comes first if all are to be put together to the largest number."""
+    return (a[0] + b[0] < b[0] + a[0]) - (a[0] + b[0] > b[0] + a[0])
+
+
+@query("sort_comparator", """
+WITH k AS (SELECT o_custkey::VARCHAR AS word, count(*) AS n FROM orders GROUP BY 1),
+  ranks AS (SELECT a.word, 1 + coalesce(sum(b.n) FILTER (b.word || a.word > a.word || b.word), 0)::BIGINT AS rank FROM k a, k b GROUP BY a.word)
+SELECT o_orderkey, word, rank FROM orders JOIN ranks ON word = o_custkey::VARCHAR""")
+def sort_comparator(spark, sf):
+    """Orders by a comparison of two customer numbers that no expression of one of them states."""
+    orders = load(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("word"))
+    return comparator.sort_by(orders, ["word"], larger_together).select("o_orderkey", "word", "rank")
 
 
 # --- user functions: the classic word jobs as hooks -----------------------
@@ -202,3 +225,39 @@ def udaf_reduce(spark, sf):
     pairs = load(spark, sf, "events").selectExpr(
         "cast(user_id AS string) AS key", "concat(event_type, ' ', props) AS value")
     return textjobs.reduce_groups(pairs, latest, latest)
+
+
+def _add_event(state: list, row) -> list:
+    """[changes, run, longest run, last type] after one more event."""
+    changes, run, longest, last = state
+    same = row["event_type"] == last
+    run = run + 1 if same else 1
+    return [changes + (last is not None and not same), run, max(longest, run), row["event_type"]]
+
+
+@query("udtf_reduce", """
+WITH e AS (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS last FROM events),
+  runs AS (SELECT user_id, count(*) FILTER (event_type <> last) OVER (PARTITION BY user_id ORDER BY event_id) AS run, event_type, last FROM e),
+  lengths AS (SELECT user_id, run, count(*) AS n, count(*) FILTER (event_type <> last) AS changes FROM runs GROUP BY ALL)
+SELECT user_id, CAST(sum(changes) AS BIGINT) AS changes, max(n) AS longest FROM lengths GROUP BY user_id""")
+def udtf_reduce(spark, sf):
+    """A user's reduce that depends on the order: changes of the event type, and the longest run of one type."""
+    events = load(spark, sf, "events").select("user_id", "event_id", "event_type")
+    return textjobs.ordered_reduce(events, "user_id", "event_id", lambda: [0, 0, 0, None], _add_event,
+                                   lambda state: (state[0], state[2]), "changes long, longest long")
+
+
+@query("postings_all_words", f"""
+WITH pairs AS ({_PAIRS}), ranked AS (
+  SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) AS r FROM pairs GROUP BY word),
+q(query, r) AS (VALUES ('first two', 1), ('first two', 2), ('far apart', 1), ('far apart', 60), ('far apart', 400),
+  ('rare', 60), ('rare', 2000), ('three', 3), ('three', 10), ('three', 30))
+SELECT query, doc_id AS doc FROM q JOIN ranked USING (r) JOIN pairs USING (word)
+GROUP BY query, doc_id HAVING count(*) = (SELECT count(*) FROM q AS o WHERE o.query = q.query)""")
+def postings_all_words(spark, sf):
+    """Documents that hold all of some words, from bitmaps; the words are chosen by their rank in frequency."""
+    index = cut_lineage(postings.build(documents(spark, sf), "doc_id", "text"), "index")
+    ranks = {"first two": (1, 2), "far apart": (1, 60, 400), "rare": (60, 2000), "three": (3, 10, 30)}
+    top = index.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(max(map(max, ranks.values()))).collect()
+    asked = {name: [top[r - 1]["word"] for r in rs if r <= len(top)] for name, rs in ranks.items()}
+    return postings.documents_with_all(index, {name: words for name, words in asked.items() if len(words) == len(ranks[name])})

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from . import topics
 
 # Fixed value: the connector's row layout.
 ROW_SCHEMA = ("key binary, value binary, topic string, partition int, offset bigint, "
@@ -50,38 +50,41 @@ def int_key(number: Column, size: int = 4) -> Column:
     return F.unhex(F.right(F.lpad(F.hex(number.cast("long")), 16, "0"), F.lit(2 * size)))
 
 
+def partition_of(key: Column, partitions: int) -> Column:
+    """The partition of a record by its key, as a stored topic chooses it."""
+    return F.pmod(F.crc32(F.coalesce(key, F.lit("").cast("binary"))), F.lit(partitions)).cast("int")
+
+
 def write_topic(records: DataFrame, topic: str, servers: str | None = None,
                 files: str | None = None, partitions: int = 8) -> None:
     """Send (key, value) records; a Spark write returns when all are acknowledged.
 
-    Written to files, a record gets a partition by its key, the next offset of that partition in order of key,
-    and the time of the write, as brokers would give it.
+    Written to files, as a stored topic (``topics``), a record gets a partition by its key, the next offset of that partition in
+    the order of the tasks and their rows, and the time of the write, as brokers would give it.
     """
     rows = records.select("key", F.col("value").cast("binary").alias("value"))
     if files is None:
         (rows.write.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("topic", topic).save())
         return
-    # Offsets are ranks; they are counted in ranges of the key's hash, so that no partition is one group.
-    part = F.pmod(F.crc32(F.coalesce("key", F.lit("").cast("binary"))), F.lit(partitions)).cast("int")
-    rows = cut_lineage(rows.select("key", "value", part.alias("partition"), F.pmod(
-        F.xxhash64("key", "value"), F.lit(1024)).cast("int").alias("cell")), "records")
-    sizes = rows.groupBy("partition", "cell").agg(F.count("*").alias("n"))  # partitions * 1024 rows at most
-    before = F.sum("n").over(Window.partitionBy("partition").orderBy("cell")) - F.col("n")
-    starts = sizes.select("partition", "cell", before.alias("before"))
-    place = F.row_number().over(Window.partitionBy("partition", "cell").orderBy("key", "value"))
-    (rows.join(F.broadcast(starts), ["partition", "cell"]).select(
-        "key", "value", F.lit(topic).alias("topic"), "partition",
-        (F.col("before") + place - 1).alias("offset"), F.current_timestamp().alias("timestamp"),
-        F.lit(0).alias("timestampType")).write.mode("append").parquet(files))
+    topics.register(records.sparkSession)
+    rows.write.format("topic").option("topic", topic).option("partitions", partitions).mode("append").save(files)
+
+
+def read_topic(spark: SparkSession, topic: str, servers: str | None = None, files: str | None = None) -> DataFrame:
+    """All records of a topic so far, in the connector's row layout."""
+    if files is None:
+        return spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).load()
+    topics.register(spark)
+    return spark.read.format("topic").option("subscribe", topic).load(files)
 
 
 def delivery_report(sent: DataFrame, topic: DataFrame, key_size: int = 4) -> DataFrame:
-    """Where each sent record landed and how long it took.
+    """Where each sent record landed and how long it took: key, value, partition, offset, elapsed_ms.
 
-    ``sent`` is (key, value, sent_at) with an int key; ``topic`` holds topic
+    ``sent`` is (key, value, sent_at) with an int key, and is stored, so that the times are those before the write; ``topic`` holds topic
     rows read back. A record is known by key and value; the n-th of equal ones is the n-th of
-    its partition. Times are differences of timestamps of the same kind.
+    its partition. Times are differences of timestamps of the same kind. A record that was not stored has no row.
     """
     nth = lambda *order: F.row_number().over(Window.partitionBy("k_b", "value").orderBy(*order)).alias("nth")
     landed = topic.select(F.col("key").alias("k_b"), F.col("value").cast("string").alias("value"), "partition",

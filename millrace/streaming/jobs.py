@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import split_java
 from ..operators import changelog
-from ..operators.joins import join_hot
+from ..operators.joins import join_hot, join_salted
 from ..session import scratch_path
 
 # Fixed value: a session without data for this long is over.
@@ -39,17 +39,14 @@ def key_sums(pushes: DataFrame) -> DataFrame:
     return pushes.groupBy("key").agg(F.sum("val").alias("val"))
 
 
-def join_static(stream: DataFrame, table: DataFrame, salts: int = 8) -> DataFrame:
+def join_static(stream: DataFrame, table: DataFrame, hot: list[tuple[object, int]] = ()) -> DataFrame:
     """Records joined to a stored table on ``key``; both copies stay, no state is kept.
 
-    Micro-batches run without adaptive execution, so the records of each key are dealt over ``salts`` parts by their
-    content, and the table, the smaller side, has a copy for each.
+    Micro-batches run without adaptive execution. ``hot`` names the keys known to have many records and the number of parts that
+    each is dealt over (:func:`~millrace.operators.joins.hot_keys` of earlier records); only their table rows are copied.
     """
-    other = table.toDF(*[f"s_{c}" for c in table.columns]).withColumn(
-        "s_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(salts)).cast("int")
-    dealt = stream.withColumn("salt", salt)
-    return dealt.join(other, (F.col("key") == F.col("s_key")) & (F.col("salt") == F.col("s_salt"))).drop("salt", "s_salt")
+    other = table.toDF(*[f"s_{c}" for c in table.columns])
+    return join_salted(stream, other, "key", "s_key", list(hot))
 
 
 def join_static_batches(table: DataFrame, path: str):
@@ -141,7 +138,7 @@ class ChangelogTable:
     """
 
     MARKS = 16
-    _PARTS = "key string, segment long, has_put boolean, text string"
+    _PARTS = "key string, segment long, piece int, has_put boolean, text string"
     _MARK_ROWS = "client long, mark long"
 
     def __init__(self, spark: SparkSession, path: str | None = None,
@@ -194,7 +191,7 @@ class ChangelogTable:
         return reduce(DataFrame.unionByName, named) if named else none
 
     def state(self) -> DataFrame:
-        """(key, segment, value) after all batches so far."""
+        """(key, segment, piece, value) after all batches so far."""
         parts = self._parts()
         return changelog.live(changelog.merge_parts(parts), parts.where("has_put"))
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,25 +26,37 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return reader.parquet(path)
 
 
+@contextmanager
+def settings_of(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings that hold while a query is started; it has its own copy of them from then on."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def drain(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None,
-          timeout: int | None = None, checkpoint: str | None = None, out: str | None = None) -> str:
+          timeout: int | None = None, checkpoint: str | None = None, out: str | None = None,
+          settings: dict[str, str] | None = None) -> str:
     """Process all that is available and return the sink folder.
 
     By default every micro-batch is written to its own ``batch_id=N`` folder;
     a batch that is run again after a failure replaces its own folder. With the ``checkpoint`` and ``out``
-    of an earlier run the stream goes on where that ended.
+    of an earlier run the stream goes on where that ended. ``settings`` hold for this query only.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, "stream")
     # A timeout on the clock would ask for one more batch for ever; Until is for those.
-    idle = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(idle)
-    spark.conf.set(idle, "false")
     write = sink or (lambda df, batch: df.write.mode("overwrite").parquet(f"{out}/batch_id={batch}"))
-    query = (stream.writeStream.outputMode(mode).foreachBatch(write)
-             .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
-             .trigger(availableNow=True).start())
-    spark.conf.set(idle, before)  # the query has its own copy
+    idle = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    with settings_of(spark, idle | (settings or {})):
+        query = (stream.writeStream.outputMode(mode).foreachBatch(write)
+                 .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
+                 .trigger(availableNow=True).start())
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
@@ -79,7 +92,7 @@ class Until:
     """
 
     def __init__(self, stream: DataFrame, mode: str, interval: str = "500 milliseconds",
-                 checkpoint: str | None = None, out: str | None = None):
+                 checkpoint: str | None = None, out: str | None = None, settings: dict[str, str] | None = None):
         spark = self.spark = stream.sparkSession
         self.schema = stream.schema
         self.out = out or scratch_path(spark, "stream")
@@ -94,9 +107,10 @@ class Until:
                 self._batches.add(batch)
                 self._changed.notify_all()
 
-        self.query = (stream.writeStream.outputMode(mode).foreachBatch(write)
-                      .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
-                      .trigger(processingTime=interval).start())
+        with settings_of(spark, settings or {}):
+            self.query = (stream.writeStream.outputMode(mode).foreachBatch(write)
+                          .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
+                          .trigger(processingTime=interval).start())
 
     def rows(self) -> DataFrame:
         """What was written so far, with batch numbers."""

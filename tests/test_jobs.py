@@ -162,7 +162,7 @@ def brute_fold(log):
 
 def joined(df):
     out = {}
-    for r in sorted(df.collect(), key=lambda r: (r.key, r.segment)):
+    for r in sorted(df.collect(), key=lambda r: (r.key, r.segment, r.piece)):
         out[r.key] = out.get(r.key, "") + r.value
     return out
 
@@ -171,10 +171,10 @@ def test_changelog_fixture(spark):
     log = [(0, "Put", "k", "x", 1, 0), (1, "Append", "k", "y", 1, 1), (2, "Append", "k", "y", 1, 1),
            (3, "Append", "k", "z", 2, 0), (4, "Put", "k", "OLD", 1, 0), (5, "Put", "m", "q", 2, 1)]
     df = spark.createDataFrame(log, LOG)
-    assert rows(fold(df)) == [("k", 0, "xyz"), ("m", 0, "q")]
+    assert rows(fold(df)) == [("k", 0, 0, "xyz"), ("m", 0, 0, "q")]
     keys = spark.createDataFrame([("k",), ("none",)], "key string")
-    assert rows(get(df, keys)) == [("k", 0, "xyz"), ("none", 0, "")]
-    assert rows(get(df, keys, upto=1)) == [("k", 0, "xy"), ("none", 0, "")]
+    assert rows(get(df, keys)) == [("k", 0, 0, "xyz"), ("none", 0, 0, "")]
+    assert rows(get(df, keys, upto=1)) == [("k", 0, 0, "xy"), ("none", 0, 0, "")]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -190,6 +190,18 @@ def test_changelog_properties(spark, ops, cut, bits):
     assert rows(replay(spark, compact(df, cut, bits), df, bits)) == rows(whole)
 
 
+def test_pieces_of_bounded_bytes(spark, monkeypatch):
+    rnd = random.Random(5)
+    log = [(i, rnd.choice(["Put", *["Append"] * 9]), rnd.choice("ab"), f"<{i}>" + "é" * rnd.randint(0, 40), 0, i) for i in range(120)]
+    df = changelog.dedupe(spark.createDataFrame(log, LOG))
+    parts = [changelog.fold_segments(df.where(cond), 5, 100).withColumn("part", F.lit(n))
+             for n, cond in enumerate(("log_index < 50", "log_index BETWEEN 50 AND 90", "log_index > 90"))]
+    for folded in (changelog.fold_segments(df, 5, 100), changelog.merge_parts(parts[0].union(parts[1]).union(parts[2]), 100)):
+        assert joined(changelog.live(folded, changelog.puts_of(folded))) == brute_fold(log)
+        sizes = [len(r["text"].encode()) for r in folded.collect()]
+        assert max(sizes) <= 100 + 2 * 85 + 100 and folded.where("piece > 0").count() > 5
+
+
 def test_append_order(spark):
     log = [(i, "Append", "k", f"x {i % 2} {i} y", i % 2, i) for i in range(20)]
     assert rows(changelog.append_order(spark.createDataFrame(log, LOG), bits=2)) == [

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators import bags, joins, kv
+from millrace.operators import bags, joins, kv, regions
 from millrace.operators.predicates import Op, predicate
 from millrace.operators.relational import (
     delete_where, field_index, filter_rows, insert_into, merge_schemas, same_types, scan, scan_rows)
@@ -62,16 +62,16 @@ def test_join_fixture_sizes(spark, op, size):
 
 
 @pytest.mark.parametrize("op", list(TESTS))
-@pytest.mark.parametrize("cells", [2, 7, 32])
-def test_joins_match_brute_force_with_a_hot_value(spark, op, cells):
-    rnd = random.Random(cells)
+@pytest.mark.parametrize("bucket_rows, least_pairs", [(3, 1), (9, 40), (20_000, 100)])
+def test_joins_match_brute_force_with_a_hot_value(spark, op, bucket_rows, least_pairs):
+    rnd = random.Random(bucket_rows)
     left = [(i, 5 if i % 3 == 0 else rnd.randint(0, 20)) for i in range(60)] + [(99, None)]
     right = [(i, rnd.randint(-2, 22)) for i in range(25)] + [(98, None)]
     a = spark.createDataFrame(left, "lid int, lv int")
     b = spark.createDataFrame(right, "rid int, rv int")
     want = sorted((x, v, y, w) for x, v in left for y, w in right
                   if v is not None and w is not None and TESTS[op](v, w))
-    assert rows(joins.join(a, "lv", op, b, "rv", cells=cells)) == want
+    assert rows(joins.join(a, "lv", op, b, "rv", bucket_rows=bucket_rows, least_pairs=least_pairs)) == want
 
 
 @pytest.mark.parametrize("op", ["<", ">=", "<>"])
@@ -83,7 +83,54 @@ def test_string_joins_match_brute_force(spark, op):
     a, b = spark.createDataFrame(left, "lid int, lv string"), spark.createDataFrame(right, "rid int, rv string")
     want = sorted((x, v, y, w) for x, v in left for y, w in right
                   if TESTS[op](v.encode(), w.encode()))
-    assert rows(joins.join(a, "lv", op, b, "rv", cells=5)) == want
+    assert rows(joins.join(a, "lv", op, b, "rv", bucket_rows=5, least_pairs=7)) == want
+
+
+@pytest.mark.parametrize("op", list(TESTS))
+def test_joins_of_other_types_match_brute_force(spark, op):
+    big = 2**53
+    left = [(i, v) for i, v in enumerate([big + 1, big, -3, 0, 7, None, big - 1] * 2)]
+    right = [(i, v) for i, v in enumerate([float(big), -3.0, -0.0, float("nan"), float("inf"), None, 6.5] * 2)]
+    a, b = spark.createDataFrame(left, "lid int, lv long"), spark.createDataFrame(right, "rid int, rv double")
+    want = a.crossJoin(b).where(F.expr(f"lv {op} rv"))
+    found = joins.join(a, "lv", op, b, "rv", bucket_rows=3, least_pairs=2)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
+def _buckets(sizes, bounds):
+    return [regions.Bucket(i, n, (0, low), (0, high)) for i, (n, (low, high)) in enumerate(zip(sizes, bounds))]
+
+
+def test_regions_have_about_equal_output():
+    """A hot value in several buckets, and one bucket that no partner reaches."""
+    left = _buckets([100] * 20, [(i, i + 1) if i > 8 else (4, 4) for i in range(20)])
+    right = _buckets([100] * 30, [(i - 10, i - 9) for i in range(30)])
+    for op in (Op.LESS_THAN, Op.GREATER_THAN_OR_EQ, Op.NOT_EQUALS):
+        _, rights, sizes = regions.cover(left, right, op, 10_000)
+        median = sorted(sizes)[len(sizes) // 2]
+        assert max(sizes) <= 2 * median and sum(sizes) > 500_000
+        assert len(sizes) == 1 + max(first + parts - 1 for _, first, parts in rights)
+    assert min(b for b, *_ in regions.cover(left, right, Op.LESS_THAN, 10_000)[1]) > 10
+
+
+def test_strings_with_a_common_prefix_are_pruned(spark):
+    a = spark.range(400).selectExpr("format_string('Customer#%09d', id) AS lv")
+    _, buckets = regions.bucketed_side(a, F.col("lv"), "b", "c", 50)
+    assert len(buckets) == 8 and all(x.high < y.low for x, y in zip(buckets, buckets[1:]))
+    lefts, rights, _ = regions.cover(buckets, buckets, Op.LESS_THAN, 2500)
+    assert len(rights) == 8 * 9 // 2
+    found = joins.join(a, "lv", "<", a.withColumnRenamed("lv", "rv"), "rv", bucket_rows=50, least_pairs=100)
+    assert found.count() == 400 * 399 // 2
+
+
+def test_a_skewed_join_has_even_tasks(spark):
+    a = spark.range(3000).selectExpr("if(id % 3 = 0, 500, id) AS lv")
+    b = spark.range(2000).selectExpr("if(id % 2 = 0, 700, id) AS rv")
+    plan = joins.join(a, "lv", "<", b, "rv", bucket_rows=100, least_pairs=1)
+    assert plan.count() == sum((500 if i % 3 == 0 else i) < (700 if j % 2 == 0 else j) for i in range(3000) for j in range(2000))
+    out = plan.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    sizes = sorted(r["count"] for r in out)
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
 
 
 def test_inequality_join_has_no_nested_loop(spark):
@@ -93,8 +140,9 @@ def test_inequality_join_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_containing_join_both_ways(spark, limit):
+@pytest.mark.parametrize("pack_bytes, text_bytes", [(1 << 20, 1 << 20), (10, 50), (1, 1 << 20)])
+def test_containing_join_both_ways(spark, monkeypatch, pack_bytes, text_bytes):
+    monkeypatch.setattr(joins, "HITS", 7)
     rnd = random.Random(1)
     word = lambda lo, hi: "".join(rnd.choice("ab") for _ in range(rnd.randint(lo, hi)))
     left = [(i, word(0, 12)) for i in range(40)] + [(100, "ab"), (100, "ab")]
@@ -102,7 +150,9 @@ def test_containing_join_both_ways(spark, limit):
     a = spark.createDataFrame(left, "lid int, lv string")
     b = spark.createDataFrame(right, "rid int, rv string")
     want = sorted((x, v, y, w) for x, v in left for y, w in right if w is not None and w in v)
-    assert rows(joins.join_containing(a, "lv", b, "rv", limit=limit, gram=3)) == want
+    assert rows(joins.join_containing(a, "lv", b, "rv", pack_bytes, text_bytes)) == want
+    plan = joins.join_containing(a, "lv", b, "rv")._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "CoGroup" not in plan
 
 
 def test_join_hot_matches_plain_join(spark):

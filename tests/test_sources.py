@@ -107,7 +107,7 @@ def test_producer_records_and_report(spark):
     path = scratch_path(spark, "topic")
     sent = spark.range(1, 11).selectExpr("int(id) AS key", "concat('Message_', id) AS value")
     kafka.write_topic(sent.select(kafka.int_key(F.col("key")).alias("key"), "value"), "t", files=path)
-    stored = spark.read.parquet(path)
+    stored = kafka.read_topic(spark, "t", files=path)
     assert stored.select(F.col("value").cast("string")).orderBy("value").first()[0] == "Message_1"
     places = stored.groupBy("partition").agg(F.sort_array(F.collect_list("offset")).alias("o")).collect()
     assert all(r.o == list(range(len(r.o))) for r in places) and sum(len(r.o) for r in places) == 10
@@ -117,7 +117,7 @@ def test_producer_records_and_report(spark):
     twice = sent.union(sent).withColumn("sent_at", F.timestamp_millis(F.lit(1000)))
     again = scratch_path(spark, "topic")
     kafka.write_topic(twice.select(kafka.int_key(F.col("key")).alias("key"), "value"), "t", files=again)
-    report = kafka.delivery_report(twice, spark.read.parquet(again))
+    report = kafka.delivery_report(twice, kafka.read_topic(spark, "t", files=again))
     assert report.count() == 20 == report.select("partition", "offset").distinct().count()
 
 
