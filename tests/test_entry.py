@@ -33,3 +33,12 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
                          text=True, timeout=120)
     assert out.stdout.strip() == "[('a', '1'), ('b', '1')]", out.stderr
+
+
+def test_a_module_that_is_missing_leaves_those_queries_out(tmp_path):
+    """Neither the folder nor what it imports is needed for the other queries."""
+    code = ("import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries(); "
+            "print(len(q), any(n.startswith('op') or n == 'pipeline' for n in q))")
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == [str(len(plans.QUERIES)), "False"], out.stderr
