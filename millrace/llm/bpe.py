@@ -206,7 +206,8 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", wor
 class Encoder:
     """Ids of texts: words of the automaton have theirs there, all others are merged.
 
-    A text is cut at its single spaces, which no word spans. Chunks met before are looked up.
+    A text is cut at its single spaces, which no word spans. Chunks met before are looked up. A text with other white space beside
+    its words is cut into words as a whole, which are looked up together.
     """
 
     def __init__(self, merger: Merger, lexicon: Automaton | None):
@@ -235,6 +236,15 @@ class Encoder:
             known[chunk] = b"".join([ids[4 * starts[n]:4 * starts[n + 1]] if n >= 0 else merge(w)
                                      for w, n in zip(ws, numbers)])
 
+    def _of_words(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts that are cut into words: all of them walk the automaton together, and those that it lacks are merged."""
+        words = list({w.encode() for ws in texts for w in ws})
+        numbers = self.lexicon.number(words).tolist() if self.lexicon and words else [-1] * len(words)
+        if self.lexicon:
+            starts, ids = self.lexicon.starts.tolist(), self.lexicon.ids.tobytes()
+        known = {w: ids[4 * starts[n]:4 * starts[n + 1]] if n >= 0 else self.merger.merge(w) for w, n in zip(words, numbers)}
+        return [b"".join([known[w.encode()] for w in ws]) for ws in texts]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; the text of a special token is that token."""
         merger = self.merger
@@ -250,8 +260,7 @@ class Encoder:
         bare = {c for c in new if c.isalpha()}
         self._learn(later, bare, " ")
         self._learn(later, new - bare, " ")
-        whole = Memo(lambda t: b"".join(map(merger.merge, (w.encode() for w in WORDS.findall(t)))), 1000)
-        out = []
+        out, loose = [], {}
         for pieces, ps in zip(cut, parts):
             done = []
             for text, p in zip(pieces, ps):
@@ -259,10 +268,15 @@ class Encoder:
                     done.append(special[p].to_bytes(4, "little"))
                     continue
                 chunks = [later[c] for c in p[1:]]
-                loose = None in chunks or len(p) > 1 and p[0][-1:].isspace()
-                done.append(whole[text] if loose else first[p[0]] + b"".join(chunks))
-            out.append(done[0] if len(done) == 1 else b"".join(done))
-        return out
+                if None in chunks or len(p) > 1 and p[0][-1:].isspace():
+                    loose[text] = None
+                    done.append(text)
+                else:
+                    done.append(first[p[0]] + b"".join(chunks))
+            out.append(done)
+        loose = dict(zip(loose, self._of_words([WORDS.findall(t) for t in loose])))
+        done = ([loose[d] if d.__class__ is str else d for d in ds] for ds in out)
+        return [d[0] if len(d) == 1 else b"".join(d) for d in done]
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]

@@ -81,6 +81,22 @@ def test_automaton_is_minimal_and_exact(tmp_path, byte):
     assert bpe.Automaton.open(str(tmp_path / "a.fst")).get(b"stop") == merger.merge(b"stop")
 
 
+def test_loose_texts_walk_the_automaton(tmp_path, byte):
+    """Indented and double-spaced texts ask the automaton for their words too, and only unknown ones are merged."""
+    merger, theirs, _ = byte
+    words = [w.encode() for w in (" return", "return", " value", " for", " ", "\n", "   ", "def")]
+    arrays = bpe.Automaton.build((w, merger.merge(w)) for w in words)
+    (tmp_path / "a.fst").write_bytes(bpe.Automaton.image(arrays))
+    encoder, merged = bpe.Encoder(merger, bpe.Automaton.open(str(tmp_path / "a.fst"))), []
+    real = merger.merge
+    encoder.merger = type("Seen", (), {"special": merger.special, "cut": merger.cut, "merge": staticmethod(lambda w: merged.append(w) or real(w))})()
+    text = "def  f:\n    return value\n    for value  in value: return value \n"
+    assert np.frombuffer(encoder.encode(text), "<i4").tolist() == theirs(text)
+    merged.clear()
+    encoder._of_words([bpe.WORDS.findall(text)])
+    assert merged and not set(merged) & set(words)
+
+
 def test_empty_automaton(tmp_path):
     (tmp_path / "e.fst").write_bytes(bpe.Automaton.image(bpe.Automaton.build([])))
     assert bpe.Automaton.open(str(tmp_path / "e.fst")).get(b"a") is None
@@ -173,7 +189,7 @@ def brute_plan(counts, capacity):
 
 @settings(max_examples=60, deadline=None)
 @given(counts=st.dictionaries(st.integers(1, 50), st.integers(1, 9), max_size=12))
-def test_plan_equals_one_bin_at_a_time(counts):
+def test_plan_is_within_a_bin_of_one_bin_at_a_time(counts):
     bins = packing.plan_bins(counts, 50)
     used = collections.Counter()
     for fill, times in bins:
