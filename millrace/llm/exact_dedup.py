@@ -12,32 +12,34 @@ from .common import ascii_lower, numbered
 
 # Runs that meet in one merge, as a power of two.
 FAN_BITS = 3
-# Runs at most, as a power of two; more source partitions share run numbers.
-MOST_BITS = 20
+# Rows of a run, about.
+RUN_ROWS = 1_000_000
 VERIFY = ["digest", "n_bytes", "sha"]
 
 
-def _merge(runs: DataFrame, number: Column, keep) -> DataFrame:
-    """One level: rows of equal, verified digest in one run become one row."""
-    return (runs.withColumn("run", number).groupBy("run", *VERIFY)
-            .agg(keep("best").alias("best"), F.sum("copies").alias("copies")))
+def _exchanged(runs: DataFrame, number: Column, count: int, keep) -> DataFrame:
+    """Rows go to the partition that is their run; what meets there is sorted by digest, and equal, verified digests become one row."""
+    moved = runs.withColumn("run", number.cast("int")).repartitionById(count, F.col("run"))
+    return moved.groupBy("run", *VERIFY).agg(keep("best").alias("best"), F.sum("copies").alias("copies"))
 
 
 def merge_runs(digests: DataFrame, bits: int, keep=F.max, fan_bits: int = FAN_BITS) -> DataFrame:
     """Merge the runs of all partitions in binomial rounds.
 
-    Run ``r`` starts as the rows of source partition ``r``. In each round, groups of ``2**fan_bits``
-    runs that differ in the next bits of their number exchange rows: a row goes to the member
-    whose bits equal those of its digest. After the last round the run number is a
-    part of the digest, so equal digests have met. Each round combines in the map
-    task first, so a group that fills a third of the table sends one row a task.
+    There are ``2**bits`` runs, each a partition sorted by digest. Run ``r`` starts as the rows whose ``run`` is r, those of some source
+    partitions. In each round, groups of ``2**fan_bits`` partitions that differ in the next bits of their number exchange
+    runs and with no other: a row goes to the member whose bits equal those of its digest, and the parts that
+    a member is sent are merged in order, verified rows of one digest into one. After the last round the run number is a
+    part of the digest, so equal digests have met. A group that fills a third of the table is one row of each run from the start,
+    and a member is sent ``2**fan_bits`` rows of it at most.
     """
     runs = digests.select("run", *VERIFY, F.struct("id", "row").alias("best"), F.lit(1).cast("long").alias("copies"))
+    runs = _exchanged(runs, F.col("run"), 1 << bits, keep)
     for low in range(0, bits, fan_bits):
         mask = ((1 << min(fan_bits, bits - low)) - 1) << low
-        number = (F.col("run").bitwiseAND(F.lit(~mask).cast("long"))
+        number = (F.col("run").cast("long").bitwiseAND(F.lit(~mask).cast("long"))
                   .bitwiseOR(F.col("digest").bitwiseAND(F.lit(mask).cast("long"))))
-        runs = _merge(runs, number, keep)
+        runs = _exchanged(runs, number, 1 << bits, keep)
     return runs
 
 
@@ -63,9 +65,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     digests = cut_lineage(rows.select(
         "id", "row", "part", F.xxhash64("text").alias("digest"),
         F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "digests")
-    parts = (digests.agg(F.max("part")).first()[0] or 0) + 1
-    bits = min(MOST_BITS, max(1, math.ceil(math.log2(parts))))
-    digests = digests.withColumn("run", F.pmod("part", F.lit(1 << bits)).cast("long"))
+    seen = digests.agg(F.max("part").alias("last"), F.count("*").alias("rows")).first()
+    # As many runs as the rows ask for, and no fewer than keep all tasks at work, if the source has as many partitions.
+    at_work = min((seen["last"] or 0) + 1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bits = max(1, math.ceil(math.log2(max(at_work, seen["rows"] / RUN_ROWS))))
+    digests = digests.withColumn("run", F.pmod("part", F.lit(1 << bits)))
     merged = merge_runs(digests, bits, F.max if keep == "max" else F.min, fan_bits)
     groups = merged.select(*VERIFY, "best", "copies")
     return digests.join(groups, VERIFY).select(

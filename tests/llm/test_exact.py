@@ -4,6 +4,7 @@ import collections
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import exact_dedup, sharding
 from millrace.llm.common import LOWER, UPPER
@@ -31,6 +32,26 @@ def test_exact_duplicates(odd, keep, fan_bits):
     assert len(kept) == len(groups) and all(r["doc_id"] == r["keep_id"] for r in kept)
 
 
+def test_partitions_exchange_sorted_runs(spark):
+    """A round is one exchange by the number of the run, which a sort of that partition and a merge follow; a round more, one more."""
+    digests = spark.range(100).selectExpr("id", "id AS row", "id % 7 AS digest", "1L AS n_bytes", "'s' AS sha", "id % 16 AS run")
+    for bits, fan, rounds in ((4, 4, 1), (4, 2, 2), (3, 1, 3)):
+        runs = exact_dedup.merge_runs(digests.withColumn("run", F.col("run") % (1 << bits)), bits, fan_bits=fan)
+        plan = runs._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange shufflepartitionidpassthrough") == rounds + 1 and plan.count("Exchange") == rounds + 1
+        assert plan.count("Sort [run") >= rounds + 1
+        got = sorted((r["digest"], r["best"]["id"], r["copies"]) for r in runs.collect())
+        ids = [[i for i in range(100) if i % 7 == d] for d in range(7)]
+        assert got == [(d, max(i), len(i)) for d, i in enumerate(ids)]
+
+
+def test_internal_names_of_other_columns(spark):
+    docs = spark.range(6).selectExpr("id AS doc_id", "concat('T', id % 2) AS text", "id + 100 AS __row", "1 AS __slot", "2 AS run", "3 AS best")
+    kept = exact_dedup.drop_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(r["__row"] for r in kept.collect()) == [104, 105]
+    assert sharding.shard_rows(docs, "doc_id", ["a", "b"], 11).count() == 6
+
+
 def test_runs_merge_at_every_level(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('T', id % 37) AS text").repartition(37)
     got = exact_dedup.exact_duplicates(docs).where("kept").collect()
