@@ -125,7 +125,9 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         sketches.fingerprint(F.col("sketch")).alias("fingerprint"),
         sketches.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
         sketches.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        sketches.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        sketches.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        sketches.containment(F.col("sketch"), F.col("edited_sketch")).alias("held_in_edited"),
+        sketches.distinct_shingles(F.col("sketch")).alias("shingles"))
 
 
 def _license_sql() -> str:

@@ -56,6 +56,14 @@ def test_op3_query(spark):
     prints = {}
     for r in rows:
         assert prints.setdefault(dict(docs)[r["doc_id"]], r["fingerprint"]) == r["fingerprint"]
+    at = {r["doc_id"]: r for r in rows}
+    off = []
+    for i, text, changed, _ in edited(docs):
+        mine, other = shingles(text), shingles(changed)
+        if len(mine) < 128:
+            assert at[i]["shingles"] == len(mine)
+        off.append(abs(at[i]["held_in_edited"] - (len(mine & other) / len(mine) if mine else 1)))
+    assert sum(off) / len(off) < 0.05
 
 
 @pytest.mark.parametrize("size", [200, 5000])
