@@ -57,6 +57,45 @@ MORE = [Template(*t) for t in (
     ("public-domain", "released into the public domain", "public domain"),
     ("proprietary", "confidential and proprietary information do not distribute", "confidential and proprietary"),
 )]
+# The words of whole notices as they are published, with a phrase that each must hold.
+NOTICES = [Template(*t) for t in (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the rights to use "
+     "copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+     "software is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
+     "shall be included in all copies or substantial portions of the software the software is provided as is without warranty of "
+     "any kind express or implied including but not limited to the warranties of merchantability fitness for a particular "
+     "purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other "
+     "liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or "
+     "the use or other dealings in the software", "associated documentation files the software"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and "
+     "the author disclaims all warranties with regard to this software including all implied warranties of merchantability and "
+     "fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages "
+     "whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action "
+     "arising out of or in connection with the use or performance of this software", "for any purpose with or without fee"),
+    ("bsd-3-clause", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions "
+     "and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of "
+     "conditions and the following disclaimer in the documentation and or other materials provided with the distribution 3 neither "
+     "the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+     "this software without specific prior written permission", "endorse or promote products derived from this software"),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
+     "the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable "
+     "law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or "
+     "conditions of any kind either express or implied see the license for the specific language governing permissions and "
+     "limitations under the license", "unless required by applicable law or agreed to in writing"),
+    ("gpl-3.0-or-later", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+     "public license as published by the free software foundation either version 3 of the license or at your option any later "
+     "version this program is distributed in the hope that it will be useful but without any warranty without even the implied "
+     "warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details you "
+     "should have received a copy of the gnu general public license along with this program",
+     "free software foundation either version 3"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+     "for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose "
+     "including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+     "including commercial applications and to alter it"),
+)]
 
 
 def words_of(text: Column) -> Column:
@@ -78,9 +117,10 @@ def scan(docs: DataFrame, templates: Sequence[Template] = (), cover: float = COV
          text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words and places, an array of (template, label, base, start, score).
 
-    ``templates`` are looked for beside the base ones. Each is indexed under the word of its key that is in the fewest
-    documents. A document's words that are in the index give places where a template could stand; there its other
-    words are compared by relative position. A place counts if the key stands whole and the
+    ``templates`` are looked for beside the base ones. The index has the postings (template, position) of the two words of each
+    template's key with the highest inverse document frequency. A document looks those of its words up, and the places
+    at which a template would begin by the one and by the other are intersected; there its other words are compared by
+    relative position. A place counts if the key stands whole and the
     words in place have ``cover`` of the template's weight; all of it for a base phrase. ``score`` is that share.
 
     ``start`` may be before the text for a template whose beginning is cut off. Null text counts as empty.
@@ -88,14 +128,17 @@ def scan(docs: DataFrame, templates: Sequence[Template] = (), cover: float = COV
     """
     known = [*BASE, *templates]
     weights = word_weights(docs, known, text_col)
-    postings: dict[str, list[tuple[int, int]]] = {}
+    postings: dict[str, list[tuple[int, int, int]]] = {}
     for number, t in enumerate(known):
         key = t.key.split()
-        rare = max(range(len(key)), key=lambda i: (weights[key[i]], -i))
-        postings.setdefault(key[rare], []).append((number, t.key_at + rare))
+        rare = sorted(range(len(key)), key=lambda i: (-weights[key[i]], i))[:2]
+        for turn, i in enumerate(rare if len(rare) == 2 else rare * 2):
+            postings.setdefault(key[i], []).append((number, t.key_at + i, turn))
     ints = lambda values: F.array(*[F.lit(v) for v in values])
     index = F.create_map(*[x for word, found in sorted(postings.items()) for x in (
-        F.lit(word), F.array(*[F.struct(F.lit(n).alias("t"), F.lit(i).alias("at")) for n, i in found]))])
+        F.lit(word), F.array(*[F.struct(F.lit(n).alias("t"), F.lit(i).alias("at"), F.lit(k).alias("turn")) for n, i, k in found]))])
+    # A place as one number: the template and the beginning, which may be before the text.
+    before = max(len(t.words) for t in known)
     phrases = F.array(*[F.array(*map(F.lit, t.words)) for t in known])
     shares = F.array(*[F.array(*[F.lit(weights[w] / sum(weights[x] for x in t.words)) for w in t.words]) for t in known])
     labels, base = ints(t.label for t in known), ints(t.base for t in known)
@@ -104,8 +147,11 @@ def scan(docs: DataFrame, templates: Sequence[Template] = (), cover: float = COV
 
     def places(words: Column) -> Column:
         hits = F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(sorted(postings)), i)))
-        could = F.flatten(F.transform(hits, lambda i: F.transform(
-            F.element_at(index, F.get(words, i)), lambda p: F.struct(p["t"].alias("t"), (i - p["at"]).alias("start")))))
+        looked = F.flatten(F.transform(hits, lambda i: F.transform(F.element_at(index, F.get(words, i)), lambda p: F.struct(
+            p["turn"].alias("turn"), (F.shiftleft(p["t"].cast("long"), 40) + i - p["at"] + before).alias("place")))))
+        by = lambda turn: F.transform(F.filter(looked, lambda p: p["turn"] == turn), lambda p: p["place"])
+        could = F.transform(F.array_intersect(by(0), by(1)), lambda c: F.struct(
+            F.shiftright(c, 40).cast("int").alias("t"), (c.bitwiseAND(F.lit((1 << 40) - 1)) - before).cast("int").alias("start")))
 
         def compared(c: Column) -> Column:
             phrase, share = F.get(phrases, c["t"]), F.get(shares, c["t"])

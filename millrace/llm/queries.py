@@ -132,7 +132,7 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def _license_sql() -> str:
     """Every alignment of every template by joining on all its words, with no index."""
-    known = [*licenses.BASE, *licenses.MORE]
+    known = [*licenses.BASE, *licenses.MORE, *licenses.NOTICES]
     words = ", ".join(f"({n}, {k}, '{w}')" for n, t in enumerate(known) for k, w in enumerate(t.words))
     heads = ", ".join(f"({n}, '{t.label}', {str(t.base).lower()}, {t.key_at}, {len(t.key.split())}, "
                       f"{1 if t.base else licenses.COVER})" for n, t in enumerate(known))
@@ -164,7 +164,7 @@ FROM d LEFT JOIN sums USING (r)"""
 
 @query("op10_licenses", _license_sql())
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.summary(licenses.scan(read_documents(spark, folder), licenses.MORE))
+    return licenses.summary(licenses.scan(read_documents(spark, folder), [*licenses.MORE, *licenses.NOTICES]))
 
 
 @query("op11_line_dedup", """

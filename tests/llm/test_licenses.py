@@ -17,10 +17,16 @@ HARD = [
     "licensed under cc by sa 4 0", "public domain", "released into the public domain", None, "", "cc", "cc by", "by cc by",
     "cc\x00by", "cc0 1 0 universal", "Redistribution, and use in source and binary forms, are permitted",
 ]
+# Notices whole, cut at both ends, with words changed, with a word more in the middle, and without their phrase.
+for _t in licenses.NOTICES:
+    _w, _n = _t.words, len(_t.words)
+    HARD += [_t.phrase.capitalize() + ".", " ".join(_w[_n // 6:]), "x, " + " ".join(_w[:_n - _n // 8]) + " y",
+             " ".join("changed" if i % 9 == 0 and w not in _t.key.split() else w for i, w in enumerate(_w)),
+             " ".join([*_w[:_n // 2], "more", *_w[_n // 2:]]), _t.phrase.replace(_t.key, ""), _t.key, _t.phrase + "\n\n" + _t.phrase]
 
 
 def brute(docs):
-    known = [*licenses.BASE, *licenses.MORE]
+    known = [*licenses.BASE, *licenses.MORE, *licenses.NOTICES]
     split = [WORD.findall((t or "").translate(str.maketrans(UPPER, LOWER))) for _, t in docs]
     weight = {w: math.log((len(docs) + 1) / (sum(w in set(s) for s in split) + 1)) + 1 for t in known for w in t.words}
     out = []
@@ -41,7 +47,7 @@ def brute(docs):
 
 
 def found(df):
-    return sorted(((repr(r[0]), *r[1:7], r[7]) for r in licenses.summary(licenses.scan(df, licenses.MORE)).collect()), key=repr)
+    return sorted(((repr(r[0]), *r[1:7], r[7]) for r in licenses.summary(licenses.scan(df, [*licenses.MORE, *licenses.NOTICES])).collect()), key=repr)
 
 
 def test_hard_texts(spark):
@@ -68,3 +74,12 @@ def test_places(spark):
     df = spark.createDataFrame([(1, "x CC BY and cc by 4.0")], "doc_id long, text string")
     places = licenses.scan(df).first()["places"]
     assert [(p["label"], p["start"], p["score"]) for p in places] == [("cc-by", 1, pytest.approx(1)), ("cc-by", 4, pytest.approx(1))]
+
+
+def test_postings_of_two_rare_words_are_intersected(spark):
+    """A place needs both words at their distance: without the rarer or the other word of the key there is none to compare."""
+    df = spark.createDataFrame([(1, "mit x license"), (2, "license mit"), (3, "mit license")], "doc_id long, text string")
+    scanned = licenses.scan(df, [licenses.Template("mit", "mit license", "mit license")])
+    assert {r["doc_id"]: len(r["places"]) for r in scanned.collect()} == {1: 0, 2: 0, 3: 1}
+    plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" in plan
