@@ -17,6 +17,8 @@ from .common import Memo, free_name, in_order_ranges
 WINDOW = 20
 # Bytes of text in a bucket, bytes of text whose anchors are one group, leaves in a subtree.
 BUCKET_BYTES, ANCHOR_BYTES, LEAVES = 6_000_000, 16_000_000, 1_000_000
+# A bucket's suffixes under one anchor are counted so far, to tell how large its group will be.
+MOST_COUNTED = 65_535
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,36 +103,36 @@ def _anchor_rows(groups: int, window: int):
     def work(table: pa.Table) -> pa.Table:
         codes[:] = codes or [Memo(lambda w: xxhash.xxh64_intdigest(w))]
         bucket = Bucket(table, codes[0], window)
-        anchors = np.unique(bucket.anchor[bucket.valid])
+        anchors, suffixes = np.unique(bucket.anchor[bucket.valid], return_counts=True)
         # The leading bits of the fingerprint, a prefix that is still too short.
         parts = _by_group((anchors >> np.uint64(32)).astype(np.int64) * groups >> 32) if len(anchors) else []
         number = table.column("bucket")[0].as_py()
         return pa.table({"part": pa.array([p for p, _ in parts], pa.int64()),
                          "bucket": pa.array([number] * len(parts), pa.int32()),
-                         "anchors": pa.array([_pack(anchors[i], "<u8") for _, i in parts], pa.binary())})
+                         "anchors": pa.array([_pack(anchors[i], "<u8") for _, i in parts], pa.binary()),
+                         "suffixes": pa.array([_pack(np.minimum(suffixes[i], MOST_COUNTED), "<u2") for _, i in parts], pa.binary())})
 
     return work
 
 
-def _prefix_rows(leaves: int, window: int):
+def _prefix_rows(leaves: int):
     """Anchors that several buckets have, each with the prefix group that its suffixes go to.
 
     Going through the fingerprints in order, a group is closed when it is full: its prefix is as long as
     its size asks for. Suffixes under one fingerprint that fill more than a group are told apart
-    by further bits of their path.
+    by further bits of their path. A group's size is the number of suffixes that its anchors have in their buckets.
     """
-    share = (window - (window + 1) // 2 + 1) / 2  # suffixes that an anchor has, about
-
     def work(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         anchors, row = _unpack(table.column("anchors"), "<u8")
+        suffixes, _ = _unpack(table.column("suffixes"), "<u2")
         order = np.argsort(anchors, kind="stable")
-        anchors, row = anchors[order], row[order]
+        anchors, row, suffixes = anchors[order], row[order], suffixes[order]
         new = np.ones(len(anchors), bool)
         new[1:] = anchors[1:] != anchors[:-1]
         run = np.cumsum(new) - 1
         size = np.bincount(run, minlength=1)
-        load = np.where(size > 1, size * share, 0)
+        load = np.where(size > 1, np.bincount(run, suffixes, minlength=1), 0)
         group = ((np.cumsum(load) - load) // leaves).astype(np.int64)
         more = np.ceil(np.log2(np.maximum(load / leaves, 1))).astype(np.int64)
         kept = size[run] > 1
@@ -262,9 +264,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     dealt = dealt.drop(tie)
     groups = max(8, math.ceil(size / ANCHOR_BYTES))
     by_bucket = dealt.groupBy("bucket")
-    anchors = by_bucket.applyInArrow(_anchor_rows(groups, window), "part long, bucket int, anchors binary")
+    anchors = by_bucket.applyInArrow(_anchor_rows(groups, window), "part long, bucket int, anchors binary, suffixes binary")
     prefixes = anchors.groupBy("part").applyInArrow(
-        _prefix_rows(leaves, window), "bucket int, anchors binary, groups binary, more binary")
+        _prefix_rows(leaves), "bucket int, anchors binary, groups binary, more binary")
     suffixes = by_bucket.cogroup(prefixes.groupBy("bucket")).applyInArrow(
         _suffix_rows(window), "part long, bucket int, first binary, second binary, place binary")
     repeats = suffixes.groupBy("part").applyInArrow(_subtree_rows, "bucket int, place binary")

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -95,3 +96,17 @@ def test_windows_that_agree_in_half_of_a_fingerprint(spark):
         docs += [(len(docs) + j, " ".join([*head, lasts[order[k + j]]])) for j in range(2)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert found(substrings.remove_repeats(df, bucket_bytes=60)) == brute(docs, 20)
+
+
+def test_a_hot_anchor_is_split(spark):
+    """Windows that share one frequent run and differ around it are told apart by further bits, so no group takes them all."""
+    rng = np.random.default_rng(6)
+    run = [f"r{i}" for i in range(10)]
+    docs = [(i, " ".join([*(f"a{k}" for k in rng.integers(0, 10 ** 9, 12)), *run, *(f"b{k}" for k in rng.integers(0, 10 ** 9, 12))]))
+            for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(substrings.remove_repeats(df, bucket_bytes=6000, leaves=50)) == brute(docs, 20)
+    table = pa.table({"part": [0] * 30, "bucket": list(range(30)), "anchors": [np.array([7], "<u8").tobytes()] * 30,
+                      "suffixes": [np.array([100], "<u2").tobytes()] * 30})
+    told = substrings._prefix_rows(50)(table)
+    assert {int(np.frombuffer(m, "u1")[0]) for m in told.column("more").to_pylist()} == {6}
