@@ -60,15 +60,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
+def write_step(df: DataFrame, name: str = "step") -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder; the rows read back, and their folder, to be removed when the next step is written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result survives the loss of any executor and starts a new plan.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_step(df, name)[0]
 
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
