@@ -15,7 +15,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path
+from ..session import remove_scratch, scratch_path, write_step
 from .common import Memo, most_frequent, slices
 from .packing import _byte_symbols
 
@@ -186,8 +186,9 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", longest: int = 64) ->
 def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """The automaton of at most ``words`` words, those of the most frequent chunks, sent to all executors; its file's name."""
     merger = Merger(tokenizer)
-    counts = cut_lineage(chunk_counts(docs, text_col).where("n > 1"), "chunks")
+    counts, counted = write_step(chunk_counts(docs, text_col).where("n > 1"), "chunks")
     top = most_frequent(counts, words).collect()
+    remove_scratch(docs.sparkSession, counted)
     found: Counter = Counter()
     for r in top:
         for word in words_of(r["chunk"], " "):

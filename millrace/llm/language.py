@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import remove_scratch, write_step
 from .common import bounded_sample, most_frequent, slices
 
 # Documents to fit on.
@@ -94,7 +94,7 @@ def fit(train: DataFrame, documents: int = FIT_DOCUMENTS, entries: int | None =
     """
     rows = train.where(F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counted = cut_lineage(
+    counted, path = write_step(
         bounded_sample(rows, documents, "id").select("lang", "text")
         .mapInArrow(_counts, "lang string, n int, entry string, times long")
         .groupBy("lang", "n", "entry").agg(F.sum("times").alias("times")), "language")
@@ -114,6 +114,7 @@ def fit(train: DataFrame, documents: int = FIT_DOCUMENTS, entries: int | None =
             for i, x in enumerate(languages)]
     # The words and n-grams of the sample, which ``documents`` bounds.
     found = table.select("n", "entry", *logs).toArrow()
+    remove_scratch(train.sparkSession, path)
     known: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
     for row, (n, entry) in enumerate(zip(found.column("n").to_pylist(), found.column("entry").to_pylist())):
         known[n][entry] = row

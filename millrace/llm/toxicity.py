@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, remove_scratch, write_step
 from .common import Memo, bounded_sample, slices
 
 # Labelled rows to fit on.
@@ -180,7 +180,7 @@ def fit(rows: DataFrame, n_grades: int, severe_from: int | None = None, most: in
     sample = bounded_sample(graded, most, "id").select(
         F.monotonically_increasing_id().alias("row"), "grade", "text").mapInArrow(
         _features, "row long, grade int, features array<long>, counts array<int>, marks array<long>")
-    sample = cut_lineage(sample, "labelled")  # its row numbers are those of one reading
+    sample, path = write_step(sample, "labelled")  # its row numbers are those of one reading
     labels = sample.select("row", "grade", "marks").orderBy("row").toPandas()
     n = len(labels)
     if not n:
@@ -196,6 +196,7 @@ def fit(rows: DataFrame, n_grades: int, severe_from: int | None = None, most: in
     least = strength_of_chance(found.count())
     strong = found.where((F.col("n") >= LEAST_ROWS) & (F.abs("sum") / spread > least)).select("feature")
     used = pairs.join(strong, "feature").select("row", "feature", "times").toPandas()  # features of the sample, which ``most`` bounds
+    remove_scratch(rows.sparkSession, path)
     at = np.searchsorted(labels["row"].to_numpy(), used["row"].to_numpy())
     kept, columns = np.unique(used["feature"].to_numpy(np.int64), return_inverse=True)
     best = telling(at, columns, residual, marks, least)
