@@ -137,7 +137,9 @@ def in_order_ranges(rows: DataFrame, id_col: str, tie_col: str, ranges: int, to:
     # At most ``fan`` cuts, the root of the tree.
     top = sorted((tuple(r["key"]), r["range"]) for r in nodes.collect())
     at = rows.withColumn("__key", key)
-    spot = lambda cuts: F.element_at(F.filter(cuts, lambda c: c["key"] <= F.col("__key")), -1)["range"]
+    # A transform over one element computes the key once, not for each cut.
+    spot = lambda cuts: F.element_at(F.transform(F.array(F.col("__key")), lambda k: F.element_at(
+        F.filter(cuts, lambda c: c["key"] <= k), -1)["range"]), 1)
     cut = lambda k, r: F.struct(F.struct(F.lit(k[0]).alias("known"), F.lit(k[1]).cast("long").alias("id"), F.lit(k[2]).cast("long").alias("tie"))
                                 .alias("key"), F.lit(r).alias("range"))
     if not top:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
 
 def sketch(hashes: Column, k: int = K) -> Column:
     """The ``k`` least distinct hashes, in order."""
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, k)
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:
@@ -49,16 +50,24 @@ def distinct_shingles(a: Column, k: int = K) -> Column:
         F.lit((k - 1) * SPACE) / (F.element_at(a, -1).cast("double") + 1))
 
 
-def resemblance(a: Column, b: Column, k: int = K) -> Column:
-    """Estimated share of common shingles among all of both; 1 if both have none."""
-    union = merge(a, b, k)
+def _merged(a: Column, b: Column, k: int, value: Callable[[Column], Column]) -> Column:
+    """``value`` of the merged sketch, which a transform over one element computes once."""
+    return F.element_at(F.transform(F.array(merge(a, b, k)), value), 1)
+
+
+def _likeness(a: Column, b: Column, union: Column) -> Column:
     both = F.size(F.array_intersect(F.array_intersect(union, a), b))
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both.cast("double") / F.size(union))
 
 
+def resemblance(a: Column, b: Column, k: int = K) -> Column:
+    """Estimated share of common shingles among all of both; 1 if both have none."""
+    return _merged(a, b, k, lambda union: _likeness(a, b, union))
+
+
 def containment(a: Column, b: Column, k: int = K) -> Column:
     """Estimated share of the shingles of ``a`` that ``b`` has; 1 if ``a`` has none."""
-    common = resemblance(a, b, k) * distinct_shingles(merge(a, b, k), k)
+    common = _merged(a, b, k, lambda union: _likeness(a, b, union) * distinct_shingles(union, k))
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.least(common / distinct_shingles(a, k), F.lit(1.0)))
 
 
