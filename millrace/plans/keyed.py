@@ -75,3 +75,15 @@ SELECT key, CAST(max(val) AS DOUBLE) AS val FROM ({_PUSHES}) GROUP BY key""")
 def push_handler(spark, sf):
     """A user handler that keeps the largest value pushed."""
     return kv.push_handled(pushes(spark, sf), max, max)
+
+
+@query("fold_vectors", """
+WITH cells AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+  sums AS (SELECT label, i, CAST(sum(floor(1024 * x::DOUBLE)) AS BIGINT) AS total FROM cells GROUP BY ALL)
+SELECT label, string_agg(total::VARCHAR, ',' ORDER BY i) AS sums FROM sums GROUP BY label""")
+def fold_vectors(spark, sf):
+    """Vectors pushed under their label, added up by position and put together again."""
+    vectors = load(spark, sf, "embeddings").select("label", F.transform(
+        "embedding", lambda x: F.floor(x.cast("double") * 1024).cast("double")).alias("vec"))
+    whole = kv.fold_vectors(kv.push_vectors(vectors, ["label"], "vec"), ["label"])
+    return whole.select("label", F.array_join(F.transform("vals", lambda v: v.cast("long")), ",").alias("sums"))

@@ -292,3 +292,15 @@ def stream_kv_sum(spark, sf):
         "user_id AS key", "cast(round(value * 100) AS bigint) AS val"))
     rows = run.all_batches(spark, run.drain(sums, "update"), sums.schema)
     return run.latest_update(rows, ["key"])
+
+
+@query("stream_first_seen", """
+SELECT user_id || '-' || epoch_us(ts) // 3600000000 AS request, min(event_id) AS event_id FROM events GROUP BY 1""")
+def stream_first_seen(spark, sf):
+    """The first event of each user and hour, over two parts; a request is known for a day."""
+    events = load(spark, sf, "events")
+    rows = events.select(F.concat_ws("-", "user_id", F.floor(epoch_ms(F.col("ts")) / 3_600_000)).alias("request"), "event_id")
+    middle = events.agg(F.floor(F.avg("event_id"))).first()[0] or 0
+    pieces = [rows.where(F.col("event_id") < middle), rows.where(F.col("event_id") >= middle)]
+    job = lambda stream: processors.first_seen(stream, "request", 86_400_000)
+    return _drained(spark, pieces, job, settings=processors.ROCKSDB).select("request", "event_id")

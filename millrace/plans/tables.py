@@ -238,3 +238,9 @@ def delivery_report(spark, sf):
     report = kafka.delivery_report(sent, kafka.read_topic(spark, "messages", files=path), key_size=8)
     return report.select("key", "value", "partition", "offset", (F.col("elapsed_ms") >= 3_600_000).alias("waited"),
                          F.col("elapsed_ms").between(0, 7_200_000).alias("timed"))
+
+
+@query("int_keys", "SELECT o_orderkey, lower(lpad(printf('%X', o_orderkey), 8, '0')) AS key FROM orders")
+def int_keys(spark, sf):
+    """Big-endian keys of four bytes."""
+    return load(spark, sf, "orders").select("o_orderkey", F.lower(F.hex(kafka.int_key(F.col("o_orderkey")))).alias("key"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
@@ -152,6 +153,19 @@ def slicer_fn(spark, sf):
     return dealt.select("o_orderkey", "slice", "part", F.spark_partition_id().alias("partition"))
 
 
+@query("balanced_slices", """
+SELECT count(*) AS rows, 8 AS parts, true AS apart, true AS even, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM orders""")
+def balanced_slices(spark, sf):
+    """Eight ranges of about equal size: ranges don't overlap, and none is twice as large as the mean."""
+    parts = partitioning.repartition_balanced(load(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 8)
+    told = parts.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+    below = F.lag("high").over(Window.orderBy("part"))  # one row per part
+    return told.withColumn("apart", F.coalesce(F.col("low") > below, F.lit(True))).agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).cast("int").alias("parts"), F.min("apart").alias("apart"),
+        (F.max("n") <= 2 * F.avg("n")).alias("even"), F.min("low").alias("first_key"), F.max("high").alias("last_key"))
+
+
 def larger_together(a: tuple, b: tuple) -> int:
     """Which of two digit texts comes first if all are to be put together to the largest number."""
     return (a[0] + b[0] < b[0] + a[0]) - (a[0] + b[0] > b[0] + a[0])
@@ -202,6 +216,13 @@ def mr_job(spark, sf):
     return textjobs.run_job(talks, "name", "text", map_words, count_values, add_counts, 3)
 
 
+@query("map_pairs", f"SELECT word AS key, '1' AS value, count(*) AS n FROM ({_TALK_WORDS}) GROUP BY word")
+def map_pairs(spark, sf):
+    """What the map hook emits without a combiner, counted here."""
+    talks = conversations(spark, sf).selectExpr("concat('talk-', conv_id, '-', turn) AS name", "text")
+    return textjobs.map_files(talks, "name", "text", map_words).groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @udtf(returnType="key string, value string", useArrow=True)
 class WordPairs:
     """The map hook as a table function: one call per record."""
