@@ -13,18 +13,24 @@ TEXTS = [None, "", "   \n\t ", "a", "The THE the", "it's we'll 'S x''s 12345 a1b
          "x" * 9000, "word " * 9000, "The THE the", "The THE the", "null", "<|im not special|>", "don't DON'T don'T"]
 
 
+def internal_names(df):
+    """Further columns with names that operators use inside."""
+    names = "__row __slot __rank __tie __key __node __cuts tie range bucket part bits ones fingerprint component".split()
+    return df.selectExpr("*", *[f"{7 + i}L AS {n}" for i, n in enumerate(names)])
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     """Rows with nulls in every column, ties, a repeated row and clashing extra columns."""
     rows = [(i, t, None if i % 3 else "en", None, None, "x", 1, 2) for i, t in enumerate(TEXTS)]
     rows += [rows[4], (None, "only text", None, None, None, None, None, None),
              (None, None, None, None, None, None, None, None)]
-    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+    return internal_names(spark.createDataFrame(rows, SCHEMA)).repartition(3)
 
 
 @pytest.fixture(scope="session")
 def empty(spark):
-    return spark.createDataFrame([], SCHEMA)
+    return internal_names(spark.createDataFrame([], SCHEMA))
 
 
 @pytest.fixture(scope="session")
