@@ -123,8 +123,8 @@ def fit(train: DataFrame, documents: int = FIT_DOCUMENTS, entries: int | None =
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
-            *extra: Column) -> DataFrame:
-    """doc_id, the ``extra`` columns, lang_pred string and score double of every whole text.
+            *extra: Column, with_text: bool = False) -> DataFrame:
+    """doc_id, the ``extra`` columns, lang_pred string and score double of every whole text; ``with_text``, text too, moved once.
 
     ``score`` is the share of the likelihood that the best language has. A null text, one
     without letters, and any text under a model without languages are ``und`` with score 0. Ties go to the first language
@@ -132,7 +132,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.rows, model.table))  # plain data
     rows = docs.select(F.col(id_col).alias("doc_id"), *extra, F.col(text_col).alias("text"))
-    kept = [f for f in rows.schema if f.name != "text"]
+    kept = [f for f in rows.schema if with_text or f.name != "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LanguageModel(*sent.value)
@@ -191,11 +191,11 @@ def remainder(id_col: Column) -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             *extra: Column) -> DataFrame:
-    """Fit on the rows that are not held out, predict all: doc_id, extra columns, held_out, lang_pred, score.
+             *extra: Column, with_text: bool = False) -> DataFrame:
+    """Fit on the rows that are not held out, predict all: doc_id, held_out, extra columns, lang_pred, score.
 
     A row with a null id is neither learned from nor held out. Cases as in :func:`predict`.
     """
     model = fit(docs.where(remainder(F.col(id_col)) != 2), id_col=id_col, text_col=text_col, lang_col=lang_col)
     held = F.coalesce(remainder(F.col(id_col)) == 2, F.lit(False)).alias("held_out")
-    return predict(docs, model, id_col, text_col, held, *extra)
+    return predict(docs, model, id_col, text_col, held, *extra, with_text=with_text)
