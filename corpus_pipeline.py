@@ -23,10 +23,10 @@ LEAST_SCORE = 0.5
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with a known language stay."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
-    found = language.identify(docs, "doc_id", "text", "lang", whole)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(0)]).alias("__doc")
+    found = language.identify(docs, "doc_id", "text", "lang", others, with_text=True)
     known = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return known.select("__doc.*")
+    return known.select(*[F.col("text") if c == "text" else F.col("__doc").getField(c).alias(c) for c in docs.columns])
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
