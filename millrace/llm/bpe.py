@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import remove_scratch, scratch_path, write_step
-from .common import Memo, most_frequent, slices
+from .common import most_frequent, slices
 from .packing import _byte_symbols
 
 # Words in the automaton. It bounds the automaton, not what can be encoded.
