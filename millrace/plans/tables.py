@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import message
-from ..functions.times import epoch_us, instant
+from ..functions.times import instant
 from ..operators import textjobs
 from ..session import conversations, cut_lineage, load, scratch_path
 from ..sources import delimited, files, hive, kafka, labelled
