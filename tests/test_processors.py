@@ -102,3 +102,76 @@ def test_first_seen_within_a_time_to_live(spark, tmp_path, ttl_ms, passed):
     got = run.all_batches(spark, str(tmp_path / "out"), fresh.schema).collect()
     assert sorted(r["value"] for r in got if r["request"] == "r1") == [1, 3][:passed]
     assert sorted(r["value"] for r in got if r["request"] != "r1") == [5, 9]
+
+
+class _Handle:
+    """A state handle in memory that counts the timers a key holds."""
+
+    class _Map:
+        def __init__(self):
+            self.rows = {}
+
+        def exists(self):
+            return bool(self.rows)
+
+        def iterator(self):
+            return iter(list(self.rows.items()))
+
+        def updateValue(self, key, value):
+            self.rows[key] = value
+
+        def removeKey(self, key):
+            self.rows.pop(key, None)
+
+        def clear(self):
+            self.rows.clear()
+
+    class _Value:
+        def __init__(self):
+            self.value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    def __init__(self):
+        self.timers, self.map, self.value = set(), self._Map(), self._Value()
+
+    def getMapState(self, *args):
+        return self.map
+
+    def getValueState(self, *args):
+        return self.value
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+def test_a_key_holds_one_timer_and_all_sessions_due_end_together():
+    from types import SimpleNamespace as NS
+
+    from pyspark.sql import Row
+
+    handle, machine = _Handle(), processors.Sessions(GAP)
+    machine.init(handle)
+    times = lambda wm: NS(getCurrentWatermarkInMs=lambda: wm, getCurrentProcessingTimeInMs=lambda: 0)
+    spans = [Row(start_ms=0, end_ms=10, n=2), Row(start_ms=5000, end_ms=5000, n=1), Row(start_ms=9000, end_ms=9500, n=3)]
+    opened = list(machine.handleInputRows(("a",), iter(spans), times(0)))
+    assert [(r.start_ms, r.end_ms, r.num_events, r.expired) for r in opened] == [
+        (0, 10, 2, False), (5000, 5000, 1, False), (9000, 9500, 3, False)]
+    assert handle.timers == {10 + GAP}
+    handle.timers.discard(10 + GAP)
+    over = list(machine.handleExpiredTimer(("a",), times(6000), NS(getExpiryTimeInMs=lambda: 10 + GAP)))
+    assert [(r.seq, r.start_ms, r.expired) for r in over] == [(1, 0, True), (2, 5000, True)]
+    assert handle.timers == {9500 + GAP} and list(handle.map.rows) == [(9000,)]
+    more = list(machine.handleInputRows(("a",), iter([Row(start_ms=10000, end_ms=10200, n=1)]), times(6000)))
+    assert [(r.seq, r.start_ms, r.end_ms, r.num_events) for r in more] == [(2, 9000, 10200, 4)]
+    assert handle.timers == {10200 + GAP}
