@@ -30,14 +30,13 @@ def build(df: DataFrame, doc: str, text: str, tokens: Callable[[Column], Column]
     cells = bucketed(pairs.select("word", F.shiftright(checked.cast("long"), RANGE_BITS).alias("range"),
                                   F.col("doc").cast("long").bitwiseAND(F.lit((1 << RANGE_BITS) - 1)).cast("int").alias("place"))
                      .repartition("word", "range"), "postings", ["word", "range"])
-    counts = cells.groupBy("word", "range").agg(F.count_distinct("place").alias("n"))
-    marked = cells.join(counts.hint("merge"), ["word", "range"])
-    lists = marked.where(F.col("n") <= few).groupBy("word", "range", "n").agg(
-        F.array_sort(F.collect_set(F.col("place").cast("short"))).alias("places"))
-    maps = marked.where(F.col("n") > few).groupBy("word", "range", "n").agg(
+    # One pass over the cells: a range holds at most 2**RANGE_BITS places, so its set is bounded.
+    both = cells.groupBy("word", "range").agg(
+        F.array_sort(F.collect_set(F.col("place").cast("short"))).alias("places"),
         F.bitmap_construct_agg(F.col("place").cast("long")).alias("bitmap"))
-    return lists.withColumn("bitmap", F.lit(None).cast("binary")).unionByName(
-        maps.withColumn("places", F.lit(None).cast("array<smallint>")))
+    n = F.size("places").cast("long")
+    return both.select("word", "range", n.alias("n"), F.when(n <= few, F.col("places")).alias("places"),
+                       F.when(n > few, F.col("bitmap")).alias("bitmap"))
 
 
 def _bits(bitmap: Column) -> Column:
