@@ -16,7 +16,7 @@ from .kv import push_vectors
 from .ordered import Running, order_span, running
 
 # positions of a key that are folded together, as a power of two
-BLOCK_BITS = 6
+BLOCK_BITS = 3
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,9 @@ def ftrl_fold(steps: DataFrame, init: DataFrame, order: str, settings: Ftrl = Ft
     moves = steps.select("key", "idx", F.lit(1).alias("kind"), F.col(order).cast("long").alias("o"),
                          F.col("val").cast("double").alias("val"))
     both = start.unionByName(moves).withColumn("block", F.shiftright("idx", block_bits))
-    chains = both.repartition("key", "block").sortWithinPartitions("key", "block", "kind", "o", "idx")
+    # a number of partitions, which adaptive execution does not coalesce into one task
+    parts = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chains = both.repartition(parts, "key", "block").sortWithinPartitions("key", "block", "kind", "o", "idx")
     key = init.schema["key"].dataType.simpleString()
     return chains.mapInArrow(_fold_chains(settings), f"key {key}, idx int, z double, n double, w double")
 
