@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,17 +112,61 @@ def _session_row(key, state: tuple, expired: bool) -> tuple:
     return key, end - start, count, expired
 
 
+#: Buckets of sessions of :func:`sessionize`; a checkpoint holds to the number it was started with.
+SESSION_BUCKETS = 1024
+_HELD = ["id", "count", "start", "end", "seen"]
+_SESSION_OUT = ["id", "duration_ms", "num_events", "expired"]
+
+
+def _bucket_of_sessions(timeout_ms: int) -> Callable:
+    """The sessions of one bucket side by side, each as :func:`_add_to_session` keeps it and with its own timeout.
+
+    ``seen`` is the processing time of a session's last rows; one without rows for ``timeout_ms`` is shown once more as
+    expired and removed. The bucket's timeout is that of its oldest session, so it is called when that one is due.
+    """
+
+    def run(keys, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        now = held.getCurrentProcessingTimeMs()
+        old = pd.DataFrame(dict(zip(_HELD, held.get)) if held.exists else {c: [] for c in _HELD})
+        old = old.astype({"id": object, "count": "int64", "start": "int64", "end": "int64", "seen": "int64"}).set_index("id")
+        frames = [p for p in parts if len(p)]
+        new = (pd.concat(frames).groupby("session_id").agg(count=("n", "sum"), start=("first", "min"), end=("last", "max"))
+               if frames else old.iloc[:0, :3])
+        both = new.index.intersection(old.index)
+        new.loc[both, "count"] += old.loc[both, "count"]
+        new.loc[both, "start"] = old.loc[both, "start"]
+        new.loc[both, "end"] = np.maximum(new.loc[both, "end"], old.loc[both, "end"])
+        new["seen"] = now
+        rest = old.drop(index=both)
+        due = rest["seen"] + timeout_ms < now
+        live = pd.concat([rest[~due], new]).astype("int64")
+        if len(live):
+            held.update(tuple([list(live.index), *(live[c].tolist() for c in _HELD[1:])]))
+            held.setTimeoutDuration(max(1, int(live["seen"].min()) + timeout_ms - now))
+        else:
+            held.remove()
+        shown = pd.concat([new.assign(expired=False), rest[due].assign(expired=True)])
+        yield pd.DataFrame({"id": shown.index.astype(object), "duration_ms": (shown["end"] - shown["start"]).astype("int64"),
+                            "num_events": shown["count"].astype("int64"), "expired": shown["expired"].astype(bool)},
+                           columns=_SESSION_OUT)
+
+    return run
+
+
 def sessionize(events: DataFrame, timeout_ms: int = SESSION_TIMEOUT_MS) -> DataFrame:
     """Session updates of (session_id, at_ms) events: id, duration, count, expired.
 
     Events are counted per Arrow batch before they are shuffled, so a hot
-    session sends a few rows per task and not all of its events.
+    session sends a few rows per task and not all of its events. Sessions are
+    kept in hash buckets, so a batch makes one Python call per bucket and not one per session.
     """
     parts = events.select("session_id", "at_ms").mapInPandas(
         _partials, "session_id string, n long, first long, last long")
-    return stateful(parts, "session_id", _add_to_session, _session_row,
-                    "id string, duration_ms long, num_events long, expired boolean",
-                    "count long, start long, end long", timeout_ms)
+    keyed = parts.withColumn("_bucket", F.pmod(F.xxhash64("session_id"), F.lit(SESSION_BUCKETS)))
+    return keyed.groupBy("_bucket").applyInPandasWithState(
+        _bucket_of_sessions(timeout_ms), "id string, duration_ms long, num_events long, expired boolean",
+        "ids array<string>, counts array<long>, starts array<long>, ends array<long>, seen array<long>",
+        "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 # --- changelog ------------------------------------------------------------
