@@ -154,11 +154,14 @@ def stream_flatmap(spark, sf):
 
 
 def _drained(spark, pieces, job, checkpoint=None, settings=None):
-    """Feed ``pieces`` one after the other; each time the stream goes on from its checkpoint until it has read all."""
+    """Feed ``pieces`` one after the other; each time the stream goes on from its checkpoint until it has read all.
+
+    A piece is dealt out by its rows' hash, as a stretch of time or ids may lie in one split of its table.
+    """
     path, out = (scratch_path(spark, n) for n in ("pieces", "stream"))
     checkpoint = checkpoint or scratch_path(spark, "checkpoint")
     for piece in pieces:
-        piece.write.mode("append").parquet(path)
+        piece.repartition(spark.sparkContext.defaultParallelism, *piece.columns).write.mode("append").parquet(path)
         stream = job(spark.readStream.schema(piece.schema).parquet(path))
         run.drain(stream, "update", checkpoint=checkpoint, out=out, settings=settings)
     return run.all_batches(spark, out, stream.schema)
