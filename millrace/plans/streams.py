@@ -154,14 +154,11 @@ def stream_flatmap(spark, sf):
 
 
 def _drained(spark, pieces, job, checkpoint=None, settings=None):
-    """Feed ``pieces`` one after the other; each time the stream goes on from its checkpoint until it has read all.
-
-    A piece is dealt out by its rows' hash, as a stretch of time or ids may lie in one split of its table.
-    """
+    """Feed ``pieces`` one after the other; each time the stream goes on from its checkpoint until it has read all."""
     path, out = (scratch_path(spark, n) for n in ("pieces", "stream"))
     checkpoint = checkpoint or scratch_path(spark, "checkpoint")
     for piece in pieces:
-        piece.repartition(spark.sparkContext.defaultParallelism, *piece.columns).write.mode("append").parquet(path)
+        piece.write.mode("append").parquet(path)
         stream = job(spark.readStream.schema(piece.schema).parquet(path))
         run.drain(stream, "update", checkpoint=checkpoint, out=out, settings=settings)
     return run.all_batches(spark, out, stream.schema)
@@ -204,12 +201,14 @@ def session_processor(spark, sf):
     low, high = events.agg(F.min(at), F.max(at)).first()
     width = ((high or 0) - (low or 0)) // 4 + 1
     part = F.floor((at - F.lit(low or 0)) / width)
+    # Dealt out by the rows' hash, as a stretch of time may lie in one split of the table.
+    piece = lambda i: events.where(part == i).repartition(spark.sparkContext.defaultParallelism, *events.columns)
     job = lambda initial: lambda stream: processors.session_machine(
         _timed(jobs.word_events(stream.selectExpr(f"{_LINES} AS value", "ts AS timestamp"))), _GAP_MS, initial)
     state, over = None, None
     for i in (0, 2):
         checkpoint = scratch_path(spark, "checkpoint")
-        rows = _drained(spark, [events.where(part == i), events.where(part == i + 1)], job(state), checkpoint, processors.ROCKSDB)
+        rows = _drained(spark, [piece(i), piece(i + 1)], job(state), checkpoint, processors.ROCKSDB)
         ended = rows.where("expired").select("id", "start_ms", "end_ms", "num_events", "expired", F.lit(i == 0).alias("expired_in_first_run"))
         over = ended if over is None else over.union(ended)
         state = cut_lineage(processors.session_state(spark, checkpoint), "sessions")
